@@ -67,7 +67,6 @@ def cv_baseline_one_pass(df: DataFrame, by_hour: bool, cfg: Config = Config(),
     tagged, plan = ranked_with_folds(df, cfg, gap)
     k = len(plan)
     y = F.col(cfg.target).cast("double")
-    keys = ["hour"] if by_hour else []
     hour_col = [F.col("hour").cast("int").alias("hour")] if by_hour else []
     seg = (tagged.filter(F.col("train_seg") <= k)
            .groupBy(F.col("train_seg"), *hour_col).agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("c")))
@@ -81,7 +80,6 @@ def cv_baseline_one_pass(df: DataFrame, by_hour: bool, cfg: Config = Config(),
     scored = join_small(val, glob, "fold", "left")
     pred = F.coalesce(F.col("_hm"), F.col("_global")) if by_hour else F.col("_global")
     scored = scored.withColumn("pred", pred)
-    del keys
     return report(scored, cfg.target, "pred", by=["fold"]).select("fold", "rmsle", "rmse", "mae", "r2", "n")
 
 

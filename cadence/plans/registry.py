@@ -31,4 +31,4 @@ def load_all() -> None:
         importlib.import_module(f"cadence.plans.{mod}")
 
 
-MODULES = ("q_features",)
+MODULES = ("q_features", "q_splits", "q_models")
