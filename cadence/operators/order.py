@@ -42,13 +42,6 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(small, on, how)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
                       rank_col: str = "rank", size_col: str | None = None,
                       num_partitions: int | None = None, tie_breaker: bool = False) -> DataFrame:
@@ -76,15 +69,15 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
     staged = staged.checkpoint(eager=True)
 
     seg = staged.groupBy("_pid", *group_cols).agg(F.min("_pos").alias("_first"),
-                                                  F.count(F.lit(1)).alias("_n"))
+                                                  F.count(F.lit(1)).alias("_cnt"))
     by_group = Window.partitionBy(*[F.col(c) for c in group_cols]) if group_cols else Window.partitionBy()
     seg = seg.withColumn(
         "_offset",
-        F.coalesce(F.sum("_n").over(by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+        F.coalesce(F.sum("_cnt").over(by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
     if size_col:
-        seg = seg.withColumn(size_col, F.sum("_n").over(by_group))
-    seg = seg.drop("_n")
+        seg = seg.withColumn(size_col, F.sum("_cnt").over(by_group))
+    seg = seg.drop("_cnt")
 
     if group_cols:
         # Null-safe equality so NULL group keys keep their rows.
