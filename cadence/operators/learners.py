@@ -100,6 +100,7 @@ def _tree_prepare(features: Sequence[str]):
         casted = df.withColumns({f"__f{k}": F.col(c).cast("double") for k, c in enumerate(cols)})
         return VectorAssembler(inputCols=[f"__f{k}" for k in range(len(cols))], outputCol="features",
                                handleInvalid="keep").transform(casted)
+    prep.features = cols
     return prep
 
 

@@ -58,41 +58,41 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     if tie_breaker:
-        df = df.withColumn("_tie", F.rand(SEED))
-        keys = keys + ["_tie"]
+        df = df.withColumn("__op_tie", F.rand(SEED))
+        keys = keys + ["__op_tie"]
     pid = F.spark_partition_id().cast("long")
     staged = (df.repartitionByRange(n_parts, *keys)
               .sortWithinPartitions(*keys)
-              .withColumn("_pid", pid)
-              .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
+              .withColumn("__op_pid", pid)
+              .withColumn("__op_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
     # Reliable checkpoint: the numbering above is fixed once, in shared storage.
     staged = staged.checkpoint(eager=True)
 
-    seg = staged.groupBy("_pid", *group_cols).agg(F.min("_pos").alias("_first"),
-                                                  F.count(F.lit(1)).alias("_cnt"))
+    seg = staged.groupBy("__op_pid", *group_cols).agg(F.min("__op_pos").alias("__op_first"),
+                                                  F.count(F.lit(1)).alias("__op_cnt"))
     by_group = Window.partitionBy(*[F.col(c) for c in group_cols]) if group_cols else Window.partitionBy()
     seg = seg.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_cnt").over(by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+        "__op_off",
+        F.coalesce(F.sum("__op_cnt").over(by_group.orderBy("__op_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
     if size_col:
-        seg = seg.withColumn(size_col, F.sum("_cnt").over(by_group))
-    seg = seg.drop("_cnt")
+        seg = seg.withColumn(size_col, F.sum("__op_cnt").over(by_group))
+    seg = seg.drop("__op_cnt")
 
     if group_cols:
         # Null-safe equality so NULL group keys keep their rows.
-        seg_r = seg.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_pid", "_first", "_offset",
+        seg_r = seg.select(*[F.col(c).alias(f"__op_g_{c}") for c in group_cols], "__op_pid", "__op_first", "__op_off",
                            *([size_col] if size_col else []))
-        seg_r = seg_r.withColumnRenamed("_pid", "_spid").cache()
-        cond = staged["_pid"] == seg_r["_spid"]
+        seg_r = seg_r.withColumnRenamed("__op_pid", "__op_spid").cache()
+        cond = staged["__op_pid"] == seg_r["__op_spid"]
         for c in group_cols:
-            cond = cond & staged[c].eqNullSafe(seg_r[f"_g_{c}"])
+            cond = cond & staged[c].eqNullSafe(seg_r[f"__op_g_{c}"])
         small = F.broadcast(seg_r) if seg_r.count() <= BROADCAST_ROW_LIMIT else seg_r
-        joined = staged.join(small, cond, "inner").drop("_spid", *[f"_g_{c}" for c in group_cols])
+        joined = staged.join(small, cond, "inner").drop("__op_spid", *[f"__op_g_{c}" for c in group_cols])
     else:
-        joined = staged.join(F.broadcast(seg), "_pid", "inner")   # one row per partition
-    out = joined.withColumn(rank_col, F.col("_offset") + F.col("_pos") - F.col("_first"))
-    drop = ["_pid", "_pos", "_first", "_offset"] + (["_tie"] if tie_breaker else [])
+        joined = staged.join(F.broadcast(seg), "__op_pid", "inner")   # one row per partition
+    out = joined.withColumn(rank_col, F.col("__op_off") + F.col("__op_pos") - F.col("__op_first"))
+    drop = ["__op_pid", "__op_pos", "__op_first", "__op_off"] + (["__op_tie"] if tie_breaker else [])
     return out.drop(*drop)
 
 

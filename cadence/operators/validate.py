@@ -43,9 +43,13 @@ def evaluate_holdout(predictor: Predictor, df: DataFrame, cfg: Config = Config()
         F.col("n").alias("n_holdout"))
 
 
-def cv_report(predictor: Predictor, df: DataFrame, cfg: Config = Config(), gap: int | None = None) -> DataFrame:
-    """A fresh fit per fold; one metrics row per fold (fold, rmsle, rmse, mae, r2, n)."""
-    tagged, plan = ranked_with_folds(df, cfg, gap)
+def cv_report(predictor: Predictor, df: DataFrame, cfg: Config = Config(), gap: int | None = None,
+              folds=None) -> DataFrame:
+    """A fresh fit per fold; one metrics row per fold (fold, rmsle, rmse, mae, r2, n).
+
+    ``folds`` = a ``(tagged, plan)`` pair from ``ranked_with_folds`` to reuse one
+    ranking across many models and arms."""
+    tagged, plan = folds if folds is not None else ranked_with_folds(df, cfg, gap)
     parts = []
     for f in plan:
         train = tagged.filter(F.col("rank") < f.train_end)
