@@ -11,6 +11,7 @@ import itertools
 import json
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,14 @@ from cadence.operators.fitted import AtempRecalibrator, WindspeedZeroImputer
 from cadence.operators.learners import get_model
 from cadence.operators.splits import ranked_with_folds, split_holdout
 
+CONFIG_THREADS = 3   # concurrent (arm, model) configurations; each fit is still distributed
+
+
+def _run_all(fn, items):
+    with ThreadPoolExecutor(max_workers=max(1, min(CONFIG_THREADS, len(items)))) as pool:
+        return list(pool.map(fn, items))
+
+
 RESULT_SCHEMA = ("arm string, model string, holdout_rmsle double, holdout_rmse double, holdout_mae double, "
                  "holdout_r2 double, cv_rmsle double")
 
@@ -48,16 +57,16 @@ def feature_sweep(df: DataFrame, models: Sequence[str], cfg: Config = Config(),
     groups = groups if groups is not None else FEATURE_GROUPS
     df = df.cache()
     folds = ranked_with_folds(df, cfg)
-    rows = []
     arms = [("baseline", ())] + list(groups.items())
-    for arm, cols in arms:
-        for name in models:
-            num = tuple(c for c in cols if c in CANDIDATE_NUMERIC)
-            passthru = tuple(c for c in cols if c not in CANDIDATE_NUMERIC)
-            est = get_model(name, cfg.params.get(name), extra_numeric=num, extra_passthrough=passthru,
-                            extra_tree=tuple(cols))
-            rows.append({"arm": arm, "model": name, **evaluate_both(va.fit_predict(est), df, cfg, folds)})
-    return _results(df.sparkSession, rows)
+
+    def one(item):
+        (arm, cols), name = item
+        num = tuple(c for c in cols if c in CANDIDATE_NUMERIC)
+        passthru = tuple(c for c in cols if c not in CANDIDATE_NUMERIC)
+        est = get_model(name, cfg.params.get(name), extra_numeric=num, extra_passthrough=passthru,
+                        extra_tree=tuple(cols))
+        return {"arm": arm, "model": name, **evaluate_both(va.fit_predict(est), df, cfg, folds)}
+    return _results(df.sparkSession, _run_all(one, [(a, m) for a in arms for m in models]))
 
 
 def _with_transforms(est, transforms):
@@ -75,15 +84,15 @@ def env_experiment(df: DataFrame, models: Sequence[str], cfg: Config = Config())
     rebuild fitted inside every fold), all (both)."""
     df = df.cache()
     folds = ranked_with_folds(df, cfg)
-    rows = []
     arms = {"baseline": ((), False), "comfort": (("comfort_index",), False), "recalib": ((), True),
             "all": (("comfort_index",), True)}
-    for arm, (extra, recal) in arms.items():
-        for name in models:
-            est = get_model(name, cfg.params.get(name), extra_numeric=extra, extra_tree=extra)
-            pred = _with_transforms(est, [WindspeedZeroImputer, AtempRecalibrator] if recal else [])
-            rows.append({"arm": arm, "model": name, **evaluate_both(pred, df, cfg, folds)})
-    return _results(df.sparkSession, rows)
+
+    def one(item):
+        (arm, (extra, recal)), name = item
+        est = get_model(name, cfg.params.get(name), extra_numeric=extra, extra_tree=extra)
+        pred = _with_transforms(est, [WindspeedZeroImputer, AtempRecalibrator] if recal else [])
+        return {"arm": arm, "model": name, **evaluate_both(pred, df, cfg, folds)}
+    return _results(df.sparkSession, _run_all(one, [(a, m) for a in arms.items() for m in models]))
 
 
 def compare_with_baseline(results: DataFrame, baseline_arm: str = "baseline") -> DataFrame:
@@ -155,15 +164,17 @@ def random_search(df: DataFrame, model: str, space: dict[str, list], n_draws: in
     search_rows, _ = split_holdout(df, cfg)
     search_rows = search_rows.cache()
     folds = ranked_with_folds(search_rows, cfg)
-    out = []
-    for k, params in enumerate(draw_params(space, n_draws, cfg.seed)):
+
+    def one(item):
+        k, params = item
         p = dict(params)
         if "n_estimators" in p:
             p["n_estimators"] = max(1, int(round(p["n_estimators"] * rounds_scale)))
         est = get_model(model, p)
         per_fold = va.cv_report(va.fit_predict(est), search_rows, cfg, folds=folds)
         cv = per_fold.agg(F.avg("rmsle")).first()[0]
-        out.append((k, model, json.dumps(p, sort_keys=True), float(cv), -float(cv)))
+        return (k, model, json.dumps(p, sort_keys=True), float(cv), -float(cv))
+    out = _run_all(one, list(enumerate(draw_params(space, n_draws, cfg.seed))))
     return df.sparkSession.createDataFrame(out, "draw int, model string, params string, cv_rmsle double, score double")
 
 
@@ -174,9 +185,9 @@ def tuned_against_baseline(df: DataFrame, model: str, search: DataFrame, baselin
     tuned_params = json.loads(best["params"])
     df = df.cache()
     folds = ranked_with_folds(df, cfg)
-    rows = []
-    for arm, p in (("baseline", baseline_params), ("tuned", tuned_params)):
-        rows.append({"arm": arm, "model": model, **evaluate_both(va.fit_predict(get_model(model, p)), df, cfg, folds)})
+    rows = _run_all(lambda ap: {"arm": ap[0], "model": model,
+                                **evaluate_both(va.fit_predict(get_model(model, ap[1])), df, cfg, folds)},
+                    [("baseline", baseline_params), ("tuned", tuned_params)])
     res = _results(df.sparkSession, rows)
     return compare_with_baseline(res).withColumn("search_best_cv_rmsle", F.lit(best["cv_rmsle"]))
 

@@ -77,16 +77,23 @@ class PopulationScaler:
         self.suffix = suffix
         self.stats_: dict[str, tuple[float, float]] = {}
 
-    def fit(self, df: DataFrame) -> "PopulationScaler":
+    def aggregates(self) -> list:
         aggs = []
         for k, c in enumerate(self.cols):
-            aggs += [F.avg(c).alias(f"m{k}"), F.stddev_pop(c).alias(f"s{k}")]
-        row = df.agg(*aggs).first()
+            aggs += [F.avg(c).alias(f"__m{k}"), F.stddev_pop(c).alias(f"__s{k}")]
+        return aggs
+
+    def set_from(self, row) -> "PopulationScaler":
         for k, c in enumerate(self.cols):
-            s = row[f"s{k}"]
-            self.stats_[c] = (float(row[f"m{k}"]), float(s) if s else 1.0)
+            s = row[f"__s{k}"]
+            self.stats_[c] = (float(row[f"__m{k}"]), float(s) if s else 1.0)
         return self
 
+    def fit(self, df: DataFrame, extra_aggs=()) -> "PopulationScaler":
+        """One aggregation; ``extra_aggs`` ride along (their values stay on ``last_row_``)."""
+        self.last_row_ = df.agg(*self.aggregates(), *extra_aggs).first()
+        return self.set_from(self.last_row_)
+
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({f"{c}{self.suffix}": (F.col(c) - F.lit(m)) / F.lit(s)
                                for c, (m, s) in self.stats_.items()})
@@ -101,12 +108,22 @@ class OneHotLevels:
         self.levels_: dict[str, list] = {}
 
     def fit(self, df: DataFrame) -> "OneHotLevels":
-        for c in self.cols:
-            lv = df.select(c).distinct().filter(F.col(c).isNotNull())
-            n = lv.count()
-            if n > LEVEL_LIMIT:
-                raise ValueError(f"{c} has {n} levels; one-hot is for categorical columns")
-            self.levels_[c] = sorted(r[0] for r in lv.collect())
+        """One distinct pass over (column, level) pairs for all columns; at most
+        LEVEL_LIMIT + 1 rows per column ever reach the driver."""
+        if not self.cols:
+            return self
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("double").alias("v"))
+                                               for k, c in enumerate(self.cols)])).alias("p"))
+        lv = pairs.select("p.k", "p.v").filter(F.col("v").isNotNull()).distinct()
+        cap = len(self.cols) * (LEVEL_LIMIT + 1)
+        rows = lv.limit(cap).collect()
+        if len(rows) >= cap:
+            raise ValueError(f"{self.cols} have more than {LEVEL_LIMIT} levels; one-hot is for categorical columns")
+        for k, c in enumerate(self.cols):
+            vals = sorted(r["v"] for r in rows if r["k"] == k)
+            if len(vals) > LEVEL_LIMIT:
+                raise ValueError(f"{c} has more than {LEVEL_LIMIT} levels; one-hot is for categorical columns")
+            self.levels_[c] = [int(v) if float(v).is_integer() else v for v in vals]
         return self
 
     def output_columns(self) -> list[str]:

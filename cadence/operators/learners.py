@@ -35,8 +35,10 @@ class LinearSpec:
         self.passthrough = list(passthrough) + list(extra_passthrough)
         self.one_hot = list(one_hot)
 
-    def fit(self, df: DataFrame) -> "FittedSpec":
-        return FittedSpec(self, PopulationScaler(self.numeric, "__s").fit(df), OneHotLevels(self.one_hot).fit(df))
+    def fit(self, df: DataFrame, extra_aggs=()) -> "FittedSpec":
+        """Two passes: scaler moments (plus any ``extra_aggs``) and one-hot levels."""
+        return FittedSpec(self, PopulationScaler(self.numeric, "__s").fit(df, extra_aggs),
+                          OneHotLevels(self.one_hot).fit(df))
 
 
 class FittedSpec:
@@ -84,10 +86,11 @@ class RidgeLog(Estimator):
         self.spec = spec or LinearSpec()
 
     def fit(self, df: DataFrame, label: str) -> Fitted:
-        fitted_spec = self.spec.fit(df)
-        train = fitted_spec.transform(df).withColumn("_label", F.log1p(F.col(label).cast("double")))
-        st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("_label").alias("s")).first()
-        reg = self.alpha / st["n"] * (st["s"] or 0.0)
+        z = F.log1p(F.col(label).cast("double"))
+        fitted_spec = self.spec.fit(df, [F.count(F.lit(1)).alias("__n"), F.stddev_pop(z).alias("__sy")])
+        st = fitted_spec.scaler.last_row_
+        train = fitted_spec.transform(df).withColumn("_label", z)
+        reg = self.alpha / st["__n"] * (st["__sy"] or 0.0)
         lr = LinearRegression(featuresCol="features", labelCol="_label", regParam=reg, elasticNetParam=0.0,
                               standardization=False, solver="normal", fitIntercept=True)
         return _LogFitted(lr.fit(train), fitted_spec.transform)

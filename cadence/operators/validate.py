@@ -9,6 +9,7 @@ totals give every fold's fitted means, and each validation row is scored once.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from cadence.operators.order import join_small
 from cadence.operators.splits import ranked_with_folds, split_holdout
 
 Predictor = Callable[[DataFrame, DataFrame, str], DataFrame]
+FOLD_THREADS = 4
 
 
 def fit_predict(est: Estimator) -> Predictor:
@@ -50,12 +52,17 @@ def cv_report(predictor: Predictor, df: DataFrame, cfg: Config = Config(), gap:
     ``folds`` = a ``(tagged, plan)`` pair from ``ranked_with_folds`` to reuse one
     ranking across many models and arms."""
     tagged, plan = folds if folds is not None else ranked_with_folds(df, cfg, gap)
-    parts = []
-    for f in plan:
+
+    def one(f):
         train = tagged.filter(F.col("rank") < f.train_end)
         val = tagged.filter(F.col("val_fold") == f.fold)
         pred = predictor(train, val, cfg.target)
-        parts.append(report(pred, cfg.target, "pred").withColumn("fold", F.lit(f.fold)))
+        return report(pred, cfg.target, "pred").withColumn("fold", F.lit(f.fold))
+
+    # Fits are eager Spark jobs; a few driver threads keep the cluster busy while
+    # a small fold's job would leave executors idle. Each fit is still distributed.
+    with ThreadPoolExecutor(max_workers=min(FOLD_THREADS, len(plan))) as pool:
+        parts = list(pool.map(one, plan))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
