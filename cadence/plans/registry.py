@@ -31,4 +31,4 @@ def load_all() -> None:
         importlib.import_module(f"cadence.plans.{mod}")
 
 
-MODULES = ("q_features", "q_splits", "q_models", "q_profile", "q_fitted", "q_learners", "q_experiments", "q_sources")
+MODULES = ("q_features", "q_splits", "q_models", "q_profile", "q_fitted", "q_learners", "q_experiments", "q_sources", "q_streaming")

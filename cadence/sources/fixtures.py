@@ -42,17 +42,20 @@ def _k(props: str = "props") -> Column:
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
 
-def demand_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """hourly demand with sub-targets that sum to the target."""
-    ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value", "props")
+def hourly_aggregates() -> list[Column]:
+    """The per-hour aggregates of F1 (shared by the batch and the streaming form)."""
     k = _k()
-    hourly = ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime")).agg(
+    return [
         F.count(F.lit(1)).alias("count"),
         F.count(F.when(F.col("event_type") == "purchase", 1)).alias("casual"),
         F.avg(k).alias("humidity"),
         F.avg("value").alias("avg_value"),
         F.count(F.when((F.col("event_type") == "error") & (k < 5), 1)).cast("double").alias("windspeed"),
-    )
+    ]
+
+
+def hourly_columns(hourly: DataFrame) -> DataFrame:
+    """F1 columns from the per-hour aggregates (``datetime`` = hour start)."""
     dt = F.col("datetime")
     row_id = F.expr("unix_seconds(cast(datetime as timestamp)) div 3600")
     temp = F.col("avg_value") / 2
@@ -72,9 +75,15 @@ def demand_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """the same columns at one row per event; ``count`` is the event value."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", "props")
+def demand_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hourly demand with sub-targets that sum to the target."""
+    ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value", "props")
+    hourly = ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime")).agg(*hourly_aggregates())
+    return hourly_columns(hourly)
+
+
+def demand_rows_of(ev: DataFrame) -> DataFrame:
+    """F2 projection of an events frame (batch or streaming)."""
     k = _k()
     dt = F.col("ts")
     temp = 5 + 30 * (F.col("event_id") % 97) / 96
@@ -95,6 +104,11 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the same columns at one row per event; ``count`` is the event value."""
+    return demand_rows_of(read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", "props"))
+
+
 def orders_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one row per order; several years, no time of day, no weather numerics."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
