@@ -1,5 +1,10 @@
 """Output hygiene shared by every registered query and its DuckDB oracle.
 
+Rounding is spelled out as plain IEEE arithmetic, ``sign(x) * floor(|x| * 10^d +
+0.5) / 10^d``, identical in both engines; the engines' own ``round`` functions
+disagree on exact ties (one rounds the shortest decimal string, the other the
+scaled binary value). Magnitudes of 1e12 and more pass through unrounded.
+
 Spark side: doubles rounded (6 places by default, fewer for large magnitudes),
 negative zero folded to zero, every integer type widened to bigint, timestamps
 rendered as ``yyyy-MM-dd HH:mm:ss`` text, booleans as 0/1 bigint. The DuckDB
@@ -24,8 +29,7 @@ def finish(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = No
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, _FLOATS):
-            r = F.round(c.cast("double"), overrides.get(f.name, digits))
-            c = F.when(r == 0, F.lit(0.0)).otherwise(r)
+            c = round_expr(c.cast("double"), overrides.get(f.name, digits))
         elif isinstance(t, _INTS):
             c = c.cast("long")
         elif isinstance(t, (T.DateType,) + _TIMES):
@@ -34,10 +38,21 @@ def finish(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = No
     return df.select(*cols)
 
 
+def round_expr(x, digits: int):
+    scale = float(10 ** digits)
+    v = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    v = F.when(F.abs(x) >= F.lit(1e12), x).otherwise(v)
+    return F.when(v == 0, F.lit(0.0)).otherwise(v)
+
+
 # --- DuckDB text helpers ---------------------------------------------------------
 def r(expr: str, digits: int = 6) -> str:
     """Round a double the same way ``finish`` does."""
-    return f"(CASE WHEN round(CAST({expr} AS DOUBLE), {digits}) = 0 THEN 0.0 ELSE round(CAST({expr} AS DOUBLE), {digits}) END)"
+    x = f"CAST({expr} AS DOUBLE)"
+    scale = f"{float(10 ** digits)!r}::DOUBLE"
+    v = f"(sign({x}) * floor(abs({x}) * {scale} + 0.5::DOUBLE) / {scale})"
+    v = f"(CASE WHEN abs({x}) >= 1e12::DOUBLE THEN {x} ELSE {v} END)"
+    return f"(CASE WHEN {v} = 0 THEN 0.0::DOUBLE ELSE {v} END)"
 
 
 def i(expr: str) -> str:

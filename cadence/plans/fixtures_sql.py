@@ -28,7 +28,7 @@ F1 = f"""f1 AS (
                count(*) AS count,
                count(*) FILTER (WHERE event_type = 'purchase') AS casual,
                avg(k) AS humidity,
-               avg(value) AS avg_value,
+               CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_value,
                CAST(count(*) FILTER (WHERE event_type = 'error' AND k < 5) AS DOUBLE) AS windspeed
         FROM (SELECT ts, event_type, value, {K} AS k FROM events) e
         GROUP BY 1) h

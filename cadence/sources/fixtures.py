@@ -49,7 +49,8 @@ def hourly_aggregates() -> list[Column]:
         F.count(F.lit(1)).alias("count"),
         F.count(F.when(F.col("event_type") == "purchase", 1)).alias("casual"),
         F.avg(k).alias("humidity"),
-        F.avg("value").alias("avg_value"),
+        # exact decimal sum, then one division: identical in any summation order
+        (F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("avg_value"),
         F.count(F.when((F.col("event_type") == "error") & (k < 5), 1)).cast("double").alias("windspeed"),
     ]
 
