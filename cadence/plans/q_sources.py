@@ -197,3 +197,25 @@ def a10(spark, sf):
     doc = spark.createDataFrame(rows, io.SWEEP_SCHEMA)
     path = io.write_json(doc, scratch_path(spark, "sweep-json"))
     return finish(io.sweep_long(spark.read.schema(io.SWEEP_SCHEMA).json(path)))
+
+
+# --- M32 train/test predictor schema equality ------------------------------------------------------
+def schema_diff(train, test, exclude=("count", "casual", "registered")):
+    """One row per predictor column of either table with both types and a flag;
+    the predictor sets must agree (``same`` = 1 everywhere)."""
+    spark = train.sparkSession
+    a = {f.name: f.dataType.simpleString() for f in train.schema.fields if f.name not in exclude}
+    b = {f.name: f.dataType.simpleString() for f in test.schema.fields if f.name not in exclude}
+    rows = [(c, a.get(c), b.get(c), int(a.get(c) == b.get(c))) for c in sorted(set(a) | set(b))]
+    return spark.createDataFrame(rows, "column_name string, train_type string, test_type string, same int")
+
+
+@query("m32_schema_equality")
+def m32(spark, sf):
+    """Processed train (days 1-19, leakage dropped) and processed test (days 20+)
+    written through the same prepare step; their predictor schemas are compared."""
+    raw = demand_rows(spark, sf)
+    tr = io.read_processed(spark, io.write_processed(labeled(raw), scratch_path(spark, "proc-train"), CFG))
+    te = io.read_processed(spark, io.write_processed(unlabeled(raw), scratch_path(spark, "proc-test"), CFG,
+                                                     labeled=False))
+    return finish(schema_diff(tr, te))
