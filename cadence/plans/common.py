@@ -1,9 +1,10 @@
 """Output hygiene shared by every registered query and its DuckDB oracle.
 
-Rounding is spelled out as plain IEEE arithmetic, ``sign(x) * floor(|x| * 10^d +
-0.5) / 10^d``, identical in both engines; the engines' own ``round`` functions
+Rounding is spelled out as plain IEEE arithmetic, ``floor(x * 10^d + 0.5) / 10^d``
+(ties toward +inf), identical in both engines; the engines' own ``round`` functions
 disagree on exact ties (one rounds the shortest decimal string, the other the
-scaled binary value). Magnitudes of 1e12 and more pass through unrounded.
+scaled binary value). ``x`` appears once, so wide projections stay small, and the
+result is never -0.0. Pick fewer digits for magnitudes near 1e12 and above.
 
 Spark side: doubles rounded (6 places by default, fewer for large magnitudes),
 negative zero folded to zero, every integer type widened to bigint, timestamps
@@ -40,19 +41,14 @@ def finish(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = No
 
 def round_expr(x, digits: int):
     scale = float(10 ** digits)
-    v = F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-    v = F.when(F.abs(x) >= F.lit(1e12), x).otherwise(v)
-    return F.when(v == 0, F.lit(0.0)).otherwise(v)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 # --- DuckDB text helpers ---------------------------------------------------------
 def r(expr: str, digits: int = 6) -> str:
     """Round a double the same way ``finish`` does."""
-    x = f"CAST({expr} AS DOUBLE)"
     scale = f"{float(10 ** digits)!r}::DOUBLE"
-    v = f"(sign({x}) * floor(abs({x}) * {scale} + 0.5::DOUBLE) / {scale})"
-    v = f"(CASE WHEN abs({x}) >= 1e12::DOUBLE THEN {x} ELSE {v} END)"
-    return f"(CASE WHEN {v} = 0 THEN 0.0::DOUBLE ELSE {v} END)"
+    return f"(floor(CAST({expr} AS DOUBLE) * {scale} + 0.5::DOUBLE) / {scale})"
 
 
 def i(expr: str) -> str:
