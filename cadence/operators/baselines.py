@@ -69,8 +69,12 @@ class HourlyMeanBaseline(Estimator):
         if "hour" not in df.columns:
             raise ValueError("HourlyMeanBaseline expects an 'hour' column. Run build_features first.")
         y = F.col(label).cast("double")
-        hour_means = df.groupBy(F.col("hour").cast("int").alias("hour")).agg(F.avg(y).alias("_hour_mean")).cache()
-        global_mean = df.agg(F.avg(y)).first()[0]
+        # One scan: per-hour sums and counts (<= 24 rows); the global mean comes
+        # from that small table, not from a second pass over the rows.
+        stats = df.groupBy(F.col("hour").cast("int").alias("hour")).agg(
+            F.sum(y).alias("_s"), F.count(y).alias("_c")).cache()
+        global_mean = stats.agg(F.sum("_s") / F.sum("_c")).first()[0]
+        hour_means = stats.select("hour", (F.col("_s") / F.col("_c")).alias("_hour_mean"))
         return _HourlyFitted(hour_means, float(global_mean))
 
 

@@ -40,8 +40,9 @@ class HourlyLogMean(Estimator):
 
     def fit(self, df: DataFrame, label: str) -> Fitted:
         z = F.log1p(F.col(label).cast("double"))
-        means = df.groupBy(F.col("hour").cast("int").alias("_h")).agg(F.avg(z).alias("_lm")).cache()
-        g = df.agg(F.avg(z)).first()[0]
+        stats = df.groupBy(F.col("hour").cast("int").alias("_h")).agg(F.sum(z).alias("_s"), F.count(z).alias("_c")).cache()
+        g = stats.agg(F.sum("_s") / F.sum("_c")).first()[0]
+        means = stats.select("_h", (F.col("_s") / F.col("_c")).alias("_lm"))
         return _HourlyLogFitted(means, float(g))
 
 

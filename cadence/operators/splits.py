@@ -23,8 +23,12 @@ def holdout_flag(dt: Column) -> Column:
 
 
 def split_holdout(df: DataFrame, cfg: Config = Config()) -> tuple[DataFrame, DataFrame]:
-    """(train days 1-15, holdout days 16+)."""
-    flag = holdout_flag(F.col(cfg.datetime_col))
+    """(train days 1-15, holdout days 16+). A stored ``day`` key column (processed
+    tables) is used directly so the predicate reaches the Parquet scan."""
+    if "day" in df.columns:
+        flag = F.col("day") >= HOLDOUT_DAY_THRESHOLD
+    else:
+        flag = holdout_flag(F.col(cfg.datetime_col))
     return df.filter(~flag), df.filter(flag)
 
 

@@ -70,26 +70,33 @@ def cv_report(predictor: Predictor, df: DataFrame, cfg: Config = Config(), gap:
 
 
 def cv_baseline_one_pass(df: DataFrame, by_hour: bool, cfg: Config = Config(),
-                         gap: int | None = None) -> DataFrame:
+                         gap: int | None = None, labels=None) -> DataFrame:
     """M12 for M1 (``by_hour=False``) and M2 (``by_hour=True``) in one scan.
 
     Small tables only: (segment, hour) sums -> (fold, hour) means, <= k * 24 rows.
+    ``labels`` (e.g. the two sub-targets, M19) fits one mean model per label and
+    sums their predictions; the score is always against ``cfg.target``.
     """
+    labels = list(labels or [cfg.target])
     tagged, plan = ranked_with_folds(df, cfg, gap)
     k = len(plan)
-    y = F.col(cfg.target).cast("double")
     hour_col = [F.col("hour").cast("int").alias("hour")] if by_hour else []
+    sums = [F.sum(F.col(lb).cast("double")).alias(f"s{j}") for j, lb in enumerate(labels)]
     seg = (tagged.filter(F.col("train_seg") <= k)
-           .groupBy(F.col("train_seg"), *hour_col).agg(F.sum(y).alias("s"), F.count(F.lit(1)).alias("c")))
+           .groupBy(F.col("train_seg"), *hour_col).agg(*sums, F.count(F.lit(1)).alias("c")))
     # A segment's rows train every fold from the segment on: explode to those folds.
     per_fold = seg.withColumn("fold", F.explode(F.sequence(F.col("train_seg"), F.lit(k))))
-    glob = per_fold.groupBy("fold").agg((F.sum("s") / F.sum("c")).alias("_global"))
+    means = lambda pre: [(F.sum(f"s{j}") / F.sum("c")).alias(f"{pre}{j}") for j in range(len(labels))]
+    glob = per_fold.groupBy("fold").agg(*means("_g"))
     val = tagged.filter(F.col("val_fold").isNotNull()).withColumnRenamed("val_fold", "fold")
     if by_hour:
-        hourly = per_fold.groupBy("fold", "hour").agg((F.sum("s") / F.sum("c")).alias("_hm"))
+        hourly = per_fold.groupBy("fold", "hour").agg(*means("_h"))
         val = join_small(val.withColumn("hour", F.col("hour").cast("int")), hourly, ["fold", "hour"], "left")
     scored = join_small(val, glob, "fold", "left")
-    pred = F.coalesce(F.col("_hm"), F.col("_global")) if by_hour else F.col("_global")
+    parts = [F.coalesce(F.col(f"_h{j}"), F.col(f"_g{j}")) if by_hour else F.col(f"_g{j}") for j in range(len(labels))]
+    pred = parts[0]
+    for p in parts[1:]:
+        pred = pred + p
     scored = scored.withColumn("pred", pred)
     return report(scored, cfg.target, "pred", by=["fold"]).select("fold", "rmsle", "rmse", "mae", "r2", "n")
 

@@ -100,6 +100,18 @@ def m13_h2(spark, sf):
     return finish(va.evaluate_holdout(va.fit_predict(bl.HourlyMeanBaseline()), lab2(spark, sf), CFG))
 
 
+@query("m13_holdout_processed_table", _m13_sql(HM))
+def m13_proc(spark, sf):
+    """The minimum slice on the processed table: raw rows -> prepare step (features,
+    leakage drop, year/month partitions, ``day`` key) -> read back -> holdout. The
+    day split is a plain predicate on ``day`` and reaches the Parquet scan."""
+    from cadence.session import scratch_path
+    from cadence.sources import io
+    path = io.write_processed(labeled(demand_rows(spark, sf)), scratch_path(spark, "processed"), CFG)
+    df = io.read_processed(spark, path)
+    return finish(va.evaluate_holdout(va.fit_predict(bl.HourlyMeanBaseline()), df, CFG))
+
+
 @query("m13_holdout_mean", _m13_sql(MB))
 def m13_m2(spark, sf):
     return finish(va.evaluate_holdout(va.fit_predict(bl.MeanBaseline()), lab2(spark, sf), CFG))
@@ -299,7 +311,8 @@ def _dual_sql():
 def m19(spark, sf):
     df = lab2(spark, sf)
     pred_fn = dual_predictor(bl.HourlyMeanBaseline())
-    cv = va.cv_report(pred_fn, df, CFG).withColumn("view", F.lit("cv"))
+    # all five folds of both sub-target models in one scan
+    cv = va.cv_baseline_one_pass(df, True, CFG, labels=["casual", "registered"]).withColumn("view", F.lit("cv"))
     hold = mx.report(va.holdout_predictions(pred_fn, df, CFG), "count", "pred").withColumn(
         "view", F.lit("holdout")).withColumn("fold", F.lit(0))
     return finish(cv.unionByName(hold).select("view", "fold", "rmsle", "rmse", "mae", "r2", "n"))

@@ -28,3 +28,12 @@ def test_no_python_udf_in_registered_row_paths(spark):
 def test_holdout_hour_table_is_broadcast(spark):
     plan = _plan(QUERIES["m02_hourly_mean_baseline"](spark, SF001))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_day_split_reaches_parquet_scan(spark, tmp_path):
+    from cadence.operators.splits import split_holdout
+    from cadence.sources import io
+    path = io.write_processed(labeled(demand_rows(spark, SF001)), str(tmp_path / "p"))
+    _, hold = split_holdout(io.read_processed(spark, path))
+    plan = _plan(hold)
+    assert "GreaterThanOrEqual(day,16)" in plan.replace(" ", "")
