@@ -2,7 +2,7 @@
 
 These only re-shape the given tables into the schema the operators expect
 (hourly demand with calendar and weather columns). They do none of the
-operators' work. Each has a DuckDB twin in ``cadence.plans.oracle``.
+operators' work. Each has a DuckDB twin in ``cadence.plans.fixtures_sql``.
 
 - F1 ``demand_hourly``  one row per hour of ``events``
 - F2 ``demand_rows``    one row per event (grows with the scale factor)
