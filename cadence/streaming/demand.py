@@ -50,8 +50,11 @@ def score_stream(rows: DataFrame, hour_means: DataFrame, global_mean: float, cfg
 def run_available(df: DataFrame, name: str, complete: bool = False) -> str:
     """Run a streaming query over all available input and return the output path.
 
-    Aggregations use complete mode through ``foreachBatch`` (each batch rewrites the
-    small result table); row streams append to a Parquet file sink.
+    ``complete=True`` (bounded replays): each batch rewrites the whole, small result
+    table through ``foreachBatch``, so the last open hours are included. Otherwise
+    rows append to a Parquet file sink; for the windowed aggregate that is the
+    continuous mode - an hour is written once the watermark passes its end, and its
+    state is dropped then, so state stays bounded by the watermark delay.
     """
     spark = df.sparkSession
     out = scratch_path(spark, f"stream-{name}")
