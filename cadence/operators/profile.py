@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,22 +99,30 @@ def moments_compare(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> D
     return _moments(train, cols, "train").join(_moments(test, cols, "test"), "column", "full_outer")
 
 
-def _corr(a: str, b: str) -> Column:
+def _r(cov: Column, sa: Column, sb: Column) -> Column:
     """Pearson from covar_pop / (stddev_pop * stddev_pop); NULL when a side is constant."""
-    den = F.stddev_pop(a) * F.stddev_pop(b)
-    return F.covar_pop(a, b) / F.when(den != 0, den)
+    den = sa * sb
+    return cov / F.when(den != 0, den)
 
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The full matrix in long form (col_a, col_b, r), one pass over the rows."""
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    casted = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
-    wide = casted.agg(*[_corr(f"c{a}", f"c{b}").alias(f"r_{a}_{b}") for a, b in pairs])
+    """The full matrix in long form (col_a, col_b, r), one pass over the rows:
+    one population std per column and one covariance per unordered pair (k + k(k-1)/2
+    aggregates, not three per pair); r is assembled on the one-row result."""
+    k = len(cols)
+    casted = df.select(*[F.col(c).cast("double").alias(f"c{j}") for j, c in enumerate(cols)])
+    pairs = [(a, b) for a in range(k) for b in range(a + 1, k)]
+    wide = casted.agg(*[F.stddev_pop(f"c{j}").alias(f"s{j}") for j in range(k)],
+                      *[F.covar_pop(f"c{a}", f"c{b}").alias(f"v_{a}_{b}") for a, b in pairs])
     entries = []
-    for a, b in pairs:
-        entries.append(F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), F.col(f"r_{a}_{b}").alias("r")))
-        if a != b:
-            entries.append(F.struct(F.lit(cols[b]).alias("col_a"), F.lit(cols[a]).alias("col_b"), F.col(f"r_{a}_{b}").alias("r")))
+    for a in range(k):
+        for b in range(k):
+            if a == b:
+                r = _r(F.col(f"s{a}") * F.col(f"s{a}"), F.col(f"s{a}"), F.col(f"s{a}"))
+            else:
+                lo, hi = min(a, b), max(a, b)
+                r = _r(F.col(f"v_{lo}_{hi}"), F.col(f"s{a}"), F.col(f"s{b}"))
+            entries.append(F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), r.alias("r")))
     return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
@@ -123,8 +130,9 @@ def pearson_with_target(df: DataFrame, cols: Sequence[str], target: str) -> Data
     """Correlation of each column with the target, sorted descending."""
     casted = df.select(F.col(target).cast("double").alias("_y"),
                        *[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
-    wide = casted.agg(*[_corr(f"c{k}", "_y").alias(f"r{k}") for k in range(len(cols))])
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{k}").alias("r"))
+    wide = casted.agg(F.stddev_pop("_y").alias("sy"), *[F.stddev_pop(f"c{k}").alias(f"s{k}") for k in range(len(cols))],
+                      *[F.covar_pop(f"c{k}", "_y").alias(f"v{k}") for k in range(len(cols))])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), _r(F.col(f"v{k}"), F.col(f"s{k}"), F.col("sy")).alias("r"))
                                for k, c in enumerate(cols)]))
     return wide.select(rows.alias("e")).select("e.*").orderBy(F.desc_nulls_last("r"), "feature")
 
