@@ -17,6 +17,10 @@ SESSION_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide one-pass reports (a Pearson matrix, a profile of every column) carry
+    # more than 100 aggregation-buffer fields; keep them in whole-stage codegen
+    # (Spark still falls back by itself when a method would grow too large)
+    "spark.sql.codegen.maxFields": "1000",
     # remove reliable checkpoint files once their RDDs are garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
