@@ -6,8 +6,9 @@ every row of the table would pass through one task. Instead:
 1. range-partition on (group keys, order keys, tie-breaker) and sort inside each
    partition, so a hot group or a hot value is split over many partitions;
 2. number rows inside each partition (``monotonically_increasing_id`` minus the
-   partition's base) and cut lineage with a reliable ``checkpoint`` so the numbers
-   never change on a retry;
+   partition's base) and cut lineage by writing that table to the shared checkpoint
+   folder (Parquet; or a reliable ``checkpoint``) so the numbers never change on a
+   retry;
 3. count rows per (partition, group) - at most partitions + groups rows - and turn
    those counts into offsets with a window over that small table;
 4. join the offsets back (broadcast only after checking the size).
@@ -24,9 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.config import SEED
-from cadence.session import ensure_checkpoint_dir
+from cadence.session import ensure_checkpoint_dir, scratch_path
 
 BROADCAST_ROW_LIMIT = 500_000
+MATERIALIZE = "parquet"   # or "checkpoint"
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -65,8 +67,15 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
               .sortWithinPartitions(*keys)
               .withColumn("__op_pid", pid)
               .withColumn("__op_pos", F.monotonically_increasing_id() - F.shiftleft(pid, 33)))
-    # Reliable checkpoint: the numbering above is fixed once, in shared storage.
-    staged = staged.checkpoint(eager=True)
+    # Cut lineage once, in shared storage, so the numbering can never change on a
+    # retry: a Parquet table in the checkpoint folder (columnar; consumers that read a
+    # few columns prune the rest) or a reliable RDD checkpoint.
+    if MATERIALIZE == "parquet":
+        path = scratch_path(spark, "positions")
+        staged.write.mode("errorifexists").parquet(path)
+        staged = spark.read.parquet(path)
+    else:
+        staged = staged.checkpoint(eager=True)
 
     seg = staged.groupBy("__op_pid", *group_cols).agg(F.min("__op_pos").alias("__op_first"),
                                                   F.count(F.lit(1)).alias("__op_cnt"))
@@ -90,7 +99,9 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
         small = F.broadcast(seg_r) if seg_r.count() <= BROADCAST_ROW_LIMIT else seg_r
         joined = staged.join(small, cond, "inner").drop("__op_spid", *[f"__op_g_{c}" for c in group_cols])
     else:
-        joined = staged.join(F.broadcast(seg), "__op_pid", "inner")   # one row per partition
+        # one row per partition; cached so every consumer of the ranked frame reuses
+        # the offsets instead of re-aggregating the checkpoint
+        joined = staged.join(F.broadcast(seg.cache()), "__op_pid", "inner")
     out = joined.withColumn(rank_col, F.col("__op_off") + F.col("__op_pos") - F.col("__op_first"))
     drop = ["__op_pid", "__op_pos", "__op_first", "__op_off"] + (["__op_tie"] if tie_breaker else [])
     return out.drop(*drop)
