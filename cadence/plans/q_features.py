@@ -200,7 +200,7 @@ def b18(spark, sf):
 _X_COLS = [c for c in F2_COLS + FEATS if c not in ("datetime", "count", "casual", "registered")]
 
 
-@query("b19_feature_target_split", _fsql(_X_COLS + ["count"]).replace("SELECT ", "SELECT ", 1))
+@query("b19_feature_target_split", _fsql(_X_COLS + ["count"]))
 def b19(spark, sf):
     df = fx.drop_leakage_columns(f2x(spark, sf), CFG)
     x = fx.feature_columns(df, CFG)

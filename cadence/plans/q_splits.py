@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cadence.config import Config
 from cadence.functions import features as fx
 from cadence.operators import splits as sp
-from cadence.plans.common import finish, i, r, ts
+from cadence.plans.common import finish, i, ts
 from cadence.plans.fixtures_sql import F2, F4, feature_select, with_
 from cadence.plans.q_features import CFG4, F2_COLS, FEATS, sel
 from cadence.plans.registry import query
@@ -129,5 +129,3 @@ def d06(spark, sf):
     tagged, plan = sp.ranked_with_folds(lab2(spark, sf), CFG, 0)
     return finish(sp.fold_membership(tagged, plan).select("row_id", "fold", "part"))
 
-
-del r

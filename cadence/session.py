@@ -26,14 +26,44 @@ SESSION_CONF = {
 }
 
 
-def get_session(master: str | None = None, partitions: int = 8, app: str = "cadence") -> SparkSession:
-    """Return (or create) a session with UTC time, ANSI and AQE on and the UI off."""
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for a given input size and cluster.
+
+    Scans split at 256 MB; shuffles start with enough partitions that each holds about
+    ``target_partition_mb`` of input-sized data (at least 2 per core), and AQE merges
+    small ones and splits skewed ones at run time. At 100 TB on 1000 executors x 8
+    cores: ~400,000 initial shuffle partitions of ~256 MB, coalesced as the real
+    sizes allow, so no sort or aggregation buffer has to exceed executor memory.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // (target_partition_mb * MB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_mb * MB),
+    }
+
+
+def get_session(master: str | None = None, partitions: int = 8, app: str = "cadence",
+                input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Return (or create) a session with UTC time, ANSI and AQE on and the UI off.
+
+    With ``input_bytes`` and ``total_cores`` the partition sizes come from
+    ``sizing_conf``; otherwise ``partitions`` shuffle partitions (local runs)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    if input_bytes and total_cores:
+        for k, v in sizing_conf(input_bytes, total_cores).items():
+            builder = builder.config(k, v)
+    else:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("CADENCE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
