@@ -42,7 +42,9 @@ def c02(spark, sf):
 @query("c03_chronological_order", _lab_sql() + f"SELECT {i('row_id')} AS row_id, "
        f"{i('row_number() OVER (ORDER BY datetime, row_id) - 1')} AS rank FROM lab")
 def c03(spark, sf):
-    return finish(sp.chronological_rank(lab2(spark, sf), CFG).select("row_id", "rank"))
+    # project before ranking: the position table written to shared storage holds
+    # only the columns read afterwards
+    return finish(sp.chronological_rank(lab2(spark, sf).select("datetime", "row_id"), CFG).select("row_id", "rank"))
 
 
 _F4K = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
@@ -51,7 +53,7 @@ _F4K = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
 @query("w01_chronological_position", with_(F4) + f"SELECT {sel(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_extendedprice'])}, "
        f"{i(f'row_number() OVER (ORDER BY datetime, {_F4K}) - 1')} AS rank FROM f4")
 def w01(spark, sf):
-    ranked = sp.chronological_rank(lineitem_rows(spark, sf), CFG4)
+    ranked = sp.chronological_rank(lineitem_rows(spark, sf).select(*CFG4.order_cols), CFG4)
     return finish(ranked.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "rank"))
 
 
@@ -60,7 +62,7 @@ def _folds_sql(gap, src="lab"):
 
 
 def _fold_q(spark, sf, gap, frame=None):
-    df = frame if frame is not None else lab2(spark, sf)
+    df = (frame if frame is not None else lab2(spark, sf)).select("datetime", "row_id")
     tagged, _ = sp.ranked_with_folds(df, CFG, gap)
     # 0 = the row validates no fold (keeps the column non-null)
     return finish(tagged.select("row_id", "rank", F.coalesce("val_fold", F.lit(0)).alias("val_fold"), "train_seg"))
@@ -102,7 +104,7 @@ rk AS (SELECT datetime, row_number() OVER (ORDER BY datetime, row_id) - 1 AS ran
   {ts('a.datetime')} AS first_datetime, {ts('z.datetime')} AS last_datetime
 FROM bounds b JOIN rk a ON a.rank = b.first_rank JOIN rk z ON z.rank = b.last_rank""")
 def c05(spark, sf):
-    tagged, plan = sp.ranked_with_folds(lab2(spark, sf), CFG, 0)
+    tagged, plan = sp.ranked_with_folds(lab2(spark, sf).select("datetime", "row_id"), CFG, 0)
     return finish(sp.fold_boundaries(tagged, plan, CFG))
 
 
@@ -126,6 +128,6 @@ WHERE t.fold >= fz.train_seg
 UNION ALL
 SELECT {i('row_id')}, {i('val_fold')}, 'validation' FROM fz WHERE val_fold IS NOT NULL""")
 def d06(spark, sf):
-    tagged, plan = sp.ranked_with_folds(lab2(spark, sf), CFG, 0)
+    tagged, plan = sp.ranked_with_folds(lab2(spark, sf).select("datetime", "row_id"), CFG, 0)
     return finish(sp.fold_membership(tagged, plan).select("row_id", "fold", "part"))
 
