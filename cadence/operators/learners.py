@@ -21,6 +21,10 @@ from cadence.functions.features import from_log1p
 from cadence.operators.baselines import Estimator, Fitted
 from cadence.operators.fitted import OneHotLevels, PopulationScaler
 
+# Long boosting runs (300-400 rounds) cut the lineage of their running predictions
+# every 10 rounds into the shared checkpoint folder (always set by the session).
+CHECKPOINT_EVERY = 10
+
 RAW_FEATURES = ("season", "holiday", "workingday", "weather", "temp", "atemp", "humidity", "windspeed")
 TREE_FEATURES = RAW_FEATURES + ADDED_FEATURES
 
@@ -131,7 +135,8 @@ class ForestLog(_TreeLog):
         depth = p.get("max_depth") or 12
         return RandomForestRegressor(featuresCol="features", labelCol="_label", numTrees=p.get("n_estimators", 300),
                                      maxDepth=min(int(depth), 30), minInstancesPerNode=p.get("min_samples_leaf", 2),
-                                     featureSubsetStrategy="all", maxBins=64, seed=SEED)
+                                     featureSubsetStrategy="all", maxBins=64, seed=SEED,
+                                     cacheNodeIds=True, checkpointInterval=CHECKPOINT_EVERY)
 
 
 class BoostLog(_TreeLog):
@@ -144,7 +149,8 @@ class BoostLog(_TreeLog):
         return GBTRegressor(featuresCol="features", labelCol="_label", maxIter=p.get("n_estimators", 300),
                             stepSize=p.get("learning_rate", 0.05), maxDepth=p.get("max_depth", 3),
                             subsamplingRate=p.get("subsample", 0.9), minInstancesPerNode=p.get("min_samples_leaf", 1),
-                            featureSubsetStrategy=_subset(p.get("max_features")), maxBins=64, seed=SEED)
+                            featureSubsetStrategy=_subset(p.get("max_features")), maxBins=64, seed=SEED,
+                            checkpointInterval=CHECKPOINT_EVERY)
 
 
 class ColumnBoostLog(_TreeLog):
@@ -159,7 +165,8 @@ class ColumnBoostLog(_TreeLog):
                             stepSize=p.get("learning_rate", 0.05), maxDepth=p.get("max_depth", 5),
                             subsamplingRate=p.get("subsample", 0.9),
                             minInstancesPerNode=int(p.get("min_child_weight", 1)),
-                            featureSubsetStrategy=str(p.get("colsample_bytree", 0.9)), maxBins=64, seed=SEED)
+                            featureSubsetStrategy=str(p.get("colsample_bytree", 0.9)), maxBins=64, seed=SEED,
+                            checkpointInterval=CHECKPOINT_EVERY)
 
 
 def _subset(v) -> str:
