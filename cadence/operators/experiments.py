@@ -44,9 +44,16 @@ def evaluate_both(predictor, df: DataFrame, cfg: Config, folds) -> dict:
             "holdout_r2": ho["r2"], "cv_rmsle": float(cv)}
 
 
+REPORT_DIGITS = 4   # experiment records keep 4 places (B26), half-even like the records
+
+
 def _results(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    return spark.createDataFrame([(r["arm"], r["model"], r["holdout_rmsle"], r["holdout_rmse"], r["holdout_mae"],
-                                   r["holdout_r2"], r["cv_rmsle"]) for r in rows], RESULT_SCHEMA)
+    """Experiment result rows, rounded as recorded; improvements are computed from
+    the rounded values (D5)."""
+    df = spark.createDataFrame([(r["arm"], r["model"], r["holdout_rmsle"], r["holdout_rmse"], r["holdout_mae"],
+                                 r["holdout_r2"], r["cv_rmsle"]) for r in rows], RESULT_SCHEMA)
+    metrics = ["holdout_rmsle", "holdout_rmse", "holdout_mae", "holdout_r2", "cv_rmsle"]
+    return df.withColumns({m: F.bround(m, REPORT_DIGITS) for m in metrics})
 
 
 def feature_sweep(df: DataFrame, models: Sequence[str], cfg: Config = Config(),
