@@ -192,17 +192,25 @@ def five_number_summary(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
-    """Equal-width bins between min and max, last bin closed (empty bins omitted)."""
+    """Equal-width bins between min and max, last bin closed, as NumPy bins them:
+    index from (x - lo) / (hi - lo) * bins, then corrected against the edges
+    ``lo + k * step`` (the last edge is exactly ``hi``). Empty bins are omitted."""
     v = F.col(value).cast("double")
     mm = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     lo, hi = mm["lo"], mm["hi"]
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n long")
-    width = (hi - lo) if hi > lo else 1.0
-    idx = F.least(F.floor((v - F.lit(lo)) / F.lit(width) * bins), F.lit(bins - 1)).cast("int")
-    counted = df.filter(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width) / bins).alias("lo"),
-                          (F.lit(lo) + (F.col("bin") + 1) * F.lit(width) / bins).alias("hi"), "n")
+    if hi == lo:
+        lo, hi = lo - 0.5, hi + 0.5
+    step = (hi - lo) / bins
+
+    def edge(k):
+        return F.when(k == bins, F.lit(hi)).otherwise(k.cast("double") * F.lit(step) + F.lit(lo))
+    i0 = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1))
+    i1 = F.when(v < edge(i0), i0 - 1).otherwise(i0)
+    i2 = F.when((v >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
+    counted = df.filter(v.isNotNull()).groupBy(i2.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"), "n")
 
 
 def adjusted_skew(x: Column) -> Column:

@@ -271,16 +271,26 @@ def e19b(spark, sf):
 
 # --- E20-E22 ------------------------------------------------------------------------------------
 def _hist_sql(src, expr, bins=60):
-    return (f"mm AS (SELECT min({expr}) AS lo, max({expr}) AS hi FROM {src}),\n"
-            f"hb AS (SELECT CAST(least(floor(({expr} - mm.lo) / (CASE WHEN mm.hi > mm.lo THEN mm.hi - mm.lo ELSE 1.0 END) "
-            f"* {bins}), {bins - 1}) AS INTEGER) AS bin, mm.lo, CASE WHEN mm.hi > mm.lo THEN mm.hi - mm.lo ELSE 1.0 END AS w "
-            f"FROM {src} CROSS JOIN mm WHERE {expr} IS NOT NULL)")
+    """NumPy's binning: index, then correction against lo + k * step (last edge = hi)."""
+    def edge(k):
+        return f"(CASE WHEN {k} = {bins} THEN mm.hi ELSE CAST({k} AS DOUBLE) * mm.step + mm.lo END)"
+    i0 = f"least(CAST(floor(({expr} - mm.lo) / (mm.hi - mm.lo) * {bins}) AS BIGINT), {bins - 1})"
+    return (f"mm0 AS (SELECT min({expr}) AS lo0, max({expr}) AS hi0 FROM {src}),\n"
+            f"mm AS (SELECT CASE WHEN hi0 = lo0 THEN lo0 - 0.5 ELSE lo0 END AS lo, "
+            f"CASE WHEN hi0 = lo0 THEN hi0 + 0.5 ELSE hi0 END AS hi, "
+            f"((CASE WHEN hi0 = lo0 THEN hi0 + 0.5 ELSE hi0 END) - (CASE WHEN hi0 = lo0 THEN lo0 - 0.5 ELSE lo0 END)) / {bins} AS step FROM mm0),\n"
+            f"h0 AS (SELECT {expr} AS v, {i0} AS i0 FROM {src} CROSS JOIN mm WHERE {expr} IS NOT NULL),\n"
+            f"h1 AS (SELECT v, CASE WHEN v < {edge('i0')} THEN i0 - 1 ELSE i0 END AS i1 FROM h0 CROSS JOIN mm),\n"
+            f"hb AS (SELECT CASE WHEN v >= {edge('(i1 + 1)')} AND i1 <> {bins - 1} THEN i1 + 1 ELSE i1 END AS bin "
+            f"FROM h1 CROSS JOIN mm)")
 
 
 def _hist_q(expr):
+    lo = "(CASE WHEN bin = 60 THEN mm.hi ELSE CAST(bin AS DOUBLE) * mm.step + mm.lo END)"
+    hi = "(CASE WHEN bin + 1 = 60 THEN mm.hi ELSE CAST(bin + 1 AS DOUBLE) * mm.step + mm.lo END)"
     return with_(F2, feature_select("f2"), LAB, _hist_sql("lab", expr)) + (
-        f"SELECT {i('bin')} AS bin, {r('min(lo) + bin * min(w) / 60')} AS lo, {r('min(lo) + (bin + 1) * min(w) / 60')} AS hi, "
-        f"{i('count(*)')} AS n FROM hb GROUP BY bin")
+        f"SELECT {i('bin')} AS bin, {r(f'min({lo})')} AS lo, {r(f'min({hi})')} AS hi, {i('count(*)')} AS n "
+        "FROM hb CROSS JOIN mm GROUP BY bin")
 
 
 @query("e20_histogram_count", _hist_q("count"))
