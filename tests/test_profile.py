@@ -63,3 +63,14 @@ def test_level_shares_absent_level_is_zero(spark):
     b = spark.createDataFrame([(1,), (3,)], "w int")
     got = {r["level"]: (r["train_share"], r["test_share"]) for r in pr.level_shares(a, b, ["w"]).collect()}
     assert got == {"1": (pytest.approx(2 / 3), 0.5), "2": (pytest.approx(1 / 3), 0.0), "3": (0.0, 0.5)}
+
+
+def test_binned_kde_close_to_exact(frame):
+    pdf, df = frame
+    x = pdf["z"].to_numpy()
+    got = pr.kde_binned(df, "z").toPandas().sort_values("point")
+    h = x.std(ddof=1) * len(x) ** (-1 / 5)
+    grid = got["x"].to_numpy()
+    exact = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (np.sqrt(2 * np.pi) * h * len(x))
+    assert np.max(np.abs(got["density"].to_numpy() - exact)) < 0.01 * exact.max()
+    assert np.trapezoid(got["density"], grid) == pytest.approx(1.0, abs=0.01)
