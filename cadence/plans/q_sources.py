@@ -120,8 +120,8 @@ def _docs(spark, sf):
         ho = va.evaluate_holdout(va.fit_predict(est), df, CFG)
         d = io.metrics_document(name, per_fold, ho)
         docs = d if docs is None else docs.unionByName(d)
-    path = io.write_json(docs, scratch_path(spark, "metrics-json"))
-    return spark.read.schema(io.DOC_SCHEMA).json(path)
+    path = io.write_metrics_report(docs, scratch_path(spark, "metrics-json"))
+    return io.read_metrics_report(spark, path)
 
 
 def _cv2_sql():

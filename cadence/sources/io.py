@@ -200,6 +200,33 @@ def metrics_document(model: str, per_fold: DataFrame, holdout: DataFrame) -> Dat
         .select(F.lit(model).alias("model"), "cv", "holdout")
 
 
+REPORT_DOC_SCHEMA = (f"map<string, struct<cv:struct<folds:array<{METRIC_STRUCT}>, mean:{METRIC_STRUCT}, "
+                     f"n_splits:bigint, std:{METRIC_STRUCT}>, day_of_month_holdout:struct<metrics:{METRIC_STRUCT}, "
+                     f"n_holdout:bigint, n_train:bigint>>>")
+
+
+def write_metrics_report(docs: DataFrame, path: str) -> str:
+    """The metrics file as one JSON document keyed by model name
+    (model -> {cv: {folds, mean, n_splits, std}, day_of_month_holdout: {...}}).
+    One row per model goes into the map (a handful of rows), written as text."""
+    entry = F.struct(F.col("model").alias("key"), F.struct(
+        F.struct("cv.folds", "cv.mean", "cv.n_splits", "cv.std").alias("cv"),
+        F.struct("holdout.metrics", "holdout.n_holdout", "holdout.n_train").alias("day_of_month_holdout")
+    ).alias("value"))
+    doc = docs.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry)))).alias("value"))
+    doc.write.mode("overwrite").text(path)
+    return path
+
+
+def read_metrics_report(spark: SparkSession, path: str) -> DataFrame:
+    """Read the keyed document back into one nested row per model."""
+    raw = spark.read.option("wholetext", True).text(path)
+    m = raw.select(F.explode(F.from_json("value", REPORT_DOC_SCHEMA)).alias("model", "d"))
+    return m.select("model", F.col("d.cv").alias("cv"),
+                    F.struct("d.day_of_month_holdout.metrics", "d.day_of_month_holdout.n_train",
+                             "d.day_of_month_holdout.n_holdout").alias("holdout"))
+
+
 def flatten_metrics(doc: DataFrame) -> DataFrame:
     """(model, view, stat, metric, value) from the nested document."""
     def long(view, stat, col):

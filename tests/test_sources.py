@@ -44,3 +44,22 @@ def test_upsert_replaces_by_key(spark):
     new = spark.createDataFrame([("b", 3.0), ("c", 4.0)], "model string, rmsle double")
     got = {r["model"]: r["rmsle"] for r in io.upsert(old, new).collect()}
     assert got == {"a": 1.0, "b": 3.0, "c": 4.0}
+
+
+def test_metrics_report_layout_round_trip(spark, tmp_path):
+    import glob
+    import json
+    per_fold = spark.createDataFrame([(f, 0.1 * f, 1.0, 1.0, 0.5) for f in range(1, 6)],
+                                     "fold int, rmsle double, rmse double, mae double, r2 double")
+    ho = spark.createDataFrame([(0.3, 2.0, 1.0, 0.9, 80, 20)],
+                               "rmsle double, rmse double, mae double, r2 double, n_train long, n_holdout long")
+    doc = io.metrics_document("m", per_fold, ho)
+    path = io.write_metrics_report(doc, str(tmp_path / "metrics"))
+    text = [open(f).read() for f in glob.glob(path + "/part-*") if open(f).read().strip()]
+    j = json.loads(text[0])
+    assert list(j["m"]) == ["cv", "day_of_month_holdout"] and len(j["m"]["cv"]["folds"]) == 5
+    back = io.read_metrics_report(spark, path)
+    flat = {(r["view"], r["stat"], r["metric"]): r["value"] for r in io.flatten_metrics(back).collect()}
+    assert flat[("cv", "mean", "rmsle")] == pytest.approx(0.3) and flat[("holdout", "value", "r2")] == 0.9
+    folds = {(r["fold"], r["metric"]): r["value"] for r in io.fold_records(back).collect()}
+    assert folds[(5, "rmsle")] == pytest.approx(0.5)
