@@ -186,17 +186,20 @@ def _a10_sql():
 
 @query("a10_sweep_flat", _a10_sql())
 def a10(spark, sf):
+    """CV means of both baselines at gap 0 and 48, written as the gap-diagnostic
+    document, read back and turned into (model, gap, cv_rmsle, delta)."""
     df = lab2(spark, sf).cache()
-    rows = []
+    parts = []
     for name, by_hour in (("mean_baseline", False), ("hourly_mean_baseline", True)):
-        gaps = []
         for gap in (0, 48):
-            cv = va.cv_baseline_one_pass(df, by_hour, CFG, gap=gap).agg(F.avg("rmsle")).first()[0]
-            gaps.append((gap, float(cv)))
-        rows.append((name, gaps))
-    doc = spark.createDataFrame(rows, io.SWEEP_SCHEMA)
-    path = io.write_json(doc, scratch_path(spark, "sweep-json"))
-    return finish(io.sweep_long(spark.read.schema(io.SWEEP_SCHEMA).json(path)))
+            per_fold = va.cv_baseline_one_pass(df, by_hour, CFG, gap=gap)
+            parts.append(per_fold.agg(*[F.avg(m).alias(m) for m in METRICS])
+                         .select(F.lit(name).alias("model"), F.lit(gap).alias("gap"), *METRICS))
+    per_gap = parts[0]
+    for p in parts[1:]:
+        per_gap = per_gap.unionByName(p)
+    path = io.write_gap_report(per_gap, scratch_path(spark, "gap-json"))
+    return finish(io.sweep_long(io.read_gap_report(spark, path)))
 
 
 # --- M32 train/test predictor schema equality ------------------------------------------------------

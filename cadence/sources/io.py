@@ -180,7 +180,6 @@ def load_fitted(spark: SparkSession, path: str):
 METRIC_STRUCT = "struct<rmsle:double,rmse:double,mae:double,r2:double>"
 DOC_SCHEMA = (f"model string, cv struct<n_splits:bigint, folds:array<{METRIC_STRUCT}>, mean:{METRIC_STRUCT}, "
               f"std:{METRIC_STRUCT}>, holdout struct<metrics:{METRIC_STRUCT}, n_train:bigint, n_holdout:bigint>")
-SWEEP_SCHEMA = "model string, gaps array<struct<gap:int, cv_rmsle:double>>"
 
 _M = ("rmsle", "rmse", "mae", "r2")
 
@@ -247,11 +246,43 @@ def fold_records(doc: DataFrame) -> DataFrame:
         .select("model", "fold", F.col("key").alias("metric"), "value")
 
 
-def sweep_long(doc: DataFrame) -> DataFrame:
-    """A10: a {model: {gap_k: cv_rmsle}} document to (model, gap, cv_rmsle, delta vs gap 0)."""
-    gaps = doc.select("model", F.explode("gaps").alias("g")).select("model", "g.gap", "g.cv_rmsle")
-    base = gaps.groupBy("model").agg(F.max(F.when(F.col("gap") == 0, F.col("cv_rmsle"))).alias("_b"))
-    return gaps.join(base, "model").withColumn("delta", F.col("cv_rmsle") - F.col("_b")).drop("_b")
+def write_gap_report(per_gap: DataFrame, path: str) -> str:
+    """The gap-diagnostic record as one JSON document:
+    ``{gaps: [...], models: {model: {by_gap: {"<gap>": {rmsle, rmse, mae, r2}},
+    cv_rmsle_delta_gap<g>_minus_gap0: x}}}`` from rows (model, gap, rmsle, rmse, mae, r2)
+    - one row per model and gap, a handful of rows."""
+    gaps = sorted(r[0] for r in per_gap.select("gap").distinct().collect())
+    last = gaps[-1]
+    by_model = per_gap.groupBy("model").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct(
+            F.col("gap").cast("string").alias("key"),
+            F.struct(*[F.col(m) for m in _M]).alias("value"))))).alias("by_gap"),
+        (F.max(F.when(F.col("gap") == last, F.col("rmsle"))) - F.max(F.when(F.col("gap") == 0, F.col("rmsle"))))
+        .alias(f"cv_rmsle_delta_gap{last}_minus_gap0"))
+    doc = by_model.agg(F.to_json(F.struct(
+        F.array(*[F.lit(g) for g in gaps]).alias("gaps"),
+        F.map_from_entries(F.collect_list(F.struct(
+            F.col("model").alias("key"), F.struct("by_gap", f"cv_rmsle_delta_gap{last}_minus_gap0").alias("value"))))
+        .alias("models"))).alias("value"))
+    doc.write.mode("overwrite").text(path)
+    return path
+
+
+def read_gap_report(spark: SparkSession, path: str) -> DataFrame:
+    """A10: the record back as long rows (model, gap, metric, value)."""
+    schema = f"struct<gaps:array<int>, models:map<string, struct<by_gap:map<string, {METRIC_STRUCT}>>>>"
+    raw = spark.read.option("wholetext", True).text(path).select(F.from_json("value", schema).alias("d"))
+    models = raw.select(F.explode("d.models").alias("model", "m"))
+    gaps = models.select("model", F.explode("m.by_gap").alias("gap", "g"))
+    return gaps.select("model", F.col("gap").cast("int").alias("gap"), F.explode(F.map_from_arrays(
+        F.array(*[F.lit(m) for m in _M]), F.array(*[F.col(f"g.{m}") for m in _M]))).alias("metric", "value"))
+
+
+def sweep_long(long: DataFrame, metric: str = "rmsle") -> DataFrame:
+    """A10: (model, gap, cv_<metric>, delta against gap 0) by conditional aggregation."""
+    one = long.filter(F.col("metric") == metric).select("model", "gap", F.col("value").alias(f"cv_{metric}"))
+    base = one.groupBy("model").agg(F.max(F.when(F.col("gap") == 0, F.col(f"cv_{metric}"))).alias("_b"))
+    return one.join(base, "model").withColumn("delta", F.col(f"cv_{metric}") - F.col("_b")).drop("_b")
 
 
 def write_json(df: DataFrame, path: str) -> str:

@@ -63,3 +63,14 @@ def test_metrics_report_layout_round_trip(spark, tmp_path):
     assert flat[("cv", "mean", "rmsle")] == pytest.approx(0.3) and flat[("holdout", "value", "r2")] == 0.9
     folds = {(r["fold"], r["metric"]): r["value"] for r in io.fold_records(back).collect()}
     assert folds[(5, "rmsle")] == pytest.approx(0.5)
+
+
+def test_read_gap_record_layout(spark, tmp_path):
+    doc = ('{"gaps": [0, 48], "models": {"ridge": {"by_gap": {'
+           '"0": {"rmsle": 0.8064, "rmse": 157.8152, "mae": 104.1994, "r2": 0.219}, '
+           '"48": {"rmsle": 0.9542, "rmse": 171.8167, "mae": 115.0877, "r2": 0.0337}}, '
+           '"cv_rmsle_delta_gap48_minus_gap0": 0.1478}}}')
+    (tmp_path / "gap").mkdir()
+    (tmp_path / "gap" / "record.json").write_text(doc)
+    rows = {r["gap"]: r for r in io.sweep_long(io.read_gap_report(spark, str(tmp_path / "gap"))).collect()}
+    assert rows[0]["cv_rmsle"] == 0.8064 and rows[48]["delta"] == pytest.approx(0.1478)
