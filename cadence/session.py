@@ -49,7 +49,8 @@ def sizing_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 2
 
 
 def get_session(master: str | None = None, partitions: int = 8, app: str = "cadence",
-                input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+                input_bytes: int | None = None, total_cores: int | None = None,
+                extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Return (or create) a session with UTC time, ANSI and AQE on and the UI off.
 
     With ``input_bytes`` and ``total_cores`` the partition sizes come from
@@ -64,6 +65,8 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "cade
             builder = builder.config(k, v)
     else:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     builder = builder.config("spark.driver.memory", os.environ.get("CADENCE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
