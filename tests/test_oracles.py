@@ -23,7 +23,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 @pytest.mark.parametrize("name", ["c03_chronological_order", "e19_box_count_by_weather", "m12_cv_hourly_mean",
-                                  "e14_quantile_cut"])
+                                  "e14_quantile_cut", "e11_pearson_matrix", "e09_level_shares",
+                                  "m13_holdout_hourly_mean", "e16_error_by_demand_fifth", "m27_peak_overall",
+                                  "d06_fold_membership", "e20_histogram_count"])
 def test_partition_count_invariance(spark, name):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
