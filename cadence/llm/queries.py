@@ -50,3 +50,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadence.llm import decontam
     found = decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.summary(found)
+
+
+@query("op10_simhash_near_duplicates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every whole document."""
+    from cadence.llm import simhash
+    from pyspark.sql import functions as F
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
