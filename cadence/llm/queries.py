@@ -59,3 +59,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT source, source_size, source_size * 2.0::DOUBLE AS cap,
+             [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)]::DOUBLE AS w FROM s),
+b AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS total, sum(w) OVER () AS ws,
+             coalesce(sum(cap) OVER o, 0) AS cb, coalesce(sum(w) OVER o, 0) AS wb FROM w
+      WINDOW o AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, (total - cb) / (ws - wb) * w >= cap AS capped FROM b),
+l AS (SELECT *, (total - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())
+                / nullif(ws - sum(CASE WHEN capped THEN w ELSE 0 END) OVER (), 0) AS level FROM c),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE least(cap, level * w) END AS target,
+             CAST(CAST(('0x' || substr(md5('42:' || coalesce('s:' || source, 'null')), 1, 5)) AS BIGINT) AS DOUBLE) / 1048576 AS u FROM l),
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.u, coalesce(t.target / nullif(t.source_size, 0), 0) AS e,
+             row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS LAST) AS i
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, size * least(CAST(floor(e * i + u) - floor(e * (i - 1) + u) AS BIGINT), 2) AS taken FROM r
+"""
+
+
+@query("op7_source_mixing", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, by systematic sampling."""
+    from cadence.llm import mixing
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query("op3_warc_round_trip", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes a record per page, reads the archives back and reports every record."""
+    from cadence.llm import warc
+    from pyspark.sql import functions as F
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    manifest = warc.write_archives(pages, warc.shared_folder(spark))
+    got = warc.read_archives(manifest)
+    return got.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast(kind).alias("refers_to"))
