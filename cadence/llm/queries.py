@@ -109,3 +109,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = warc.read_archives(manifest)
     return got.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document; learnt on documents whose crc32(doc_id) mod 3
+    is not 1."""
+    from cadence.llm import langid
+    from cadence.llm.common import id_hash
+    from pyspark.sql import functions as F
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_hash(F.col("doc_id")) % 3 == 1
+    model = langid.learn(docs, ~held_out)
+    got = langid.predict(docs.select("doc_id", "text"), model)
+    return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
