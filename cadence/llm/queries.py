@@ -123,3 +123,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.learn(docs, ~held_out)
     got = langid.predict(docs.select("doc_id", "text"), model)
     return got.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document; learnt on labels whose crc32(doc_id) mod 5 is
+    not 0."""
+    from cadence.llm import toxicity
+    from cadence.llm.common import id_hash
+    from pyspark.sql import functions as F
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_hash(F.col("doc_id")) % 5 == 0
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    got = toxicity.score(docs, model)
+    return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
