@@ -137,3 +137,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
     got = toxicity.score(docs, model)
     return got.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole document; learnt on labels whose crc32(doc_id) mod 5 is
+    not 0."""
+    from cadence.llm import quality
+    from cadence.llm.common import id_hash
+    from pyspark.sql import functions as F
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    held_out = id_hash(F.col("doc_id")) % 5 == 0
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), ~held_out, meta=["n_chars"])
+    got = quality.score(docs, model)
+    return got.select("doc_id", held_out.alias("held_out"), "score",
+                      (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
