@@ -152,3 +152,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.score(docs, model)
     return got.select("doc_id", held_out.alias("held_out"), "score",
                       (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op1_order_minhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of every whole document and of its edited text."""
+    from cadence.llm import omh
+    return omh.fingerprints(table(spark, sf_dir, "documents"))
