@@ -159,3 +159,43 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash fingerprints of every whole document and of its edited text."""
     from cadence.llm import omh
     return omh.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and unigram tokens of every whole document."""
+    from cadence.llm import tokens
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Stand-in messages: an assistant turn becomes a call, the turn after it a tool
+    result; arguments and dependencies are made of the row's own columns."""
+    from cadence.llm.chat import CALLS
+    from pyspark.sql import functions as F
+    name = F.element_at(F.array(F.lit("search"), F.lit("translate"), F.lit("lookup")), F.length("text") % 3 + 1)
+    call_id = F.concat(F.lit("call-"), F.col("turn").cast("string"))
+    arguments = F.to_json(F.struct(F.substring("text", 1, 40).alias("query"), (F.length("text") % 120).alias("limit")))
+    deps = F.when(F.col("turn") > 1, F.array(F.concat(F.lit("call-"), F.floor(F.col("turn") / 2).cast("string")))).otherwise(
+        F.array().cast("array<string>"))
+    call = F.struct(call_id.alias("id"), name.alias("name"), arguments.alias("arguments"), deps.alias("depends_on"))
+    is_call = F.col("role") == "assistant"
+    return conversations.select(
+        "conv_id", "turn", F.when(is_call, F.col("role")).otherwise("tool").alias("role"), F.col("text").alias("content"),
+        F.when(is_call, F.array(call)).cast(CALLS).alias("calls"),
+        F.when(~is_call, F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string"))).alias("tool_call_id"))
+
+
+TOOLS = [
+    ("search", '{"type":"object","properties":{"query":{"type":"string","minLength":1},"limit":{"type":"integer","minimum":1,"maximum":100}},'
+               '"required":["query","limit"],"additionalProperties":false}'),
+    ("translate", '{"type":"object","properties":{"query":{"type":"string","maxLength":39},"limit":{"type":"integer"}},"required":["query"]}'),
+]
+
+
+@query("op2_tool_call_linking")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls and results of all conversations: linked, ordered, validated, serialised."""
+    from cadence.llm import chat
+    messages = tool_messages(table(spark, sf_dir, "conversations"))
+    return chat.link(messages, spark.createDataFrame(TOOLS, "name string, schema string"))
