@@ -23,6 +23,7 @@ ignored.
 from __future__ import annotations
 
 import math
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from cadence.llm.common import map_texts, prepare
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MAX_NODES = 300_000
+MAX_NODES = 1_000_000
 #: What a fallback byte scores below the vocabulary's rarest piece.
 BYTE_PENALTY = 10.0
 
@@ -55,42 +56,55 @@ class TrieCounts(dict):
 
     def __init__(self, scores: dict[str, float], mark: str = MARK, max_nodes: int = MAX_NODES):
         super().__init__()
-        self.scores, self.mark, self.max_nodes = scores, mark, max_nodes
-        self.longest = max(map(len, scores), default=1)
+        self.mark, self.max_nodes = mark, max_nodes
         self.byte = min(scores.values(), default=0.0) - BYTE_PENALTY
+        # every ending of a piece -> the piece's score, or None if it is an ending only:
+        # the pieces that end at a character are found by going back until none ends so
+        self.endings: dict[str, float | None] = {}
+        for piece in scores:
+            for i in range(len(piece)):
+                self.endings[piece[i:]] = None
+        self.endings.update(scores)
         self.start()
 
     def start(self) -> None:
         self.clear()
-        self.child: dict[tuple[int, str], int] = {}
-        self.score, self.count = [0.0], [0]
+        self.child: dict[int, int] = {}
+        self.score, self.count = array("d", [0.0]), array("i", [0])
 
     def __missing__(self, token: bytes) -> int:
         if len(self.score) > self.max_nodes:
             self.start()
         word = self.mark + token.decode("utf-8", "replace")
-        path, scores, score, count = [0], self.scores, self.score, self.count
+        node, path = 0, [0]
+        child, score, count, endings = self.child, self.score, self.count, self.endings.get
         for end, ch in enumerate(word, 1):
-            key = (path[-1], ch)
-            node = self.child.get(key)
+            key = node << 21 | ord(ch)
+            above, node = node, child.get(key)
             if node is None:
                 best, pieces = -math.inf, 0
-                if ch not in scores:
-                    n = len(ch.encode("utf-8", "replace"))
-                    best, pieces = score[path[-1]] + n * self.byte, count[path[-1]] + n
-                for begin in range(max(0, end - self.longest), end):
-                    s = scores.get(word[begin:end])
+                begin = end - 1
+                while begin >= 0:
+                    s = endings(word[begin:end], self)
+                    if s is self:
+                        break
                     if s is not None:
                         at = path[begin]
                         total, k = score[at] + s, count[at] + 1
                         if total > best or total == best and k < pieces:
                             best, pieces = total, k
-                node = self.child[key] = len(score)
+                    begin -= 1
+                if endings(ch) is None:  # no piece of its own: its bytes
+                    n = len(ch.encode("utf-8", "replace"))
+                    total, k = score[above] + n * self.byte, count[above] + n
+                    if total > best or total == best and k < pieces:
+                        best, pieces = total, k
+                node = child[key] = len(score)
                 score.append(best)
                 count.append(pieces)
             path.append(node)
-        self[token] = count[path[-1]]
-        return self[token]
+        self[token] = count[node]
+        return count[node]
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
