@@ -169,7 +169,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     that id one stays; rows without id all stay."""
     marked = written(near_duplicates(docs, id_col, text_col, **options).select(id_col, "component_id"), "components")
     gone = marked.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+    # the list of ids grows with the documents: never broadcast, the same plan at any size
+    kept = docs.join(gone.hint("merge"), docs[id_col] == F.col("__gone"), "left_anti")
     again = marked.filter(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("__again")).count().filter(
         "count > 1").select("__again")
     if again.isEmpty():
