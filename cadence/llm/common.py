@@ -161,7 +161,8 @@ def bucket_of(value: Column, bounds: Sequence[float]) -> Column:
         return F.when((to <= n) & (F.get(cut, F.least(to, F.lit(n)) - 1) <= value), to).otherwise(at)
 
     found = F.aggregate(F.array(*[F.lit(s) for s in reversed(steps)]), F.lit(0), step)
-    return F.when(value.isNull(), F.lit(n + 1)).otherwise(found)
+    # never null, or a join on it would filter by the whole expression once more
+    return F.when(value.isNull(), F.lit(n + 1)).otherwise(F.coalesce(found, F.lit(0)))
 
 
 def uniform(*cols: Column) -> Column:
