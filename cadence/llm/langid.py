@@ -12,7 +12,7 @@ Prototypes are learnt on a bounded sample of labelled rows (``per_lang`` of each
 language, chosen by a hash of the id over all rows); their sums are taken in whole
 numbers, so reruns agree. Learning and prediction are maps over the documents; only
 one vector per language and task is shuffled, and one per language is sent to the tasks
-(dims * 4 bytes per language).
+(dims * 8 bytes per language).
 
 A text that is null or has no letter gets ``und`` and score 0; so does every text if no
 language could be learnt. Long texts are taken whole. Repeated rows get equal results;
@@ -179,11 +179,11 @@ def learn(docs: DataFrame, learn_on: Column | None = None, id_col: str = "doc_id
     got = total.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v")).collect()
     langs = sorted(r["lang"] for r in got)
     if not langs:
-        return [], np.zeros((0, dims), np.float32)
+        return [], np.zeros((0, dims))
     by = {r["lang"]: np.array(r["v"], np.float64) for r in got}
     protos = np.stack([by[x] for x in langs])
     norm = np.linalg.norm(protos, axis=1, keepdims=True)
-    return langs, (protos / np.where(norm > 0, norm, 1)).astype(np.float32)
+    return langs, protos / np.where(norm > 0, norm, 1)
 
 
 def predictor(model: tuple[list[str], np.ndarray], dims: int = DIMS, gram: int = GRAM):
@@ -200,10 +200,12 @@ def predictor(model: tuple[list[str], np.ndarray], dims: int = DIMS, gram: int =
                     names += [UND] * len(n)
                     scores += [0.0] * len(n)
                     continue
+                vec = vec.astype(np.float64)
                 norm = np.linalg.norm(vec, axis=1)
-                cos = (vec @ protos.T) / np.where(norm > 0, norm, 1)[:, None]
+                # rounded, so that a score doesn't depend on the texts that share its batch
+                cos = np.round((vec @ protos.T) / np.where(norm > 0, norm, 1)[:, None], 6)
                 best = cos.argmax(axis=1)
-                top = np.clip(cos[np.arange(len(n)), best], 0, 1).astype(np.float64)
+                top = np.clip(cos[np.arange(len(n)), best], 0, 1)
                 names += [langs[b] if k else UND for b, k in zip(best.tolist(), n.tolist())]
                 scores += np.where(n > 0, top, 0.0).tolist()
             return names, scores

@@ -28,6 +28,11 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
+def scores_of(z: np.ndarray) -> np.ndarray:
+    """Probabilities, rounded so that a score doesn't depend on its batch."""
+    return np.round(sigmoid(z), 6)
+
+
 def prior_shift(sizes: dict[int, int], sampled: dict[int, int]) -> float:
     """What a bias learnt on the sample lacks to fit the classes' shares of all rows."""
     if not all(sizes.get(c) and sampled.get(c) for c in (0, 1)):

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import SPACE, Words, byte_table, chunks, prepare, text_buffer
-from cadence.llm.linear import labelled, prior_shift, row_sums, sigmoid
+from cadence.llm.linear import labelled, prior_shift, row_sums, scores_of, sigmoid
 
 BITS = 15
 BINS = 16
@@ -263,7 +263,7 @@ def scorer(sc, model: Model):
 
         def run(data: np.ndarray, off: np.ndarray, meta: np.ndarray) -> np.ndarray:
             first, feature, value = _rows(data, off, meta, m.bits)
-            return sigmoid(machine(first, feature, value, m.bias, m.weights, m.factors))
+            return scores_of(machine(first, feature, value, m.bias, m.weights, m.factors))
 
         return run
 

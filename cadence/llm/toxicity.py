@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cadence.llm.common import chunks, map_texts, prepare, text_buffer
 from cadence.llm.letters import letter_sequence
-from cadence.llm.linear import labelled, prior_shift, row_sums, sigmoid
+from cadence.llm.linear import labelled, prior_shift, row_sums, scores_of, sigmoid
 
 GRAMS = (4, 5)
 BITS = 18
@@ -174,7 +174,7 @@ def scorer(model: Model):
 
         def score(data: np.ndarray, off: np.ndarray):
             doc, f = present(data, off, model.grams, model.bits, kept)
-            return [sigmoid(np.bincount(doc, model.weights[f], len(off) - 1) + model.bias).tolist()]
+            return [scores_of(np.bincount(doc, model.weights[f], len(off) - 1) + model.bias).tolist()]
 
         return score
 
