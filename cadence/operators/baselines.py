@@ -53,9 +53,9 @@ class _HourlyFitted(Fitted):
 
     def predict(self, df, out="pred"):
         if "hour" not in df.columns:
-            raise ValueError("HourlyMeanBaseline expects an 'hour' column. Run build_features first.")
+            raise ValueError("no column 'hour': the hourly mean needs the calendar features")
         means = self.hour_means_.withColumnRenamed("hour", "_h")
-        joined = join_small(df.withColumn("_h", F.col("hour").cast("int")), means, "_h", "left")
+        joined = join_small(df.withColumn("_h", F.col("hour").cast("int")), means, "_h", "left", rows_bound=24)
         return joined.withColumn(out, F.coalesce(F.col("_hour_mean"), F.lit(self.global_mean_))).drop(
             "_h", "_hour_mean")
 
@@ -67,7 +67,7 @@ class HourlyMeanBaseline(Estimator):
 
     def fit(self, df, label):
         if "hour" not in df.columns:
-            raise ValueError("HourlyMeanBaseline expects an 'hour' column. Run build_features first.")
+            raise ValueError("no column 'hour': the hourly mean needs the calendar features")
         y = F.col(label).cast("double")
         # One scan: per-hour sums and counts (<= 24 rows); the global mean comes
         # from that small table, not from a second pass over the rows.

@@ -25,7 +25,7 @@ class _HourlyLogFitted(Fitted):
         self.global_mean_ = global_mean
 
     def predict_log(self, df: DataFrame) -> DataFrame:
-        j = join_small(df.withColumn("_h", F.col("hour").cast("int")), self.means_, "_h", "left")
+        j = join_small(df.withColumn("_h", F.col("hour").cast("int")), self.means_, "_h", "left", rows_bound=24)
         return j.withColumn("log_pred", F.coalesce(F.col("_lm"), F.lit(self.global_mean_))).drop("_h", "_lm")
 
     def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:

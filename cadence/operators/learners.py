@@ -16,7 +16,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.config import (ADDED_FEATURES, LINEAR_NUMERIC, LINEAR_ONE_HOT, LINEAR_PASSTHROUGH, SEED)
+from cadence.config import (MODEL_NAMES, ADDED_FEATURES, LINEAR_NUMERIC, LINEAR_ONE_HOT, LINEAR_PASSTHROUGH, SEED)
 from cadence.functions.features import from_log1p
 from cadence.operators.baselines import Estimator, Fitted
 from cadence.operators.fitted import OneHotLevels, PopulationScaler
@@ -111,8 +111,19 @@ def _tree_prepare(features: Sequence[str]):
     return prep
 
 
+#: Spark's trees are at most this deep; an unlimited depth means this.
+DEEPEST = 30
+
+
 class _TreeLog(Estimator):
+    honoured: tuple[str, ...] = ()
+
     def __init__(self, features: Sequence[str] = TREE_FEATURES, **params):
+        unknown = sorted(set(params) - set(self.honoured))
+        if unknown:
+            raise ValueError(f"{self.name} has no effect for {unknown}; it takes {sorted(self.honoured)}")
+        if (params.get("max_depth") or 0) > DEEPEST:
+            raise ValueError(f"max_depth {params['max_depth']} is beyond the {DEEPEST} levels of a Spark tree")
         self.features = list(features)
         self.params = params
 
@@ -129,12 +140,13 @@ class ForestLog(_TreeLog):
     """M9: random forest, every feature considered at each split."""
 
     name = "random_forest"
+    honoured = ("n_estimators", "max_depth", "min_samples_leaf")
 
     def _learner(self):
         p = self.params
-        depth = p.get("max_depth") or 12
+        depth = p.get("max_depth") or DEEPEST
         return RandomForestRegressor(featuresCol="features", labelCol="_label", numTrees=p.get("n_estimators", 300),
-                                     maxDepth=min(int(depth), 30), minInstancesPerNode=p.get("min_samples_leaf", 2),
+                                     maxDepth=int(depth), minInstancesPerNode=p.get("min_samples_leaf", 2),
                                      featureSubsetStrategy="all", maxBins=64, seed=SEED,
                                      cacheNodeIds=True, checkpointInterval=CHECKPOINT_EVERY)
 
@@ -143,6 +155,7 @@ class BoostLog(_TreeLog):
     """Gradient-boosted trees with row subsampling."""
 
     name = "gradient_boosting"
+    honoured = ("n_estimators", "learning_rate", "max_depth", "subsample", "min_samples_leaf", "max_features")
 
     def _learner(self):
         p = self.params
@@ -158,6 +171,7 @@ class ColumnBoostLog(_TreeLog):
     per node in Spark, not per tree; there is no L2 leaf penalty)."""
 
     name = "xgboost"
+    honoured = ("n_estimators", "learning_rate", "max_depth", "subsample", "colsample_bytree", "min_child_weight")
 
     def _learner(self):
         p = self.params
@@ -194,5 +208,4 @@ def get_model(name: str, params: dict | None = None, extra_numeric=(), extra_pas
         return BoostLog(feats, **p)
     if name == "xgboost":
         return ColumnBoostLog(feats, **p)
-    raise ValueError(f"Unknown model name: {name!r}. Available: mean_baseline, hourly_mean_baseline, ridge, "
-                     "random_forest, gradient_boosting, xgboost.")
+    raise ValueError(f"no model is called {name!r}; there are {', '.join(MODEL_NAMES)}")

@@ -11,10 +11,10 @@ every row of the table would pass through one task. Instead:
    retry;
 3. count rows per (partition, group) - at most partitions + groups rows - and turn
    those counts into offsets with a window over that small table;
-4. join the offsets back (broadcast only after checking the size).
+4. join the offsets back.
 
-Quantiles use the same positions: only the one or two rows at ``p * (n - 1)`` per
-probability survive the filter, so no value map or group is ever held whole.
+Quantiles need no positions of rows: counts per value range narrow the column to the
+ranges that hold a wanted position, and only their distinct values are put in order.
 """
 
 from __future__ import annotations
@@ -24,24 +24,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.config import SEED
 from cadence.session import ensure_checkpoint_dir, scratch_path
 
-BROADCAST_ROW_LIMIT = 500_000
 MATERIALIZE = "parquet"   # or "checkpoint"
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Join ``small`` to ``big``, broadcasting it only after checking its row count.
-
-    Beyond ``max_rows`` the join falls back to a shuffle join planned by Spark (AQE
-    may still convert it at run time when the real size is small).
-    """
-    small = small.cache()
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", rows_bound: int | None = None) -> DataFrame:
+    """Join ``small`` to ``big``. With ``rows_bound``, a proven bound on its rows (24
+    hours, folds x 24), it is broadcast; else Spark decides by its size at run time."""
+    return big.join(F.broadcast(small) if rows_bound else small, on, how)
 
 
 def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -51,8 +42,8 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
     order within its ``group_cols`` group (the global position when there are none).
 
     ``order_cols`` should form a total order (end with a row key); otherwise pass
-    ``tie_breaker=True`` to split runs of equal keys over partitions with a seeded
-    random column (positions inside a run of ties are then arbitrary).
+    ``tie_breaker=True`` to order runs of equal keys by a hash of the whole row, which
+    depends on the row alone (rows equal in every column are interchangeable).
     ``size_col`` optionally receives the group's row count.
     """
     spark = df.sparkSession
@@ -60,7 +51,7 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     if tie_breaker:
-        df = df.withColumn("__op_tie", F.rand(SEED))
+        df = df.withColumn("__op_tie", F.xxhash64(*df.columns))
         keys = keys + ["__op_tie"]
     pid = F.spark_partition_id().cast("long")
     staged = (df.repartitionByRange(n_parts, *keys)
@@ -92,44 +83,79 @@ def ordered_positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequ
         # Null-safe equality so NULL group keys keep their rows.
         seg_r = seg.select(*[F.col(c).alias(f"__op_g_{c}") for c in group_cols], "__op_pid", "__op_first", "__op_off",
                            *([size_col] if size_col else []))
-        seg_r = seg_r.withColumnRenamed("__op_pid", "__op_spid").cache()
+        seg_r = seg_r.withColumnRenamed("__op_pid", "__op_spid")
         cond = staged["__op_pid"] == seg_r["__op_spid"]
         for c in group_cols:
             cond = cond & staged[c].eqNullSafe(seg_r[f"__op_g_{c}"])
-        small = F.broadcast(seg_r) if seg_r.count() <= BROADCAST_ROW_LIMIT else seg_r
-        joined = staged.join(small, cond, "inner").drop("__op_spid", *[f"__op_g_{c}" for c in group_cols])
+        joined = staged.join(seg_r, cond, "inner").drop("__op_spid", *[f"__op_g_{c}" for c in group_cols])
     else:
-        # one row per partition; cached so every consumer of the ranked frame reuses
-        # the offsets instead of re-aggregating the checkpoint
-        joined = staged.join(F.broadcast(seg.cache()), "__op_pid", "inner")
+        # one row per partition; Spark chooses the join by its size
+        joined = staged.join(seg, "__op_pid", "inner")
     out = joined.withColumn(rank_col, F.col("__op_off") + F.col("__op_pos") - F.col("__op_first"))
     drop = ["__op_pid", "__op_pos", "__op_first", "__op_off"] + (["__op_tie"] if tie_breaker else [])
     return out.drop(*drop)
 
 
+#: Cut points that narrow a column before its exact quantiles are looked up.
+NARROW = 256
+
+
+def _bucket(x: Column, cuts: Sequence[float]) -> Column:
+    """Number of ``cuts`` at or below ``x``, by a binary search as a fold."""
+    n = len(cuts)
+    if not n:
+        return F.lit(0)
+    widths = [1 << e for e in range(n.bit_length() - 1, -1, -1)]
+    edges = F.array(*[F.lit(float(c)) for c in cuts])
+
+    def narrow(at: Column, w: Column) -> Column:
+        return F.when((at + w <= n) & (F.get(edges, F.least(at + w, F.lit(n)) - 1) <= x), at + w).otherwise(at)
+    return F.coalesce(F.aggregate(F.array(*[F.lit(w) for w in widths]), F.lit(0), narrow), F.lit(0))
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Quantiles with linear interpolation at ``p * (n - 1)`` (pandas/NumPy "linear",
-    DuckDB ``quantile_cont``), per group; NULL values are ignored.
+    DuckDB ``quantile_cont``), per group; NULL and NaN values are ignored.
 
-    Returns one row per (group, probability): ``group_cols..., p, q``.
+    Equal values are counted before anything is shuffled. Counts per (group, value
+    range) over at most ``NARROW`` ranges say which ranges hold a wanted position; only
+    the distinct values of those ranges are put in order. Nothing is sorted whole or
+    written. Returns one row per (group, probability): ``group_cols..., p, q``.
     """
-    base = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = ordered_positions(base, ["_v"], group_cols, rank_col="_r", size_col="_n",
-                               num_partitions=num_partitions, tie_breaker=True)
-    h = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    needed = F.array(*[F.floor(x) for x in h], *[F.ceil(x) for x in h])
-    hits = ranked.filter(F.array_contains(needed, F.col("_r")))
-    per_p = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), x.alias("h"))
-                                for i, (p, x) in enumerate(zip(probs, h))]))
-    hits = hits.select(*group_cols, "_v", "_r", per_p.alias("_q")).select(
-        *group_cols, "_v", "_r", "_q.i", "_q.p", "_q.h")
-    hits = hits.filter((F.col("_r") == F.floor("h")) | (F.col("_r") == F.ceil("h")))
-    agg = hits.groupBy(*group_cols, "i", "p", "h").agg(
-        F.max(F.when(F.col("_r") == F.floor("h"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_r") == F.ceil("h"), F.col("_v"))).alias("_hi"))
+    v = F.col(value_col).cast("double")
+    groups = [f"__g{k}" for k in range(len(group_cols))]
+    base = df.select(*[F.col(c).alias(g) for c, g in zip(group_cols, groups)], v.alias("_v")).filter(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    cuts = base.agg(F.percentile_approx("_v", [i / NARROW for i in range(1, NARROW)], 20 * NARROW).alias("c")).first()["c"]
+    counts = base.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", _bucket(F.col("_v"), sorted(set(cuts or []))))
+    whole = Window.partitionBy(*groups)
+    cells = counts.groupBy(*groups, "_b").agg(F.sum("_c").alias("_n"))
+    cells = (cells.withColumn("_total", F.sum("_n").over(whole))
+             .withColumn("_start", F.sum("_n").over(whole.orderBy("_b")) - F.col("_n")))
+    wanted = cells.select(*groups, "_b", "_start", "_n", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_total") - 1)).alias("h"))
+        for i, p in enumerate(probs)])).alias("_q")).select(*groups, "_b", "_start", "_n", "_q.*")
+
+    def holds(place: Column, lo: Column, n: Column) -> Column:
+        return (place >= lo) & (place < lo + n)
+    wanted = wanted.filter(holds(F.floor("h"), F.col("_start"), F.col("_n")) | holds(F.ceil("h"), F.col("_start"), F.col("_n"))).drop("_n")
+
+    def matched(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        other = right.select(*[F.col(c).alias(f"{c}_r") for c in (*groups, "_b")], *[c for c in right.columns if c not in (*groups, "_b")])
+        cond = F.col("_b") == F.col("_b_r")
+        for g in groups:
+            cond = cond & F.col(g).eqNullSafe(F.col(f"{g}_r"))
+        joined = left.join(other, cond, how)
+        return joined if how == "left_semi" else joined.drop(*[f"{c}_r" for c in (*groups, "_b")])
+    inside = matched(counts, wanted, "left_semi")
+    inside = inside.withColumn("_end", F.sum("_c").over(Window.partitionBy(*groups, "_b").orderBy("_v")))
+    hits = matched(inside, wanted, "inner").withColumn("_first", F.col("_start") + F.col("_end") - F.col("_c"))
+    agg = hits.groupBy(*groups, "i", "p", "h").agg(
+        F.max(F.when(holds(F.floor("h"), F.col("_first"), F.col("_c")), F.col("_v"))).alias("_lo"),
+        F.max(F.when(holds(F.ceil("h"), F.col("_first"), F.col("_c")), F.col("_v"))).alias("_hi"))
     q = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("h") - F.floor("h"))
-    return agg.select(*group_cols, "p", q.alias("q"))
+    return agg.select(*[F.col(g).alias(c) for c, g in zip(group_cols, groups)], "p", q.alias("q"))
 
 
 def quantile_edges(df: DataFrame, value_col: str, n_bins: int) -> list[float]:

@@ -194,8 +194,9 @@ def five_number_summary(df: DataFrame, group: str, value: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
     """Equal-width bins between min and max, last bin closed, as NumPy bins them:
     index from (x - lo) / (hi - lo) * bins, then corrected against the edges
-    ``lo + k * step`` (the last edge is exactly ``hi``). Empty bins are omitted."""
-    v = F.col(value).cast("double")
+    ``lo + k * step`` (the last edge is exactly ``hi``). Every bin has a row, empty ones
+    with 0; NULL and NaN are ignored."""
+    v = F.nullif(F.col(value).cast("double"), F.lit(float("nan")))
     mm = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     lo, hi = mm["lo"], mm["hi"]
     if lo is None:
@@ -210,7 +211,9 @@ def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
     i1 = F.when(v < edge(i0), i0 - 1).otherwise(i0)
     i2 = F.when((v >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
     counted = df.filter(v.isNotNull()).groupBy(i2.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"), "n")
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    full = every.join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return full.select("bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"), "n")
 
 
 def adjusted_skew(x: Column) -> Column:

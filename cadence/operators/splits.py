@@ -55,12 +55,12 @@ class Fold:
 def fold_plan(n: int, n_splits: int, gap: int = 0) -> list[Fold]:
     """The expanding-window folds for ``n`` rows."""
     if n_splits < 2:
-        raise ValueError("n_splits must be at least 2")
+        raise ValueError(f"{n_splits} folds are too few; two are the least")
     if n_splits + 1 > n:
-        raise ValueError(f"Cannot have number of folds={n_splits + 1} greater than the number of samples={n}.")
+        raise ValueError(f"{n} rows can't be cut into {n_splits + 1} parts")
     size = n // (n_splits + 1)
     if n - gap - n_splits * size <= 0:
-        raise ValueError(f"Too many splits={n_splits} for number of samples={n} with test_size={size} and gap={gap}.")
+        raise ValueError(f"a gap of {gap} leaves the first of {n_splits} folds of {size} rows no training rows")
     folds = []
     for i in range(n_splits):
         start = n - (n_splits - i) * size

@@ -78,7 +78,9 @@ def cv_baseline_one_pass(df: DataFrame, by_hour: bool, cfg: Config = Config(),
     sums their predictions; the score is always against ``cfg.target``.
     """
     labels = list(labels or [cfg.target])
-    tagged, plan = ranked_with_folds(df, cfg, gap)
+    # only what the pass reads is shuffled and written for the ranks
+    read = dict.fromkeys([*cfg.order_cols, cfg.target, *labels, *(["hour"] if by_hour else [])])
+    tagged, plan = ranked_with_folds(df.select(*read), cfg, gap)
     k = len(plan)
     hour_col = [F.col("hour").cast("int").alias("hour")] if by_hour else []
     sums = [F.sum(F.col(lb).cast("double")).alias(f"s{j}") for j, lb in enumerate(labels)]
@@ -92,8 +94,8 @@ def cv_baseline_one_pass(df: DataFrame, by_hour: bool, cfg: Config = Config(),
     val = tagged.filter(F.col("val_fold").isNotNull()).withColumnRenamed("val_fold", "fold")
     if by_hour:
         hourly = per_fold.groupBy("fold", "hour").agg(*means("_h"))
-        val = join_small(val.withColumn("hour", F.col("hour").cast("int")), hourly, ["fold", "hour"], "left")
-    scored = join_small(val, glob, "fold", "left")
+        val = join_small(val.withColumn("hour", F.col("hour").cast("int")), hourly, ["fold", "hour"], "left", rows_bound=24 * k)
+    scored = join_small(val, glob, "fold", "left", rows_bound=k)
     parts = [F.coalesce(F.col(f"_h{j}"), F.col(f"_g{j}")) if by_hour else F.col(f"_g{j}") for j in range(len(labels))]
     pred = parts[0]
     for p in parts[1:]:

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadence.config import LIGHT_PARAMS, SEARCH_SPACE, Config
+from cadence.config import SEARCH_SPACE, Config
 from cadence.functions import features as fx
 from cadence.operators import baselines as bl
 from cadence.operators import correct as co
@@ -48,31 +48,30 @@ def m26(spark, sf):
     return finish(xp.env_experiment(_cand(spark, sf), ["ridge"], CFG))
 
 
-SEARCH_DRAWS_LIGHT = 3
-ROUNDS_SCALE_LIGHT = 0.04   # 200/300/500 rounds -> 8/12/20
+#: Draws of the registered search queries, whole published settings each. The published
+#: search has ``config.SEARCH_DRAWS`` (30 and 40), hours of sequential boosting rounds.
+QUERY_DRAWS = 2
 
 
 @query("m22_random_search")
 def m22(spark, sf):
     """Seeded draws from the published gradient-boosting space, scored by CV RMSLE on
-    days 1-15 only (light profile: fewer draws, rounds scaled down)."""
-    return finish(xp.random_search(lab2(spark, sf), "gradient_boosting", SEARCH_SPACE["gradient_boosting"],
-                                   SEARCH_DRAWS_LIGHT, CFG, ROUNDS_SCALE_LIGHT))
+    days 1-15 only."""
+    return finish(xp.random_search(lab2(spark, sf), "gradient_boosting", SEARCH_SPACE["gradient_boosting"], QUERY_DRAWS, CFG))
 
 
 @query("m23_tuned_vs_baseline")
 def m23(spark, sf):
     df = lab2(spark, sf)
-    search = xp.random_search(df, "gradient_boosting", SEARCH_SPACE["gradient_boosting"], SEARCH_DRAWS_LIGHT, CFG,
-                              ROUNDS_SCALE_LIGHT)
-    return finish(xp.tuned_against_baseline(df, "gradient_boosting", search, LIGHT_PARAMS["gradient_boosting"], CFG))
+    search = xp.random_search(df, "gradient_boosting", SEARCH_SPACE["gradient_boosting"], QUERY_DRAWS, CFG)
+    return finish(xp.tuned_against_baseline(df, "gradient_boosting", search, CFG.params["gradient_boosting"], CFG))
 
 
 @query("m24_gap_diagnostic_ridge")
 def m24r(spark, sf):
     """Gap 0 against gap 48 for the ridge (the learner half of M24)."""
     df = lab2(spark, sf).cache()
-    pred = va.fit_predict(get_model("ridge", LIGHT_PARAMS["ridge"]))
+    pred = va.fit_predict(get_model("ridge", CFG.params["ridge"]))
     a = va.cv_report(pred, df, CFG, gap=0).agg(F.avg("rmsle")).first()[0]
     b = va.cv_report(pred, df, CFG, gap=48).agg(F.avg("rmsle")).first()[0]
     return finish(spark.createDataFrame([("ridge", a, b, b - a)],

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadence.config import LIGHT_PARAMS, Config
+from cadence.config import Config
 from cadence.functions import features as fx
 from cadence.operators import baselines as bl
 from cadence.operators import explain as ex
@@ -35,6 +35,24 @@ def _holdout(spark, sf, est):
     return va.holdout_predictions(va.fit_predict(est), lab2(spark, sf), CFG)
 
 
+_FITTED: dict = {}
+
+
+def _fitted_tree(spark, sf, name):
+    """The tree model of that name at its published settings, fitted on days 1-15 once
+    per session and input: the holdout reports and the importances read the same fit."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        train = lab2(spark, sf).filter(F.dayofmonth("datetime") < 16)
+        _FITTED[key] = get_model(name, CFG.params[name]).fit(train, "count")
+    return _FITTED[key]
+
+
+def _eval_tree(spark, sf, name):
+    fitted = _fitted_tree(spark, sf, name)
+    return finish(va.evaluate_holdout(lambda train, val: fitted.predict(val), lab2(spark, sf), CFG))
+
+
 def _eval(spark, sf, est):
     return finish(va.evaluate_holdout(va.fit_predict(est), lab2(spark, sf), CFG))
 
@@ -58,19 +76,19 @@ def m06a(spark, sf):
 @query("m06_ridge")
 def m06(spark, sf):
     """Production ridge on the routed columns: holdout metrics."""
-    return _eval(spark, sf, get_model("ridge", LIGHT_PARAMS["ridge"]))
+    return _eval(spark, sf, get_model("ridge", CFG.params["ridge"]))
 
 
 @query("m06_ridge_predictions")
 def m06p(spark, sf):
-    return finish(_holdout(spark, sf, get_model("ridge", LIGHT_PARAMS["ridge"])).select("row_id", "log_pred", "pred"))
+    return finish(_holdout(spark, sf, get_model("ridge", CFG.params["ridge"])).select("row_id", "log_pred", "pred"))
 
 
 @query("m07_ridge_extra_columns")
 def m07(spark, sf):
     """Experiment ridge: candidate numerics scaled, candidate flags passed through."""
     df = fx.build_candidate_features(labeled(demand_rows(spark, sf)), CFG)
-    est = get_model("ridge", LIGHT_PARAMS["ridge"], extra_numeric=("feels_like_gap", "temp_humidity_interaction",
+    est = get_model("ridge", CFG.params["ridge"], extra_numeric=("feels_like_gap", "temp_humidity_interaction",
                                                                     "comfort_index"),
                     extra_passthrough=("is_morning_peak", "is_evening_peak", "is_rush_hour", "bad_weather"))
     return finish(va.evaluate_holdout(va.fit_predict(est), df, CFG))
@@ -79,27 +97,27 @@ def m07(spark, sf):
 # --- M9-M11 trees ------------------------------------------------------------------------------
 @query("m09_random_forest")
 def m09(spark, sf):
-    return _eval(spark, sf, get_model("random_forest", LIGHT_PARAMS["random_forest"]))
+    return _eval_tree(spark, sf, "random_forest")
 
 
 @query("m10_gradient_boosting")
 def m10(spark, sf):
-    return _eval(spark, sf, get_model("gradient_boosting", LIGHT_PARAMS["gradient_boosting"]))
+    return _eval_tree(spark, sf, "gradient_boosting")
 
 
 @query("m11_column_sampled_boosting")
 def m11(spark, sf):
-    return _eval(spark, sf, get_model("xgboost", LIGHT_PARAMS["xgboost"]))
+    return _eval_tree(spark, sf, "xgboost")
 
 
 @query("m12_cv_ridge")
 def m12r(spark, sf):
-    return finish(va.cv_report(va.fit_predict(get_model("ridge", LIGHT_PARAMS["ridge"])), lab2(spark, sf), CFG))
+    return finish(va.cv_report(va.fit_predict(get_model("ridge", CFG.params["ridge"])), lab2(spark, sf), CFG))
 
 
 @query("m12_cv_gradient_boosting")
 def m12g(spark, sf):
-    est = get_model("gradient_boosting", LIGHT_PARAMS["gradient_boosting"])
+    est = get_model("gradient_boosting", CFG.params["gradient_boosting"])
     return finish(va.cv_report(va.fit_predict(est), lab2(spark, sf), CFG))
 
 
@@ -113,7 +131,7 @@ def train_model_job(spark, df, name: str, cfg: Config = CFG, metrics_base: str |
     cv = va.cv_report(pred, df, cfg)
     ho = va.evaluate_holdout(pred, df, cfg)
     full = est.fit(df, cfg.target)
-    model_path = io.save_fitted(full, scratch_path(spark, f"model-{name}")) if hasattr(full, "model") else None
+    model_path = io.save_fitted(full, scratch_path(spark, f"model-{name}"))
     cv_long = cv.select(F.lit(name).alias("model"), F.lit("cv").alias("view"), "fold", "rmsle", "rmse", "mae", "r2")
     ho_long = ho.select(F.lit(name).alias("model"), F.lit("holdout").alias("view"), F.lit(0).alias("fold"),
                         "rmsle", "rmse", "mae", "r2")
@@ -154,7 +172,7 @@ def a07(spark, sf):
     """Predictions of a saved-and-loaded ridge equal those of the fitted one."""
     df = lab2(spark, sf)
     train, hold = df.filter(F.dayofmonth("datetime") < 16), df.filter(F.dayofmonth("datetime") >= 16)
-    fitted = get_model("ridge", LIGHT_PARAMS["ridge"]).fit(train, "count")
+    fitted = get_model("ridge", CFG.params["ridge"]).fit(train, "count")
     path = io.save_fitted(fitted, scratch_path(spark, "a07"))
     loaded = io.load_fitted(spark, path)
     a = fitted.predict(hold).select("row_id", F.col("pred").alias("pred_fitted"))
@@ -202,20 +220,18 @@ def w04(spark, sf):
     """Permutation importance of the ridge over every routed column, sorted."""
     df = lab2(spark, sf)
     train, hold = df.filter(F.dayofmonth("datetime") < 16), df.filter(F.dayofmonth("datetime") >= 16)
-    model = get_model("ridge", LIGHT_PARAMS["ridge"]).fit(train, "count")
+    model = get_model("ridge", CFG.params["ridge"]).fit(train, "count")
     feats = ["temp", "atemp", "humidity", "windspeed", "holiday", "workingday", "is_weekend", "hour_sin", "hour_cos",
              "month_sin", "month_cos", "hour_sin2", "hour_cos2", "hour_sin_workday", "hour_cos_workday", "season",
              "weather"]
-    return finish(ex.permutation_importance(model, hold, "count", feats, "row_id", 2, 42))
+    return finish(ex.permutation_importance(model, hold, "count", feats, "row_id", PI_REPEATS, 42))
 
 
 # --- M21 split importance, D4 alignment -------------------------------------------------------------
 def _tree_importances(spark, sf):
-    df = lab2(spark, sf)
-    train = df.filter(F.dayofmonth("datetime") < 16)
     out = {}
     for name in ("random_forest", "gradient_boosting", "xgboost"):
-        fitted = get_model(name, LIGHT_PARAMS[name]).fit(train, "count")
+        fitted = _fitted_tree(spark, sf, name)
         out[name] = ex.split_importance(fitted, TREE_FEATURES, spark, name)
     return out
 

@@ -289,8 +289,9 @@ def _hist_q(expr):
     lo = "(CASE WHEN bin = 60 THEN mm.hi ELSE CAST(bin AS DOUBLE) * mm.step + mm.lo END)"
     hi = "(CASE WHEN bin + 1 = 60 THEN mm.hi ELSE CAST(bin + 1 AS DOUBLE) * mm.step + mm.lo END)"
     return with_(F2, feature_select("f2"), LAB, _hist_sql("lab", expr)) + (
-        f"SELECT {i('bin')} AS bin, {r(f'min({lo})')} AS lo, {r(f'min({hi})')} AS hi, {i('count(*)')} AS n "
-        "FROM hb CROSS JOIN mm GROUP BY bin")
+        f"SELECT {i('bin')} AS bin, {r(f'min({lo})')} AS lo, {r(f'min({hi})')} AS hi, {i('count(hb.b)')} AS n "
+        "FROM (SELECT CAST(range AS BIGINT) AS bin FROM range(0, 60)) CROSS JOIN mm "
+        "LEFT JOIN (SELECT bin AS b FROM hb) hb ON hb.b = bin GROUP BY bin")
 
 
 @query("e20_histogram_count", _hist_q("count"))

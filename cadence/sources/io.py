@@ -49,8 +49,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """A1: CSV with a header and an explicit schema (datetime parsed as timestamp_ntz)."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Raw data file not found: {path}. Place the hourly demand CSV there "
-                                "(columns: " + ", ".join(schema.fieldNames()) + ").")
+        raise FileNotFoundError(f"no raw CSV at {path} (its header: {','.join(schema.fieldNames())})")
     # enforceSchema=false: the header names are checked against the schema instead
     # of binding columns by position.
     return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
@@ -86,8 +85,7 @@ def write_processed(df: DataFrame, path: str, cfg: Config = Config(), labeled: b
 def read_processed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A3: read the processed table; partition columns keep their declared types."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Processed table not found: {path}. Run the prepare step "
-                                "(write_processed) first.")
+        raise FileNotFoundError(f"no processed table at {path}; write_processed makes it")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
     return df.withColumns({"year": F.col("year").cast("short"), "month": F.col("month").cast("short")})
@@ -101,7 +99,7 @@ def write_prediction_artifact(frame: DataFrame, path: str, cfg: Config = Config(
     expected = [cfg.datetime_col, cfg.target]
     cols = [c for c in frame.columns if c != order_key]
     if cols != expected:
-        raise ValueError(f"prediction frame must have columns {expected}, got {cols}.")
+        raise ValueError(f"a prediction artifact holds {expected}, not {cols}")
     order = [cfg.datetime_col] + ([order_key] if order_key else [])
     n = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (frame.repartitionByRange(n, *order).sortWithinPartitions(*order).select(*expected)
@@ -132,7 +130,7 @@ def write_version(df: DataFrame, base: str, version: int) -> str:
 def save_record(df: DataFrame, path: str, force: bool = False) -> str:
     """An experiment record refuses to overwrite an existing one unless forced."""
     if not force and path_exists(df.sparkSession, path):
-        raise FileExistsError(f"{path} already exists - pass force=True to overwrite the recorded experiment.")
+        raise FileExistsError(f"a record stands at {path}; force=True replaces it")
     df.write.mode("overwrite" if force else "errorifexists").parquet(path)
     return path
 
@@ -143,6 +141,12 @@ def save_fitted(fitted, path: str) -> str:
     (scaler statistics, one-hot levels, column lists) stored as a one-row table."""
     from cadence.operators.learners import FittedSpec
     spark = SparkSession.getActiveSession()
+    means = getattr(fitted, "hour_means_", None)
+    if means is not None or hasattr(fitted, "mean_"):  # a baseline: at most 24 numbers
+        meta = {"kind": "hourly_mean", "mean": fitted.global_mean_, "hours": {r[0]: r[1] for r in means.collect()}} \
+            if means is not None else {"kind": "mean", "mean": fitted.mean_}
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
+        return path
     fitted.model.write().overwrite().save(f"{path}/model")
     prep = fitted._prepare
     meta: dict = {"kind": type(fitted.model).__name__}
@@ -162,7 +166,16 @@ def load_fitted(spark: SparkSession, path: str):
                                        RandomForestRegressionModel)
     from cadence.operators.fitted import OneHotLevels, PopulationScaler
     from cadence.operators.learners import FittedSpec, LinearSpec, _LogFitted, _tree_prepare
+    if not path_exists(spark, f"{path}/meta"):
+        raise FileNotFoundError(f"no saved model at {path}; train one and save it with save_fitted")
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+    if meta["kind"] == "mean":
+        from cadence.operators.baselines import _MeanFitted
+        return _MeanFitted(meta["mean"])
+    if meta["kind"] == "hourly_mean":
+        from cadence.operators.baselines import _HourlyFitted
+        rows = [(None if h == "null" else int(h), m) for h, m in meta["hours"].items()]
+        return _HourlyFitted(spark.createDataFrame(rows, "hour int, _hour_mean double"), meta["mean"])
     loader = {"LinearRegressionModel": LinearRegressionModel, "GBTRegressionModel": GBTRegressionModel,
               "RandomForestRegressionModel": RandomForestRegressionModel}[meta["kind"]]
     model = loader.load(f"{path}/model")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cadence.config import LIGHT_PARAMS, LINEAR_PASSTHROUGH
+from cadence.config import PUBLISHED_PARAMS, LINEAR_PASSTHROUGH
 from cadence.functions import features as fx
 from cadence.operators import explain as ex
 from cadence.operators.learners import LinearSpec, RidgeLog, get_model
@@ -46,7 +46,7 @@ def test_ridge_matches_closed_form(spark):
 
 def test_ridge_predictions_non_negative(spark):
     df = _hourly_frame(spark, 200, seed=2, sd=30.0)
-    out = get_model("ridge", LIGHT_PARAMS["ridge"]).fit(df, "count").predict(df)
+    out = get_model("ridge", PUBLISHED_PARAMS["ridge"]).fit(df, "count").predict(df)
     row = out.agg(F.min("pred").alias("lo"), F.avg("pred").alias("m")).first()
     assert row["lo"] >= 0 and row["m"] > 10
 
@@ -54,7 +54,7 @@ def test_ridge_predictions_non_negative(spark):
 @pytest.mark.parametrize("name", ["random_forest", "gradient_boosting", "xgboost"])
 def test_tree_predictions_non_negative(spark, name):
     df = _hourly_frame(spark, 300, seed=3)
-    out = get_model(name, LIGHT_PARAMS[name]).fit(df, "count").predict(df)
+    out = get_model(name, {**PUBLISHED_PARAMS[name], "n_estimators": 5}).fit(df, "count").predict(df)
     assert out.agg(F.min("pred")).first()[0] >= 0
 
 
@@ -79,7 +79,7 @@ def test_permutation_importance_driver_beats_noise(spark):
 def test_model_roundtrip(spark, tmp_path):
     from cadence.sources import io
     df = _hourly_frame(spark, 120, seed=4)
-    fitted = get_model("ridge", LIGHT_PARAMS["ridge"]).fit(df, "count")
+    fitted = get_model("ridge", PUBLISHED_PARAMS["ridge"]).fit(df, "count")
     path = io.save_fitted(fitted, str(tmp_path / "m"))
     loaded = io.load_fitted(spark, path)
     a = [r["pred"] for r in fitted.predict(df).orderBy("row_id").collect()]

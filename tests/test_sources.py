@@ -9,12 +9,12 @@ from .conftest import SF001
 
 
 def test_missing_raw_file_raises_with_instructions(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="hourly demand CSV"):
+    with pytest.raises(FileNotFoundError, match="no raw CSV"):
         io.read_raw_csv(spark, str(tmp_path / "nope.csv"))
 
 
 def test_missing_processed_table_says_run_prepare(spark, tmp_path):
-    with pytest.raises(FileNotFoundError, match="prepare"):
+    with pytest.raises(FileNotFoundError, match="no processed table"):
         io.read_processed(spark, str(tmp_path / "nope"))
 
 
