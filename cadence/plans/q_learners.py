@@ -50,7 +50,7 @@ def _fitted_tree(spark, sf, name):
 
 def _eval_tree(spark, sf, name):
     fitted = _fitted_tree(spark, sf, name)
-    return finish(va.evaluate_holdout(lambda train, val: fitted.predict(val), lab2(spark, sf), CFG))
+    return finish(va.evaluate_holdout(lambda train, val, *_: fitted.predict(val), lab2(spark, sf), CFG))
 
 
 def _eval(spark, sf, est):
