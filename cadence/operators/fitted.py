@@ -19,6 +19,11 @@ from cadence.operators.order import exact_quantiles
 LEVEL_LIMIT = 10_000   # a one-hot column with more levels than this is not categorical
 
 
+def positive_only(df: DataFrame, col: str) -> DataFrame:
+    """The rows whose value is above zero (NULL and NaN are not)."""
+    return df.filter((F.col(col) > 0) & ~F.isnan(F.col(col).cast("double")))
+
+
 class WindspeedZeroImputer:
     """M17 (E23 + B23): zeros are the sensor floor; fill them with the median of
     the strictly positive training values (0.0 when there are none)."""
@@ -28,8 +33,7 @@ class WindspeedZeroImputer:
         self.fill_value_: float | None = None
 
     def fit(self, df: DataFrame) -> "WindspeedZeroImputer":
-        pos = df.filter(F.col(self.col) > 0)
-        row = exact_quantiles(pos, self.col, [0.5]).first()
+        row = exact_quantiles(positive_only(df, self.col), self.col, [0.5]).first()
         self.fill_value_ = float(row["q"]) if row is not None and row["q"] is not None else 0.0
         return self
 

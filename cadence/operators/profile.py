@@ -66,9 +66,10 @@ def level_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def _shares(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        [], list(cols), "column", "level")
-    counts = long.groupBy("column", "level").agg(F.count(F.lit(1)).alias("_c"))
+    # rows are counted by all columns first; only those counts are unpivoted
+    cells = df.groupBy(*[F.col(c).cast("string").alias(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
+    long = cells.unpivot(["_n"], list(cols), "column", "level")
+    counts = long.groupBy("column", "level").agg(F.sum("_n").alias("_c"))
     # The window runs over the aggregated (column, level) table, not over rows.
     return counts.withColumn(name, F.col("_c") / F.sum("_c").over(Window.partitionBy("column"))).drop("_c")
 
@@ -155,6 +156,20 @@ def quantile_bin_pivot(df: DataFrame, row_col: str, col_col: str, value: str, q:
         F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
+def quantile_bin_grid(df: DataFrame, row_col: str, col_col: str, value: str, q: int = 5) -> DataFrame:
+    """E15 as a grid: one row per row bin, the means of column bins 1 to q beside it."""
+    long = quantile_bin_pivot(df, row_col, col_col, value, q)
+    return long.groupBy("row_bin").pivot("col_bin", list(range(1, q + 1))).agg(F.max("mean")).select(
+        "row_bin", *[F.col(str(k)).alias(f"mean_{k}") for k in range(1, q + 1)])
+
+
+def melt(table: DataFrame, keys: Sequence[str], columns: dict, name: str, value: str) -> DataFrame:
+    """A wide result table to one row per key and column; ``columns`` maps each
+    column to its label in ``name``."""
+    cells = F.array(*[F.struct(F.lit(label).alias(name), F.col(c).alias(value)) for c, label in columns.items()])
+    return table.select(*keys, F.explode(cells).alias("_cell")).select(*keys, f"_cell.{name}", f"_cell.{value}")
+
+
 def error_by_bin(df: DataFrame, actual: str, pred: str, q: int = 5) -> DataFrame:
     """RMSE, MAE, mean bias and n per equal-frequency bin of the actual value."""
     edges = quantile_edges(df, actual, q)

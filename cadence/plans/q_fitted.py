@@ -94,6 +94,12 @@ def m08(spark, sf):
 _MED = "md AS (SELECT coalesce(quantile_cont(windspeed, 0.5) FILTER (WHERE windspeed > 0), 0.0) AS fill FROM tr)"
 
 
+@query("c08_positive_only", with_(*B) + f"SELECT {i('row_id')} AS row_id, {r('windspeed')} AS windspeed FROM tr WHERE windspeed > 0")
+def c08(spark, sf):
+    train, _ = _split(spark, sf)
+    return finish(ft.positive_only(train, "windspeed").select("row_id", "windspeed"))
+
+
 @query("e23_positive_median", with_(*B, _MED) + f"SELECT {r('fill')} AS fill_value FROM md")
 def e23(spark, sf):
     train, _ = _split(spark, sf)

@@ -111,6 +111,18 @@ def e09(spark, sf):
     return finish(pr.level_shares(lab2(spark, sf), test2(spark, sf), SHARE_COLS))
 
 
+_D02 = ["hour", "month"]
+
+
+@query("d02_align_levels", with_(F2, feature_select("f2"), LAB, TEST, _share_sql("lab", "sa"), _share_sql("tst", "sb")) +
+       f"SELECT \"column\", level, {r('coalesce(sb.share, 0) - coalesce(sa.share, 0)')} AS shift "
+       "FROM sa FULL OUTER JOIN sb USING (\"column\", level) WHERE \"column\" IN ('hour', 'month')")
+def d02(spark, sf):
+    """Levels of both sides side by side, absent ones as 0: the shift of each share."""
+    both = pr.level_shares(lab2(spark, sf), test2(spark, sf), _D02)
+    return finish(both.select("column", "level", (F.col("test_share") - F.col("train_share")).alias("shift")))
+
+
 NUM4 = ["temp", "atemp", "humidity", "windspeed"]
 
 
@@ -127,6 +139,15 @@ def e10(spark, sf):
     return finish(pr.moments_compare(lab2(spark, sf), test2(spark, sf), NUM4))
 
 
+@query("d03_align_moments", with_(F2, feature_select("f2"), LAB, TEST) +
+       f"SELECT \"column\", {r('b.test_mean - a.train_mean')} AS mean_shift, {r('b.test_std / a.train_std')} AS std_ratio "
+       f"FROM ({_mom_sql('lab', 'train')}) a FULL OUTER JOIN ({_mom_sql('tst', 'test')}) b USING (\"column\")")
+def d03(spark, sf):
+    both = pr.moments_compare(lab2(spark, sf), test2(spark, sf), NUM4)
+    return finish(both.select("column", (F.col("test_mean") - F.col("train_mean")).alias("mean_shift"),
+                              (F.col("test_std") / F.col("train_std")).alias("std_ratio")))
+
+
 # --- E11, E12 ---------------------------------------------------------------------------------
 CORR9 = ["season", "holiday", "workingday", "weather", "temp", "atemp", "humidity", "windspeed", "count"]
 
@@ -208,6 +229,14 @@ def _pred(spark, sf):
 _PQ = [*_base(), *HM]
 
 
+@query("e15_quantile_grid", with_(F2, feature_select("f2"), LAB, _edges_sql2("lab", "humidity", "he"),
+                                  _edges_sql2("lab", "temp", "te")) +
+       f"SELECT {i('he.bin')} AS row_bin, " + ", ".join(f"{r(f'avg(count) FILTER (WHERE te.bin = {k})')} AS mean_{k}" for k in range(1, 6)) +
+       f" FROM lab JOIN he ON {_in_bin('lab.humidity', 'he')} JOIN te ON {_in_bin('lab.temp', 'te')} GROUP BY he.bin")
+def e15g(spark, sf):
+    return finish(pr.quantile_bin_grid(lab2(spark, sf), "humidity", "temp", "count"))
+
+
 @query("e16_error_by_demand_fifth", with_(*_PQ, _edges_sql2("p", "y", "ye")) +
        f"SELECT {i('ye.bin')} AS bin, {r('min(ye.lo)')} AS lo, {r('min(ye.hi)')} AS hi, {i('count(*)')} AS n, "
        f"{r('sqrt(avg((pred - y) * (pred - y)))')} AS rmse, {r('avg(abs(pred - y))')} AS mae, "
@@ -338,15 +367,25 @@ def e22(spark, sf):
 
 # --- W5, W6 ------------------------------------------------------------------------------------
 @query("w05_unpivot_feature_profile", _e03_sql())
-def w05(spark, sf):
+def w05p(spark, sf):
     """Wide (one row of lo_/hi_ aggregates) to long (one row per column)."""
     return finish(pr.feature_profile(fx.build_features(demand_rows(spark, sf), CFG), FEATS))
 
 
+@query("w05_melt_pivot", with_(F2, feature_select("f2"), LAB) +
+       f"SELECT {i('w.weather')} AS weather, {i('h.hour')} AS hour, {r('avg(lab.count)')} AS mean "
+       "FROM (SELECT DISTINCT weather FROM lab) w CROSS JOIN (SELECT range AS hour FROM range(0, 24)) h "
+       "LEFT JOIN lab ON lab.weather = w.weather AND lab.hour = h.hour GROUP BY w.weather, h.hour")
+def w05(spark, sf):
+    """The weather x hour grid of means back to one row per cell, empty cells too."""
+    grid = pr.pivot_mean(lab2(spark, sf), "weather", "hour", list(range(24)), "count")
+    return finish(pr.melt(grid, ["weather"], {str(h): h for h in range(24)}, "hour", "mean"))
+
+
 @query("w06_pivot_shares", with_(F2, feature_select("f2"), LAB, _share_sql("lab", "sa")) +
        "SELECT \"column\", " + ", ".join(f"{r(f'max(share) FILTER (WHERE level = {chr(39)}{v}{chr(39)})')} AS level_{v}"
                                      for v in range(1, 5)) + " FROM sa WHERE \"column\" IN ('season', 'weather') GROUP BY \"column\"")
 def w06(spark, sf):
-    long = pr._shares(lab2(spark, sf), SHARE_COLS, "share").filter(F.col("column").isin("season", "weather"))
+    long = pr._shares(lab2(spark, sf), ["season", "weather"], "share")
     wide = long.groupBy("column").pivot("level", ["1", "2", "3", "4"]).agg(F.max("share"))
     return finish(wide.select("column", *[F.col(str(v)).alias(f"level_{v}") for v in range(1, 5)]))

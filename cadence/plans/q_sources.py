@@ -16,6 +16,7 @@ from cadence.plans.fixtures_sql import F2, feature_select, with_
 from cadence.plans.q_features import F2_COLS, FEATS, sel
 from cadence.plans.q_models import _UNL, _base, _gap_sql
 from cadence.plans.q_splits import LAB, lab2
+from cadence.plans.q_profile import TEST
 from cadence.plans.registry import query
 from cadence.plans.sqlparts import fold_cte, report_sql_raw
 from cadence.session import scratch_path
@@ -34,6 +35,17 @@ def a01(spark, sf):
     return finish(io.read_raw_csv(spark, path))
 
 
+_UNLABELED = [f.name for f in io.UNLABELED_SCHEMA]
+
+
+@query("a01_read_raw_csv_unlabeled", with_(F2, feature_select("f2"), TEST) + f"SELECT {sel(_UNLABELED)} FROM tst")
+def a01u(spark, sf):
+    """The raw file without counts, by its own schema."""
+    rows = unlabeled(demand_rows(spark, sf), drop=("casual", "registered", "count"))
+    path = io.write_raw_csv(rows, scratch_path(spark, "raw-test"), io.UNLABELED_SCHEMA)
+    return finish(io.read_raw_csv(spark, path, io.UNLABELED_SCHEMA))
+
+
 _PROC = [c for c in F2_COLS + FEATS if c not in ("casual", "registered")]
 
 

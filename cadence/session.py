@@ -29,14 +29,15 @@ SESSION_CONF = {
 MB = 1 << 20
 
 
-def sizing_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict[str, str]:
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 1024) -> dict[str, str]:
     """Partition sizing for a given input size and cluster.
 
-    Scans split at 256 MB; shuffles start with enough partitions that each holds about
-    ``target_partition_mb`` of input-sized data (at least 2 per core), and AQE merges
-    small ones and splits skewed ones at run time. At 100 TB on 1000 executors x 8
-    cores: ~400,000 initial shuffle partitions of ~256 MB, coalesced as the real
-    sizes allow, so no sort or aggregation buffer has to exceed executor memory.
+    Scans split at 256 MB. ``input_bytes`` is what a query shuffles after projection (the
+    input's size is the safe bound): shuffles start with partitions of about
+    ``target_partition_mb`` (at least 2 per core), and AQE merges small ones and splits
+    skewed ones at run time. At 100 TB on 1000 executors x 8 cores that is ~100,000
+    partitions of ~1 GB; maps times reduces stay countable for the driver, and sorts and
+    aggregations of a partition spill rather than exceed executor memory.
     """
     parts = max(2 * total_cores, -(-input_bytes // (target_partition_mb * MB)))
     return {

@@ -42,5 +42,5 @@ def test_day_split_reaches_parquet_scan(spark, tmp_path):
 def test_sizing_for_100tb():
     from cadence.session import sizing_conf
     conf = sizing_conf(100 * 2 ** 40, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.shuffle.partitions"]) == 102400
     assert int(sizing_conf(10 * 2 ** 20, 8)["spark.sql.shuffle.partitions"]) == 16
