@@ -4,6 +4,8 @@ unlabeled rows as a stream (same result as M15)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cadence.config import Config
 from cadence.operators import baselines as bl
 from cadence.plans.common import finish, i, r, ts
@@ -30,6 +32,26 @@ def s01(spark, sf):
     return finish(spark.read.parquet(out))
 
 
+DELIVERIES = 4
+_LATE = "event_id % 97 = 0"
+_ON_TIME = "(SELECT * FROM events WHERE event_id % 97 <> 0)"
+
+
+@query("s03_stream_hourly_append", with_(F1.replace("FROM events", f"FROM {_ON_TIME}")) +
+       f"SELECT {sel([c for c in F1_COLS if c not in _INTS])}, " + ", ".join(f"{i(c)} AS {c}" for c in _INTS) +
+       f" FROM f1 WHERE CAST(f1.datetime AS TIMESTAMP) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM {_ON_TIME})")
+def s03(spark, sf):
+    """The hourly table in append mode from four deliveries in time order. Every 97th
+    event comes two deliveries late, behind the watermark, and is dropped; hours that
+    the last watermark has not passed are still open."""
+    events = spark.read.schema(sd.EVENTS_SCHEMA).parquet(f"{sf}/events.parquet")
+    part, late = sd.delivery_of(events, DELIVERIES), F.expr(_LATE)
+    dealt = events.withColumn("_d", part + F.when(late, 2).otherwise(0))
+    feed = [dealt.filter(F.col("_d") == k).drop("_d") for k in range(DELIVERIES + 2)]
+    out = sd.run_deliveries(spark, feed, sd.EVENTS_SCHEMA, sd.hourly_demand, "append")
+    return finish(spark.read.parquet(out))
+
+
 @query("s02_stream_scoring", with_(*_base(), *_UNL) +
        f"SELECT {ts('datetime')} AS datetime, {i('row_id')} AS row_id, {r('count')} AS count FROM sc")
 def s02(spark, sf):

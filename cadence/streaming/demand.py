@@ -69,6 +69,29 @@ def run_available(df: DataFrame, name: str, complete: bool = False) -> str:
     return out
 
 
+def delivery_of(events: DataFrame, n: int):
+    """A column 0 .. n - 1: the equal stretch of the events' time in which a row lies."""
+    ends = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    lo, hi = (F.unix_timestamp(F.lit(t).cast("timestamp")) for t in ends)
+    at = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    return F.floor((at - lo) * n / (hi - lo + 1)).cast("int")
+
+
+def run_deliveries(spark: SparkSession, deliveries, schema: str, build, name: str) -> str:
+    """Append mode over a feed that grows: each delivery (a DataFrame) is added to a
+    feed folder, then the query resumes from its checkpoint and takes it as one batch.
+    Rows behind the watermark are dropped, hours are written once it passes their end.
+    Returns the path of the written hours."""
+    feed, out, ck = (scratch_path(spark, f"stream-{name}-{part}") for part in ("feed", "out", "ckpt"))
+    for rows in deliveries:
+        rows.write.mode("append").parquet(feed)
+        source = spark.readStream.schema(schema).parquet(feed)
+        query = (build(source).writeStream.option("checkpointLocation", ck).trigger(availableNow=True)
+                 .outputMode("append").format("parquet").start(out))
+        query.awaitTermination()
+    return out
+
+
 def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 demand rows as a stream."""
     return demand_rows_of(event_stream(spark, sf_dir))
