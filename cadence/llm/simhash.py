@@ -112,6 +112,10 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     that differ by at most ``max_bits`` bits (at most 5: two in a half)."""
     if not 0 <= max_bits <= 5:
         raise ValueError("max_bits must be 0 to 5")
+    # a class is 16 bytes but makes up to 34 rows: a scan would pack many classes into one
+    # task, so they are dealt by number first, which AQE doesn't coalesce
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = classes.select("rep", "fp").repartition(tasks, "fp")
     parts = classes.select("rep", "fp", F.explode(_halves(F.col("fp"))).alias("h")).select("rep", "fp", "h.part", "h.half")
     covered = parts.select(F.col("rep").alias("a"), F.col("fp").alias("fa"), "part", _covering(F.col("half")).alias("anchor"))
     # every anchor within 1 + t of a half covers some half that differs from it by at
