@@ -16,6 +16,8 @@ class Fitted:
     """A fitted model: ``predict`` adds a count-scale ``pred`` column."""
 
     log_space = False
+    #: Columns that ``predict`` reads; None: not known, so any.
+    inputs: tuple[str, ...] | None = None
 
     def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:  # pragma: no cover
         raise NotImplementedError
@@ -29,6 +31,8 @@ class Estimator:
 
 
 class _MeanFitted(Fitted):
+    inputs = ()
+
     def __init__(self, mean: float):
         self.mean_ = mean
 
@@ -47,6 +51,8 @@ class MeanBaseline(Estimator):
 
 
 class _HourlyFitted(Fitted):
+    inputs = ("hour",)
+
     def __init__(self, hour_means: DataFrame, global_mean: float):
         self.hour_means_ = hour_means
         self.global_mean_ = global_mean

@@ -18,6 +18,7 @@ from cadence.operators.splits import split_holdout
 
 
 class _HourlyLogFitted(Fitted):
+    inputs = ("hour",)
     log_space = True
 
     def __init__(self, means: DataFrame, global_mean: float):

@@ -73,7 +73,9 @@ def feature_sweep(df: DataFrame, models: Sequence[str], cfg: Config = Config(),
         est = get_model(name, cfg.params.get(name), extra_numeric=num, extra_passthrough=passthru,
                         extra_tree=tuple(cols))
         return {"arm": arm, "model": name, **evaluate_both(va.fit_predict(est), df, cfg, folds)}
-    return _results(df.sparkSession, _run_all(one, [(a, m) for a in arms for m in models]))
+    rows = _run_all(one, [(a, m) for a in arms for m in models])
+    df.unpersist()
+    return _results(df.sparkSession, rows)
 
 
 def _with_transforms(est, transforms):
@@ -99,7 +101,9 @@ def env_experiment(df: DataFrame, models: Sequence[str], cfg: Config = Config())
         est = get_model(name, cfg.params.get(name), extra_numeric=extra, extra_tree=extra)
         pred = _with_transforms(est, [WindspeedZeroImputer, AtempRecalibrator] if recal else [])
         return {"arm": arm, "model": name, **evaluate_both(pred, df, cfg, folds)}
-    return _results(df.sparkSession, _run_all(one, [(a, m) for a in arms.items() for m in models]))
+    rows = _run_all(one, [(a, m) for a in arms.items() for m in models])
+    df.unpersist()
+    return _results(df.sparkSession, rows)
 
 
 def compare_with_baseline(results: DataFrame, baseline_arm: str = "baseline") -> DataFrame:
@@ -180,6 +184,7 @@ def random_search(df: DataFrame, model: str, space: dict[str, list], n_draws: in
         cv = per_fold.agg(F.avg("rmsle")).first()[0]
         return (k, model, json.dumps(params, sort_keys=True), float(cv), -float(cv))
     out = _run_all(one, list(enumerate(draw_params(space, n_draws, cfg.seed))))
+    search_rows.unpersist()
     return df.sparkSession.createDataFrame(out, "draw int, model string, params string, cv_rmsle double, score double")
 
 
@@ -193,6 +198,7 @@ def tuned_against_baseline(df: DataFrame, model: str, search: DataFrame, baselin
     rows = _run_all(lambda ap: {"arm": ap[0], "model": model,
                                 **evaluate_both(va.fit_predict(get_model(model, ap[1])), df, cfg, folds)},
                     [("baseline", baseline_params), ("tuned", tuned_params)])
+    df.unpersist()
     res = _results(df.sparkSession, rows)
     return compare_with_baseline(res).withColumn("search_best_cv_rmsle", F.lit(best["cv_rmsle"]))
 

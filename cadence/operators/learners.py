@@ -64,6 +64,9 @@ class _LogFitted(Fitted):
     def __init__(self, model, prepare):
         self.model = model
         self._prepare = prepare
+        fitted_spec = getattr(prepare, "__self__", None)
+        spec = getattr(fitted_spec, "spec", None)
+        self.inputs = tuple([*spec.numeric, *spec.passthrough, *spec.one_hot] if spec else prepare.features)
 
     def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:
         keep = df.columns

@@ -92,6 +92,12 @@ def ranked_with_folds(df: DataFrame, cfg: Config = Config(), gap: int | None = N
     return ranked.withColumns(fold_columns(F.col("rank"), plan)), plan
 
 
+def refold(tagged: DataFrame, plan: list[Fold], cfg: Config = Config(), gap: int | None = None):
+    """Tag the same ranks for another gap (neither they nor the row count depend on it)."""
+    plan = fold_plan(plan[-1].val_end, cfg.n_splits, cfg.gap if gap is None else gap)
+    return tagged.withColumns(fold_columns(F.col("rank"), plan)), plan
+
+
 def fold_membership(tagged: DataFrame, plan: list[Fold]) -> DataFrame:
     """Long form (row x fold x part) of the range condition ``rank < train_end``
     / ``rank in [val_start, val_end)``. A row appears at most k + 1 times; only

@@ -18,7 +18,7 @@ from cadence.config import Config
 from cadence.functions.metrics import fold_summary, report
 from cadence.operators.baselines import Estimator
 from cadence.operators.order import join_small
-from cadence.operators.splits import ranked_with_folds, split_holdout
+from cadence.operators.splits import ranked_with_folds, refold, split_holdout
 
 Predictor = Callable[[DataFrame, DataFrame, str], DataFrame]
 FOLD_THREADS = 4
@@ -69,18 +69,25 @@ def cv_report(predictor: Predictor, df: DataFrame, cfg: Config = Config(), gap:
     return out.select("fold", "rmsle", "rmse", "mae", "r2", "n")
 
 
-def cv_baseline_one_pass(df: DataFrame, by_hour: bool, cfg: Config = Config(),
-                         gap: int | None = None, labels=None) -> DataFrame:
+def baseline_folds(df: DataFrame, cfg: Config = Config(), labels=None):
+    """The ``(tagged, plan)`` pair of both baselines: only what their one-pass CV reads
+    is shuffled and written for the ranks."""
+    read = dict.fromkeys([*cfg.order_cols, cfg.target, *(labels or ()), *(c for c in ("hour",) if c in df.columns)])
+    return ranked_with_folds(df.select(*read), cfg)
+
+
+def cv_baseline_one_pass(df: DataFrame | None, by_hour: bool, cfg: Config = Config(),
+                         gap: int | None = None, labels=None, folds=None) -> DataFrame:
     """M12 for M1 (``by_hour=False``) and M2 (``by_hour=True``) in one scan.
 
     Small tables only: (segment, hour) sums -> (fold, hour) means, <= k * 24 rows.
     ``labels`` (e.g. the two sub-targets, M19) fits one mean model per label and
-    sums their predictions; the score is always against ``cfg.target``.
+    sums their predictions; the score is always against ``cfg.target``. ``folds`` = a
+    pair from ``baseline_folds``: one ranking serves both models and every gap, and
+    ``df`` is then not read.
     """
     labels = list(labels or [cfg.target])
-    # only what the pass reads is shuffled and written for the ranks
-    read = dict.fromkeys([*cfg.order_cols, cfg.target, *labels, *(["hour"] if by_hour else [])])
-    tagged, plan = ranked_with_folds(df.select(*read), cfg, gap)
+    tagged, plan = refold(*(folds or baseline_folds(df, cfg, labels)), cfg, gap)
     k = len(plan)
     hour_col = [F.col("hour").cast("int").alias("hour")] if by_hour else []
     sums = [F.sum(F.col(lb).cast("double")).alias(f"s{j}") for j, lb in enumerate(labels)]

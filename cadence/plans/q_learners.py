@@ -205,8 +205,8 @@ def _pi_sql():
 
 @query("m20_permutation_importance", _pi_sql())
 def m20(spark, sf):
-    """Every feature column is permuted. The hourly-mean model only reads ``hour``:
-    its importance is the RMSLE rise when hours are permuted; the other 20 score 0."""
+    """The hourly-mean model only reads ``hour``: its importance is the RMSLE rise when
+    hours are permuted; the other 20 features, never read, score 0."""
     df = lab2(spark, sf)
     train, hold = df.filter(F.dayofmonth("datetime") < 16), df.filter(F.dayofmonth("datetime") >= 16)
     model = bl.HourlyMeanBaseline().fit(train, "count")

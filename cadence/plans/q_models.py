@@ -232,12 +232,9 @@ def _gap_sql():
 
 @query("m24_gap_diagnostic", _gap_sql())
 def m24(spark, sf):
-    df = lab2(spark, sf).cache()
-    g0 = va.cv_baseline_one_pass(df, True, CFG, gap=0).agg(F.avg("rmsle").alias("a"))
-    g48 = va.cv_baseline_one_pass(df, True, CFG, gap=48).agg(F.avg("rmsle").alias("b"))
-    a, b = g0.first()["a"], g48.first()["b"]
-    spark_ = df.sparkSession
-    return finish(spark_.createDataFrame([(a, b, b - a)], "cv_rmsle_gap0 double, cv_rmsle_gap48 double, delta double"))
+    folds = va.baseline_folds(lab2(spark, sf), CFG)
+    a, b = (va.cv_baseline_one_pass(None, True, CFG, gap=g, folds=folds).agg(F.avg("rmsle")).first()[0] for g in (0, 48))
+    return finish(spark.createDataFrame([(a, b, b - a)], "cv_rmsle_gap0 double, cv_rmsle_gap48 double, delta double"))
 
 
 # --- M15, E33: scoring the unlabeled rows ---------------------------------------------------

@@ -109,9 +109,8 @@ def a05(spark, sf):
 def a06(spark, sf):
     """The gap-diagnostic record is saved once; a second save without ``force`` is
     refused (FileExistsError) and the stored record is unchanged."""
-    df = lab2(spark, sf).cache()
-    a = va.cv_baseline_one_pass(df, True, CFG, gap=0).agg(F.avg("rmsle")).first()[0]
-    b = va.cv_baseline_one_pass(df, True, CFG, gap=48).agg(F.avg("rmsle")).first()[0]
+    folds = va.baseline_folds(lab2(spark, sf), CFG)
+    a, b = (va.cv_baseline_one_pass(None, True, CFG, gap=g, folds=folds).agg(F.avg("rmsle")).first()[0] for g in (0, 48))
     rec = spark.createDataFrame([(a, b, b - a)], "cv_rmsle_gap0 double, cv_rmsle_gap48 double, delta double")
     path = io.save_record(rec, scratch_path(spark, "gap-record"))
     refused = 0
@@ -124,11 +123,12 @@ def a06(spark, sf):
 
 # --- A8-A10 nested documents ---------------------------------------------------------------------------
 def _docs(spark, sf):
-    df = lab2(spark, sf).cache()
+    df = lab2(spark, sf)
+    folds = va.baseline_folds(df, CFG)
     docs = None
     for name, by_hour, est in (("mean_baseline", False, bl.MeanBaseline()),
                                ("hourly_mean_baseline", True, bl.HourlyMeanBaseline())):
-        per_fold = va.cv_baseline_one_pass(df, by_hour, CFG)
+        per_fold = va.cv_baseline_one_pass(None, by_hour, CFG, folds=folds)
         ho = va.evaluate_holdout(va.fit_predict(est), df, CFG)
         d = io.metrics_document(name, per_fold, ho)
         docs = d if docs is None else docs.unionByName(d)
@@ -200,11 +200,11 @@ def _a10_sql():
 def a10(spark, sf):
     """CV means of both baselines at gap 0 and 48, written as the gap-diagnostic
     document, read back and turned into (model, gap, cv_rmsle, delta)."""
-    df = lab2(spark, sf).cache()
+    folds = va.baseline_folds(lab2(spark, sf), CFG)
     parts = []
     for name, by_hour in (("mean_baseline", False), ("hourly_mean_baseline", True)):
         for gap in (0, 48):
-            per_fold = va.cv_baseline_one_pass(df, by_hour, CFG, gap=gap)
+            per_fold = va.cv_baseline_one_pass(None, by_hour, CFG, gap=gap, folds=folds)
             parts.append(per_fold.agg(*[F.avg(m).alias(m) for m in METRICS])
                          .select(F.lit(name).alias("model"), F.lit(gap).alias("gap"), *METRICS))
     per_gap = parts[0]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cadence.config import PUBLISHED_PARAMS, LINEAR_PASSTHROUGH
 from cadence.functions import features as fx
 from cadence.operators import explain as ex
+from cadence.operators.baselines import HourlyMeanBaseline, MeanBaseline
 from cadence.operators.learners import LinearSpec, RidgeLog, get_model
 
 
@@ -85,3 +86,15 @@ def test_model_roundtrip(spark, tmp_path):
     a = [r["pred"] for r in fitted.predict(df).orderBy("row_id").collect()]
     b = [r["pred"] for r in loaded.predict(df).orderBy("row_id").collect()]
     assert a == b
+
+
+def test_importance_of_unread_features_is_zero_and_they_are_not_carried(spark):
+    rows = [(i, i % 24, float(i % 24), float(i % 7)) for i in range(240)]
+    df = spark.createDataFrame(rows, "row_id long, hour int, y double, noise double")
+    model = HourlyMeanBaseline().fit(df, "y")
+    out = ex.permutation_importance(model, df, "y", ["noise", "hour"], "row_id", 3, 42)
+    got = [(r["feature"], r["importance_mean"]) for r in out.collect()]
+    assert got[0][0] == "hour" and got[0][1] > 0 and got[1] == ("noise", 0.0)
+    assert "p__noise" not in out._jdf.queryExecution().analyzed().toString()
+    none = ex.permutation_importance(MeanBaseline().fit(df, "y"), df, "y", ["noise", "hour"], "row_id", 3, 42)
+    assert {tuple(r) for r in none.collect()} == {("noise", 0.0, 0.0), ("hour", 0.0, 0.0)}

@@ -74,3 +74,12 @@ def test_read_gap_record_layout(spark, tmp_path):
     (tmp_path / "gap" / "record.json").write_text(doc)
     rows = {r["gap"]: r for r in io.sweep_long(io.read_gap_report(spark, str(tmp_path / "gap"))).collect()}
     assert rows[0]["cv_rmsle"] == 0.8064 and rows[48]["delta"] == pytest.approx(0.1478)
+
+
+def test_processed_table_is_checked_against_the_prepare_step(spark, tmp_path):
+    path = str(tmp_path / "other")
+    spark.range(3).selectExpr("id AS humidity", "2011 AS year", "1 AS month").write.parquet(path)
+    with pytest.raises(ValueError, match="humidity .bigint, not double."):
+        io.read_processed(spark, path)
+    own = io.read_processed(spark, path, spark.read.parquet(path).schema)
+    assert own.count() == 3

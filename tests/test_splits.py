@@ -58,3 +58,14 @@ def test_gap_reaches_the_splitter(spark):
     _, p0 = sp.ranked_with_folds(df, Config(), gap=0)
     _, p5 = sp.ranked_with_folds(df, Config(), gap=5)
     assert [a.train_end - b.train_end for a, b in zip(p0, p5)] == [5] * 5
+
+
+def test_one_ranking_serves_every_gap(spark):
+    from cadence.operators import validate as va
+    rows = [(dt.datetime(2011, 1, 1) + dt.timedelta(hours=i), i, i % 24, float(i % 24 + i % 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, row_id long, hour int, count double")
+    folds = va.baseline_folds(df, Config())
+    for gap in (0, 12):
+        for by_hour in (False, True):
+            once = va.cv_baseline_one_pass(None, by_hour, Config(), gap=gap, folds=folds).orderBy("fold").collect()
+            assert once == va.cv_baseline_one_pass(df, by_hour, Config(), gap=gap).orderBy("fold").collect()
