@@ -11,10 +11,13 @@ from cadence.functions import features as fx
 from cadence.operators import baselines as bl
 from cadence.operators import validate as va
 from cadence.operators.dual import dual_predictor
+from cadence.operators.score import make_prediction_frame
+from cadence.operators.splits import split_holdout
 from cadence.plans.common import finish, i, r, ts
 from cadence.plans.fixtures_sql import F2, feature_select, with_
 from cadence.plans.q_features import F2_COLS, FEATS, sel
-from cadence.plans.q_models import _UNL, _base, _gap_sql
+from cadence.plans.q_learners import train_model_job
+from cadence.plans.q_models import HM, _UNL, _base, _gap_sql
 from cadence.plans.q_splits import LAB, lab2
 from cadence.plans.q_profile import TEST
 from cadence.plans.registry import query
@@ -67,14 +70,33 @@ def a03(spark, sf):
     return finish(io.read_processed(spark, _processed(spark, sf)).select(*_PROC))
 
 
-@query("a04_prediction_sink", with_(*B, *_UNL) + f"SELECT {ts('datetime')} AS datetime, {r('count')} AS count FROM sc")
-def a04(spark, sf):
-    from cadence.operators.score import make_prediction_frame
-    model = bl.HourlyMeanBaseline().fit(lab2(spark, sf), "count")
+def _submission(spark, sf, model):
+    """The unlabeled rows scored, written as the artifact and read back."""
     test = fx.build_features(unlabeled(demand_rows(spark, sf)), CFG)
     frame = make_prediction_frame(model, test, CFG, keep_key=True)
     path = io.write_prediction_artifact(frame, scratch_path(spark, "submission"), CFG, order_key="row_id")
-    return finish(io.read_prediction_artifact(spark, path, CFG))
+    return io.read_prediction_artifact(spark, path, CFG)
+
+
+@query("a04_prediction_sink", with_(*B, *_UNL) + f"SELECT {ts('datetime')} AS datetime, {r('count')} AS count FROM sc")
+def a04(spark, sf):
+    """The prediction artifact of a fitted hourly mean, written and read back."""
+    return finish(_submission(spark, sf, bl.HourlyMeanBaseline().fit(lab2(spark, sf), "count")))
+
+
+@query("m16_submission_hourly_mean", with_(*B, *_UNL) + f"SELECT {ts('datetime')} AS datetime, {r('count')} AS count FROM sc")
+def m16_hm(spark, sf):
+    """M16 with the hourly mean: train job, saved model loaded, artifact written and read."""
+    path, _, _ = train_model_job(spark, lab2(spark, sf), "hourly_mean_baseline")
+    return finish(_submission(spark, sf, io.load_fitted(spark, path)))
+
+
+@query("a07_baseline_roundtrip", with_(*B, *HM) + f"SELECT {i('row_id')} AS row_id, {r('pred')} AS pred FROM p")
+def a07_hm(spark, sf):
+    """Holdout predictions of an hourly mean that was saved and loaded."""
+    train, hold = split_holdout(lab2(spark, sf), CFG)
+    path = io.save_fitted(bl.HourlyMeanBaseline().fit(train, "count"), scratch_path(spark, "a07-hm"))
+    return finish(io.load_fitted(spark, path).predict(hold).select("row_id", "pred"))
 
 
 # --- A5 upsert, A6 record ----------------------------------------------------------------------------
@@ -214,6 +236,23 @@ def a10(spark, sf):
     return finish(io.sweep_long(io.read_gap_report(spark, path)))
 
 
+# --- M14 with closed-form models -------------------------------------------------------------------
+def _m14_sql():
+    cols = ", ".join(f"{r(m)} AS {m}" for m in METRICS)
+    return with_(*B, *_cv2_sql()) + (f"SELECT model, 'cv' AS view, {i('fold')} AS fold, {cols} FROM pf "
+                                     f"UNION ALL SELECT model, 'holdout', {i('0')}, {cols} FROM hf")
+
+
+@query("m14_train_job_baselines", _m14_sql())
+def m14_hm(spark, sf):
+    """Training runs of both baselines, and the first again, into one metrics table: a
+    rerun replaces its model's rows (version 3 holds each model once)."""
+    df, base = lab2(spark, sf), None
+    for name in ("mean_baseline", "hourly_mean_baseline", "mean_baseline"):
+        _, base, latest = train_model_job(spark, df, name, metrics_base=base)
+    return finish(spark.read.parquet(latest))
+
+
 # --- M32 train/test predictor schema equality ------------------------------------------------------
 def schema_diff(train, test, exclude=("count", "casual", "registered")):
     """One row per predictor column of either table with both types and a flag;
@@ -225,7 +264,17 @@ def schema_diff(train, test, exclude=("count", "casual", "registered")):
     return spark.createDataFrame(rows, "column_name string, train_type string, test_type string, same int")
 
 
-@query("m32_schema_equality")
+#: Types of the processed predictors, as the prepare step declares them.
+_KINDS = {"timestamp_ntz": ["datetime"], "bigint": ["row_id"], "tinyint": ["day", "is_weekend"],
+          "smallint": ["year", "month", "dayofweek", "hour"], "int": ["season", "holiday", "workingday", "weather"],
+          "double": ["temp", "atemp", "humidity", "windspeed"],
+          "float": ["hour_sin", "hour_cos", "hour_sin2", "hour_cos2", "month_sin", "month_cos", "hour_sin_workday",
+                    "hour_cos_workday"]}
+
+
+@query("m32_schema_equality", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{kind}' AS train_type, '{kind}' AS test_type, {i('1')} AS same"
+    for kind, names in _KINDS.items() for c in names))
 def m32(spark, sf):
     """Processed train (days 1-19, leakage dropped) and processed test (days 20+)
     written through the same prepare step; their predictor schemas are compared."""
