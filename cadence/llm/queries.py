@@ -170,12 +170,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tool_messages(conversations: DataFrame) -> DataFrame:
     """Stand-in messages: an assistant turn becomes a call, the turn after it a tool
-    result; arguments and dependencies are made of the row's own columns."""
+    result; arguments (the whole text, null: empty) and dependencies are made of the
+    row's own columns."""
     from cadence.llm.chat import CALLS
     from pyspark.sql import functions as F
-    name = F.element_at(F.array(F.lit("search"), F.lit("translate"), F.lit("lookup")), F.length("text") % 3 + 1)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    name = F.element_at(F.array(F.lit("search"), F.lit("translate"), F.lit("lookup")), F.length(text) % 3 + 1)
     call_id = F.concat(F.lit("call-"), F.col("turn").cast("string"))
-    arguments = F.to_json(F.struct(F.substring("text", 1, 40).alias("query"), (F.length("text") % 120).alias("limit")))
+    arguments = F.to_json(F.struct(text.alias("query"), (F.length(text) % 120).alias("limit")))
     deps = F.when(F.col("turn") > 1, F.array(F.concat(F.lit("call-"), F.floor(F.col("turn") / 2).cast("string")))).otherwise(
         F.array().cast("array<string>"))
     call = F.struct(call_id.alias("id"), name.alias("name"), arguments.alias("arguments"), deps.alias("depends_on"))
@@ -189,7 +191,7 @@ def tool_messages(conversations: DataFrame) -> DataFrame:
 TOOLS = [
     ("search", '{"type":"object","properties":{"query":{"type":"string","minLength":1},"limit":{"type":"integer","minimum":1,"maximum":100}},'
                '"required":["query","limit"],"additionalProperties":false}'),
-    ("translate", '{"type":"object","properties":{"query":{"type":"string","maxLength":39},"limit":{"type":"integer"}},"required":["query"]}'),
+    ("translate", '{"type":"object","properties":{"query":{"type":"string","maxLength":1000},"limit":{"type":"integer"}},"required":["query"]}'),
 ]
 
 

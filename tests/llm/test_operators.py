@@ -176,6 +176,20 @@ def test_tool_query_keeps_every_call(spark):
     assert got.filter("level is null and status <> 'orphan'").count() == 0
 
 
+def test_tool_query_arguments_hold_whole_texts(spark):
+    conv = q.table(spark, SF001, "conversations")
+    want = {(r["conv_id"], r["turn"]): r["text"] or "" for r in conv.filter("role = 'assistant'").collect()}
+    rows = q.QUERIES["op2_tool_call_linking"](spark, SF001).filter("status <> 'orphan'").collect()
+    assert {(r["conv_id"], r["turn"]): json.loads(r["canonical"])["arguments"]["query"] for r in rows} == want
+    assert max(map(len, want.values())) > 1000
+    for r in rows:  # the schema's bound is one of whole texts
+        if r["name"] == "translate":
+            assert ("$.query: too long" in r["errors"]) == (len(want[r["conv_id"], r["turn"]]) > 1000)
+    odd = spark.createDataFrame([(1, 1, "assistant", None)], "conv_id bigint, turn bigint, role string, text string")
+    call = q.tool_messages(odd).first()["calls"][0]
+    assert call["name"] == "search" and json.loads(call["arguments"]) == {"query": "", "limit": 0}
+
+
 # ---------------------------------------------------------------- op3
 def round_trip(pages):
     return warc.read_archives(warc.write_archives(pages, warc.shared_folder(pages.sparkSession), archive_bytes=2000), True)
