@@ -11,10 +11,10 @@ hash u: h_s(x) = u(x) - s * 2^64 / slots mod 2^64, whose smallest values are the
 ones at or after a slot's edge in the sorted u, going round. Likeness is the share of
 slots that agree.
 
-Hashes and token positions are packed in one long (the position in the low bits), so
-both sorts of a text, of its k-mers to number repeats and of u, are sorts of plain
-longs and the work is linear but for them. Texts of 2^23 tokens or more use 32 bits for
-the position instead of 24.
+Hashes have 40 bits in texts of every size, so all fingerprints compare. For both sorts
+of a text, of its k-mers to number repeats and of u, hash and token position are packed
+in one long (the position in the low 24 bits); the work is linear but for them. Texts of
+more than 2^24 tokens sort structs of hash and position instead, to the same result.
 
 ``chained`` gives each row the text that follows in ascending id order, the last the
 first. Rows are dealt to buckets that ascend with the id, cut at quantiles over all
@@ -44,10 +44,13 @@ def _long(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
 
-def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, length: int = LENGTH, slots: int = SLOTS) -> DataFrame:
+def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, length: int = LENGTH, slots: int = SLOTS,
+              packed: int = 1 << 24) -> DataFrame:
     """Adds ``out_col``: ``slots`` 32-bit numbers. Every step is a column of its own that
-    the next refers to more than once, so none is computed twice."""
+    the next refers to more than once, so none is computed twice. ``packed``: most tokens
+    (2^24 at most) whose positions are packed with their hashes; results don't change."""
     rest = df.columns
+    high, low = _long(-(1 << 24)), _long((1 << 24) - 1)
 
     def tmp(name: str) -> Column:
         return F.col(f"__omh_{name}")
@@ -55,38 +58,43 @@ def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, length: in
     def step(frame: DataFrame, keep: list[str], **made: Column) -> DataFrame:
         return frame.select(*rest, *[tmp(c) for c in keep], *[v.alias(f"__omh_{n}") for n, v in made.items()])
 
+    def ordered(frame: DataFrame, h: str, p: str, pairs) -> DataFrame:
+        """Sorted hashes ``h`` and their positions ``p``; ``pairs(make)`` is the array of
+        make(hash, position)."""
+        few = tmp("few")
+        frame = step(frame, ["n", "few"], s=F.when(few, F.sort_array(pairs(lambda x, i: x.bitwiseOR(i)))),
+                     w=F.when(~few, F.sort_array(pairs(lambda x, i: F.struct(x.alias("h"), i.alias("p"))))))
+        return step(frame, ["n", "few"], **{
+            h: F.when(few, F.transform(tmp("s"), lambda x: x.bitwiseAND(high))).otherwise(tmp("w")["h"]),
+            p: F.when(few, F.transform(tmp("s"), lambda x: x.bitwiseAND(low))).otherwise(tmp("w")["p"])})
+
     d = step(df, [], t=F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0)))
-    few = F.size(tmp("t")) < (1 << 23)
     d = step(d, ["t"], n=F.when(F.size(tmp("t")) == 0, 0).otherwise(F.greatest(F.size(tmp("t")) - (k - 1), F.lit(1))),
-             low=F.when(few, _long((1 << 24) - 1)).otherwise(_long((1 << 32) - 1)), bits=F.when(few, 24).otherwise(32))
+             few=F.size(tmp("t")) <= packed)
 
     def upto(n: Column) -> Column:  # 0 .. n - 1
         return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
     # k-mers with their positions, equal ones side by side
-    mers = F.transform(upto(tmp("n")), lambda i: F.xxhash64(*[F.get(tmp("t"), i + j) for j in range(k)]).bitwiseAND(
-        F.bitwise_not(tmp("low"))).bitwiseOR(i.cast("bigint")))
-    d = step(d, ["n", "low", "bits"], s=F.sort_array(mers))
+    d = ordered(d, "m", "p", lambda make: F.transform(upto(tmp("n")), lambda i: make(
+        F.xxhash64(*[F.get(tmp("t"), i + j) for j in range(k)]).bitwiseAND(high), i.cast("bigint"))))
 
     def mer(i: Column) -> Column:
-        return F.coalesce(F.get(tmp("s"), i), _long(0))
+        return F.coalesce(F.get(tmp("m"), i), _long(0))
 
-    d = step(d, ["n", "low", "bits", "s"], again=F.filter(
-        upto(tmp("n")), lambda i: (i > 0) & (mer(i).bitwiseXOR(mer(i - 1)).bitwiseAND(F.bitwise_not(tmp("low"))) == 0)))
-    d = step(d, ["n", "low", "bits", "s", "again"], first=F.array_except(upto(tmp("n")), tmp("again")))
+    d = step(d, ["n", "few", "m", "p"], again=F.filter(upto(tmp("n")), lambda i: (i > 0) & (mer(i) == mer(i - 1))))
+    d = step(d, ["n", "few", "m", "p", "again"], first=F.array_except(upto(tmp("n")), tmp("again")))
 
-    def numbered(i: Column, nth: Column) -> Column:
-        at = mer(i)
-        u = F.xxhash64(at.bitwiseAND(F.bitwise_not(tmp("low"))), nth)
-        return u.bitwiseAND(F.bitwise_not(tmp("low"))).bitwiseOR(at.bitwiseAND(tmp("low")))
+    def numbered(make, i: Column, nth: Column) -> Column:
+        return make(F.xxhash64(mer(i), nth).bitwiseAND(high), F.coalesce(F.get(tmp("p"), i), _long(0)))
 
     # the j-th repeat stands at i: i - j of the places up to i are first ones, the last
     # of them that of its own k-mer
-    hashes = F.concat(F.transform(tmp("first"), lambda i: numbered(i, F.lit(0))),
-                      F.transform(tmp("again"), lambda i, j: numbered(i, i - F.coalesce(F.get(tmp("first"), i - j - 1), F.lit(0)))))
-    d = step(d, ["n", "low", "bits"], u=F.sort_array(hashes),
-             widths=F.transform(F.sequence(F.ceil(F.log2(tmp("n") + 1)).cast("int"), F.lit(0), F.lit(-1)),
-                                lambda e: F.pow(F.lit(2.0), e).cast("int")))
+    d = ordered(d, "u", "q", lambda make: F.concat(
+        F.transform(tmp("first"), lambda i: numbered(make, i, F.lit(0))),
+        F.transform(tmp("again"), lambda i, j: numbered(make, i, i - F.coalesce(F.get(tmp("first"), i - j - 1), F.lit(0))))))
+    d = step(d, ["n", "u", "q"], widths=F.transform(F.sequence(F.ceil(F.log2(tmp("n") + 1)).cast("int"), F.lit(0), F.lit(-1)),
+                                                    lambda e: F.pow(F.lit(2.0), e).cast("int")))
 
     def edge(j: Column) -> Column:
         return F.call_function("shiftleft", (j - slots // 2).cast("bigint"), F.lit(64 - (slots.bit_length() - 1)))
@@ -98,14 +106,12 @@ def signature(df: DataFrame, text_col: str, out_col: str, k: int = K, length: in
 
     def slot(j: Column) -> Column:
         def place(at: Column) -> Column:
-            taken = F.transform(F.sequence(F.lit(0), F.least(F.lit(length), tmp("n")) - 1),
-                                lambda x: F.coalesce(F.get(tmp("u"), F.pmod(at + x, tmp("n"))), _long(0)))
-            # position in front, so that sorting restores the order of the text
-            ordered = F.sort_array(F.transform(taken, lambda x: F.call_function(
-                "shiftleft", x.bitwiseAND(tmp("low")), F.lit(64) - tmp("bits")).bitwiseOR(
-                F.call_function("shiftrightunsigned", x, tmp("bits")))))
-            return F.xxhash64(F.transform(ordered, lambda x: x.bitwiseAND(
-                F.call_function("shiftrightunsigned", _long(-1), tmp("bits")))))
+            def taken(x: Column) -> Column:  # position in front, so that sorting restores the order of the text
+                i = F.pmod(at + x, tmp("n"))
+                return F.struct(F.get(tmp("q"), i).alias("q"), F.coalesce(F.get(tmp("u"), i), _long(0)).alias("u"))
+
+            found = F.sort_array(F.transform(F.sequence(F.lit(0), F.least(F.lit(length), tmp("n")) - 1), taken))
+            return F.xxhash64(F.transform(found, lambda x: F.call_function("shiftrightunsigned", x["u"], F.lit(24))))
         return F.get(F.transform(F.array(below(j)), place), F.lit(0))
 
     sig = F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda j: slot(j).bitwiseAND(_long((1 << 32) - 1)))

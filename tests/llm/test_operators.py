@@ -127,6 +127,13 @@ def test_order_minhash_empty_single_and_native(spark, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_order_minhash_is_the_same_on_both_sides_of_the_size_switch(spark, odd):
+    docs = odd.select("doc_id", "text")
+    want = [(t[0], signature(t[1])) for t in TEXTS]
+    for packed in (1, 8, 1 << 24):
+        assert by_repr((r[0], r[2]) for r in map(tuple, omh.signature(docs, "text", "sig", packed=packed).collect())) == by_repr(want)
+
+
 # ---------------------------------------------------------------- op2
 def test_violations():
     schema = {"type": "object", "required": ["a"], "additionalProperties": False,
