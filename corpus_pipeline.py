@@ -58,7 +58,8 @@ STAGES = [
 ]
 
 #: XXH64 fingerprints and fitted classifiers have no SQL form; tests/llm compares the
-#: stages with brute force.
+#: first two stages with scores of each text alone, near_dedup with brute force and the
+#: last two with OP8_SQL and OP7_SQL over their own input.
 ORACLE_SQL = None
 
 

@@ -480,3 +480,68 @@ def test_pipeline_stages_against_their_operators(spark):
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix(before).filter("copies > 0").collect()}
     assert {r["doc_id"]: r["n"] for r in after.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()} == copies
     assert cp.run(spark, SF001).count() == after.count()
+
+
+def test_pipeline_stages_against_plain_scores_and_sql(spark):
+    import corpus_pipeline as cp
+    import duckdb
+    import numpy as np
+    import pandas as pd
+    docs, by = q.table(spark, SF001, "documents"), {}
+    for name, stage in cp.STAGES:
+        out = written(stage(spark, docs, SF001), "test")
+        by[name] = (docs, out)
+        docs = out
+
+    def ids(df):
+        return sorted(r["doc_id"] for r in df.select("doc_id").collect())
+
+    # language: every text alone, its vector a plain sum over its n-grams
+    before, after = by["language_id"]
+    langs, protos = langid.learn(before, F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    enc, want = langid.Encoder(), []
+    for r in before.select("doc_id", "text").collect():
+        points = [int(x) for x in langid.letter_sequence(np.frombuffer((r["text"] or "").encode(), np.uint8),
+                                                         np.array([0, len((r["text"] or "").encode())]))[0]]
+        grams = [tuple(points[i:i + 3]) for i in range(len(points) - 2)] or ([tuple(points)] if len(points) > 1 else [])
+        if not grams:
+            continue
+        if len(points) < 3:
+            grams = [tuple(points + [0] * (3 - len(points)))]
+        seen = {}
+        for g in grams:
+            seen[g] = seen.get(g, 0) + 1
+        v = sum(n * enc.gram_vector(list(g)).astype(float) for g, n in seen.items())
+        if max(protos @ v / np.linalg.norm(v)) >= langid.MIN_SCORE:
+            want.append(r["doc_id"])
+    assert ids(after) == sorted(want)
+
+    # quality: every text alone, all pairs of its features multiplied out
+    before, after = by["quality_filter"]
+    m = quality.learn(before, q.table(spark, SF001, "labels"), F.crc32(F.col("doc_id").cast("string")) % 5 != 0, meta=["n_chars"])
+    want = []
+    for r in before.select("doc_id", "text", "n_chars").collect():
+        data = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        _, f, x = quality._rows(data, np.array([0, len(data)]), np.array([[float(r["n_chars"])]]), m.bits)
+        v = m.factors[f].astype(float) * x[:, None]
+        z = m.bias + (m.weights[f].astype(float) * x).sum() + np.triu(v @ v.T, 1).sum()
+        if 1 / (1 + np.exp(-z)) >= quality.THRESHOLD:
+            want.append(r["doc_id"])
+    assert ids(after) == sorted(want)
+
+    # the last two: their SQL over their own input
+    def run_sql(sql, docs):
+        con = duckdb.connect()
+        con.register("documents", docs.select("doc_id", "text", "source").toPandas())
+        con.register("benchmark", pd.read_parquet(f"{SF001}/benchmark.parquet"))
+        return con.execute(sql).df()
+
+    before, after = by["decontaminate"]
+    got = run_sql(q.OP8_SQL, before)
+    assert ids(after) == sorted(got[~got.contaminated].doc_id)
+    before, after = by["mix_sources"]
+    got = run_sql(q.OP7_SQL, before)
+    n = after.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()
+    copies = {int(i): int(t // s) for i, s, t in zip(got.doc_id, got["size"], got.taken) if s and t}
+    sizes = {int(i) for i, s in zip(got.doc_id, got["size"]) if s}
+    assert {r["doc_id"]: r["n"] for r in n if r["doc_id"] in sizes} == copies
