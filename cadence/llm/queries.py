@@ -201,3 +201,64 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cadence.llm import chat
     messages = tool_messages(table(spark, sf_dir, "conversations"))
     return chat.link(messages, spark.createDataFrame(TOOLS, "name string, schema string"))
+
+
+def crc32_sql(value: str) -> str:
+    """crc32 of an integer's decimal text, bit by bit (a step of 0 or more also adds the
+    next byte)."""
+    step = "CASE WHEN xor(a, greatest(b, 0)) & 1 = 1 THEN xor(xor(a, greatest(b, 0)) >> 1, 3988292384) ELSE xor(a, greatest(b, 0)) >> 1 END"
+    return (f"xor(list_reduce(flatten(list_transform(string_split(CAST({value} AS VARCHAR), ''), "
+            "lambda c: list_concat([CAST(ascii(c) AS BIGINT)], [-1::BIGINT, -1, -1, -1, -1, -1, -1]))), "
+            f"lambda a, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)")
+
+
+_FRAME = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', CAST({0} AS VARCHAR)) END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(concat(" + ", ".join(_FRAME.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS g, {_leaf_sql("text")} AS leaf,
+    {_leaf_sql("low")} AS seen, {crc32_sql("doc_id")} % 3 = 0 AS changed FROM (SELECT *, {_FOLD.format("text")} AS low FROM documents)),
+n AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+lang_level AS (
+  SELECT 0 AS lvl, g, n, pos, leaf AS h FROM n
+  UNION ALL
+  SELECT lvl + 1, g, (n + 7) // 8, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM lang_level WHERE n > 1 GROUP BY lvl, g, n, pos // 8),
+sub AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n, lvl FROM lang_level WHERE n = 1),
+top_level AS (
+  SELECT 0 AS lvl, n, pos, subroot AS h FROM sub
+  UNION ALL
+  SELECT lvl + 1, (n + 7) // 8, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM top_level WHERE n > 1 GROUP BY lvl, n, pos // 8),
+root AS (SELECT h AS root FROM top_level WHERE n = 1),
+lang_runs AS (SELECT lvl, g, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM lang_level WHERE n > 1 GROUP BY ALL),
+top_runs AS (SELECT lvl, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM top_level WHERE n > 1 GROUP BY ALL),
+steps AS (
+  SELECT n.doc_id, n.leaf, n.g, n.pos, r.lvl AS k, r.hs, (n.pos // CAST(pow(8, r.lvl) AS BIGINT)) % 8 AS j
+  FROM n JOIN lang_runs r ON r.g = n.g AND r.run = n.pos // CAST(pow(8, r.lvl + 1) AS BIGINT)
+  UNION ALL
+  SELECT n.doc_id, n.leaf, n.g, n.pos, 1000 + r.lvl, r.hs, (s.pos // CAST(pow(8, r.lvl) AS BIGINT)) % 8
+  FROM n JOIN sub s ON s.g = n.g JOIN top_runs r ON r.run = s.pos // CAST(pow(8, r.lvl + 1) AS BIGINT)),
+paths AS (SELECT g, pos, list([array_to_string(hs[1:j], ''), array_to_string(hs[j + 2:], '')] ORDER BY k) AS p FROM steps GROUP BY g, pos),
+f AS (SELECT n.doc_id, n.leaf, s.subroot, root.root, coalesce(paths.p, []) AS p, CASE WHEN n.changed THEN n.seen ELSE n.leaf END AS start
+      FROM n JOIN sub s ON s.g = n.g CROSS JOIN root LEFT JOIN paths ON paths.g = n.g AND paths.pos = n.pos),
+o AS (SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: concat(x[1], x[2])), '')) AS proof_sha256,
+             list_reduce(list_concat([['', start, '']], list_transform(p, lambda x: [x[1], '', x[2]])),
+                         lambda a, b: ['', sha256(concat(b[1], a[2], b[3])), ''])[2] AS folded_root FROM f)
+SELECT *, folded_root = root AS verified FROM o
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and every third proof folded again from
+    a text in lower case."""
+    from cadence.llm import merkle
+    from cadence.llm.common import id_hash
+    from pyspark.sql import functions as F
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    got = merkle.manifest(docs, changed={"text": merkle.lowered(F.col("text"))}, when=F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % 3 == 0))
+    return got.select("doc_id", "leaf", "subroot", "root", merkle.sha(F.col("proof")).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
