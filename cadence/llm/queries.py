@@ -262,3 +262,35 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = merkle.manifest(docs, changed={"text": merkle.lowered(F.col("text"))}, when=F.col("doc_id").isNotNull() & (id_hash(F.col("doc_id")) % 3 == 0))
     return got.select("doc_id", "leaf", "subroot", "root", merkle.sha(F.col("proof")).alias("proof_sha256"), "folded_root",
                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+OP13_SQL = rf"""
+WITH c AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {crc32_sql("doc_id")} AS h FROM documents),
+e AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % nullif(len(w), 0) AS a FROM c),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+t AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN w[1:a] || flatten(list_transform(range(0, (n - a) // p), lambda k: w[a + 1:a + p]))
+             || w[a + 1:a + (n - a) % p] ELSE w END AS w FROM p),
+gr AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(0, n - 5)) AS i FROM t WHERE n >= 12)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM gr x JOIN gr y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+isl AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM pairs),
+cand AS (SELECT doc_id, q, min(i) AS s, max(i) + 6 + q - min(i) AS len FROM isl GROUP BY doc_id, q, grp),
+runs AS (SELECT doc_id, s, len, min(q) AS q FROM cand WHERE len >= greatest(12, 2 * q) GROUP BY doc_id, s, len),
+lists AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(s, ',', len, ',', q, chr(10)), '' ORDER BY s, q) AS txt,
+                 list([s, len, q] ORDER BY len DESC, s, q)[1] AS top FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS txt FROM
+         (SELECT doc_id, unnest(w) AS word, unnest(range(0, n)) AS i FROM t WHERE doc_id IN (SELECT doc_id FROM runs)) x
+         ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(top[1] AS BIGINT) AS start, CAST(top[2] AS BIGINT) AS length,
+       CAST(top[3] AS BIGINT) AS period, CAST(1000 * top[2] // top[3] AS BIGINT) AS exponent_milli,
+       sha256(coalesce(l.txt, '')) AS runs_sha256, sha256(CASE WHEN n_runs IS NULL THEN array_to_string(t.w, ' ') ELSE coalesce(kept.txt, '') END) AS collapsed_sha256
+FROM t LEFT JOIN lists l USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op13_periodic_runs", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every whole document, with the contract's planted
+    repetition."""
+    from cadence.llm import runs
+    return runs.digests(table(spark, sf_dir, "documents"), planted=True)
