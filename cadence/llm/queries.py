@@ -294,3 +294,24 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     repetition."""
     from cadence.llm import runs
     return runs.digests(table(spark, sf_dir, "documents"), planted=True)
+
+
+OP12_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+         WHERE list_cosine_similarity(x.e, y.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+cnt AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n_links, comp.component_id, comp.component_id = e.vec_id AS kept
+FROM embeddings e JOIN comp ON comp.a = e.vec_id LEFT JOIN cnt ON cnt.a = e.vec_id
+"""
+
+
+@query("op12_embedding_near_duplicates", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors, by the subspace pigeonhole join."""
+    from cadence.llm import vectors
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
