@@ -111,7 +111,7 @@ def _open(blocks: DataFrame, carry: Sequence[str] = (), along: Sequence[str] = (
         f"i -> substring(l0, i * {run} + 1, {run})))").alias("run", "nodes"))
     parts = [f"if(depth > {d}, array({_flanks(f'l{d}', f'run div {FAN ** (d - 1)}')}), slice(path, 1, 0))"
              for d in range(1, LEVELS)]
-    runs = runs.select("g", "run", "nodes", "depth", *along, F.expr(f"concat({', '.join(parts)}, path)").alias("up"),
+    runs = runs.select("g", "run", "nodes", "depth", *along, F.expr(f"concat({', '.join([*parts, 'path'])})").alias("up"),
                        F.slice("at", F.col("run") * FAN + 1, FAN).alias("at"))
     one = runs.select("g", "nodes", "depth", "up", *along, F.posexplode("at").alias("j", "x"))
 

@@ -152,14 +152,15 @@ def _moments(classes: DataFrame) -> DataFrame:
         "label", "size", "n", F.col("m.mean").alias("mean"), F.col("m.spread").alias("spread"))
 
 
-def slabs(x: np.ndarray, radius: float, n: int, mean: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, ...]:
+def slabs(x: np.ndarray, radius: float, n: int, mean: np.ndarray, spread: np.ndarray,
+          per_cell: int = CELL) -> tuple[np.ndarray, ...]:
     """For rows of one block's coordinates: home slab and first and last slab that the
     ball reaches, each (rows, coordinates), numbers within a byte.
 
-    The bits that bring n classes down to CELL a cell are dealt to the coordinates in
+    The bits that bring n classes down to ``per_cell`` a cell are dealt to the coordinates in
     turn: no bit leaves a coordinate whole, one halves it at the mean, more give slabs of
     uniform width."""
-    bits = max(0, int(np.ceil(np.log2(max(n, 1) / CELL))))
+    bits = max(0, int(np.ceil(np.log2(max(n, 1) / per_cell))))
     dims = x.shape[1]
     home, low, high = (np.zeros(x.shape, np.int64) for _ in range(3))
     reach = radius + 1e-6
@@ -192,7 +193,7 @@ def _packed(cells: np.ndarray) -> np.ndarray:
     return out
 
 
-def _placed(classes: DataFrame, threshold: float) -> DataFrame:
+def _placed(classes: DataFrame, threshold: float, per_cell: int) -> DataFrame:
     """cls, label, size, block, cell and whether it is the home cell, for every cell that
     a class's ball reaches in every block."""
     kind = classes.schema["label"].dataType.simpleString()
@@ -213,7 +214,7 @@ def _placed(classes: DataFrame, threshold: float) -> DataFrame:
                 mean, spread = (np.array(batch.column(k)[ix[0]].as_py()) for k in (5, 6))
                 own = cls[ix]
                 for b, ((lo, hi), budget) in enumerate(zip(blocks_of(dims), budgets(dims, threshold))):
-                    home, low, high = slabs(x[:, lo:hi], float(np.sqrt(budget)), count, mean[lo:hi], spread[lo:hi])
+                    home, low, high = slabs(x[:, lo:hi], float(np.sqrt(budget)), count, mean[lo:hi], spread[lo:hi], per_cell)
                     rows, cells = _reached(low, high)
                     cell, at = _packed(cells), _packed(home)
                     m = len(rows)
@@ -307,13 +308,13 @@ def _compare(threshold: float):
     return run
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def links(classes: DataFrame, threshold: float = THRESHOLD, per_cell: int = CELL, tile: int = TILE) -> DataFrame:
     """Rows (a, b, n): class a counts n linked vectors of other classes (a = b), or
     belongs to one component with class b (n = 0)."""
-    spots = written(_placed(classes, threshold), "cells")
+    spots = written(_placed(classes, threshold, per_cell), "cells")
     spot = ["label", "size", "block", "cell"]
-    crowded = written(spots.groupBy(*spot).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > TILE), "crowded")
-    cut = spots.join(crowded, spot, "left").withColumn("k", F.coalesce(F.ceil(F.col("rows") / TILE), F.lit(1)).cast("int"))
+    crowded = written(spots.groupBy(*spot).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > tile), "crowded")
+    cut = spots.join(crowded, spot, "left").withColumn("k", F.coalesce(F.ceil(F.col("rows") / tile), F.lit(1)).cast("int"))
     part = F.pmod(F.xxhash64(F.col("cls"), F.lit(7)), F.col("k")).cast("int")
     every = F.sequence(F.lit(0), F.col("k") - 1)
     # The replica of the home cell stands beside the home row, which it never links with.
@@ -325,14 +326,15 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                    threshold: float = THRESHOLD) -> DataFrame:
+                    threshold: float = THRESHOLD, per_cell: int = CELL, tile: int = TILE) -> DataFrame:
     """id, n_links (other vectors linked directly), component_id (smallest id reachable)
-    and kept (the row names its component) of every row."""
+    and kept (the row names its component) of every row. ``per_cell`` and ``tile`` size
+    the cells and groups; results don't depend on them."""
     prepare(df.sparkSession)
     rows = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
     able = valid("vector", "label")
     classes = classes_of(rows.filter(able))
-    found = written(links(classes, threshold), "links")
+    found = written(links(classes, threshold, per_cell, tile), "links")
     counts = found.groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
     joined = components(written(found.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "forest"))
     of = classes.select("cls", "label", "vector", "rep", "mult").join(
