@@ -16,10 +16,14 @@ of (conversation, level, turn range), so one conversation with a third of all ro
 spread over tasks.
 
 A call is valid if its tool is known and its arguments are a JSON object, without
-repeated names, that fits the tool's schema (type, enum, const, properties, required,
-additionalProperties, items, minimum, maximum, minLength, maxLength, minItems,
-maxItems). The canonical JSON has sorted names, no blanks and no escapes but those that
-JSON demands.
+repeated names, that fits the tool's schema: ``true``, ``false`` or an object of type,
+enum, const, properties, required, additionalProperties, items, minimum, maximum,
+minLength, maxLength, minItems, maxItems and annotations. A schema with another keyword
+is not held to fit: the keyword is named as an error, as are schemas that are no JSON or
+malformed, numbers beyond a double and lone surrogates; none of them stops the job. The
+canonical JSON has sorted names, no blanks, no escapes but those that JSON demands, and
+one form per number: digits for whole numbers below 10^21, else the shortest text of the
+double. In enum and const 1, 1.0 and 1e0 are equal; 1 and true are not.
 
 Status: linked, unanswered, or orphan for a result without call (one row per identifier,
 without position). Null conversations or identifiers never link: such calls are
@@ -51,15 +55,56 @@ def _is(value, kind: str) -> bool:
     return kind in _TYPES and isinstance(value, _TYPES[kind])
 
 
-def violations(value, schema: dict, at: str = "$") -> list[str]:
-    """What of ``schema`` the value breaks."""
+#: Keywords that state nothing about a value.
+_NOTES = frozenset("$schema $id $comment title description default examples format deprecated readOnly writeOnly".split())
+_BOUNDS = frozenset("minimum maximum minLength maxLength minItems maxItems".split())
+_KNOWN = _NOTES | _BOUNDS | frozenset("type enum const properties required additionalProperties items".split())
+
+
+def misuse(schema, at: str = "#") -> list[str]:
+    """What of a schema can't be checked here: unknown keywords and malformed values."""
+    if isinstance(schema, bool):
+        return []
+    if not isinstance(schema, dict):
+        return [f"schema {at}: not an object"]
+    found = [f"schema {at}: {k} is not supported" for k in schema if k not in _KNOWN]
+
+    def need(name: str, ok: bool) -> None:
+        if not ok:
+            found.append(f"schema {at}: {name} is malformed")
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    need("type", isinstance(kinds, list) and all(isinstance(k, str) and (k in _TYPES or k in ("integer", "number")) for k in kinds))
+    need("enum", isinstance(schema.get("enum", []), list))
+    required = schema.get("required", [])
+    need("required", isinstance(required, list) and all(isinstance(k, str) for k in required))
+    for k in _BOUNDS & schema.keys():
+        need(k, _is(schema[k], "number"))
+    inner = schema.get("properties", {})
+    need("properties", isinstance(inner, dict))
+    parts = list(inner.items()) if isinstance(inner, dict) else []
+    parts += [(k, schema[k]) for k in ("items", "additionalProperties") if k in schema]
+    for k, part in parts:
+        found += misuse(part, f"{at}/{k}")
+    return found
+
+
+def same(a, b) -> bool:
+    """Equality of JSON values: numbers by value, never equal to a boolean."""
+    return canonical(a) == canonical(b)
+
+
+def violations(value, schema, at: str = "$") -> list[str]:
+    """What of a schema without ``misuse`` the value breaks."""
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: nothing fits"]
     kinds = schema.get("type")
     if kinds is not None and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return [f"{at}: not {kinds}"]
     found = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(same(value, x) for x in schema["enum"]):
         found.append(f"{at}: not in enum")
-    if "const" in schema and value != schema["const"]:
+    if "const" in schema and not same(value, schema["const"]):
         found.append(f"{at}: not const")
     if _is(value, "number"):
         found += [f"{at}: below minimum"] * (value < schema.get("minimum", value))
@@ -77,9 +122,9 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
                 found += violations(v, known[k], f"{at}.{k}")
             elif more is False:
                 found.append(f"{at}.{k}: unknown")
-            elif isinstance(more, dict):
+            else:
                 found += violations(v, more, f"{at}.{k}")
-    if isinstance(value, list) and isinstance(schema.get("items"), dict):
+    if isinstance(value, list) and "items" in schema:
         for i, v in enumerate(value):
             found += violations(v, schema["items"], f"{at}[{i}]")
     return found
@@ -96,21 +141,60 @@ def _no_constant(name: str):
     raise ValueError(f"{name} is no JSON number")
 
 
+def _finite(text: str) -> float:
+    value = float(text)
+    if value in (float("inf"), float("-inf")):
+        raise OverflowError(text[:40])
+    return value
+
+
+def _one_form(value):
+    """Numbers as they are written: whole ones below 10^21 as integers, others as doubles."""
+    if isinstance(value, dict):
+        return {k: _one_form(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_one_form(v) for v in value]
+    if isinstance(value, bool) or not isinstance(value, (int, float)):
+        return value
+    if abs(value) >= 10 ** 21:
+        return float(value)
+    return int(value) if value == int(value) else value
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return json.dumps(_one_form(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+
+
+def _parsed(text: str | None):
+    """The value of a JSON text; ValueError says why there is none."""
+    try:
+        value = json.loads(text or "", object_pairs_hook=_no_repeats, parse_constant=_no_constant, parse_float=_finite)
+        canonical(value).encode()
+    except OverflowError:
+        raise ValueError("number out of range") from None
+    except UnicodeEncodeError:
+        raise ValueError("lone surrogate") from None
+    except (ValueError, RecursionError):
+        raise ValueError("not JSON") from None
+    return value
 
 
 def check(arguments: str | None, schema: str | None) -> tuple[object, list[str]]:
     """(parsed arguments or the text as it is, errors)."""
     try:
-        value = json.loads(arguments or "", object_pairs_hook=_no_repeats, parse_constant=_no_constant)
-    except (ValueError, RecursionError):
-        return arguments, ["arguments: not JSON"]
+        value = _parsed(arguments)
+    except ValueError as e:
+        return arguments, [f"arguments: {e}"]
     if schema is None:
         return value, ["tool: unknown"]
+    try:
+        rules = _parsed(schema)
+    except ValueError as e:
+        return value, [f"tool: schema: {e}"]
+    wrong = [f"tool: {x}" for x in misuse(rules)]
     if not isinstance(value, dict):
-        return value, ["arguments: not an object"]
-    return value, violations(value, json.loads(schema))
+        return value, [*wrong, "arguments: not an object"]
+    return value, wrong or violations(value, rules)
 
 
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:

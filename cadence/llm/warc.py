@@ -10,8 +10,16 @@ shuffled by digest and a payload shared by a third of all rows meets no single t
 ``read_archives`` deals archives to tasks. Each is read from its start in blocks of
 ``READ_BYTES``: a member is decompressed incrementally (zlib), its record framed by
 Content-Length, and the block and payload digests verified as the bytes pass. A record
-that is cut short, is longer than its frame, misses its end or fails a digest raises
-``WarcError`` with the archive's name and the member's number: nothing is skipped.
+that is cut short, is longer than its frame, misses its end, has a head that can't be
+read or fails a digest raises ``WarcError`` with the archive's name and the member's
+number. An archive must hold the records and bytes that the manifest states, and every
+revisit must name a response of the manifest's archives with its digest: nothing is
+skipped.
+
+Archives are plain files of gzip members, as other readers of the format expect; their
+storage compresses nothing once more. Tasks open them with Arrow's file systems: local
+and shared folders, ``s3://`` (``s3a://`` is taken as it) and ``hdfs://`` where libhdfs
+is installed on the executors.
 
 Null payloads are empty. Null ids are written without an id and come back null; they
 are never the response that others revisit. Rows with equal ids and payloads are all
@@ -26,7 +34,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -79,10 +87,27 @@ def member(data: bytes, level: int = LEVEL) -> bytes:
 
 
 def _head(raw: bytes) -> dict[str, str]:
-    lines = raw.decode().split("\r\n")
+    try:
+        lines = raw.decode().split("\r\n")
+    except UnicodeDecodeError:
+        raise WarcError("the head is not UTF-8") from None
     if not lines[0].startswith("WARC/1."):
         raise WarcError(f"no WARC version: {lines[0][:40]!r}")
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    if not head.get("warc-type"):
+        raise WarcError("no WARC-Type")
+    return head
+
+
+def _number(head: dict[str, str], name: str) -> int:
+    value = head.get(name.lower(), "")
+    if not (value.isascii() and value.isdigit()):
+        raise WarcError(f"no {name}")
+    return int(value)
+
+
+def _id(value: str | None) -> str | None:
+    return None if value is None else unquote(value)
 
 
 class _Record:
@@ -104,10 +129,7 @@ class _Record:
             if at < 0:
                 return
             self.head = _head(bytes(self.pending[:at]))
-            try:
-                self.left = int(self.head["content-length"])
-            except (KeyError, ValueError):
-                raise WarcError("no Content-Length") from None
+            self.left = _number(self.head, "Content-Length")
             data = bytes(self.pending[at + 4:])
             self.pending.clear()
         block, rest = data[:self.left], data[self.left:]
@@ -144,10 +166,26 @@ class _Record:
                 raise WarcError("payload digest differs")
             length = self.payload_bytes
         else:
-            length = int(h.get("payload-length", 0))
-        return {"record_id": h.get("warc-record-id"), "record_type": h["warc-type"], "page_id": h.get("page-id"),
+            length = _number(h, "Payload-Length")
+        return {"record_id": h.get("warc-record-id"), "record_type": h["warc-type"], "page_id": _id(h.get("page-id")),
                 "url": h.get("warc-target-uri"), "payload_bytes": length, "payload_digest": digest,
-                "refers_to": h.get("refers-to-page-id"), "payload": bytes(self.payload) if self.with_payload else None}
+                "refers_to": _id(h.get("refers-to-page-id")), "refers_to_record": h.get("warc-refers-to"), "payload": bytes(self.payload) if self.with_payload else None}
+
+
+class _Counted:
+    """A stream that counts the bytes read."""
+
+    def __init__(self, stream):
+        self.stream, self.bytes = stream, 0
+
+    def read(self, n: int) -> bytes:
+        data = self.stream.read(n)
+        self.bytes += len(data)
+        return data
+
+
+def _store(uri: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1) if uri.startswith("s3a://") else uri)
 
 
 def read_records(stream, name: str = "", with_payload: bool = False, block: int = READ_BYTES) -> Iterator[dict]:
@@ -195,7 +233,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         F.col("__i").cast("string").alias("page"), "url", "payload", "digest", F.col("__refers_to").alias("refers_to"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = _store(folder)
         store.create_dir(base, recursive=True)
         done, out, path, records, size = [], None, "", 0, 0
         for batch in batches:
@@ -203,7 +241,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 page, url, payload, digest, refers_to = (x.as_py() for x in row)
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
-                    path, out, records, size = f"{folder}/{name}", store.open_output_stream(f"{base}/{name}"), 0, 0
+                    path, out, records, size = f"{folder}/{name}", store.open_output_stream(f"{base}/{name}", compression=None), 0, 0
                 data = member(record(page, url, payload.encode(), digest, refers_to))
                 out.write(data)
                 records, size = records + 1, size + len(data)
@@ -222,33 +260,51 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 
 RECORD_DDL = ("record_id string, record_type string, page_id string, url string, payload_bytes bigint, "
-              "payload_digest string, refers_to string, payload binary")
+              "payload_digest string, refers_to string, refers_to_record string, payload binary")
+
+
+def read_archive(path: str, records: int, size: int, with_payload: bool = False) -> Iterator[dict]:
+    """Records of one archive, which must hold as many records and bytes as stated."""
+    store, at = _store(path)
+    n = 0
+    with store.open_input_stream(at, compression=None) as raw:
+        stream = _Counted(raw)
+        for n, r in enumerate(read_records(stream, path, with_payload), 1):
+            yield r
+    if n != records or stream.bytes != size:
+        raise WarcError(f"{path}: {n} records in {stream.bytes} bytes, the manifest has {records} in {size}")
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """The records of all archives of a manifest (columns of ``RECORD_DDL``; payload
-    null unless asked for). The number of archives reaches the driver."""
+    null unless asked for), read once into a table. The number of archives reaches the
+    driver."""
     n = max(1, manifest.count())
-    kinds = [("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.string()), ("url", pa.string()),
-             ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("payload", pa.binary())]
-    schema = pa.schema(kinds)
+    text = ("record_id", "record_type", "page_id", "url", "payload_digest", "refers_to", "refers_to_record")
+    other = {"payload_bytes": pa.int64(), "payload": pa.binary()}
+    schema = pa.schema([(k, pa.string() if k in text else other[k]) for k in (x.split()[0] for x in RECORD_DDL.split(", "))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                store, at = fs.FileSystem.from_uri(path)
+            for path, records, size in zip(*(c.to_pylist() for c in batch.columns)):
                 held, weight = [], 0
-                with store.open_input_stream(at) as stream:
-                    for r in read_records(stream, path, with_payload):
-                        held.append(r)
-                        weight += 200 + len(r["payload"] or b"")
-                        if weight > 4 << 20:
-                            yield pa.RecordBatch.from_pylist(held, schema)
-                            held, weight = [], 0
+                for r in read_archive(path, records, size, with_payload):
+                    held.append(r)
+                    weight += 200 + len(r["payload"] or b"")
+                    if weight > 4 << 20:
+                        yield pa.RecordBatch.from_pylist(held, schema)
+                        held, weight = [], 0
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    return manifest.select("path").repartition(n).mapInArrow(read, RECORD_DDL)
+    found = written(manifest.select("path", "records", "bytes").repartition(n).mapInArrow(read, RECORD_DDL), "records")
+    # what is revisited is counted once a response before it meets the responses
+    named = found.filter("record_type = 'revisit'").select(F.col("refers_to_record").alias("record_id"), "payload_digest").distinct()
+    lost = named.join(found.filter("record_type = 'response'").select("record_id", "payload_digest"),
+                      ["record_id", "payload_digest"], "left_anti").first()
+    if lost:
+        raise WarcError(f"no response {lost['record_id']} with digest {lost['payload_digest']}, which a revisit names")
+    return found
 
 
 def shared_folder(spark, name: str = "warc") -> str:

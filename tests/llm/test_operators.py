@@ -148,6 +148,33 @@ def test_violations():
     assert chat.canonical({"b": "ü", "a": [1, None]}) == '{"a":[1,null],"b":"ü"}'
 
 
+def test_bad_calls_and_schemas_are_errors_of_their_row(spark):
+    bad = {'{"q":1e999}': "arguments: number out of range", '{"q":' + "9" * 400 + "}": "arguments: number out of range",
+           '{"q":"\\ud800"}': "arguments: lone surrogate", '{"\\udfff":1}': "arguments: lone surrogate", "{": "arguments: not JSON",
+           "[" * 100000: "arguments: not JSON", '{"q":NaN}': "arguments: not JSON", '{"q":' + "9" * 5000 + "}": "arguments: not JSON"}
+    for text, error in bad.items():
+        assert chat.check(text, "{}") == (text, [error])
+    assert chat.check('{"a":1}', "true")[1] == [] and chat.check('{"a":1}', "false")[1] == ["$: nothing fits"]
+    assert chat.check('{"a":1}', "{")[1] == ["tool: schema: not JSON"] and chat.check("{}", "7")[1] == ["tool: schema #: not an object"]
+    assert chat.check('{"a":1}', '{"properties":{"a":{"pattern":"x"}},"anyOf":[]}')[1] == [
+        "tool: schema #: anyOf is not supported", "tool: schema #/a: pattern is not supported"]
+    for schema in ('{"type":7}', '{"required":5}', '{"properties":[]}', '{"minimum":"x"}', '{"enum":1}', '{"items":3}', '{"type":"text"}'):
+        assert chat.check('{"a":1}', schema)[1]
+    assert chat.check('{"a":1}', '{"title":"t","description":"d","properties":{"a":true}}')[1] == []
+    one, yes = '{"properties":{"a":{"enum":[1]}}}', '{"properties":{"a":{"const":true}}}'
+    assert chat.check('{"a":true}', one)[1] == ["$.a: not in enum"] and chat.check('{"a":1.0}', one)[1] == []
+    assert chat.check('{"a":1}', yes)[1] == ["$.a: not const"] and chat.check('{"a":true}', yes)[1] == []
+    forms = ["1", "1.0", "1e0", "10e-1"], ["1e25", "1" + "0" * 25], ["0", "-0.0", "0e5"], ["0.1", "1e-1", "0.10"]
+    for same in forms:
+        assert len({chat.canonical(json.loads(x)) for x in same}) == 1
+    calls = [("c%d" % i, "t%d" % (i % 3), text, []) for i, text in enumerate(bad)]
+    messages = spark.createDataFrame([(1, 1, "assistant", "", calls, None)],
+                                     f"conv_id bigint, turn bigint, role string, content string, calls {chat.CALLS}, tool_call_id string")
+    tools = spark.createDataFrame([("t0", "true"), ("t1", "no json"), ("t2", None)], "name string, schema string")
+    got = {r["call_id"]: (r["valid"], r["errors"], json.loads(r["canonical"])["arguments"]) for r in chat.link(messages, tools).collect()}
+    assert got == {"c%d" % i: (False, e, t) for i, (t, e) in enumerate(bad.items())}
+
+
 def test_tool_calls_link_order_and_cycles(spark):
     def call(i, deps=(), args='{"q":1}', name="t"):
         return (i, name, args, list(deps))
@@ -216,6 +243,44 @@ def test_warc_round_trip_and_revisits(spark):
     assert round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_archives_are_plain_gzip_members(spark, tmp_path):
+    pages = spark.createDataFrame([(f"a b/%{i}", "u", "x" * (90 + i // 2)) for i in range(40)] + [("é", None, "x" * 100), (None, "u", "")],
+                                  "page_id string, url string, html string")
+    manifest = warc.write_archives(pages, f"file://{tmp_path}/made", archive_bytes=3000)
+    listed = manifest.collect()
+    assert len(listed) > 3 and sum(r["records"] for r in listed) == 42
+    for r in listed:
+        with open(r["path"].removeprefix("file://"), "rb") as f:
+            data = f.read()
+        assert len(data) == r["bytes"]
+        n = 0
+        while data:   # every member is one whole record
+            one = zlib.decompressobj(31)
+            text = one.decompress(data) + one.flush()
+            assert one.eof and text.startswith(b"WARC/1.1\r\n") and text.count(b"WARC-Type:") == 1 and text.endswith(b"\r\n\r\n")
+            data, n = one.unused_data, n + 1
+        assert n == r["records"]
+    got = warc.read_archives(manifest).collect()
+    assert sorted(r["page_id"] or "" for r in got) == sorted(r["page_id"] or "" for r in pages.collect())
+    assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} <= {r["page_id"] for r in got if r["record_type"] == "response"}
+    # an archive cut at a member's end, and one whose responses are gone
+    path = listed[0]["path"].removeprefix("file://")
+    with open(path, "rb") as f:
+        whole = f.read()
+    one = zlib.decompressobj(31)
+    one.decompress(whole)
+    with open(path, "wb") as f:
+        f.write(whole[:len(whole) - len(one.unused_data)])
+    with pytest.raises(Exception, match="the manifest has"):
+        warc.read_archives(manifest).count()
+    lone = warc.member(warc.record("2", "u", b"x" * 100, hashlib.sha256(b"x" * 100).hexdigest(), "1"))
+    with open(tmp_path / "lone.warc.gz", "wb") as f:
+        f.write(lone)
+    alone = spark.createDataFrame([(f"file://{tmp_path}/lone.warc.gz", 1, len(lone))], "path string, records bigint, bytes bigint")
+    with pytest.raises(warc.WarcError, match="which a revisit names"):
+        warc.read_archives(alone)
+
+
 def test_warc_reader_finds_faults():
     digest = hashlib.sha256(b"payload").hexdigest()
     rec = warc.record("1", "u", b"payload", digest, None)
@@ -225,6 +290,8 @@ def test_warc_reader_finds_faults():
         assert [(r["page_id"], r["record_type"], r["payload_bytes"]) for r in got] == [("1", "response", 7), ("2", "revisit", 7)]
     bad = [good[:-3], warc.member(rec[:-1]), warc.member(rec + b"x"), warc.member(rec + rec), warc.member(rec.replace(b"payload", b"PAYLOAD")),
            good + b"junk", warc.member(rec.replace(b"Content-Length: 7", b"Content-Length: 8"))]
+    bad += [warc.member(rec.replace(b"WARC-Type: response", b"WARC-Kind: response")), warc.member(rec.replace(b"WARC-Date", b"WARC-\xffate")),
+            warc.member(warc.record("2", "u", b"payload", digest, "1").replace(b"Payload-Length: 7", b"Payload-Length: x"))]
     for data in bad:
         with pytest.raises(warc.WarcError):
             list(warc.read_records(io.BytesIO(data), "archive"))
