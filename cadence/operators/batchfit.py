@@ -152,11 +152,11 @@ TREES = "fit int, tree int, base double, col binary, cut binary, lft binary, val
 _PARTS = (("column", np.int32), ("cut", np.int32), ("left", np.int32), ("value", np.float64), ("gain", np.float64))
 
 
-def _tree_row(tree: Tree) -> list[bytes]:
+def tree_row(tree: Tree) -> list[bytes]:
     return [getattr(tree, name).astype(kind).tobytes() for name, kind in _PARTS]
 
 
-def _tree_of(row) -> Tree:
+def tree_of(row) -> Tree:
     return Tree(*(np.frombuffer(row[c], kind) for c, (_, kind) in zip(("col", "cut", "lft", "value", "gain"), _PARTS)))
 
 
@@ -179,7 +179,7 @@ def _in_tasks(table: BinnedTable, fits: Sequence[Fit], keep_trees: bool) -> Data
         train, judged = rows.trains(f)[used], rows.validates(f)[used]
         made, base, score = tr.fit(rows.codes[used][:, places[i]], rows.y[used], rows.keys[used], train, layouts[i], f.settings, first, last)
         if keep_trees:
-            cols = list(zip(*(_tree_row(t) for t in made)))
+            cols = list(zip(*(tree_row(t) for t in made)))
             return pa.table([pa.array([i] * len(made), pa.int32()), pa.array(range(first, last), pa.int32()), pa.array([base] * len(made)),
                              *(pa.array(c, pa.binary()) for c in cols)], names=[x.split()[0] for x in TREES.split(", ")])
         return pa.table([pa.array(np.full(judged.sum(), i, np.int32)), pa.array(rows.keys[used][judged]), pa.array(rows.y[used][judged]),
@@ -341,12 +341,12 @@ def _over_cluster(table: BinnedTable, fits: Sequence[Fit], task_rows: int) -> tu
             order = np.argsort(get("keys", np.int64), kind="stable")
             codes = get("codes", np.int32).reshape(-1, len(lay.sizes))[order].astype(np.int64)
             tree, _ = tr.grow(codes, get("g", np.float64)[order], get("w", np.float64)[order], lay, fits[opened[u].fit].settings, opened[u].tree, depths[u, k])
-            return pa.table([pa.array([u], pa.int32()), pa.array([k], pa.int32()), pa.array([0.0]), *(pa.array([b], pa.binary()) for b in _tree_row(tree))],
+            return pa.table([pa.array([u], pa.int32()), pa.array([k], pa.int32()), pa.array([0.0]), *(pa.array([b], pa.binary()) for b in tree_row(tree))],
                             names=[x.split()[0] for x in TREES.split(", ")])
 
         dealt = state.mapInArrow(deal, "unit int, node int, codes binary, g binary, w binary, keys binary")
         parts = dealt.repartition(min(2000, 2 * len(depths)), "unit", "node").groupBy("unit", "node")
-        return {(r["fit"], r["tree"]): _tree_of(r) for r in parts.applyInArrow(subtree, TREES).collect()}
+        return {(r["fit"], r["tree"]): tree_of(r) for r in parts.applyInArrow(subtree, TREES).collect()}
 
     most = max(f.settings.rounds for f in fits)
     step = FOREST_STEP if all(f.settings.bootstrap for f in fits) else 1
@@ -441,7 +441,7 @@ def ensemble(table: BinnedTable, fit: Fit, task_rows: int = TASK_ROWS) -> Ensemb
     if table.rows <= task_rows:
         rows = _in_tasks(table, [fit], True).collect()
         rows.sort(key=lambda r: r["tree"])
-        made, base = [_tree_of(r) for r in rows], rows[0]["base"] if rows else 0.0
+        made, base = [tree_of(r) for r in rows], rows[0]["base"] if rows else 0.0
     else:
         every, starts, _ = _over_cluster(table, [fit], task_rows)
         made, base = every[0], starts[0]

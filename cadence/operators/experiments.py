@@ -1,8 +1,10 @@
 """Experiment harnesses (M22-M26) and decision gates.
 
-The driver loops over configurations (arms x models x folds); every fit and every
-score inside the loop is a distributed Spark job on one cached, ranked table.
-Results are small DataFrames: one row per (arm, model[, fold]).
+Every fit of a search or sweep (arm x model x draw x fold, and the holdout) is declared
+first; then all tree fits run together on one binned table (``batchfit``) and all ridge
+fits come from one scan (``ridge``). Scores of every fit's validation rows are one
+DataFrame, its metrics one aggregation. Results are small DataFrames: one row per
+(arm, model) or draw.
 """
 
 from __future__ import annotations
@@ -12,36 +14,134 @@ import json
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.config import (CANDIDATE_NUMERIC, FEATURE_GROUPS, NO_REGRESSION_GAIN, PROMOTION_BOOSTED_GAIN,
                             PROMOTION_RIDGE_GAIN, PROMOTION_TREE_TOLERANCE, SEED, Config)
+from cadence.functions.features import fill_zero, from_log1p, linear2
 from cadence.functions.metrics import report
+from cadence.operators import batchfit
 from cadence.operators import validate as va
 from cadence.operators.fitted import AtempRecalibrator, WindspeedZeroImputer
-from cadence.operators.learners import get_model
-from cadence.operators.splits import ranked_with_folds, split_holdout
-
-CONFIG_THREADS = 3   # concurrent (arm, model) configurations; each fit is still distributed
-
-
-def _run_all(fn, items):
-    with ThreadPoolExecutor(max_workers=max(1, min(CONFIG_THREADS, len(items)))) as pool:
-        return list(pool.map(fn, items))
+from cadence.operators.learners import RidgeLog, get_model
+from cadence.operators.ridge import GramTable, RidgeFit
+from cadence.operators.splits import fold_columns, fold_plan, holdout_flag, ranked_with_folds, split_holdout
 
+FIT_THREADS = 3   # small jobs (a fold's fitted transforms) that run at the same time
 
 RESULT_SCHEMA = ("arm string, model string, holdout_rmsle double, holdout_rmse double, holdout_mae double, "
                  "holdout_r2 double, cv_rmsle double")
 
 
-def evaluate_both(predictor, df: DataFrame, cfg: Config, folds) -> dict:
-    """Holdout metrics and CV-mean RMSLE for one predictor (one arm, one model)."""
-    ho = va.evaluate_holdout(predictor, df, cfg).first()
-    cv = va.cv_report(predictor, df, cfg, folds=folds).agg(F.avg("rmsle")).first()[0]
-    return {"holdout_rmsle": ho["rmsle"], "holdout_rmse": ho["rmse"], "holdout_mae": ho["mae"],
-            "holdout_r2": ho["r2"], "cv_rmsle": float(cv)}
+@dataclass
+class Frame:
+    """Ranked rows with the views that fits are validated on: one per gap of the folds,
+    and last, if wanted, the holdout (fold 1 of its view)."""
+
+    rows: DataFrame
+    views: list[batchfit.View]
+    folds: int
+    holdout: int | None
+    versions: dict[tuple[int, int], tuple[tuple[str, str], ...]] = field(default_factory=dict)
+
+    def parts(self, view: int) -> list[tuple[int, int]]:
+        return [(view, f) for f in ([1] if view == self.holdout else range(1, self.folds + 1))]
+
+
+def validation_frame(df: DataFrame, cfg: Config = Config(), gaps: Sequence[int] | None = None, holdout: bool = True) -> Frame:
+    tagged, plan = ranked_with_folds(df, cfg)
+    views = []
+    for gap in gaps if gaps is not None else (cfg.gap,):
+        cols = fold_columns(F.col("rank"), fold_plan(plan[-1].val_end, cfg.n_splits, gap))
+        views.append(batchfit.View(cols["train_seg"], cols["val_fold"]))
+    if holdout:
+        held = holdout_flag(F.col(cfg.datetime_col))
+        views.append(batchfit.View(F.when(held, 2).otherwise(1), F.when(held, 1).otherwise(0)))
+    return Frame(tagged.drop("val_fold", "train_seg"), views, len(plan), len(views) - 1 if holdout else None)
+
+
+@dataclass(frozen=True)
+class Job:
+    """A model to be validated: its parameters, extra columns, and whether it reads the
+    weather columns as rebuilt from each fold's training rows."""
+
+    name: str
+    params: dict
+    extra: tuple[str, ...] = ()
+    rebuilt: bool = False
+
+
+def _rebuild(frame: Frame) -> None:
+    """Adds windspeed and atemp as rebuilt by transforms fitted on every part's training
+    rows (M17): one pair of columns a part."""
+    parts = [p for v in range(len(frame.views)) for p in frame.parts(v)]
+
+    def fitted(part):
+        first = frame.views[part[0]].train_from
+        train = frame.rows.filter((first > 0) & (first <= part[1]))
+        wind = WindspeedZeroImputer().fit(train)
+        return wind, AtempRecalibrator().fit(wind.transform(train))
+    with ThreadPoolExecutor(max_workers=FIT_THREADS) as pool:
+        made = list(pool.map(fitted, parts))
+    cols = {}
+    for (view, fold), (wind, atemp) in zip(parts, made):
+        names = tuple((c, f"{c}__{view}_{fold}") for c in (wind.col, atemp.col))
+        cols[names[0][1]] = fill_zero(F.col(wind.col), wind.fill_value_)
+        cols[names[1][1]] = linear2(*atemp.coef_, *[F.col(c) for c in atemp.FEATURES])
+        frame.versions[view, fold] = names
+    frame.rows = frame.rows.withColumns(cols)
+
+
+def validate(frame: Frame, jobs: Sequence[Job], cfg: Config = Config(), views: Sequence[int] | None = None) -> list[dict]:
+    """Metrics of every (job, view, fold), all fits together: rows with job, view, fold,
+    rmsle, rmse, mae, r2 and n."""
+    if any(j.rebuilt for j in jobs) and not frame.versions:
+        _rebuild(frame)
+    trees, linear = [], []
+    for k, job in enumerate(jobs):
+        num = tuple(c for c in job.extra if c in CANDIDATE_NUMERIC)
+        passed = tuple(c for c in job.extra if c not in CANDIDATE_NUMERIC)
+        est = get_model(job.name, job.params, extra_numeric=num, extra_passthrough=passed, extra_tree=job.extra)
+        for part in (p for v in (views if views is not None else range(len(frame.views))) for p in frame.parts(v)):
+            renamed = dict(frame.versions[part]) if job.rebuilt else {}
+            if isinstance(est, RidgeLog):
+                linear.append(((k, *part), RidgeFit(est.spec, est.alpha, *part, tuple(renamed.items()))))
+            else:
+                trees.append(((k, *part), batchfit.Fit(tuple(renamed.get(c, c) for c in est.features), est.settings(), *part)))
+    found = []
+    for made, scores in ((trees, _tree_scores), (linear, _ridge_scores)):
+        if not made:
+            continue
+        scored = scores(frame, [f for _, f in made], cfg)
+        scored = scored.select("fit", F.expm1("y").alias("y"), from_log1p(F.col("log_pred")).alias("pred"))
+        for r in report(scored, "y", "pred", by=["fit"]).collect():
+            job, view, fold = made[r["fit"]][0]
+            found.append({"job": job, "view": view, "fold": fold, **{m: r[m] for m in ("rmsle", "rmse", "mae", "r2", "n")}})
+    return found
+
+
+def _tree_scores(frame: Frame, fits: list[batchfit.Fit], cfg: Config) -> DataFrame:
+    columns = list(dict.fromkeys(c for f in fits for c in f.columns))
+    return batchfit.scores(batchfit.binned(frame.rows, columns, cfg.target, frame.views, F.col("rank")), fits)
+
+
+def _ridge_scores(frame: Frame, fits: list[RidgeFit], cfg: Config) -> DataFrame:
+    return GramTable(frame.rows, fits, cfg.target, frame.views, F.col("rank")).scores(fits)
+
+
+def _mean(found: list[dict], job: int, view: int) -> float:
+    own = [r["rmsle"] for r in sorted(found, key=lambda r: r["fold"]) if (r["job"], r["view"]) == (job, view)]
+    return sum(own) / len(own)
+
+
+def both_views(frame: Frame, jobs: Sequence[Job], cfg: Config = Config()) -> list[dict]:
+    """Holdout metrics and CV-mean RMSLE of every job."""
+    found = validate(frame, jobs, cfg)
+    held = {r["job"]: r for r in found if r["view"] == frame.holdout}
+    return [{**{f"holdout_{m}": held[k][m] for m in ("rmsle", "rmse", "mae", "r2")}, "cv_rmsle": _mean(found, k, 0)} for k in range(len(jobs))]
 
 
 REPORT_DIGITS = 4   # experiment records keep 4 places (B26), half-even like the records
@@ -62,48 +162,34 @@ def feature_sweep(df: DataFrame, models: Sequence[str], cfg: Config = Config(),
     ``df`` must carry the candidate columns (B16). Ridge routes numeric candidates to
     the scaler and the rest to pass-through; trees take them as extra features."""
     groups = groups if groups is not None else FEATURE_GROUPS
-    df = df.cache()
-    folds = ranked_with_folds(df, cfg)
-    arms = [("baseline", ())] + list(groups.items())
-
-    def one(item):
-        (arm, cols), name = item
-        num = tuple(c for c in cols if c in CANDIDATE_NUMERIC)
-        passthru = tuple(c for c in cols if c not in CANDIDATE_NUMERIC)
-        est = get_model(name, cfg.params.get(name), extra_numeric=num, extra_passthrough=passthru,
-                        extra_tree=tuple(cols))
-        return {"arm": arm, "model": name, **evaluate_both(va.fit_predict(est), df, cfg, folds)}
-    rows = _run_all(one, [(a, m) for a in arms for m in models])
-    df.unpersist()
-    return _results(df.sparkSession, rows)
-
-
-def _with_transforms(est, transforms):
-    """A predictor that fits each transform on the train rows only, then the model."""
-    def run(train, evaluate, label):
-        for t in transforms:
-            fitted = t().fit(train)
-            train, evaluate = fitted.transform(train), fitted.transform(evaluate)
-        return est.fit(train, label).predict(evaluate)
-    return run
+    arms = {"baseline": (), **groups}
+    jobs = [(arm, Job(m, cfg.params.get(m, {}), tuple(cols))) for arm, cols in arms.items() for m in models]
+    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg)
+    return _results(df.sparkSession, [{"arm": arm, "model": j.name, **r} for (arm, j), r in zip(jobs, got)])
 
 
 def env_experiment(df: DataFrame, models: Sequence[str], cfg: Config = Config()) -> DataFrame:
     """Baseline, comfort (+ comfort index), recalib (zero-wind fill and atemp
     rebuild fitted inside every fold), all (both)."""
-    df = df.cache()
-    folds = ranked_with_folds(df, cfg)
     arms = {"baseline": ((), False), "comfort": (("comfort_index",), False), "recalib": ((), True),
             "all": (("comfort_index",), True)}
+    jobs = [(arm, Job(m, cfg.params.get(m, {}), extra, rebuilt)) for arm, (extra, rebuilt) in arms.items() for m in models]
+    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg)
+    return _results(df.sparkSession, [{"arm": arm, "model": j.name, **r} for (arm, j), r in zip(jobs, got)])
+
+
+def gap_diagnostic(df: DataFrame, models: Sequence[str], cfg: Config = Config(), gaps: tuple[int, int] = (0, 48)) -> DataFrame:
+    """CV RMSLE of each model with either gap, and their difference."""
+    found = validate(validation_frame(df, cfg, gaps, holdout=False), [Job(m, cfg.params.get(m, {})) for m in models], cfg)
+    rows = [(m, a, b, b - a) for k, m in enumerate(models) for a, b in [(_mean(found, k, 0), _mean(found, k, 1))]]
+    return df.sparkSession.createDataFrame(rows, f"model string, cv_rmsle_gap{gaps[0]} double, cv_rmsle_gap{gaps[1]} double, delta double")
+
 
-    def one(item):
-        (arm, (extra, recal)), name = item
-        est = get_model(name, cfg.params.get(name), extra_numeric=extra, extra_tree=extra)
-        pred = _with_transforms(est, [WindspeedZeroImputer, AtempRecalibrator] if recal else [])
-        return {"arm": arm, "model": name, **evaluate_both(pred, df, cfg, folds)}
-    rows = _run_all(one, [(a, m) for a in arms.items() for m in models])
-    df.unpersist()
-    return _results(df.sparkSession, rows)
+def cross_validation(df: DataFrame, job: Job, cfg: Config = Config()) -> DataFrame:
+    """M12 for a learner: the four metrics and row count of every fold."""
+    found = validate(validation_frame(df, cfg, holdout=False), [job], cfg)
+    return df.sparkSession.createDataFrame([(r["fold"], r["rmsle"], r["rmse"], r["mae"], r["r2"], r["n"]) for r in sorted(found, key=lambda r: r["fold"])],
+                                           "fold int, rmsle double, rmse double, mae double, r2 double, n bigint")
 
 
 def compare_with_baseline(results: DataFrame, baseline_arm: str = "baseline") -> DataFrame:
@@ -174,33 +260,21 @@ def random_search(df: DataFrame, model: str, space: dict[str, list], n_draws: in
     """Score each draw by CV-mean RMSLE on the search rows (days 1-15, folded
     inside); no refit."""
     search_rows, _ = split_holdout(df, cfg)
-    search_rows = search_rows.cache()
-    folds = ranked_with_folds(search_rows, cfg)
-
-    def one(item):
-        k, params = item
-        est = get_model(model, params)
-        per_fold = va.cv_report(va.fit_predict(est), search_rows, cfg, folds=folds)
-        cv = per_fold.agg(F.avg("rmsle")).first()[0]
-        return (k, model, json.dumps(params, sort_keys=True), float(cv), -float(cv))
-    out = _run_all(one, list(enumerate(draw_params(space, n_draws, cfg.seed))))
-    search_rows.unpersist()
+    draws = draw_params(space, n_draws, cfg.seed)
+    found = validate(validation_frame(search_rows, cfg, holdout=False), [Job(model, p) for p in draws], cfg)
+    out = [(k, model, json.dumps(p, sort_keys=True), cv, -cv) for k, p in enumerate(draws) for cv in [_mean(found, k, 0)]]
     return df.sparkSession.createDataFrame(out, "draw int, model string, params string, cv_rmsle double, score double")
 
 
-def tuned_against_baseline(df: DataFrame, model: str, search: DataFrame, baseline_params: dict,
-                           cfg: Config = Config()) -> DataFrame:
-    """Refit the best draw and the baseline on both views; improvement on holdout."""
-    best = search.orderBy("cv_rmsle", "draw").first()
-    tuned_params = json.loads(best["params"])
-    df = df.cache()
-    folds = ranked_with_folds(df, cfg)
-    rows = _run_all(lambda ap: {"arm": ap[0], "model": model,
-                                **evaluate_both(va.fit_predict(get_model(model, ap[1])), df, cfg, folds)},
-                    [("baseline", baseline_params), ("tuned", tuned_params)])
-    df.unpersist()
-    res = _results(df.sparkSession, rows)
-    return compare_with_baseline(res).withColumn("search_best_cv_rmsle", F.lit(best["cv_rmsle"]))
+def tuned_against_baseline(df: DataFrame, searches: dict[str, DataFrame], cfg: Config = Config()) -> DataFrame:
+    """Refit the best draw of each model and its published settings on both views;
+    improvement on holdout."""
+    best = {m: s.orderBy("cv_rmsle", "draw").first() for m, s in searches.items()}
+    jobs = [(arm, Job(m, p)) for m, row in best.items() for arm, p in (("baseline", cfg.params[m]), ("tuned", json.loads(row["params"])))]
+    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg)
+    res = _results(df.sparkSession, [{"arm": arm, "model": j.name, **r} for (arm, j), r in zip(jobs, got)])
+    found = df.sparkSession.createDataFrame([(m, row["cv_rmsle"]) for m, row in best.items()], "model string, search_best_cv_rmsle double")
+    return compare_with_baseline(res).join(found, "model")
 
 
 def holdout_results(df: DataFrame, predictors: dict, cfg: Config = Config()) -> DataFrame:

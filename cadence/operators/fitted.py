@@ -105,7 +105,7 @@ class PopulationScaler:
 
 class OneHotLevels:
     """M4: learn the level list of each column on training rows and emit one 0/1
-    column per level; a level unseen in training is all zeros."""
+    column per level; a level unseen in training, or none, is all zeros."""
 
     def __init__(self, cols: Sequence[str]):
         self.cols = list(cols)
@@ -134,5 +134,5 @@ class OneHotLevels:
         return [f"{c}_{v}" for c in self.cols for v in self.levels_[c]]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"{c}_{v}": (F.col(c) == F.lit(v)).cast("double")
+        return df.withColumns({f"{c}_{v}": F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0))
                                for c in self.cols for v in self.levels_[c]})

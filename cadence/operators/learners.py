@@ -2,28 +2,27 @@
 
 Each estimator fits on a training DataFrame and predicts on another; the label is
 ``log1p(label)`` and predictions come back through ``from_log1p`` (``pred``) with
-the log-space value kept as ``log_pred`` for bias correction. Fitting is Spark ML:
-the Gram matrix / split statistics are aggregated across partitions, never
-collected as rows.
+the log-space value kept as ``log_pred`` for bias correction. The ridge solves the normal
+equations of one scan's Gram matrix; trees are those of ``batchfit``. Searches and sweeps fit many at
+once (``batchfit.scores``, ``ridge.scores``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.config import (MODEL_NAMES, ADDED_FEATURES, LINEAR_NUMERIC, LINEAR_ONE_HOT, LINEAR_PASSTHROUGH, SEED)
 from cadence.functions.features import from_log1p
+from cadence.operators import batchfit
 from cadence.operators.baselines import Estimator, Fitted
 from cadence.operators.fitted import OneHotLevels, PopulationScaler
-
-# Long boosting runs (300-400 rounds) cut the lineage of their running predictions
-# every 10 rounds into the shared checkpoint folder (always set by the session).
-CHECKPOINT_EVERY = 10
+from cadence.operators.trees import Settings
 
 RAW_FEATURES = ("season", "holiday", "workingday", "weather", "temp", "atemp", "humidity", "windspeed")
 TREE_FEATURES = RAW_FEATURES + ADDED_FEATURES
@@ -58,33 +57,35 @@ class FittedSpec:
         return VectorAssembler(inputCols=self.names(), outputCol="features", handleInvalid="keep").transform(out)
 
 
-class _LogFitted(Fitted):
-    log_space = True
+class LinearFitted(Fitted):
+    """An intercept, a weight per column, and a weight per level of categorical columns
+    (another level, or none, weighs nothing). Predictions are one projection; a row that
+    misses a number has none."""
 
-    def __init__(self, model, prepare):
-        self.model = model
-        self._prepare = prepare
-        fitted_spec = getattr(prepare, "__self__", None)
-        spec = getattr(fitted_spec, "spec", None)
-        self.inputs = tuple([*spec.numeric, *spec.passthrough, *spec.one_hot] if spec else prepare.features)
+    log_space = True
 
-    def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:
-        keep = df.columns
-        scored = self.model.transform(self._prepare(df))
-        return scored.select(*keep, F.col("prediction").alias("log_pred")).withColumn(
-            out, from_log1p(F.col("log_pred")))
+    def __init__(self, intercept: float, weights: dict[str, float], levels: dict[str, dict[float, float]]):
+        self.intercept, self.weights, self.levels = intercept, dict(weights), {c: dict(v) for c, v in levels.items()}
+        self.inputs = (*self.weights, *self.levels)
 
     def predict_log(self, df: DataFrame) -> DataFrame:
-        keep = df.columns
-        return self.model.transform(self._prepare(df)).select(*keep, F.col("prediction").alias("log_pred"))
+        out = F.lit(self.intercept)
+        for c, w in self.weights.items():
+            out = out + F.col(c).cast("double") * F.lit(w)
+        for c, levels in self.levels.items():
+            weight = F.lit(0.0)
+            for v, w in levels.items():
+                weight = F.when(F.col(c) == F.lit(v), F.lit(w)).otherwise(weight)
+            out = out + weight
+        return df.withColumn("log_pred", out)
 
+    def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:
+        return self.predict_log(df).withColumn(out, from_log1p(F.col("log_pred")))
 
-class RidgeLog(Estimator):
-    """M6/M7/M8: L2-penalised least squares on log1p(y), intercept unpenalised.
 
-    The penalty ``alpha * ||w||^2`` on the summed squared error equals Spark's
-    ``regParam = alpha / n * std_pop(label)`` with ``standardization=False`` and the
-    normal-equation solver (Spark scales the label by its spread internally)."""
+class RidgeLog(Estimator):
+    """M6/M7/M8: L2-penalised least squares on log1p(y), intercept unpenalised, scaled
+    columns by their population spread: ``ridge.GramTable`` with all rows as one segment."""
 
     name = "ridge"
 
@@ -93,105 +94,88 @@ class RidgeLog(Estimator):
         self.spec = spec or LinearSpec()
 
     def fit(self, df: DataFrame, label: str) -> Fitted:
-        z = F.log1p(F.col(label).cast("double"))
-        fitted_spec = self.spec.fit(df, [F.count(F.lit(1)).alias("__n"), F.stddev_pop(z).alias("__sy")])
-        st = fitted_spec.scaler.last_row_
-        train = fitted_spec.transform(df).withColumn("_label", z)
-        reg = self.alpha / st["__n"] * (st["__sy"] or 0.0)
-        lr = LinearRegression(featuresCol="features", labelCol="_label", regParam=reg, elasticNetParam=0.0,
-                              standardization=False, solver="normal", fitIntercept=True)
-        return _LogFitted(lr.fit(train), fitted_spec.transform)
+        from cadence.operators.ridge import GramTable, RidgeFit
+        fit = RidgeFit(self.spec, self.alpha)
+        return GramTable(df, [fit], label, [batchfit.View(F.lit(1), F.lit(0))], F.lit(0)).fitted(fit)
 
 
-def _tree_prepare(features: Sequence[str]):
-    cols = list(features)
+class TreesFitted(Fitted):
+    """A fitted ensemble; its trees are broadcast to the tasks that predict (a boosted
+    model is bounded by its rounds and depth; see ``batchfit.ensemble`` for forests)."""
 
-    def prep(df: DataFrame) -> DataFrame:
-        casted = df.withColumns({f"__f{k}": F.col(c).cast("double") for k, c in enumerate(cols)})
-        return VectorAssembler(inputCols=[f"__f{k}" for k in range(len(cols))], outputCol="features",
-                               handleInvalid="keep").transform(casted)
-    prep.features = cols
-    return prep
+    log_space = True
 
+    def __init__(self, model: batchfit.Ensemble):
+        self.model = model
+        self.inputs = tuple(model.columns)
+        self._shared = None
+
+    def predict_log(self, df: DataFrame) -> DataFrame:
+        if self._shared is None:
+            self._shared = df.sparkSession.sparkContext.broadcast(self.model)
+        shared = self._shared
+
+        @F.pandas_udf("double")
+        def score(*cols: pd.Series) -> pd.Series:
+            return pd.Series(shared.value.log_score(np.stack([c.to_numpy(np.float64) for c in cols], axis=1)))
+        return df.withColumn("log_pred", score(*[F.col(c).cast("double") for c in self.inputs]))
 
-#: Spark's trees are at most this deep; an unlimited depth means this.
-DEEPEST = 30
+    def predict(self, df: DataFrame, out: str = "pred") -> DataFrame:
+        return self.predict_log(df).withColumn(out, from_log1p(F.col("log_pred")))
 
 
 class _TreeLog(Estimator):
-    honoured: tuple[str, ...] = ()
+    """``honoured`` maps the published parameter names to those of ``Settings``;
+    ``defaults`` are the settings where a parameter is not given."""
+
+    honoured: dict[str, str] = {}
+    defaults: dict = {}
 
     def __init__(self, features: Sequence[str] = TREE_FEATURES, **params):
         unknown = sorted(set(params) - set(self.honoured))
         if unknown:
             raise ValueError(f"{self.name} has no effect for {unknown}; it takes {sorted(self.honoured)}")
-        if (params.get("max_depth") or 0) > DEEPEST:
-            raise ValueError(f"max_depth {params['max_depth']} is beyond the {DEEPEST} levels of a Spark tree")
         self.features = list(features)
         self.params = params
 
-    def _learner(self):  # pragma: no cover
-        raise NotImplementedError
+    def settings(self) -> Settings:
+        own = {self.honoured[k]: v for k, v in self.params.items()}
+        return Settings(**{"seed": SEED, **self.defaults, **own})
 
     def fit(self, df: DataFrame, label: str) -> Fitted:
-        prep = _tree_prepare(self.features)
-        train = prep(df).withColumn("_label", F.log1p(F.col(label).cast("double")))
-        return _LogFitted(self._learner().fit(train), prep)
+        # a row's draws follow its key, so they don't depend on the partitions
+        key = F.xxhash64("row_id") if "row_id" in df.columns else F.xxhash64(*self.features, label)
+        table = batchfit.binned(df, self.features, label, [batchfit.View(F.lit(1), F.lit(0))], key)
+        return TreesFitted(batchfit.ensemble(table, batchfit.Fit(tuple(self.features), self.settings())))
 
 
 class ForestLog(_TreeLog):
-    """M9: random forest, every feature considered at each split."""
+    """M9: random forest of trees without a depth limit, every feature considered at each
+    split; each tree's rows are drawn with replacement."""
 
     name = "random_forest"
-    honoured = ("n_estimators", "max_depth", "min_samples_leaf")
-
-    def _learner(self):
-        p = self.params
-        depth = p.get("max_depth") or DEEPEST
-        return RandomForestRegressor(featuresCol="features", labelCol="_label", numTrees=p.get("n_estimators", 300),
-                                     maxDepth=int(depth), minInstancesPerNode=p.get("min_samples_leaf", 2),
-                                     featureSubsetStrategy="all", maxBins=64, seed=SEED,
-                                     cacheNodeIds=True, checkpointInterval=CHECKPOINT_EVERY)
+    honoured = {"n_estimators": "rounds", "max_depth": "max_depth", "min_samples_leaf": "min_rows"}
+    defaults = {"rounds": 100, "bootstrap": True}
 
 
 class BoostLog(_TreeLog):
-    """Gradient-boosted trees with row subsampling."""
+    """Gradient-boosted trees from the mean, with row subsampling; columns may be
+    drawn per node."""
 
     name = "gradient_boosting"
-    honoured = ("n_estimators", "learning_rate", "max_depth", "subsample", "min_samples_leaf", "max_features")
-
-    def _learner(self):
-        p = self.params
-        return GBTRegressor(featuresCol="features", labelCol="_label", maxIter=p.get("n_estimators", 300),
-                            stepSize=p.get("learning_rate", 0.05), maxDepth=p.get("max_depth", 3),
-                            subsamplingRate=p.get("subsample", 0.9), minInstancesPerNode=p.get("min_samples_leaf", 1),
-                            featureSubsetStrategy=_subset(p.get("max_features")), maxBins=64, seed=SEED,
-                            checkpointInterval=CHECKPOINT_EVERY)
+    honoured = {"n_estimators": "rounds", "learning_rate": "learning_rate", "max_depth": "max_depth", "subsample": "row_share",
+                "min_samples_leaf": "min_rows", "max_features": "node_columns"}
+    defaults = {"rounds": 100, "learning_rate": 0.1, "max_depth": 3}
 
 
 class ColumnBoostLog(_TreeLog):
-    """Boosted trees with row and column sampling (the column fraction is drawn
-    per node in Spark, not per tree; there is no L2 leaf penalty)."""
+    """Second-order boosted trees with an L2 penalty on leaves, a floor for a
+    child's sum of Hessians, and rows and columns drawn per tree."""
 
     name = "xgboost"
-    honoured = ("n_estimators", "learning_rate", "max_depth", "subsample", "colsample_bytree", "min_child_weight")
-
-    def _learner(self):
-        p = self.params
-        return GBTRegressor(featuresCol="features", labelCol="_label", maxIter=p.get("n_estimators", 400),
-                            stepSize=p.get("learning_rate", 0.05), maxDepth=p.get("max_depth", 5),
-                            subsamplingRate=p.get("subsample", 0.9),
-                            minInstancesPerNode=int(p.get("min_child_weight", 1)),
-                            featureSubsetStrategy=str(p.get("colsample_bytree", 0.9)), maxBins=64, seed=SEED,
-                            checkpointInterval=CHECKPOINT_EVERY)
-
-
-def _subset(v) -> str:
-    if v is None:
-        return "all"
-    if v == "sqrt":
-        return "sqrt"
-    return str(float(v))
+    honoured = {"n_estimators": "rounds", "learning_rate": "learning_rate", "max_depth": "max_depth", "subsample": "row_share",
+                "colsample_bytree": "tree_columns", "min_child_weight": "min_weight", "reg_lambda": "leaf_penalty"}
+    defaults = {"rounds": 100, "learning_rate": 0.3, "max_depth": 6, "min_weight": 1.0, "leaf_penalty": 1.0}
 
 
 def get_model(name: str, params: dict | None = None, extra_numeric=(), extra_passthrough=(), extra_tree=()):

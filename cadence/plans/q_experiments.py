@@ -13,8 +13,6 @@ from cadence.operators import correct as co
 from cadence.operators import experiments as xp
 from cadence.operators import validate as va
 from cadence.operators.dual import dual_predictor
-from cadence.operators.learners import get_model
-from cadence.operators.splits import ranked_with_folds, refold
 from cadence.plans.common import finish, i, r
 from cadence.plans.fixtures_sql import with_
 from cadence.plans.q_models import _base
@@ -34,27 +32,16 @@ def _cand(spark, sf):
 #: The learners of the published sweeps and of the gap diagnostic.
 MODELS = ("ridge", "random_forest", "gradient_boosting", "xgboost")
 
-_SWEPT: dict = {}
-_SEARCHED: dict = {}
-
-
-def _sweep(spark, sf):
-    """The feature-group sweep, run once per session and input: m29 judges what m25 found."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _SWEPT:
-        _SWEPT[key] = xp.feature_sweep(_cand(spark, sf), MODELS, CFG)
-    return _SWEPT[key]
-
-
 @query("m25_feature_group_sweep")
 def m25(spark, sf):
     """Baseline arm and the four candidate groups, four models on both validation views."""
-    return finish(_sweep(spark, sf))
+    return finish(xp.feature_sweep(_cand(spark, sf), MODELS, CFG))
 
 
 @query("m29_promotion_gate")
 def m29(spark, sf):
-    return finish(xp.promotion_gate(xp.compare_with_baseline(_sweep(spark, sf))))
+    """The gate on the sweep of m25."""
+    return finish(xp.promotion_gate(xp.compare_with_baseline(xp.feature_sweep(_cand(spark, sf), MODELS, CFG))))
 
 
 @query("m26_env_experiment")
@@ -63,52 +50,35 @@ def m26(spark, sf):
     return finish(xp.env_experiment(_cand(spark, sf), MODELS, CFG))
 
 
-def _search(spark, sf, model):
-    """A model's published search, run once per session and input: m23 refits what m22 found."""
-    key = (spark.sparkContext.applicationId, sf, model)
-    if key not in _SEARCHED:
-        _SEARCHED[key] = xp.random_search(lab2(spark, sf), model, SEARCH_SPACE[model], SEARCH_DRAWS[model], CFG)
-    return _SEARCHED[key]
+def _searches(spark, sf):
+    """Both boosted models' published searches: seeded draws from the published spaces,
+    scored by CV RMSLE on days 1-15 only."""
+    return {m: xp.random_search(lab2(spark, sf), m, SEARCH_SPACE[m], n, CFG) for m, n in SEARCH_DRAWS.items()}
 
 
 @query("m22_random_search")
 def m22(spark, sf):
-    """Seeded draws from the published spaces of both boosted models, scored by CV RMSLE
-    on days 1-15 only."""
-    a, b = (_search(spark, sf, model) for model in SEARCH_DRAWS)
+    """The searches' draws and scores."""
+    a, b = _searches(spark, sf).values()
     return finish(a.unionByName(b))
 
 
 @query("m23_tuned_vs_baseline")
 def m23(spark, sf):
-    a, b = (xp.tuned_against_baseline(lab2(spark, sf), model, _search(spark, sf, model), CFG.params[model], CFG)
-            for model in SEARCH_DRAWS)
-    return finish(a.unionByName(b))
-
-
-def _gap_rows(spark, sf, models):
-    """CV RMSLE with gap 0 and 48 per model, on one ranking."""
-    df = lab2(spark, sf)
-    tagged, plan = ranked_with_folds(df, CFG)
-    rows = []
-    for model in models:
-        pred = va.fit_predict(get_model(model, CFG.params[model]))
-        a, b = (va.cv_report(pred, df, CFG, folds=refold(tagged, plan, CFG, gap)).agg(F.avg("rmsle")).first()[0]
-                for gap in (0, 48))
-        rows.append((model, a, b, b - a))
-    return finish(spark.createDataFrame(rows, "model string, cv_rmsle_gap0 double, cv_rmsle_gap48 double, delta double"))
+    """The searches again, and their best draws against the published settings."""
+    return finish(xp.tuned_against_baseline(lab2(spark, sf), _searches(spark, sf), CFG))
 
 
 @query("m24_gap_diagnostic_ridge")
 def m24r(spark, sf):
     """Gap 0 against gap 48 for the ridge."""
-    return _gap_rows(spark, sf, ["ridge"])
+    return finish(xp.gap_diagnostic(lab2(spark, sf), ["ridge"], CFG))
 
 
 @query("m24_gap_diagnostic_models")
 def m24m(spark, sf):
     """Gap 0 against gap 48 for the four models (the learner half of M24)."""
-    return _gap_rows(spark, sf, MODELS)
+    return finish(xp.gap_diagnostic(lab2(spark, sf), MODELS, CFG))
 
 
 # --- closed-form arms: D5, M30 ---------------------------------------------------------------------

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadence.config import Config
+from cadence.config import LINEAR_NUMERIC, LINEAR_ONE_HOT, LINEAR_PASSTHROUGH, Config
 from cadence.functions import features as fx
 from cadence.operators import baselines as bl
+from cadence.operators import experiments as xp
 from cadence.operators import explain as ex
 from cadence.operators import validate as va
 from cadence.operators.learners import TREE_FEATURES, LinearSpec, RidgeLog, get_model
@@ -35,22 +36,10 @@ def _holdout(spark, sf, est):
     return va.holdout_predictions(va.fit_predict(est), lab2(spark, sf), CFG)
 
 
-_FITTED: dict = {}
-
-
 def _fitted_tree(spark, sf, name):
-    """The tree model of that name at its published settings, fitted on days 1-15 once
-    per session and input: the holdout reports and the importances read the same fit."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _FITTED:
-        train = lab2(spark, sf).filter(F.dayofmonth("datetime") < 16)
-        _FITTED[key] = get_model(name, CFG.params[name]).fit(train, "count")
-    return _FITTED[key]
-
-
-def _eval_tree(spark, sf, name):
-    fitted = _fitted_tree(spark, sf, name)
-    return finish(va.evaluate_holdout(lambda train, val, *_: fitted.predict(val), lab2(spark, sf), CFG))
+    """The tree model of that name at its published settings, fitted on days 1-15."""
+    train = lab2(spark, sf).filter(F.dayofmonth("datetime") < 16)
+    return get_model(name, CFG.params[name]).fit(train, "count")
 
 
 def _eval(spark, sf, est):
@@ -97,28 +86,27 @@ def m07(spark, sf):
 # --- M9-M11 trees ------------------------------------------------------------------------------
 @query("m09_random_forest")
 def m09(spark, sf):
-    return _eval_tree(spark, sf, "random_forest")
+    return _eval(spark, sf, get_model("random_forest", CFG.params["random_forest"]))
 
 
 @query("m10_gradient_boosting")
 def m10(spark, sf):
-    return _eval_tree(spark, sf, "gradient_boosting")
+    return _eval(spark, sf, get_model("gradient_boosting", CFG.params["gradient_boosting"]))
 
 
 @query("m11_column_sampled_boosting")
 def m11(spark, sf):
-    return _eval_tree(spark, sf, "xgboost")
+    return _eval(spark, sf, get_model("xgboost", CFG.params["xgboost"]))
 
 
 @query("m12_cv_ridge")
 def m12r(spark, sf):
-    return finish(va.cv_report(va.fit_predict(get_model("ridge", CFG.params["ridge"])), lab2(spark, sf), CFG))
+    return finish(xp.cross_validation(lab2(spark, sf), xp.Job("ridge", CFG.params["ridge"]), CFG))
 
 
 @query("m12_cv_gradient_boosting")
 def m12g(spark, sf):
-    est = get_model("gradient_boosting", CFG.params["gradient_boosting"])
-    return finish(va.cv_report(va.fit_predict(est), lab2(spark, sf), CFG))
+    return finish(xp.cross_validation(lab2(spark, sf), xp.Job("gradient_boosting", CFG.params["gradient_boosting"]), CFG))
 
 
 # --- M14 train job, M16 submission job, A7 -----------------------------------------------------------
@@ -221,9 +209,7 @@ def w04(spark, sf):
     df = lab2(spark, sf)
     train, hold = df.filter(F.dayofmonth("datetime") < 16), df.filter(F.dayofmonth("datetime") >= 16)
     model = get_model("ridge", CFG.params["ridge"]).fit(train, "count")
-    feats = ["temp", "atemp", "humidity", "windspeed", "holiday", "workingday", "is_weekend", "hour_sin", "hour_cos",
-             "month_sin", "month_cos", "hour_sin2", "hour_cos2", "hour_sin_workday", "hour_cos_workday", "season",
-             "weather"]
+    feats = [*LINEAR_NUMERIC, *LINEAR_PASSTHROUGH, *LINEAR_ONE_HOT]
     return finish(ex.permutation_importance(model, hold, "count", feats, "row_id", PI_REPEATS, 42))
 
 

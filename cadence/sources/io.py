@@ -154,9 +154,12 @@ def save_record(df: DataFrame, path: str, force: bool = False) -> str:
 
 # --- A7 model persistence ------------------------------------------------------------------------
 def save_fitted(fitted, path: str) -> str:
-    """A fitted learner = its Spark ML model plus the fitted column routing
-    (scaler statistics, one-hot levels, column lists) stored as a one-row table."""
-    from cadence.operators.learners import FittedSpec
+    """A fitted model. Baselines and linear models are a few numbers in a one-row
+    table; trees are a table of one row a tree plus the bins' edges and settings."""
+    from dataclasses import asdict
+
+    from cadence.operators import batchfit
+    from cadence.operators.learners import LinearFitted, TreesFitted
     spark = SparkSession.getActiveSession()
     means = getattr(fitted, "hour_means_", None)
     if means is not None or hasattr(fitted, "mean_"):  # a baseline: at most 24 numbers
@@ -164,25 +167,27 @@ def save_fitted(fitted, path: str) -> str:
             if means is not None else {"kind": "mean", "mean": fitted.mean_}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
         return path
-    fitted.model.write().overwrite().save(f"{path}/model")
-    prep = fitted._prepare
-    meta: dict = {"kind": type(fitted.model).__name__}
-    spec = getattr(prep, "__self__", None)
-    if isinstance(spec, FittedSpec):
-        meta.update(kind_prep="linear", numeric=spec.spec.numeric, passthrough=spec.spec.passthrough,
-                    one_hot=spec.spec.one_hot, stats=spec.scaler.stats_,
-                    levels={k: list(v) for k, v in spec.onehot.levels_.items()})
-    else:
-        meta.update(kind_prep="tree", features=list(getattr(prep, "features", [])))
+    if isinstance(fitted, TreesFitted):
+        m = fitted.model
+        meta = {"kind": "trees", "columns": m.columns, "edges": [e.tolist() for e in m.edges], "base": m.base, "settings": asdict(m.settings)}
+        spark.createDataFrame([(0, k, m.base, *map(bytearray, batchfit.tree_row(t))) for k, t in enumerate(m.trees)], batchfit.TREES) \
+            .write.mode("overwrite").parquet(f"{path}/model")
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
+        return path
+    if not isinstance(fitted, LinearFitted):
+        raise TypeError(f"no form to save {type(fitted).__name__} in")
+    meta = {"kind": "linear", "intercept": fitted.intercept, "weights": fitted.weights,
+            "levels": {c: list(v.items()) for c, v in fitted.levels.items()}}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
     return path
 
 
 def load_fitted(spark: SparkSession, path: str):
-    from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
-                                       RandomForestRegressionModel)
-    from cadence.operators.fitted import OneHotLevels, PopulationScaler
-    from cadence.operators.learners import FittedSpec, LinearSpec, _LogFitted, _tree_prepare
+    import numpy as np
+
+    from cadence.operators import batchfit
+    from cadence.operators.learners import LinearFitted, TreesFitted
+    from cadence.operators.trees import Settings
     if not path_exists(spark, f"{path}/meta"):
         raise FileNotFoundError(f"no saved model at {path}; train one and save it with save_fitted")
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
@@ -193,17 +198,11 @@ def load_fitted(spark: SparkSession, path: str):
         from cadence.operators.baselines import _HourlyFitted
         rows = [(None if h == "null" else int(h), m) for h, m in meta["hours"].items()]
         return _HourlyFitted(spark.createDataFrame(rows, "hour int, _hour_mean double"), meta["mean"])
-    loader = {"LinearRegressionModel": LinearRegressionModel, "GBTRegressionModel": GBTRegressionModel,
-              "RandomForestRegressionModel": RandomForestRegressionModel}[meta["kind"]]
-    model = loader.load(f"{path}/model")
-    if meta["kind_prep"] == "linear":
-        spec = LinearSpec(meta["numeric"], meta["passthrough"], meta["one_hot"])
-        sc = PopulationScaler(spec.numeric, "__s")
-        sc.stats_ = {k: tuple(v) for k, v in meta["stats"].items()}
-        oh = OneHotLevels(spec.one_hot)
-        oh.levels_ = meta["levels"]
-        return _LogFitted(model, FittedSpec(spec, sc, oh).transform)
-    return _LogFitted(model, _tree_prepare(meta["features"]))
+    if meta["kind"] == "trees":
+        rows = sorted(spark.read.schema(batchfit.TREES).parquet(f"{path}/model").collect(), key=lambda r: r["tree"])
+        return TreesFitted(batchfit.Ensemble(meta["columns"], [np.array(e, np.float64) for e in meta["edges"]], Settings(**meta["settings"]),
+                                             meta["base"], [batchfit.tree_of(r) for r in rows]))
+    return LinearFitted(meta["intercept"], meta["weights"], {c: {float(v): w for v, w in pairs} for c, pairs in meta["levels"].items()})
 
 
 # --- A8-A10 nested metrics documents ----------------------------------------------------------------

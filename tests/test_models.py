@@ -42,7 +42,7 @@ def test_ridge_matches_closed_form(spark):
     b = y.mean() - x.mean(0) @ w
     expect = np.clip(np.expm1(x @ w + b), 0, None)
     got = fitted.predict(df).select("pred").toPandas()["pred"].to_numpy()
-    assert np.max(np.abs(got - expect)) < 1e-6 * max(1.0, np.max(expect))
+    assert np.max(np.abs(got - expect)) < 1e-9 * max(1.0, np.max(expect))
 
 
 def test_ridge_predictions_non_negative(spark):

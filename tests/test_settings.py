@@ -6,29 +6,32 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cadence.config import PUBLISHED_PARAMS, Config
+from cadence.config import PUBLISHED_PARAMS, SEARCH_SPACE, Config
 from cadence.operators import experiments as xp
 from cadence.operators import profile as pr
 from cadence.operators.baselines import HourlyMeanBaseline, MeanBaseline
 from cadence.operators.learners import get_model
+from cadence.operators.trees import Settings
 from cadence.operators.order import exact_quantiles, quantile_edges
 from cadence.session import scratch_path
 from cadence.sources import io
 
 
-def test_published_settings_are_built(spark):
+def test_published_settings_are_built():
     cfg = Config()
     assert cfg.params == PUBLISHED_PARAMS
-    forest = get_model("random_forest", cfg.params["random_forest"])._learner()
-    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (300, 30, 2)
-    boost = get_model("gradient_boosting", cfg.params["gradient_boosting"])._learner()
-    assert (boost.getMaxIter(), boost.getStepSize(), boost.getMaxDepth(), boost.getSubsamplingRate()) == (300, 0.05, 3, 0.9)
-    sampled = get_model("xgboost", cfg.params["xgboost"])._learner()
-    assert (sampled.getMaxIter(), sampled.getMaxDepth(), sampled.getFeatureSubsetStrategy()) == (400, 5, "0.9")
+    made = {m: get_model(m, cfg.params[m]).settings() for m in ("random_forest", "gradient_boosting", "xgboost")}
+    assert made["random_forest"] == Settings(300, bootstrap=True, min_rows=2)
+    assert made["gradient_boosting"] == Settings(300, 0.05, 3, 0.9)
+    assert made["xgboost"] == Settings(400, 0.05, 5, 0.9, tree_columns=0.9, min_weight=1.0, leaf_penalty=1.0)
+    searched = get_model("xgboost", {k: v[-1] for k, v in SEARCH_SPACE["xgboost"].items()}).settings()
+    assert searched == Settings(800, 0.1, 8, 1.0, tree_columns=1.0, min_weight=5, leaf_penalty=5.0)
+    searched = get_model("gradient_boosting", {k: v[0] for k, v in SEARCH_SPACE["gradient_boosting"].items()}).settings()
+    assert searched == Settings(200, 0.02, 2, 0.7, node_columns="sqrt", min_rows=1)
 
 
-@pytest.mark.parametrize("name,params", [("xgboost", {"reg_lambda": 1.0}), ("random_forest", {"max_depth": 31}),
-                                         ("gradient_boosting", {"rounds": 3}), ("random_forest", {"learning_rate": 0.1})])
+@pytest.mark.parametrize("name,params", [("xgboost", {"gamma": 1.0}), ("gradient_boosting", {"rounds": 3}),
+                                         ("random_forest", {"learning_rate": 0.1})])
 def test_parameters_without_effect_raise(name, params):
     with pytest.raises(ValueError):
         get_model(name, params)
