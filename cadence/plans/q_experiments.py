@@ -15,9 +15,12 @@ from cadence.operators import validate as va
 from cadence.operators.dual import dual_predictor
 from cadence.plans.common import finish, i, r
 from cadence.plans.fixtures_sql import with_
+from cadence.plans.q_learners import ridge_cv_ctes
 from cadence.plans.q_models import _base
 from cadence.plans.q_splits import lab2
 from cadence.plans.registry import query
+from cadence.plans.ridge_sql import BACK, recursive, ridge_ctes
+from cadence.plans.sqlparts import report_sql_raw
 from cadence.sources.fixtures import demand_rows, labeled
 
 CFG = Config()
@@ -69,7 +72,14 @@ def m23(spark, sf):
     return finish(xp.tuned_against_baseline(lab2(spark, sf), _searches(spark, sf), CFG))
 
 
-@query("m24_gap_diagnostic_ridge")
+_GAPS = [*ridge_cv_ctes(0, 0), *ridge_cv_ctes(48, 10),
+         "tq AS (SELECT * FROM tq0 UNION ALL SELECT * FROM tq10)", "vq AS (SELECT * FROM vq0 UNION ALL SELECT * FROM vq10)", *ridge_ctes("tq", "vq"),
+         f"gp AS (SELECT v.f, v.count AS y, {BACK.format('log_pred')} AS pred FROM vq v JOIN rp ON rp.f = v.f AND rp.rid = v.rid)",
+         f"gf AS (SELECT f, {report_sql_raw()} FROM gp GROUP BY f)",
+         "gm AS (SELECT avg(rmsle) FILTER (WHERE f < 10) AS a, avg(rmsle) FILTER (WHERE f > 10) AS b FROM gf)"]
+
+
+@query("m24_gap_diagnostic_ridge", recursive(with_(*B, *_GAPS)) + f"SELECT 'ridge' AS model, {r('a')} AS cv_rmsle_gap0, {r('b')} AS cv_rmsle_gap48, {r('b - a')} AS delta FROM gm")
 def m24r(spark, sf):
     """Gap 0 against gap 48 for the ridge."""
     return finish(xp.gap_diagnostic(lab2(spark, sf), ["ridge"], CFG))

@@ -112,7 +112,7 @@ def b08_f4(spark, sf):
 
 
 # --- B10-B16 candidates ------------------------------------------------------------------
-_CAND = f"""cand AS (
+CANDIDATE_CTE = f"""cand AS (
   SELECT *,
     CAST(CASE WHEN hour IN (7, 8, 9) THEN 1 ELSE 0 END AS TINYINT) AS is_morning_peak,
     CAST(CASE WHEN hour IN (16, 17, 18, 19) THEN 1 ELSE 0 END AS TINYINT) AS is_evening_peak,
@@ -128,7 +128,7 @@ _CAND = f"""cand AS (
 
 
 def _csql(cols):
-    return with_(F2, feature_select("f2"), _CAND) + f"SELECT {sel(cols)} FROM cand"
+    return with_(F2, feature_select("f2"), CANDIDATE_CTE) + f"SELECT {sel(cols)} FROM cand"
 
 
 def f2c(spark, sf):

@@ -1,10 +1,9 @@
 """Registered queries for the learners and explanation: M6, M7, M9-M12 (learners),
-M14, M16, M20, M21, D4, W4, A7.
+M14, M16, M18, M19, M20, M21, M27, D4, W4, A7.
 
-Learner outputs are not value-hashed (Spark's learners are not scikit-learn's);
-those queries have no oracle and get the rows-only check. Two closed forms do get
-an oracle: ridge on one scaled predictor and permutation importance of the hourly
-mean model.
+The ridge has an oracle throughout: SQL solves the same normal equations. Boosting has one
+for rounds of depth 1 without draws. Ensembles with draws have none and get the rows-only
+check; tests/test_batchfit.py holds their trees against plain recursion.
 """
 
 from __future__ import annotations
@@ -17,13 +16,18 @@ from cadence.operators import baselines as bl
 from cadence.operators import experiments as xp
 from cadence.operators import explain as ex
 from cadence.operators import validate as va
-from cadence.operators.learners import TREE_FEATURES, LinearSpec, RidgeLog, get_model
+from cadence.operators import correct as co
+from cadence.operators.dual import dual_predictor
+from cadence.operators.learners import TREE_FEATURES, BoostLog, LinearSpec, RidgeLog, get_model
 from cadence.operators.score import make_prediction_frame
-from cadence.plans.common import finish, i, r
+from cadence.plans.common import finish, i, r, ts
 from cadence.plans.fixtures_sql import with_
+from cadence.plans.q_features import CANDIDATE_CTE
 from cadence.plans.q_models import HM, _base
 from cadence.plans.q_splits import lab2
 from cadence.plans.registry import query
+from cadence.plans.ridge_sql import BACK, recursive, ridge_ctes, stump_ctes
+from cadence.plans.sqlparts import fold_cte, report_sql
 from cadence.session import scratch_path
 from cadence.sources import io
 from cadence.sources.fixtures import demand_rows, labeled, unlabeled
@@ -62,24 +66,38 @@ def m06a(spark, sf):
     return finish(_holdout(spark, sf, est).select("row_id", "pred"))
 
 
-@query("m06_ridge")
+_RID = ["trn AS (SELECT 1 AS f, row_id AS rid, * FROM tr)", "jud AS (SELECT 1 AS f, row_id AS rid, * FROM ho)"]
+_RIDGE = [*_RID, *ridge_ctes("trn", "jud"), f"p AS (SELECT ho.row_id, ho.count AS y, log_pred, {BACK.format('log_pred')} AS pred FROM ho JOIN rp ON rp.rid = ho.row_id)"]
+
+
+def _report(ctes):
+    """Holdout report (E30 with both row counts) of the CTE ``p``."""
+    return recursive(with_(*ctes)) + (f"SELECT {report_sql(with_n=False)}, CAST((SELECT count(*) FROM tr) AS BIGINT) AS n_train, "
+                                      f"{i('count(*)')} AS n_holdout FROM p")
+
+
+@query("m06_ridge", _report([*B, *_RIDGE]))
 def m06(spark, sf):
     """Production ridge on the routed columns: holdout metrics."""
     return _eval(spark, sf, get_model("ridge", CFG.params["ridge"]))
 
 
-@query("m06_ridge_predictions")
+@query("m06_ridge_predictions", recursive(with_(*B, *_RIDGE)) + f"SELECT {i('row_id')} AS row_id, {r('log_pred')} AS log_pred, {r('pred')} AS pred FROM p")
 def m06p(spark, sf):
     return finish(_holdout(spark, sf, get_model("ridge", CFG.params["ridge"])).select("row_id", "log_pred", "pred"))
 
 
-@query("m07_ridge_extra_columns")
+_CANDIDATES = [B[0], B[1], CANDIDATE_CTE, *[c.replace("f2x", "cand") for c in B[2:]]]
+_EXTRA_NUM = ("feels_like_gap", "temp_humidity_interaction", "comfort_index")
+_EXTRA_PASS = ("is_morning_peak", "is_evening_peak", "is_rush_hour", "bad_weather")
+
+
+@query("m07_ridge_extra_columns", _report([*_CANDIDATES, *_RID, *ridge_ctes("trn", "jud", numeric=(*LINEAR_NUMERIC, *_EXTRA_NUM),
+                                                                               passthrough=(*LINEAR_PASSTHROUGH, *_EXTRA_PASS)), _RIDGE[-1]]))
 def m07(spark, sf):
     """Experiment ridge: candidate numerics scaled, candidate flags passed through."""
     df = fx.build_candidate_features(labeled(demand_rows(spark, sf)), CFG)
-    est = get_model("ridge", CFG.params["ridge"], extra_numeric=("feels_like_gap", "temp_humidity_interaction",
-                                                                    "comfort_index"),
-                    extra_passthrough=("is_morning_peak", "is_evening_peak", "is_rush_hour", "bad_weather"))
+    est = get_model("ridge", CFG.params["ridge"], extra_numeric=_EXTRA_NUM, extra_passthrough=_EXTRA_PASS)
     return finish(va.evaluate_holdout(va.fit_predict(est), df, CFG))
 
 
@@ -99,7 +117,43 @@ def m11(spark, sf):
     return _eval(spark, sf, get_model("xgboost", CFG.params["xgboost"]))
 
 
-@query("m12_cv_ridge")
+STUMP_FEATURES = ("season", "workingday", "weather", "humidity", "temp", "hour", "dayofweek", "month")
+STUMPS = {"n_estimators": 4, "learning_rate": 0.5, "max_depth": 1}
+_STUMPS = [*_RID, *stump_ctes("trn", "jud", STUMP_FEATURES, STUMPS["n_estimators"], STUMPS["learning_rate"])]
+
+
+def _stumps(spark, sf):
+    train = lab2(spark, sf).filter(F.dayofmonth("datetime") < 16)
+    return BoostLog(STUMP_FEATURES, **STUMPS).fit(train, "count")
+
+
+@query("m10_boosted_stumps", recursive(with_(*B, *_STUMPS)) + f"SELECT {i('rid')} AS row_id, {r('log_pred')} AS log_pred, "
+       f"{r(BACK.format('log_pred'))} AS pred FROM sp")
+def m10s(spark, sf):
+    """Four rounds of depth 1 without draws, scored on the holdout."""
+    hold = lab2(spark, sf).filter(F.dayofmonth("datetime") >= 16)
+    return finish(_stumps(spark, sf).predict(hold).select("row_id", "log_pred", "pred"))
+
+
+@query("m21_stump_importance", recursive(with_(*B, *_STUMPS)) + " UNION ALL ".join(
+    f"SELECT 'gradient_boosting' AS model, '{c}' AS feature, {r(f'(SELECT coalesce(sum(gain) FILTER (WHERE c = {chr(39)}{c}{chr(39)}), 0) / sum(gain) FROM sb)')} AS importance"
+    for c in STUMP_FEATURES))
+def m21s(spark, sf):
+    return finish(ex.split_importance(_stumps(spark, sf), STUMP_FEATURES, spark, "gradient_boosting"))
+
+
+def ridge_cv_ctes(gap: int = 0, tag: int = 0) -> list[str]:
+    """The folds' training and validation rows as fits ``tag`` + fold."""
+    fz = fold_cte("lab", "datetime, row_id", 5, gap, name=f"fz{tag}")
+    return [fz, f"tq{tag} AS (SELECT {tag} + k.f AS f, row_id AS rid, z.* FROM fz{tag} z JOIN range(1, 6) k(f) ON z.train_seg <= k.f)",
+            f"vq{tag} AS (SELECT {tag} + val_fold AS f, row_id AS rid, z.* FROM fz{tag} z WHERE val_fold IS NOT NULL)"]
+
+
+_CV_RIDGE = [*ridge_cv_ctes(), *ridge_ctes("tq0", "vq0"),
+             f"p AS (SELECT v.f AS fold, v.count AS y, {BACK.format('log_pred')} AS pred FROM vq0 v JOIN rp ON rp.f = v.f AND rp.rid = v.rid)"]
+
+
+@query("m12_cv_ridge", recursive(with_(*B, *_CV_RIDGE)) + f"SELECT {i('fold')} AS fold, {report_sql()} FROM p GROUP BY fold")
 def m12r(spark, sf):
     return finish(xp.cross_validation(lab2(spark, sf), xp.Job("ridge", CFG.params["ridge"]), CFG))
 
@@ -133,7 +187,17 @@ def train_model_job(spark, df, name: str, cfg: Config = CFG, metrics_base: str |
     return model_path, base, path
 
 
-@query("m14_train_model_job")
+def _m14_ridge_sql():
+    both = [*ridge_cv_ctes(), "tq AS (SELECT f, rid, * EXCLUDE (f, rid, rank, n_all, val_fold, train_seg) FROM tq0 UNION ALL SELECT 9, row_id, * FROM tr)",
+            "vq AS (SELECT f, rid, * EXCLUDE (f, rid, rank, n_all, val_fold, train_seg) FROM vq0 UNION ALL SELECT 9, row_id, * FROM ho)"]
+    every = [f"p AS (SELECT 'ridge' AS model, v.f, v.count AS y, {BACK.format('log_pred')} AS pred FROM vq v JOIN rp ON rp.f = v.f AND rp.rid = v.rid "
+             "UNION ALL SELECT 'mean_baseline', v.f, v.count, (SELECT avg(count) FROM tq t WHERE t.f = v.f) FROM vq v)"]
+    return recursive(with_(*B, *both, *ridge_ctes("tq", "vq"), *every)) + (
+        f"SELECT model, CASE WHEN f = 9 THEN 'holdout' ELSE 'cv' END AS view, {i('CASE WHEN f = 9 THEN 0 ELSE f END')} AS fold, "
+        f"{report_sql(with_n=False)} FROM p GROUP BY model, f")
+
+
+@query("m14_train_model_job", _m14_ridge_sql())
 def m14(spark, sf):
     """Two training runs into one metrics table: the second run's rows are upserted
     next to the first's (version 2 holds both models)."""
@@ -143,7 +207,12 @@ def m14(spark, sf):
     return finish(spark.read.parquet(latest))
 
 
-@query("m16_generate_submission")
+_SUBMIT = ["trn AS (SELECT 1 AS f, row_id AS rid, * FROM lab)", "jud AS (SELECT 1 AS f, row_id AS rid, * FROM f2x WHERE day(datetime) >= 20)",
+           *ridge_ctes("trn", "jud")]
+
+
+@query("m16_generate_submission", recursive(with_(*B, *_SUBMIT)) + f"SELECT {ts('j.datetime')} AS datetime, {r(BACK.format('log_pred'))} AS count "
+       "FROM jud j JOIN rp ON rp.rid = j.rid")
 def m16(spark, sf):
     """Load the saved model, score the unlabeled rows, write the artifact,
     read it back."""
@@ -155,7 +224,8 @@ def m16(spark, sf):
     return finish(io.read_prediction_artifact(spark, path, CFG))
 
 
-@query("a07_model_roundtrip")
+@query("a07_model_roundtrip", recursive(with_(*B, *_RIDGE)) + f"SELECT {i('row_id')} AS row_id, {r('pred')} AS pred_fitted, {r('pred')} AS pred_loaded, "
+       f"{i('1')} AS equal FROM p")
 def a07(spark, sf):
     """Predictions of a saved-and-loaded ridge equal those of the fitted one."""
     df = lab2(spark, sf)
@@ -168,6 +238,60 @@ def a07(spark, sf):
     return finish(a.join(b, "row_id").withColumn("equal", (F.col("pred_fitted") == F.col("pred_loaded")).cast("int")))
 
 
+@query("a07_trees_roundtrip", "SELECT m AS model, (SELECT count(*) FROM events WHERE day(ts) BETWEEN 16 AND 19) AS n, "
+       "(SELECT count(*) FROM events WHERE day(ts) BETWEEN 16 AND 19) AS n_equal FROM (VALUES ('random_forest'), ('gradient_boosting'), ('xgboost')) t(m)")
+def a07t(spark, sf):
+    """A7 for the three tree models at their published settings: holdout rows, and those
+    whose prediction is the same from the saved and loaded model."""
+    df = lab2(spark, sf)
+    hold = df.filter(F.dayofmonth("datetime") >= 16)
+    parts = []
+    for name in ("random_forest", "gradient_boosting", "xgboost"):
+        fitted = _fitted_tree(spark, sf, name)
+        loaded = io.load_fitted(spark, io.save_fitted(fitted, scratch_path(spark, f"a07-{name}")))
+        both = loaded.predict(fitted.predict(hold, out="pred_fitted").drop("log_pred"), out="pred_loaded")
+        parts.append(both.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("pred_fitted") == F.col("pred_loaded"), 1)).alias("n_equal"))
+                     .select(F.lit(name).alias("model"), "n", "n_equal"))
+    return finish(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+# --- M18, M19, M27 with learners ----------------------------------------------------------------------
+_DUAL_RIDGE = [*[c.replace("1 AS f", "k.f AS f").replace("FROM tr)", "FROM tr, range(1, 3) k(f))").replace("FROM ho)", "FROM ho, range(1, 3) k(f))") for c in _RID],
+               *ridge_ctes("trn", "jud", label="(CASE WHEN f = 1 THEN casual ELSE registered END)"),
+               f"p AS (SELECT rid AS row_id, sum(CASE WHEN f = 1 THEN {BACK.format('log_pred')} END) AS pc, "
+               f"sum(CASE WHEN f = 2 THEN {BACK.format('log_pred')} END) AS pr FROM rp GROUP BY rid)"]
+
+
+@query("m18_dual_target_ridge", recursive(with_(*B, *_DUAL_RIDGE)) + f"SELECT {i('row_id')} AS row_id, {r('pc')} AS pred_casual, "
+       f"{r('pr')} AS pred_registered, {r('pc + pr')} AS pred FROM p")
+def m18r(spark, sf):
+    """Two ridges, one a sub-target, and their sum."""
+    pred = va.holdout_predictions(dual_predictor(get_model("ridge", CFG.params["ridge"]), keep_parts=True), lab2(spark, sf), CFG)
+    return finish(pred.select("row_id", "pred_casual", "pred_registered", "pred"))
+
+
+@query("m19_dual_target_boosting")
+def m19g(spark, sf):
+    """Boosted sub-target models against the direct one on the holdout."""
+    df = lab2(spark, sf)
+    est = get_model("gradient_boosting", CFG.params["gradient_boosting"])
+    arms = [va.evaluate_holdout(p, df, CFG).withColumn("arm", F.lit(a)) for a, p in (("direct_count", va.fit_predict(est)), ("dual_target", dual_predictor(est)))]
+    return finish(arms[0].unionByName(arms[1]))
+
+
+@query("m27_peak_boosted_overall")
+def m27g(spark, sf):
+    """The smearing factor of the boosted model's training residuals, applied to the holdout."""
+    theta, overall, _ = co.peak_experiment(get_model("gradient_boosting", CFG.params["gradient_boosting"]), lab2(spark, sf), CFG)
+    return finish(overall.withColumn("theta", F.lit(theta)))
+
+
+@query("m27_peak_boosted_by_fifth")
+def m27h(spark, sf):
+    _, _, by_bin = co.peak_experiment(get_model("gradient_boosting", CFG.params["gradient_boosting"]), lab2(spark, sf), CFG)
+    return finish(by_bin)
+
+
 # --- M20 permutation importance --------------------------------------------------------------------
 PI_FEATURES = list(TREE_FEATURES)   # every column of the feature matrix
 PI_REPEATS = 10
@@ -203,7 +327,25 @@ def m20(spark, sf):
     return finish(imp)
 
 
-@query("w04_importance_sorted")
+def _w4_sql():
+    """Permuting a column of a linear model only moves that column's term."""
+    feats = [*LINEAR_NUMERIC, *LINEAR_PASSTHROUGH, *LINEAR_ONE_HOT]
+    terms = ["term AS (SELECT re.rid, split_part(re.c, '=', 1) AS feature, re.x * coalesce(rw.w, 0) AS v FROM re LEFT JOIN rw ON rw.f = re.f AND rw.c = re.c)",
+             "pos AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS pos FROM ho)",
+             f"donor AS (SELECT rep, row_id, row_number() OVER (PARTITION BY rep ORDER BY md5(CAST(row_id AS VARCHAR) || ':42:' || CAST(rep AS VARCHAR)), row_id) - 1 AS pos "
+             f"FROM ho, range(0, {PI_REPEATS}) t(rep))",
+             "pr AS (SELECT rep, pos.row_id, donor.row_id AS other FROM pos JOIN donor USING (pos))",
+             f"sw AS (SELECT pr.rep, a.feature, p.y, p.log_pred - a.v + b.v AS z FROM pr JOIN term a ON a.rid = pr.row_id "
+             "JOIN term b ON b.rid = pr.other AND b.feature = a.feature JOIN p ON p.row_id = pr.row_id)"]
+    d = "(ln(1 + {p}) - ln(1 + y))"
+    dz, d0 = d.format(p=f"({BACK.format('z')})"), d.format(p="pred")
+    per = f"per AS (SELECT rep, feature, sqrt(avg({dz} * {dz})) - (SELECT sqrt(avg({d0} * {d0})) FROM p) AS imp FROM sw GROUP BY rep, feature)"
+    names = ", ".join(f"'{c}'" for c in feats)
+    return recursive(with_(*B, *_RIDGE, *terms, per)) + (f"SELECT feature, {r('avg(imp)')} AS importance_mean, {r('stddev_pop(imp)')} AS importance_std "
+                                                         f"FROM per WHERE feature IN ({names}) GROUP BY feature")
+
+
+@query("w04_importance_sorted", _w4_sql())
 def w04(spark, sf):
     """Permutation importance of the ridge over every routed column, sorted."""
     df = lab2(spark, sf)
