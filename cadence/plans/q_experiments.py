@@ -4,9 +4,12 @@ have oracles; learner sweeps get the rows-only check."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from cadence.config import SEARCH_DRAWS, SEARCH_SPACE, Config
+from cadence.config import (CANDIDATE_NUMERIC, FEATURE_GROUPS, LINEAR_NUMERIC, LINEAR_PASSTHROUGH, SEARCH_DRAWS, SEARCH_SPACE,
+                            Config)
 from cadence.functions import features as fx
 from cadence.operators import baselines as bl
 from cadence.operators import correct as co
@@ -15,6 +18,7 @@ from cadence.operators import validate as va
 from cadence.operators.dual import dual_predictor
 from cadence.plans.common import finish, i, r
 from cadence.plans.fixtures_sql import with_
+from cadence.plans.q_features import CANDIDATE_CTE
 from cadence.plans.q_learners import ridge_cv_ctes
 from cadence.plans.q_models import _base
 from cadence.plans.q_splits import lab2
@@ -53,6 +57,114 @@ def m26(spark, sf):
     return finish(xp.env_experiment(_cand(spark, sf), MODELS, CFG))
 
 
+# --- the sweeps with the ridge alone: a linear solve in SQL ------------------------------------------
+_SPLITS = [*ridge_cv_ctes(), "tq AS (SELECT f, rid, * EXCLUDE (f, rid, rank, n_all, val_fold, train_seg) FROM tq0 UNION ALL SELECT 9, row_id, * FROM tr)",
+           "vq AS (SELECT f, rid, * EXCLUDE (f, rid, rank, n_all, val_fold, train_seg) FROM vq0 UNION ALL SELECT 9, row_id, * FROM ho)"]
+_CAND_B = [B[0], B[1], CANDIDATE_CTE, "lab AS (SELECT *, CAST(CASE WHEN year = 2012 THEN 1 ELSE 0 END AS BIGINT) AS is_2012 FROM cand WHERE day(datetime) < 20)", *B[3:]]
+_MEASURES = ("rmsle", "rmse", "mae", "r2")
+
+
+def _even(x: str) -> str:
+    """Half-even rounding to the records' four places."""
+    return f"round_even({x}, 4)"
+
+
+def _sweep_ctes(arms: dict[str, tuple[tuple[str, ...], str, str]]) -> list[str]:
+    """``sweep`` (arm, model, metrics as recorded) of arms: extra columns, and the tables
+    of training and judged rows."""
+    out, parts = [], []
+    for k, (arm, (extra, train, judged)) in enumerate(arms.items()):
+        num = tuple(c for c in extra if c in CANDIDATE_NUMERIC)
+        rest = tuple(c for c in extra if c not in CANDIDATE_NUMERIC)
+        out += ridge_ctes(train, judged, numeric=(*LINEAR_NUMERIC, *num), passthrough=(*LINEAR_PASSTHROUGH, *rest), tag=str(k))
+        out += [f"ap{k} AS (SELECT v.f, v.count AS y, {BACK.format('log_pred')} AS pred FROM {judged} v JOIN rp{k} p ON p.f = v.f AND p.rid = v.rid)",
+                f"af{k} AS (SELECT f, {report_sql_raw()} FROM ap{k} GROUP BY f)"]
+        held = ", ".join(f"{_even(f'max({m}) FILTER (WHERE f = 9)')} AS holdout_{m}" for m in _MEASURES)
+        parts.append(f"SELECT '{arm}' AS arm, 'ridge' AS model, {held}, {_even('avg(rmsle) FILTER (WHERE f < 9)')} AS cv_rmsle FROM af{k}")
+    return [*out, "sweep AS (" + " UNION ALL ".join(parts) + ")"]
+
+
+_ALL_SWEPT = "SELECT arm, model, " + ", ".join(f"{r(c)} AS {c}" for c in (*(f"holdout_{m}" for m in _MEASURES), "cv_rmsle")) + " FROM sweep"
+_GROUP_ARMS = {a: (tuple(c), "tq", "vq") for a, c in {"baseline": (), **FEATURE_GROUPS}.items()}
+
+
+@query("m25_feature_group_sweep_ridge", recursive(with_(*_CAND_B, *_SPLITS, *_sweep_ctes(_GROUP_ARMS))) + _ALL_SWEPT)
+def m25r(spark, sf):
+    """The five arms of the sweep with the ridge."""
+    return finish(xp.feature_sweep(_cand(spark, sf), ["ridge"], CFG))
+
+
+@query("m29_promotion_gate_ridge", recursive(with_(*_CAND_B, *_SPLITS, *_sweep_ctes(_GROUP_ARMS),
+       "gain AS (SELECT a.arm, round(b.holdout_rmsle - a.holdout_rmsle, 4) AS g FROM sweep a JOIN sweep b ON b.arm = 'baseline' WHERE a.arm <> 'baseline')")) +
+       f"SELECT arm, CAST(NULL AS DOUBLE) AS best_boosted_gain, {r('g')} AS ridge_gain, CAST(NULL AS DOUBLE) AS worst_tree_gain, {r('g')} AS worst_gain, "
+       f"{r('g')} AS best_gain, {i('0')} AS qualifies, {i('CASE WHEN g >= 0 THEN 1 ELSE 0 END')} AS no_loss FROM gain")
+def m29r(spark, sf):
+    """The gate on the ridge's arms alone: without trees that show no loss none qualifies."""
+    return finish(xp.promotion_gate(xp.compare_with_baseline(xp.feature_sweep(_cand(spark, sf), ["ridge"], CFG))))
+
+
+_REBUILT = ["wm AS (SELECT f, coalesce(median(windspeed) FILTER (WHERE windspeed > 0), 0.0) AS fill FROM tq GROUP BY f)",
+            "om AS (SELECT f, avg(temp) AS m1, avg(humidity) AS m2, avg(atemp) AS my, var_pop(temp) AS v1, var_pop(humidity) AS v2, "
+            "covar_pop(temp, humidity) AS v12, covar_pop(temp, atemp) AS c1, covar_pop(humidity, atemp) AS c2 FROM tq GROUP BY f)",
+            "ob AS (SELECT *, (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS b1, (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS b2 FROM om)",
+            *[f"{name}r AS (SELECT q.* REPLACE (CASE WHEN q.windspeed = 0 THEN wm.fill ELSE q.windspeed END AS windspeed, "
+              f"(ob.my - ob.b1 * ob.m1 - ob.b2 * ob.m2) + ob.b1 * q.temp + ob.b2 * q.humidity AS atemp) FROM {name} q JOIN wm ON wm.f = q.f JOIN ob ON ob.f = q.f)"
+              for name in ("tq", "vq")]]
+_ENV = {"baseline": ((), "tq", "vq"), "comfort": (("comfort_index",), "tq", "vq"), "recalib": ((), "tqr", "vqr"), "all": (("comfort_index",), "tqr", "vqr")}
+
+
+@query("m26_env_experiment_ridge", recursive(with_(*_CAND_B, *_SPLITS, *_REBUILT, *_sweep_ctes(_ENV))) + _ALL_SWEPT)
+def m26r(spark, sf):
+    """The four arms of the weather experiment with the ridge."""
+    return finish(xp.env_experiment(_cand(spark, sf), ["ridge"], CFG))
+
+
+# --- the search with the ridge's penalty: each draw is a linear solve in SQL ---------------------------
+RIDGE_SPACE = {"alpha": [0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0]}
+RIDGE_DRAWS = 4
+_DRAWN = xp.draw_params(RIDGE_SPACE, RIDGE_DRAWS, CFG.seed)
+_SEARCH_FOLDS = ridge_cv_ctes(0, 20, "s15")
+_SEARCHED = ["s15 AS (SELECT * FROM lab WHERE day(datetime) < 16)", *_SEARCH_FOLDS]
+for _k, _p in enumerate(_DRAWN):
+    _SEARCHED += [*ridge_ctes("tq20", "vq20", alpha=_p["alpha"], tag=f"_d{_k}"),
+                  f"sp{_k} AS (SELECT v.f, v.count AS y, {BACK.format('log_pred')} AS pred FROM vq20 v JOIN rp_d{_k} p ON p.f = v.f AND p.rid = v.rid)",
+                  f"sf{_k} AS (SELECT f, {report_sql_raw()} FROM sp{_k} GROUP BY f)"]
+_SEARCHED.append("found AS (" + " UNION ALL ".join(
+    f"SELECT {k} AS draw, '{json.dumps(p, sort_keys=True)}' AS params, avg(rmsle) AS cv FROM sf{k}" for k, p in enumerate(_DRAWN)) + ")")
+
+
+def _ridge_search(spark, sf):
+    return xp.random_search(lab2(spark, sf), "ridge", RIDGE_SPACE, RIDGE_DRAWS, CFG)
+
+
+@query("m22_random_search_ridge", recursive(with_(*B, *_SEARCHED)) +
+       f"SELECT {i('draw')} AS draw, 'ridge' AS model, params, {r('cv')} AS cv_rmsle, {r('-cv')} AS score FROM found")
+def m22r(spark, sf):
+    """Seeded draws of the ridge's penalty, scored by CV RMSLE on days 1-15."""
+    return finish(_ridge_search(spark, sf))
+
+
+def _m23r_sql():
+    ctes, arms = [], {"baseline": CFG.params["ridge"], **{f"d{k}": p for k, p in enumerate(_DRAWN)}}
+    for arm, p in arms.items():
+        ctes += [*ridge_ctes("tq", "vq", alpha=p["alpha"], tag=f"_h{arm}"),
+                 f"ap_{arm} AS (SELECT v.f, v.count AS y, {BACK.format('log_pred')} AS pred FROM vq v JOIN rp_h{arm} p ON p.f = v.f AND p.rid = v.rid)",
+                 f"af_{arm} AS (SELECT f, {report_sql_raw()} FROM ap_{arm} GROUP BY f)"]
+    held = ", ".join(f"{_even(f'max({m}) FILTER (WHERE f = 9)')} AS holdout_{m}" for m in _MEASURES)
+    every = " UNION ALL ".join(f"SELECT '{a}' AS arm, {held}, {_even('avg(rmsle) FILTER (WHERE f < 9)')} AS cv_rmsle FROM af_{a}" for a in arms)
+    ctes += [f"swept AS ({every})", "best AS (SELECT * FROM found ORDER BY cv, draw LIMIT 1)"]
+    cols = ", ".join(f"{r('a.' + c)} AS {c}" for c in (*(f"holdout_{m}" for m in _MEASURES), "cv_rmsle"))
+    return recursive(with_(*B, *_SPLITS, *_SEARCHED, *ctes)) + (
+        f"SELECT 'ridge' AS model, 'tuned' AS arm, {cols}, {r('b.holdout_rmsle')} AS baseline_rmsle, {r('b.holdout_rmsle - a.holdout_rmsle')} AS improvement, "
+        f"{r('best.cv')} AS search_best_cv_rmsle FROM best JOIN swept a ON a.arm = 'd' || CAST(best.draw AS VARCHAR) JOIN swept b ON b.arm = 'baseline'")
+
+
+@query("m23_tuned_vs_baseline_ridge", _m23r_sql())
+def m23r(spark, sf):
+    """The best drawn penalty against the published one on both views."""
+    return finish(xp.tuned_against_baseline(lab2(spark, sf), {"ridge": _ridge_search(spark, sf)}, CFG))
+
+
 def _searches(spark, sf):
     """Both boosted models' published searches: seeded draws from the published spaces,
     scored by CV RMSLE on days 1-15 only."""

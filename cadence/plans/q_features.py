@@ -111,6 +111,27 @@ def b08_f4(spark, sf):
     return finish(fx.build_features(lineitem_rows(spark, sf), CFG4))
 
 
+_FAULTS = [("without_datetime", "ValueError"), ("without_workingday", "ValueError"), ("datetime_as_text", "TypeError"), ("whole", "")]
+
+
+@query("b09_input_contract", " UNION ALL ".join(
+    f"SELECT '{c}' AS input, '{e}' AS error, (SELECT count(*) FROM events) AS n_rows" for c, e in _FAULTS))
+def b09(spark, sf):
+    """The demand table with a column missing or unparsed is refused before any work; the
+    whole table passes."""
+    df = demand_rows(spark, sf)
+    inputs = {"without_datetime": df.drop("datetime"), "without_workingday": df.drop("workingday"),
+              "datetime_as_text": df.withColumn("datetime", F.col("datetime").cast("string")), "whole": df}
+    rows = []
+    for name, frame in inputs.items():
+        try:
+            fx.check_feature_input(frame, CFG)
+            rows.append((name, ""))
+        except (ValueError, TypeError) as e:
+            rows.append((name, type(e).__name__))
+    return finish(spark.createDataFrame(rows, "input string, error string").withColumn("n_rows", F.lit(df.count())))
+
+
 # --- B10-B16 candidates ------------------------------------------------------------------
 CANDIDATE_CTE = f"""cand AS (
   SELECT *,

@@ -18,7 +18,7 @@ from cadence.operators import explain as ex
 from cadence.operators import validate as va
 from cadence.operators import correct as co
 from cadence.operators.dual import dual_predictor
-from cadence.operators.learners import TREE_FEATURES, BoostLog, LinearSpec, RidgeLog, get_model
+from cadence.operators.learners import TREE_FEATURES, BoostLog, ColumnBoostLog, LinearSpec, RidgeLog, get_model
 from cadence.operators.score import make_prediction_frame
 from cadence.plans.common import finish, i, r, ts
 from cadence.plans.fixtures_sql import with_
@@ -135,6 +135,18 @@ def m10s(spark, sf):
     return finish(_stumps(spark, sf).predict(hold).select("row_id", "log_pred", "pred"))
 
 
+_PENALISED = {"n_estimators": 3, "learning_rate": 0.7, "max_depth": 1, "reg_lambda": 50.0}
+
+
+@query("m11_penalised_stumps", recursive(with_(*B, *_RID, *stump_ctes("trn", "jud", STUMP_FEATURES, 3, 0.7, penalty=50.0))) +
+       f"SELECT {i('rid')} AS row_id, {r('log_pred')} AS log_pred, {r(BACK.format('log_pred'))} AS pred FROM sp")
+def m11s(spark, sf):
+    """The column-sampled booster's leaf penalty, at depth 1 and without draws."""
+    df = lab2(spark, sf)
+    fitted = ColumnBoostLog(STUMP_FEATURES, **_PENALISED).fit(df.filter(F.dayofmonth("datetime") < 16), "count")
+    return finish(fitted.predict(df.filter(F.dayofmonth("datetime") >= 16)).select("row_id", "log_pred", "pred"))
+
+
 @query("m21_stump_importance", recursive(with_(*B, *_STUMPS)) + " UNION ALL ".join(
     f"SELECT 'gradient_boosting' AS model, '{c}' AS feature, {r(f'(SELECT coalesce(sum(gain) FILTER (WHERE c = {chr(39)}{c}{chr(39)}), 0) / sum(gain) FROM sb)')} AS importance"
     for c in STUMP_FEATURES))
@@ -142,9 +154,9 @@ def m21s(spark, sf):
     return finish(ex.split_importance(_stumps(spark, sf), STUMP_FEATURES, spark, "gradient_boosting"))
 
 
-def ridge_cv_ctes(gap: int = 0, tag: int = 0) -> list[str]:
+def ridge_cv_ctes(gap: int = 0, tag: int = 0, src: str = "lab") -> list[str]:
     """The folds' training and validation rows as fits ``tag`` + fold."""
-    fz = fold_cte("lab", "datetime, row_id", 5, gap, name=f"fz{tag}")
+    fz = fold_cte(src, "datetime, row_id", 5, gap, name=f"fz{tag}")
     return [fz, f"tq{tag} AS (SELECT {tag} + k.f AS f, row_id AS rid, z.* FROM fz{tag} z JOIN range(1, 6) k(f) ON z.train_seg <= k.f)",
             f"vq{tag} AS (SELECT {tag} + val_fold AS f, row_id AS rid, z.* FROM fz{tag} z WHERE val_fold IS NOT NULL)"]
 
@@ -377,3 +389,18 @@ def m21(spark, sf):
 def d04(spark, sf):
     return finish(ex.align_by_feature(_tree_importances(spark, sf), "importance"))
 
+
+D4_RATES = {"slow": 0.2, "fast": 0.9}
+_D4 = [c for k, rate in D4_RATES.items() for c in stump_ctes("trn", "jud", STUMP_FEATURES, 3, rate, tag=f"_{k}")]
+
+
+@query("d04_align_stump_importances", recursive(with_(*B, *_RID, *_D4)) + "SELECT feature, " + ", ".join(
+    f"{r(f'coalesce(sum(g) FILTER (WHERE m = {chr(39)}{k}{chr(39)}), 0)')} AS {k}" for k in D4_RATES) + " FROM (" + " UNION ALL ".join(
+    f"SELECT '{k}' AS m, c AS feature, gain / (SELECT sum(gain) FROM sb_{k}) AS g FROM sb_{k}" for k in D4_RATES) + ") GROUP BY feature")
+def d04s(spark, sf):
+    """Importances of a slow and a fast boosted model, aligned; features that neither
+    splits on are left out."""
+    train = lab2(spark, sf).filter(F.dayofmonth("datetime") < 16)
+    tables = {k: ex.split_importance(BoostLog(STUMP_FEATURES, n_estimators=3, max_depth=1, learning_rate=rate).fit(train, "count"),
+                                     STUMP_FEATURES, spark, "gradient_boosting").filter("importance > 0") for k, rate in D4_RATES.items()}
+    return finish(ex.align_by_feature(tables, "importance"))
