@@ -78,7 +78,8 @@ class HourlyMeanBaseline(Estimator):
         # One scan: per-hour sums and counts (<= 24 rows); the global mean comes
         # from that small table, not from a second pass over the rows.
         stats = df.groupBy(F.col("hour").cast("int").alias("hour")).agg(
-            F.sum(y).alias("_s"), F.count(y).alias("_c")).cache()
+            F.sum(y).alias("_s"), F.count(y).alias("_c"))
+        stats = df.sparkSession.createDataFrame(stats.collect(), stats.schema)   # a row an hour of the day
         global_mean = stats.agg(F.sum("_s") / F.sum("_c")).first()[0]
         hour_means = stats.select("hour", (F.col("_s") / F.col("_c")).alias("_hour_mean"))
         return _HourlyFitted(hour_means, float(global_mean))

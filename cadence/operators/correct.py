@@ -15,6 +15,7 @@ from cadence.functions.metrics import report
 from cadence.operators.baselines import Estimator, Fitted
 from cadence.operators.order import cut_expr, join_small, quantile_edges
 from cadence.operators.splits import split_holdout
+from cadence.session import scratch_path
 
 
 class _HourlyLogFitted(Fitted):
@@ -41,7 +42,8 @@ class HourlyLogMean(Estimator):
 
     def fit(self, df: DataFrame, label: str) -> Fitted:
         z = F.log1p(F.col(label).cast("double"))
-        stats = df.groupBy(F.col("hour").cast("int").alias("_h")).agg(F.sum(z).alias("_s"), F.count(z).alias("_c")).cache()
+        stats = df.groupBy(F.col("hour").cast("int").alias("_h")).agg(F.sum(z).alias("_s"), F.count(z).alias("_c"))
+        stats = df.sparkSession.createDataFrame(stats.collect(), stats.schema)   # a row an hour of the day
         g = stats.agg(F.sum("_s") / F.sum("_c")).first()[0]
         means = stats.select("_h", (F.col("_s") / F.col("_c")).alias("_lm"))
         return _HourlyLogFitted(means, float(g))
@@ -65,7 +67,11 @@ def peak_experiment(est: Estimator, df: DataFrame, cfg: Config = Config(), q: in
     scored = model.predict_log(hold).select(
         F.col(cfg.target).cast("double").alias("y"),
         from_log1p(F.col("log_pred")).alias("uncorrected"),
-        apply_smearing(F.col("log_pred"), theta).alias("smeared")).cache()
+        apply_smearing(F.col("log_pred"), theta).alias("smeared"))
+    # scored once, for the cuts and both tables
+    path = scratch_path(df.sparkSession, "smeared")
+    scored.write.parquet(path)
+    scored = df.sparkSession.read.schema(scored.schema).parquet(path)
     arms = scored.unpivot("y", ["uncorrected", "smeared"], "arm", "pred")
     overall = report(arms, "y", "pred", by=["arm"])
     edges = quantile_edges(scored, "y", q)

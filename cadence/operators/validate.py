@@ -92,8 +92,9 @@ def cv_baseline_one_pass(df: DataFrame | None, by_hour: bool, cfg: Config = Conf
     hour_col = [F.col("hour").cast("int").alias("hour")] if by_hour else []
     sums = [F.sum(F.col(lb).cast("double")).alias(f"s{j}") for j, lb in enumerate(labels)]
     seg = (tagged.filter(F.col("train_seg") <= k)
-           .groupBy(F.col("train_seg"), *hour_col).agg(*sums, F.count(F.lit(1)).alias("c"))
-           .cache())   # <= (k + 1) x 24 rows, read by both the hourly and the global table
+           .groupBy(F.col("train_seg"), *hour_col).agg(*sums, F.count(F.lit(1)).alias("c")))
+    # at most (k + 1) x 24 rows, read by both the hourly and the global table
+    seg = seg.sparkSession.createDataFrame(seg.collect(), seg.schema)
     # A segment's rows train every fold from the segment on: explode to those folds.
     per_fold = seg.withColumn("fold", F.explode(F.sequence(F.col("train_seg"), F.lit(k))))
     means = lambda pre: [(F.sum(f"s{j}") / F.sum("c")).alias(f"{pre}{j}") for j in range(len(labels))]

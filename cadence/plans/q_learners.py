@@ -178,8 +178,7 @@ def m12g(spark, sf):
 # --- M14 train job, M16 submission job, A7 -----------------------------------------------------------
 def train_model_job(spark, df, name: str, cfg: Config = CFG, metrics_base: str | None = None):
     """CV + holdout, full fit, model saved, metrics upserted (keyed by model) into
-    a versioned table. Returns (model path, metrics base path, new version path)."""
-    from cadence.sources.io import path_exists
+    a versioned table that several jobs may write at once. Returns (model path, metrics base path, new version path)."""
     est = get_model(name, cfg.params.get(name))
     pred = va.fit_predict(est)
     cv = va.cv_report(pred, df, cfg)
@@ -191,12 +190,9 @@ def train_model_job(spark, df, name: str, cfg: Config = CFG, metrics_base: str |
                         "rmsle", "rmse", "mae", "r2")
     new = cv_long.unionByName(ho_long)
     base = metrics_base or scratch_path(spark, "metrics")
-    version = 1
-    while path_exists(spark, f"{base}/v{version:04d}"):
-        version += 1
-    merged = new if version == 1 else io.upsert(spark.read.parquet(f"{base}/v{version - 1:04d}"), new, ("model",))
-    path = io.write_version(merged, base, version)
-    return model_path, base, path
+    # the metrics are settled before they are merged, so a second try fits nothing again
+    rows = spark.createDataFrame(new.collect(), new.schema)
+    return model_path, base, io.upsert_version(rows, base)
 
 
 def _m14_ridge_sql():
@@ -213,7 +209,7 @@ def _m14_ridge_sql():
 def m14(spark, sf):
     """Two training runs into one metrics table: the second run's rows are upserted
     next to the first's (version 2 holds both models)."""
-    df = lab2(spark, sf).cache()
+    df = lab2(spark, sf)
     _, base, _ = train_model_job(spark, df, "mean_baseline")
     _, _, latest = train_model_job(spark, df, "ridge", metrics_base=base)
     return finish(spark.read.parquet(latest))

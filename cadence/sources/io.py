@@ -8,7 +8,10 @@ funnelled into a single output file.
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,13 +140,61 @@ def upsert(existing: DataFrame, new: DataFrame, keys=("model",)) -> DataFrame:
     return keep.unionByName(new)
 
 
+def _publish(spark: SparkSession, staged: str, path: str) -> bool:
+    """Moves a written folder to a name that must still be free; False if it is taken.
+    The file system decides, so of two jobs that publish one name only one does."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(src.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs.Options.Rename, "NONE")
+    try:
+        files.rename(src, dst, options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception) or path_exists(spark, path):
+            return False
+        raise
+    return True
+
+
 def write_version(df: DataFrame, base: str, version: int) -> str:
-    """Versioned write: readers of an older version are never disturbed."""
-    path = f"{base.rstrip('/')}/v{version:04d}"
-    df.write.mode("errorifexists").parquet(path)
+    """A version as a folder of its own, which readers of older ones never see change. It
+    appears whole or not at all; a version that stands already is an error."""
+    path, staged = f"{base.rstrip('/')}/v{version:04d}", f"{base.rstrip('/')}/_staged/{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    if not _publish(df.sparkSession, staged, path):
+        raise FileExistsError(f"version {version} stands at {path}")
     return path
 
 
+def latest_version(spark: SparkSession, base: str) -> int:
+    """Number of the newest version; 0: none. Versions are numbered without gaps."""
+    have = lambda v: path_exists(spark, f"{base.rstrip('/')}/v{v:04d}")
+    high = 1
+    while have(high):
+        high *= 2
+    low = high // 2
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if have(mid) else (low, mid)
+    return low
+
+
+def upsert_version(new: DataFrame, base: str, keys: Sequence[str] = ("model",), tries: int = 100) -> str:
+    """A5 for several jobs at once: merges ``new`` into the newest version and publishes
+    the next one. A job that finds that version taken meanwhile reads it and merges
+    again, so no job's rows are lost."""
+    spark = new.sparkSession
+    for _ in range(tries):
+        version = latest_version(spark, base)
+        merged = upsert(spark.read.parquet(f"{base.rstrip('/')}/v{version:04d}"), new, keys) if version else new
+        try:
+            return write_version(merged, base, version + 1)
+        except FileExistsError:
+            continue
+    raise RuntimeError(f"{tries} versions of {base} were published by others before this one")
+
+
 def save_record(df: DataFrame, path: str, force: bool = False) -> str:
     """An experiment record refuses to overwrite an existing one unless forced."""
     if not force and path_exists(df.sparkSession, path):

@@ -83,3 +83,30 @@ def test_processed_table_is_checked_against_the_prepare_step(spark, tmp_path):
         io.read_processed(spark, path)
     own = io.read_processed(spark, path, spark.read.parquet(path).schema)
     assert own.count() == 3
+
+
+def test_concurrent_jobs_lose_no_rows(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    base = str(tmp_path / "metrics")
+    jobs = [spark.createDataFrame([(f"model{k % 4}", float(k))], "model string, rmsle double") for k in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        paths = list(pool.map(lambda df: io.upsert_version(df, base), jobs))
+    assert len(set(paths)) == 8 and io.latest_version(spark, base) == 8
+    rows = spark.read.parquet(f"{base}/v0008").collect()
+    assert sorted(r["model"] for r in rows) == [f"model{k}" for k in range(4)]   # each model once, from its last job
+    last = {f"model{k}": max((p, j) for j, p in enumerate(paths) if j % 4 == k)[1] for k in range(4)}
+    assert {r["model"]: r["rmsle"] for r in rows} == {m: float(j) for m, j in last.items()}
+    with pytest.raises(FileExistsError):
+        io.write_version(jobs[0], base, 3)
+
+
+def test_saved_trees_predict_the_same(spark, tmp_path):
+    from cadence.operators.learners import get_model
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 11), float(i % 13)) for i in range(300)], "row_id bigint, a double, b double, count double")
+    for name, params in (("random_forest", {"n_estimators": 7}), ("gradient_boosting", {"n_estimators": 9}), ("xgboost", {"n_estimators": 5})):
+        est = get_model(name, params)
+        est.features = ["a", "b"]
+        fitted = est.fit(df, "count")
+        loaded = io.load_fitted(spark, io.save_fitted(fitted, str(tmp_path / name)))
+        a, b = ([r["pred"] for r in m.predict(df).orderBy("row_id").collect()] for m in (fitted, loaded))
+        assert a == b and len(set(a)) > 5
