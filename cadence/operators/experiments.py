@@ -9,6 +9,7 @@ DataFrame, its metrics one aggregation. Results are small DataFrames: one row pe
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 import random
@@ -29,6 +30,7 @@ from cadence.operators.fitted import AtempRecalibrator, WindspeedZeroImputer
 from cadence.operators.learners import RidgeLog, get_model
 from cadence.operators.ridge import GramTable, RidgeFit
 from cadence.operators.splits import fold_columns, fold_plan, holdout_flag, ranked_with_folds, split_holdout
+from cadence.sources.io import path_exists
 
 FIT_THREADS = 3   # small jobs (a fold's fitted transforms) that run at the same time
 
@@ -95,9 +97,42 @@ def _rebuild(frame: Frame) -> None:
     frame.rows = frame.rows.withColumns(cols)
 
 
-def validate(frame: Frame, jobs: Sequence[Job], cfg: Config = Config(), views: Sequence[int] | None = None) -> list[dict]:
+#: Fits that one job of a sweep with a ledger runs: what a lost driver loses at most.
+LEDGER_FITS = 120
+LEDGER_SCHEMA = "fit string, rmsle double, rmse double, mae double, r2 double, n bigint"
+
+
+class Ledger:
+    """Metrics of finished fits in a shared folder, one row a fit, so that a sweep that is
+    started again runs only what is missing. A fit is known by its model, settings,
+    columns, view and fold and by the content of its input, so a changed table or setting
+    finds nothing of the old one."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def known(self, keys: Sequence[str]) -> dict[str, dict]:
+        if not path_exists(self.spark, self.path):
+            return {}
+        rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).join(
+            self.spark.createDataFrame([(k,) for k in keys], "fit string"), "fit").dropDuplicates(["fit"]).collect()
+        return {r["fit"]: r.asDict() for r in rows}
+
+    def add(self, rows: Sequence[dict]) -> None:
+        names = [x.split()[0] for x in LEDGER_SCHEMA.split(", ")]
+        self.spark.createDataFrame([tuple(r[n] for n in names) for r in rows], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    @staticmethod
+    def content(frame: Frame, cfg: Config) -> str:
+        """Rows and hash sum of a frame's columns, whatever their order."""
+        r = frame.rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(frame.rows.columns)).cast("decimal(38,0)")).alias("h")).first()
+        return f"{sorted(frame.rows.dtypes)}:{cfg.target}:{r['n']}:{r['h']}"
+
+
+def validate(frame: Frame, jobs: Sequence[Job], cfg: Config = Config(), views: Sequence[int] | None = None,
+             ledger: Ledger | None = None) -> list[dict]:
     """Metrics of every (job, view, fold), all fits together: rows with job, view, fold,
-    rmsle, rmse, mae, r2 and n."""
+    rmsle, rmse, mae, r2 and n. With a ledger, fits that it holds are not run again."""
     if any(j.rebuilt for j in jobs) and not frame.versions:
         _rebuild(frame)
     trees, linear = [], []
@@ -112,14 +147,22 @@ def validate(frame: Frame, jobs: Sequence[Job], cfg: Config = Config(), views: S
             else:
                 trees.append(((k, *part), batchfit.Fit(tuple(renamed.get(c, c) for c in est.features), est.settings(), *part)))
     found = []
+    content = Ledger.content(frame, cfg) if ledger else ""
     for made, scores in ((trees, _tree_scores), (linear, _ridge_scores)):
-        if not made:
-            continue
-        scored = scores(frame, [f for _, f in made], cfg)
-        scored = scored.select("fit", F.expm1("y").alias("y"), from_log1p(F.col("log_pred")).alias("pred"))
-        for r in report(scored, "y", "pred", by=["fit"]).collect():
-            job, view, fold = made[r["fit"]][0]
-            found.append({"job": job, "view": view, "fold": fold, **{m: r[m] for m in ("rmsle", "rmse", "mae", "r2", "n")}})
+        names = [hashlib.sha256(f"{content}|{f!r}|{frame.views[at[1]].train_from}|{frame.views[at[1]].validates}".encode()).hexdigest() for at, f in made]
+        have = ledger.known(names) if ledger and made else {}
+        todo = list(dict.fromkeys(k for k, name in enumerate(names) if name not in have))
+        step = LEDGER_FITS if ledger else max(1, len(todo))
+        for batch in (todo[a:a + step] for a in range(0, len(todo), step)):
+            scored = scores(frame, [made[k][1] for k in batch], cfg)
+            scored = scored.select("fit", F.expm1("y").alias("y"), from_log1p(F.col("log_pred")).alias("pred"))
+            rows = [{**r.asDict(), "fit": names[batch[r["fit"]]]} for r in report(scored, "y", "pred", by=["fit"]).collect()]
+            have.update((r["fit"], r) for r in rows)
+            if ledger:
+                ledger.add(rows)
+        for name, ((job, view, fold), _) in zip(names, made):
+            if name in have:
+                found.append({"job": job, "view": view, "fold": fold, **{m: have[name][m] for m in ("rmsle", "rmse", "mae", "r2", "n")}})
     return found
 
 
@@ -137,9 +180,9 @@ def _mean(found: list[dict], job: int, view: int) -> float:
     return sum(own) / len(own)
 
 
-def both_views(frame: Frame, jobs: Sequence[Job], cfg: Config = Config()) -> list[dict]:
+def both_views(frame: Frame, jobs: Sequence[Job], cfg: Config = Config(), ledger: Ledger | None = None) -> list[dict]:
     """Holdout metrics and CV-mean RMSLE of every job."""
-    found = validate(frame, jobs, cfg)
+    found = validate(frame, jobs, cfg, ledger=ledger)
     held = {r["job"]: r for r in found if r["view"] == frame.holdout}
     return [{**{f"holdout_{m}": held[k][m] for m in ("rmsle", "rmse", "mae", "r2")}, "cv_rmsle": _mean(found, k, 0)} for k in range(len(jobs))]
 
@@ -157,24 +200,24 @@ def _results(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def feature_sweep(df: DataFrame, models: Sequence[str], cfg: Config = Config(),
-                  groups: dict[str, Sequence[str]] | None = None) -> DataFrame:
+                  groups: dict[str, Sequence[str]] | None = None, ledger: Ledger | None = None) -> DataFrame:
     """Baseline arm plus one arm per candidate group, for each model.
     ``df`` must carry the candidate columns (B16). Ridge routes numeric candidates to
     the scaler and the rest to pass-through; trees take them as extra features."""
     groups = groups if groups is not None else FEATURE_GROUPS
     arms = {"baseline": (), **groups}
     jobs = [(arm, Job(m, cfg.params.get(m, {}), tuple(cols))) for arm, cols in arms.items() for m in models]
-    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg)
+    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg, ledger)
     return _results(df.sparkSession, [{"arm": arm, "model": j.name, **r} for (arm, j), r in zip(jobs, got)])
 
 
-def env_experiment(df: DataFrame, models: Sequence[str], cfg: Config = Config()) -> DataFrame:
+def env_experiment(df: DataFrame, models: Sequence[str], cfg: Config = Config(), ledger: Ledger | None = None) -> DataFrame:
     """Baseline, comfort (+ comfort index), recalib (zero-wind fill and atemp
     rebuild fitted inside every fold), all (both)."""
     arms = {"baseline": ((), False), "comfort": (("comfort_index",), False), "recalib": ((), True),
             "all": (("comfort_index",), True)}
     jobs = [(arm, Job(m, cfg.params.get(m, {}), extra, rebuilt)) for arm, (extra, rebuilt) in arms.items() for m in models]
-    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg)
+    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg, ledger)
     return _results(df.sparkSession, [{"arm": arm, "model": j.name, **r} for (arm, j), r in zip(jobs, got)])
 
 
@@ -256,22 +299,24 @@ def draw_params(space: dict[str, list], n: int, seed: int = SEED) -> list[dict]:
     return [dict(zip(keys, grid[i])) for i in picks]
 
 
-def random_search(df: DataFrame, model: str, space: dict[str, list], n_draws: int, cfg: Config = Config()) -> DataFrame:
+def random_search(df: DataFrame, model: str, space: dict[str, list], n_draws: int, cfg: Config = Config(),
+                  ledger: Ledger | None = None) -> DataFrame:
     """Score each draw by CV-mean RMSLE on the search rows (days 1-15, folded
     inside); no refit."""
     search_rows, _ = split_holdout(df, cfg)
     draws = draw_params(space, n_draws, cfg.seed)
-    found = validate(validation_frame(search_rows, cfg, holdout=False), [Job(model, p) for p in draws], cfg)
+    found = validate(validation_frame(search_rows, cfg, holdout=False), [Job(model, p) for p in draws], cfg, ledger=ledger)
     out = [(k, model, json.dumps(p, sort_keys=True), cv, -cv) for k, p in enumerate(draws) for cv in [_mean(found, k, 0)]]
     return df.sparkSession.createDataFrame(out, "draw int, model string, params string, cv_rmsle double, score double")
 
 
-def tuned_against_baseline(df: DataFrame, searches: dict[str, DataFrame], cfg: Config = Config()) -> DataFrame:
+def tuned_against_baseline(df: DataFrame, searches: dict[str, DataFrame], cfg: Config = Config(),
+                           ledger: Ledger | None = None) -> DataFrame:
     """Refit the best draw of each model and its published settings on both views;
     improvement on holdout."""
     best = {m: s.orderBy("cv_rmsle", "draw").first() for m, s in searches.items()}
     jobs = [(arm, Job(m, p)) for m, row in best.items() for arm, p in (("baseline", cfg.params[m]), ("tuned", json.loads(row["params"])))]
-    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg)
+    got = both_views(validation_frame(df, cfg), [j for _, j in jobs], cfg, ledger)
     res = _results(df.sparkSession, [{"arm": arm, "model": j.name, **r} for (arm, j), r in zip(jobs, got)])
     found = df.sparkSession.createDataFrame([(m, row["cv_rmsle"]) for m, row in best.items()], "model string, search_best_cv_rmsle double")
     return compare_with_baseline(res).join(found, "model")

@@ -25,6 +25,7 @@ from cadence.plans.q_splits import lab2
 from cadence.plans.registry import query
 from cadence.plans.ridge_sql import BACK, recursive, ridge_ctes
 from cadence.plans.sqlparts import report_sql_raw
+from cadence.session import ensure_checkpoint_dir
 from cadence.sources.fixtures import demand_rows, labeled
 
 CFG = Config()
@@ -39,22 +40,28 @@ def _cand(spark, sf):
 #: The learners of the published sweeps and of the gap diagnostic.
 MODELS = ("ridge", "random_forest", "gradient_boosting", "xgboost")
 
+def _ledger(spark):
+    """Finished fits of these queries, in the shared folder: m29 judges the sweep of m25,
+    and m23 refits the search of m22, without running their fits again."""
+    return xp.Ledger(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger")
+
+
 @query("m25_feature_group_sweep")
 def m25(spark, sf):
     """Baseline arm and the four candidate groups, four models on both validation views."""
-    return finish(xp.feature_sweep(_cand(spark, sf), MODELS, CFG))
+    return finish(xp.feature_sweep(_cand(spark, sf), MODELS, CFG, ledger=_ledger(spark)))
 
 
 @query("m29_promotion_gate")
 def m29(spark, sf):
     """The gate on the sweep of m25."""
-    return finish(xp.promotion_gate(xp.compare_with_baseline(xp.feature_sweep(_cand(spark, sf), MODELS, CFG))))
+    return finish(xp.promotion_gate(xp.compare_with_baseline(xp.feature_sweep(_cand(spark, sf), MODELS, CFG, ledger=_ledger(spark)))))
 
 
 @query("m26_env_experiment")
 def m26(spark, sf):
     """Baseline, comfort, recalib (fitted inside each fold) and all, with four models."""
-    return finish(xp.env_experiment(_cand(spark, sf), MODELS, CFG))
+    return finish(xp.env_experiment(_cand(spark, sf), MODELS, CFG, _ledger(spark)))
 
 
 # --- the sweeps with the ridge alone: a linear solve in SQL ------------------------------------------
@@ -168,7 +175,7 @@ def m23r(spark, sf):
 def _searches(spark, sf):
     """Both boosted models' published searches: seeded draws from the published spaces,
     scored by CV RMSLE on days 1-15 only."""
-    return {m: xp.random_search(lab2(spark, sf), m, SEARCH_SPACE[m], n, CFG) for m, n in SEARCH_DRAWS.items()}
+    return {m: xp.random_search(lab2(spark, sf), m, SEARCH_SPACE[m], n, CFG, _ledger(spark)) for m, n in SEARCH_DRAWS.items()}
 
 
 @query("m22_random_search")
@@ -181,7 +188,7 @@ def m22(spark, sf):
 @query("m23_tuned_vs_baseline")
 def m23(spark, sf):
     """The searches again, and their best draws against the published settings."""
-    return finish(xp.tuned_against_baseline(lab2(spark, sf), _searches(spark, sf), CFG))
+    return finish(xp.tuned_against_baseline(lab2(spark, sf), _searches(spark, sf), CFG, _ledger(spark)))
 
 
 _GAPS = [*ridge_cv_ctes(0, 0), *ridge_cv_ctes(48, 10),

@@ -37,6 +37,7 @@ def asked(monkeypatch):
 
     monkeypatch.setattr(xp, "_tree_scores", answer)
     monkeypatch.setattr(xp, "_ridge_scores", answer)
+    monkeypatch.setattr(qx, "_ledger", lambda spark: None)
     return fits
 
 
@@ -95,3 +96,24 @@ def test_ridge_from_one_scan_equals_a_fit_per_fold(spark):
         for m in ("rmsle", "rmse", "mae", "r2"):
             assert abs(r[m] - alone[r["fold"]][m]) < 1e-9
         assert r["n"] == alone[r["fold"]]["n"]
+
+
+def test_a_ledger_runs_only_what_is_missing(spark, tmp_path, monkeypatch):
+    ran = []
+    real = xp._tree_scores
+    monkeypatch.setattr(xp, "_tree_scores", lambda frame, fits, cfg: (ran.append(len(fits)), real(frame, fits, cfg))[1])
+    monkeypatch.setattr(xp, "LEDGER_FITS", 4)
+    df, space = lab2(spark, SF001), {"n_estimators": [1, 2], "max_depth": [1, 2], "learning_rate": [0.5]}
+    ledger = xp.Ledger(spark, str(tmp_path / "ledger"))
+    first = xp.random_search(df, "gradient_boosting", space, 2, CFG, ledger).collect()
+    assert ran == [4, 4, 2]                        # batches, each written as it ends
+    ran.clear()
+    assert xp.random_search(df, "gradient_boosting", space, 2, CFG, ledger).collect() == first and ran == []
+    more = xp.random_search(df, "gradient_boosting", space | {"learning_rate": [0.4]}, 1, CFG, ledger).collect()
+    assert ran == [4, 1] and len(more) == 1
+    ran.clear()
+    changed = df.withColumn("temp", F.col("temp") + F.when(F.col("row_id") % 50 == 0, 1.0).otherwise(0.0))
+    xp.random_search(changed, "gradient_boosting", space, 1, CFG, ledger).collect()
+    assert ran == [4, 1]                           # another input is another fit
+    alone = xp.random_search(df, "gradient_boosting", space, 2, CFG).collect()
+    assert [r["cv_rmsle"] for r in alone] == [r["cv_rmsle"] for r in first]
