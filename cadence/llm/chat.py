@@ -6,11 +6,14 @@ depends_on) and tool_call_id (of role ``tool``). Results are first reduced to on
 per conversation and identifier (the earliest; how many there were stays known), so the
 hash join of calls with results yields one row per call whatever a key repeats.
 
-Order: a call comes after the calls it depends on. Levels are found by rounds over all
-conversations at once (Kahn): those without open dependencies leave, until no edge is
-open; the rounds are as many as the longest chain of dependencies, and each is written
-to the shared checkpoint folder. What never becomes free lies on or behind a cycle and
-has no level. A call's position in its conversation is its place by (level, turn, place
+Order: a call comes after the calls it depends on; its level is the longest chain of
+dependencies below it. Levels are found by rounds over all conversations at once. A round
+takes away the dependencies that have a level (Kahn) and, for every dependency that waits
+for one call itself, jumps over it to that call (pointer doubling), so a chain of calls
+takes as many rounds as its length has binary digits; other graphs take at most a round
+per call with several open dependencies on their longest path. Each round's two tables
+are written to the shared checkpoint folder. What lies on or behind a cycle has no level:
+it comes back to itself, its chain outgrows the longest conversation, or nothing moves. A call's position in its conversation is its place by (level, turn, place
 in the message, identifier), calls without level last. Positions are counted in buckets
 of (conversation, level, turn range), so one conversation with a third of all rows is
 spread over tasks.
@@ -200,19 +203,40 @@ def check(arguments: str | None, schema: str | None) -> tuple[object, list[str]]
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(conv, id, level) of distinct nodes; edges (conv, id, dep) are distinct and
     between nodes. Nodes on or behind a cycle have null."""
-    open_edges = written(edges, "edges")
-    done = nodes.join(open_edges.select("conv", "id").distinct(), ["conv", "id"], "left_anti").withColumn("level", F.lit(0))
-    done = written(done, "level")
-    found, last, depth = done, done, 0
-    while not open_edges.isEmpty() and not last.isEmpty():
-        depth += 1
-        gone = last.select("conv", F.col("id").alias("dep"))
-        left = written(open_edges.join(gone, ["conv", "dep"], "left_anti"), "edges")
-        touched = open_edges.join(gone, ["conv", "dep"], "left_semi").select("conv", "id").distinct()
-        last = written(touched.join(left.select("conv", "id").distinct(), ["conv", "id"], "left_anti")
-                       .withColumn("level", F.lit(depth)), "level")
-        found, open_edges = found.unionByName(last), left
-    return nodes.join(found, ["conv", "id"], "left")
+    key = ["conv", "id"]
+
+    def waits(edges: DataFrame) -> DataFrame:
+        """Open edges of a node, and the one edge of those that have one."""
+        return edges.groupBy(*key).agg(F.count(F.lit(1)).alias("k"), F.min("dep").alias("next"), F.min("w").alias("far"))
+
+    longest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
+    edges = written(edges.select("conv", "id", "dep", F.lit(1).cast("bigint").alias("w")), "edges")
+    state = nodes.join(waits(edges), key, "left").select(
+        *key, F.lit(0).cast("bigint").alias("floor"), F.lit(False).alias("lost"), F.coalesce("k", F.lit(0)).alias("k"), "next", "far")
+    state, before = written(state, "levels"), None
+    while True:
+        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("w").cast("decimal(38,0)")).alias("w")).first()
+        if not now["n"] or now == before:
+            return state.select(*key, F.when(~F.col("lost") & (F.col("k") == 0), F.col("floor")).cast("int").alias("level"))
+        before = now
+        dep = state.select("conv", F.col("id").alias("dep"), F.col("floor").alias("d_floor"), F.col("lost").alias("d_lost"),
+                           F.col("k").alias("d_k"), "next", "far")
+        met = edges.join(dep, ["conv", "dep"])
+        known, jumps = F.col("d_k") == 0, F.col("d_k") == 1
+        to = F.when(jumps, F.col("next")).otherwise(F.col("dep"))
+        w = F.when(jumps, F.col("w") + F.col("far")).otherwise(F.col("w"))
+        moved = met.select(*key, to.alias("dep"), w.alias("w"), (~known).alias("open"),
+                           F.when(known | jumps, F.col("d_floor") + F.col("w")).alias("floor"),
+                           (F.col("d_lost") | ~known & ((to == F.col("id")) | (w > longest))).alias("lost"))
+        moved = written(moved, "moved")
+        news = moved.groupBy(*key).agg(F.max("floor").alias("n_floor"), F.max("lost").alias("n_lost"))
+        gone = news.filter("n_lost").select(*key)
+        edges = moved.filter("open").groupBy(*key, "dep").agg(F.max("w").alias("w")).join(gone, key, "left_anti").select(*key, "dep", "w")
+        edges = written(edges, "edges")
+        state = state.drop("k", "next", "far").join(news, key, "left").join(waits(edges), key, "left").select(
+            *key, F.greatest("floor", F.coalesce("n_floor", F.lit(0))).alias("floor"), (F.col("lost") | F.coalesce("n_lost", F.lit(False))).alias("lost"),
+            F.coalesce("k", F.lit(0)).alias("k"), "next", "far")
+        state = written(state, "levels")
 
 
 def link(messages: DataFrame, tools: DataFrame) -> DataFrame:

@@ -171,15 +171,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tool_messages(conversations: DataFrame) -> DataFrame:
     """Stand-in messages: an assistant turn becomes a call, the turn after it a tool
     result; arguments (the whole text, null: empty) and dependencies are made of the
-    row's own columns."""
+    row's own columns: a call waits for the one two turns before it (a chain through the
+    whole conversation) and for the one at half its turn."""
     from cadence.llm.chat import CALLS
     from pyspark.sql import functions as F
     text = F.coalesce(F.col("text"), F.lit(""))
     name = F.element_at(F.array(F.lit("search"), F.lit("translate"), F.lit("lookup")), F.length(text) % 3 + 1)
     call_id = F.concat(F.lit("call-"), F.col("turn").cast("string"))
     arguments = F.to_json(F.struct(text.alias("query"), (F.length(text) % 120).alias("limit")))
-    deps = F.when(F.col("turn") > 1, F.array(F.concat(F.lit("call-"), F.floor(F.col("turn") / 2).cast("string")))).otherwise(
-        F.array().cast("array<string>"))
+    before = [F.concat(F.lit("call-"), x.cast("string")) for x in (F.col("turn") - 2, F.floor(F.col("turn") / 2))]
+    deps = F.when(F.col("turn") > 2, F.array(*before)).when(F.col("turn") > 1, F.array(before[1])).otherwise(F.array().cast("array<string>"))
     call = F.struct(call_id.alias("id"), name.alias("name"), arguments.alias("arguments"), deps.alias("depends_on"))
     is_call = F.col("role") == "assistant"
     return conversations.select(

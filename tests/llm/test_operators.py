@@ -203,6 +203,37 @@ def test_tool_calls_link_order_and_cycles(spark):
     assert chat.link(messages.limit(0), tools).count() == 0
 
 
+def test_levels_against_longest_chains(spark):
+    import random
+    rng = random.Random(7)
+    nodes, edges = [], []
+    for conv in range(30):
+        n = rng.randint(1, 14)
+        names = [f"n{i}" for i in range(n)]
+        nodes += [(conv, x) for x in names]
+        for i in range(n):   # mostly backwards, sometimes forwards, so that cycles come up
+            for j in {rng.randrange(n) for _ in range(rng.choice([0, 1, 1, 2, 3]))}:
+                if j < i or j > i and rng.random() < 0.1:
+                    edges.append((conv, names[i], names[j]))
+    for conv, n in ((100, 70), (101, 3), (102, 64), (103, 7)):   # chains, a loop of three, of seven, and one's own
+        nodes += [(conv, f"n{i}") for i in range(n)]
+        edges += [(conv, f"n{i}", f"n{i - 1}") for i in range(1, n)]
+    edges += [(101, "n0", "n2"), (103, "n0", "n6"), (102, "n63", "n0"), (100, "n69", "n69")]
+    below = {}
+    for c, a, b in edges:
+        below.setdefault((c, a), []).append((c, b))
+
+    def depth(x, above=()):
+        if x in above:
+            return None
+        got = [depth(y, (*above, x)) for y in below.get(x, ())]
+        return None if None in got else 1 + max(got, default=-1)
+    got = {(r["conv"], r["id"]): r["level"] for r in chat.levels(
+        spark.createDataFrame(nodes, "conv int, id string"), spark.createDataFrame(edges, "conv int, id string, dep string")).collect()}
+    assert got == {x: depth(x) for x in nodes}
+    assert got[100, "n68"] == 68 and got[102, "n63"] == 63 and {got[101, "n1"], got[103, "n3"], got[100, "n69"]} == {None}
+
+
 def test_tool_query_keeps_every_call(spark):
     conv = q.table(spark, SF001, "conversations")
     got = q.QUERIES["op2_tool_call_linking"](spark, SF001)
