@@ -44,8 +44,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cadence.llm.common import bucket_of, ordered_bounds, prepare, written
+from cadence.session import scratch_path
 
 CALLS = "array<struct<id:string,name:string,arguments:string,depends_on:array<string>>>"
 _TYPES = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None)}
@@ -209,20 +211,29 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         """Open edges of a node, and the one edge of those that have one."""
         return edges.groupBy(*key).agg(F.count(F.lit(1)).alias("k"), F.min("dep").alias("next"), F.min("w").alias("far"))
 
+    spark = nodes.sparkSession
     longest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     edges = written(edges.select("conv", "id", "dep", F.lit(1).cast("bigint").alias("w")), "edges")
     state = nodes.join(waits(edges), key, "left").select(
         *key, F.lit(0).cast("bigint").alias("floor"), F.lit(False).alias("lost"), F.coalesce("k", F.lit(0)).alias("k"), "next", "far")
-    state, before = written(state, "levels"), None
+    # a round's nodes: those still open after the one before, some of which it settled
+    folder, rounds, before = scratch_path(spark, "levels"), 0, None
+    schema = state.schema
     while True:
+        state.write.parquet(f"{folder}/round={rounds}")
+        state = spark.read.schema(schema).parquet(f"{folder}/round={rounds}")
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("w").cast("decimal(38,0)")).alias("w")).first()
         if not now["n"] or now == before:
-            return state.select(*key, F.when(~F.col("lost") & (F.col("k") == 0), F.col("floor")).cast("int").alias("level"))
-        before = now
+            settled = F.col("lost") | (F.col("k") == 0)
+            return spark.read.schema(StructType([*schema, StructField("round", IntegerType())])).parquet(folder).filter(settled | (F.col("round") == rounds)).select(
+                *key, F.when(settled & ~F.col("lost"), F.col("floor")).cast("int").alias("level"))
+        before, rounds = now, rounds + 1
         dep = state.select("conv", F.col("id").alias("dep"), F.col("floor").alias("d_floor"), F.col("lost").alias("d_lost"),
                            F.col("k").alias("d_k"), "next", "far")
-        met = edges.join(dep, ["conv", "dep"])
-        known, jumps = F.col("d_k") == 0, F.col("d_k") == 1
+        # a call whose only dependency is settled is settled next, and not jumped over
+        ready = state.filter("lost or k = 0").select("conv", F.col("id").alias("next"), F.lit(True).alias("ready"))
+        met = edges.join(dep.join(ready, ["conv", "next"], "left"), ["conv", "dep"])
+        known, jumps = F.col("d_lost") | (F.col("d_k") == 0), (F.col("d_k") == 1) & F.col("ready").isNull()
         to = F.when(jumps, F.col("next")).otherwise(F.col("dep"))
         w = F.when(jumps, F.col("w") + F.col("far")).otherwise(F.col("w"))
         moved = met.select(*key, to.alias("dep"), w.alias("w"), (~known).alias("open"),
@@ -231,12 +242,11 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         moved = written(moved, "moved")
         news = moved.groupBy(*key).agg(F.max("floor").alias("n_floor"), F.max("lost").alias("n_lost"))
         gone = news.filter("n_lost").select(*key)
-        edges = moved.filter("open").groupBy(*key, "dep").agg(F.max("w").alias("w")).join(gone, key, "left_anti").select(*key, "dep", "w")
-        edges = written(edges, "edges")
-        state = state.drop("k", "next", "far").join(news, key, "left").join(waits(edges), key, "left").select(
-            *key, F.greatest("floor", F.coalesce("n_floor", F.lit(0))).alias("floor"), (F.col("lost") | F.coalesce("n_lost", F.lit(False))).alias("lost"),
+        edges = written(moved.filter("open").groupBy(*key, "dep").agg(F.max("w").alias("w")).join(gone, key, "left_anti").select(
+            *key, "dep", "w"), "edges")
+        state = state.filter("k > 0 and not lost").select(*key, "floor").join(news, key, "left").join(waits(edges), key, "left").select(
+            *key, F.greatest("floor", F.coalesce("n_floor", F.lit(0))).alias("floor"), F.coalesce("n_lost", F.lit(False)).alias("lost"),
             F.coalesce("k", F.lit(0)).alias("k"), "next", "far")
-        state = written(state, "levels")
 
 
 def link(messages: DataFrame, tools: DataFrame) -> DataFrame:
