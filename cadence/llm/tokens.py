@@ -8,8 +8,11 @@ that is no piece of its own falls back to its UTF-8 bytes, one token each.
 Each task keeps a trie of the distinct pre-tokens it has met. A node stands for a prefix
 and holds that prefix's forward score and count, computed once from the nodes above it
 over all pieces that end there; a pre-token that shares a prefix starts below it, and
-its count stays at its terminal. Beyond ``max_nodes`` the trie is begun anew, which
-changes no result and bounds a task's memory. The work is one map over whole texts.
+its count stays at its terminal. A full trie (``max_nodes``) is begun anew with the next
+pre-token; the rest of a pre-token that fills it is computed with no more than the
+scores of the last prefixes that a piece can reach back to. Neither changes a result, and
+they bound a task's memory, whatever a text without blanks holds. The work is one map
+over whole texts.
 
 Piece scores come from the vocabulary file alone, which is read and never trained: a
 unigram model's own; for a merge vocabulary, whose entries stand in order of frequency,
@@ -65,6 +68,7 @@ class TrieCounts(dict):
             for i in range(len(piece)):
                 self.endings[piece[i:]] = None
         self.endings.update(scores)
+        self.longest = max(map(len, scores), default=1)
         self.start()
 
     def start(self) -> None:
@@ -76,12 +80,15 @@ class TrieCounts(dict):
         if len(self.score) > self.max_nodes:
             self.start()
         word = self.mark + token.decode("utf-8", "replace")
-        node, path = 0, [0]
+        # best score and count of the last prefixes, those of length ``base`` and on
+        best_of, count_of, base, node = [0.0], [0], 0, 0
         child, score, count, endings = self.child, self.score, self.count, self.endings.get
         for end, ch in enumerate(word, 1):
             key = node << 21 | ord(ch)
-            above, node = node, child.get(key)
-            if node is None:
+            below = child.get(key) if node >= 0 else None
+            if below is not None:
+                best, pieces = score[below], count[below]
+            else:
                 best, pieces = -math.inf, 0
                 begin = end - 1
                 while begin >= 0:
@@ -89,22 +96,31 @@ class TrieCounts(dict):
                     if s is self:
                         break
                     if s is not None:
-                        at = path[begin]
-                        total, k = score[at] + s, count[at] + 1
+                        total, k = best_of[begin - base] + s, count_of[begin - base] + 1
                         if total > best or total == best and k < pieces:
                             best, pieces = total, k
                     begin -= 1
                 if endings(ch) is None:  # no piece of its own: its bytes
                     n = len(ch.encode("utf-8", "replace"))
-                    total, k = score[above] + n * self.byte, count[above] + n
+                    total, k = best_of[-1] + n * self.byte, count_of[-1] + n
                     if total > best or total == best and k < pieces:
                         best, pieces = total, k
-                node = child[key] = len(score)
-                score.append(best)
-                count.append(pieces)
-            path.append(node)
-        self[token] = count[node]
-        return count[node]
+                if node >= 0 and len(score) <= self.max_nodes:
+                    below = child[key] = len(score)
+                    score.append(best)
+                    count.append(pieces)
+                else:
+                    below = -1
+            node = below
+            best_of.append(best)
+            count_of.append(pieces)
+            if len(best_of) > 4096 + self.longest:
+                drop = len(best_of) - self.longest
+                del best_of[:drop], count_of[:drop]
+                base += drop
+        if node >= 0:
+            self[token] = count_of[-1]
+        return count_of[-1]
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
