@@ -135,9 +135,53 @@ class Picked:
     h: np.ndarray
 
 
+def _gain(left: list[np.ndarray], whole: list[np.ndarray], s: Settings, mask: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Gains of cuts with these sums (rows, gradients, Hessians) on their left, -inf where
+    a cut isn't allowed, and the scores of the uncut nodes."""
+    n, g, h = left
+    n_all, g_all, h_all = whole
+    right_n, right_h = n_all - n, h_all - h
+    fits = (n >= s.min_rows) & (right_n >= max(s.min_rows, 0.5))
+    if s.min_weight > 0:
+        fits &= (h >= s.min_weight) & (right_h >= s.min_weight)
+    if mask is not None:
+        fits &= mask
+    p = s.leaf_penalty
+    with np.errstate(divide="ignore", invalid="ignore"):
+        parent = g_all * g_all / (h_all + p)
+        right_g = g_all - g
+        gain = g * g / (h + p) + right_g * right_g / (right_h + p) - parent
+    gain[~fits] = -np.inf
+    return gain, parent
+
+
+def _near(best: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """What counts as the best gain: sums of another order differ in their last digits,
+    and ties must not."""
+    return best - 1e-9 * np.abs(best) - 1e-12 * parent
+
+
+def _pick_dense(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None) -> Picked:
+    """``pick`` on the whole histogram. A code without rows ties with the one before it,
+    so the first of the best is a code that occurs."""
+    run = hist.cumsum(axis=2)
+    before = run[:, :, layout.starts] - hist[:, :, layout.starts]
+    left = run - np.repeat(before, layout.sizes, axis=2)
+    sums = run[:, :, layout.ends[0] - 1]
+    three = (0, 1, -1) if len(hist) == 3 else (0, 1, 0)
+    gain, parent = _gain([left[k] for k in three], [sums[k][:, None] for k in three], s,
+                         None if mask is None else np.repeat(mask, layout.sizes, axis=1))
+    best = gain.max(axis=1)
+    where = (gain >= _near(best, parent[:, 0])[:, None]).argmax(axis=1)
+    good = best > LEAST_GAIN
+    return Picked(np.where(good, layout.column[where], -1), np.where(good, where, 0), np.where(good, best, 0.0), sums[0], sums[1], sums[three[2]])
+
+
 def pick(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None = None) -> Picked:
-    """The best split of every node of a histogram. Codes without rows are passed over,
-    so a cut is always a code that occurs in the node."""
+    """The best split of every node of a histogram. Sparse histograms are searched on
+    their used codes alone, so a cut is always a code that occurs in the node."""
+    if layout.total and 3 * np.count_nonzero(hist[0]) > hist[0].size:
+        return _pick_dense(hist, layout, s, mask)
     nodes, total = hist.shape[1], layout.total
     flat = hist.reshape(len(hist), -1)
     used = np.flatnonzero(flat[0])
@@ -152,24 +196,17 @@ def pick(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None
     first = np.flatnonzero(column == 0)          # every row has a code of the first column
     sums = np.stack([np.bincount(node[first], p[first], nodes) for p in part])
     whole = sums[:, node]
-    right = whole - left
-    h = -1 if len(hist) == 3 else 0
-    fits = (left[0] >= s.min_rows) & (right[0] >= s.min_rows) & (left[h] >= s.min_weight) & (right[h] >= s.min_weight)
-    fits &= right[0] > 0.5
-    if mask is not None:
-        fits &= mask[node, column]
+    three = (0, 1, -1) if len(hist) == 3 else (0, 1, 0)
+    gain, _ = _gain([left[k] for k in three], [whole[k] for k in three], s, None if mask is None else mask[node, column])
+    h = three[2]
     with np.errstate(divide="ignore", invalid="ignore"):
-        score = left[1] ** 2 / (left[h] + s.leaf_penalty) + right[1] ** 2 / (right[h] + s.leaf_penalty)
         parent = sums[1] ** 2 / (sums[h] + s.leaf_penalty)
-    gain = np.where(fits, score - parent[node], -np.inf)
     heads = np.searchsorted(node, np.arange(nodes))
     best = np.full(nodes, -np.inf)
     some = sums[0] > 0
     if len(used):
         best[some] = np.maximum.reduceat(gain, heads[some])
-    # sums of another order differ in their last digits; ties must not
-    near = best - 1e-9 * np.abs(best) - 1e-12 * parent
-    hit = np.flatnonzero(gain >= near[node])
+    hit = np.flatnonzero(gain >= _near(best, parent)[node])
     of, at = np.unique(node[hit], return_index=True)
     where = np.zeros(nodes, np.int64)
     where[of] = hit[at]
@@ -179,11 +216,25 @@ def pick(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None
                   np.where(good, best, 0.0), sums[0], sums[1], sums[h])
 
 
-def _level(codes, node, nodes, g, w, layout, s, mask) -> Picked:
-    """``pick`` of a level, in stretches of nodes that bound the histogram."""
+def _level(codes, node, nodes, g, w, layout, s, mask, above=None) -> tuple[Picked, np.ndarray | None]:
+    """``pick`` of a level, in stretches of nodes that bound the histogram, and the
+    histogram if it was dense. ``above``: histograms of the nodes' parents in pairs'
+    order; then only the smaller of two siblings is counted, the other is the rest."""
     step = max(1, CELLS // max(1, layout.total))
     if nodes <= step:
-        return pick(histogram(codes, node, nodes, g, w, layout.total), layout, s, mask)
+        if above is None:
+            hist = histogram(codes, node, nodes, g, w, layout.total)
+        else:
+            count = np.bincount(node, minlength=nodes)
+            small = np.arange(0, nodes, 2) + (count[1::2] < count[::2])
+            pair = np.full(nodes, -1)
+            pair[small] = np.arange(len(small))
+            own = pair[node] >= 0
+            part = histogram(codes[own], pair[node[own]], len(small), g[own], None if w is None else w[own], layout.total)
+            hist = np.empty((len(part), nodes, layout.total))
+            hist[:, small] = part
+            hist[:, small ^ 1] = above - part
+        return pick(hist, layout, s, mask), hist if nodes * layout.total < 2 * codes.size else None
     order = np.argsort(node, kind="stable")
     edges = np.searchsorted(node[order], np.arange(0, nodes + step, step))
     parts = []
@@ -194,7 +245,7 @@ def _level(codes, node, nodes, g, w, layout, s, mask) -> Picked:
         rows = order[a:b]
         hist = histogram(codes[rows], node[rows] - lo, hi - lo, g[rows], None if w is None else w[rows], layout.total)
         parts.append(pick(hist, layout, s, None if mask is None else mask[lo:hi]))
-    return Picked(*(np.concatenate([getattr(p, f) for p in parts]) for f in Picked.__dataclass_fields__))
+    return Picked(*(np.concatenate([getattr(p, f) for p in parts]) for f in Picked.__dataclass_fields__)), None
 
 
 class Growth:
@@ -232,31 +283,37 @@ def grow(codes: np.ndarray, g: np.ndarray, w: np.ndarray, layout: Layout, s: Set
          depth: int = 0) -> tuple[Tree, np.ndarray]:
     """A tree and the leaf of every row. Rows of weight 0 are only led to their leaves."""
     growth = Growth()
-    counted = w > 0
     plain = not s.bootstrap
-    wg = g * w
-    at = np.zeros(len(codes), np.int64)             # node of the open level; -1: in a leaf
+    rows = np.flatnonzero(w > 0)                    # rows of the open level that count
+    own, wg, ww = codes[rows], (g * w)[rows], None if plain else w[rows]
+    node = np.zeros(len(rows), np.int64)
+    move, at = np.arange(len(codes)), np.zeros(len(codes), np.int64)   # all rows of the open level
     leaf = np.zeros(len(codes), np.int64)
+    above = None
     while growth.live:
-        rows = np.flatnonzero((at >= 0) & counted)
-        node = at[rows]
+        live = growth.live
         if s.max_depth is not None and depth >= s.max_depth:
-            count = np.bincount(node, minlength=growth.live).astype(np.float64)
-            none = np.full(growth.live, -1)
-            p = Picked(none, none, none, count, np.bincount(node, wg[rows], growth.live),
-                       count if plain else np.bincount(node, w[rows], growth.live))
+            count = np.bincount(node, minlength=live).astype(np.float64)
+            none = np.full(live, -1)
+            p = Picked(none, none, none, count, np.bincount(node, wg, live), count if plain else np.bincount(node, ww, live))
+            hist = None
         else:
-            p = _level(codes[rows], node, growth.live, wg[rows], None if plain else w[rows], layout, s,
-                       allowed(s, tree, depth, growth.live, len(layout.sizes)))
+            p, hist = _level(own, node, live, wg, ww, layout, s, allowed(s, tree, depth, live, len(layout.sizes)), above)
         base = growth.size
         child = growth.close_level(p, s)
-        move = np.flatnonzero(at >= 0)
-        node = at[move]
-        leaf[move] = base + node
-        down = child[node] >= 0
-        at[move[~down]] = -1
-        move, node = move[down], node[down]
-        at[move] = child[node] + (codes[move, p.column[node]] > p.cut[node])
+        above = None if hist is None else hist[:, p.column >= 0]
+
+        def down(of: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            keep = child[of] >= 0
+            on = of[keep]
+            rest = codes if keep.all() else codes[keep]
+            return keep, child[on] + (rest[np.arange(len(on)), p.column[on]] > p.cut[on])
+        leaf[move] = base + at
+        keep, at = down(at, codes[move] if len(move) < len(codes) else codes)
+        move = move[keep]
+        keep, node = down(node, own)
+        if not keep.all():
+            own, wg, ww = own[keep], wg[keep], None if plain else ww[keep]
         depth += 1
     return growth.tree(), leaf
 
