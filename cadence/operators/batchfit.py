@@ -167,6 +167,8 @@ def _in_tasks(table: BinnedTable, fits: Sequence[Fit], keep_trees: bool) -> Data
     for i, f in enumerate(fits):
         step = TREES_A_TASK if f.settings.bootstrap else f.settings.rounds
         units += [(i, a, min(a + step, f.settings.rounds)) for a in range(0, f.settings.rounds, step)]
+    # the longest first, so that none is left to run alone at the end
+    units.sort(key=lambda u: -(u[2] - u[1]) * 2 ** (min(fits[u[0]].settings.max_depth or 10, 10) / 2) * fits[u[0]].fold)
     places, layouts = [table.place(f) for f in fits], [table.layout(f) for f in fits]
     views, columns = table.views, len(table.columns)
 
@@ -185,9 +187,9 @@ def _in_tasks(table: BinnedTable, fits: Sequence[Fit], keep_trees: bool) -> Data
         return pa.table([pa.array(np.full(judged.sum(), i, np.int32)), pa.array(rows.keys[used][judged]), pa.array(rows.y[used][judged]),
                          pa.array(score[judged])], names=["fit", "key", "y", "log_pred"])
 
-    # more partitions than units, so that few units share one; AQE doesn't merge them
-    parts = min(2000, 6 * len(units))
-    dealt = table.chunks.select(F.explode(F.array(*[F.lit(u) for u in range(len(units))])).alias("unit"), "*").repartition(parts, "unit")
+    # a partition a unit, in order: ranges of the unit's number, which AQE doesn't merge
+    every = table.chunks.select(F.explode(F.array(*[F.lit(u) for u in range(len(units))])).alias("unit"), "*")
+    dealt = every.repartitionByRange(min(2000, len(units)), "unit")
     return dealt.groupBy("unit").applyInArrow(work, TREES if keep_trees else SCORES)
 
 

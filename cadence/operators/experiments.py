@@ -98,7 +98,7 @@ def _rebuild(frame: Frame) -> None:
 
 
 #: Fits that one job of a sweep with a ledger runs: what a lost driver loses at most.
-LEDGER_FITS = 120
+LEDGER_FITS = 250
 LEDGER_SCHEMA = "fit string, rmsle double, rmse double, mae double, r2 double, n bigint"
 
 
