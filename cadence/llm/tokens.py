@@ -57,6 +57,9 @@ def load_scores(path: str = VOCABULARY) -> dict[str, float]:
 class TrieCounts(dict):
     """Pre-token (UTF-8 bytes) -> its number of tokens."""
 
+    #: Bytes beyond which a pre-token's path is not held whole.
+    LONG = 4096
+
     def __init__(self, scores: dict[str, float], mark: str = MARK, max_nodes: int = MAX_NODES):
         super().__init__()
         self.mark, self.max_nodes = mark, max_nodes
@@ -77,9 +80,45 @@ class TrieCounts(dict):
         self.score, self.count = array("d", [0.0]), array("i", [0])
 
     def __missing__(self, token: bytes) -> int:
-        if len(self.score) > self.max_nodes:
+        if 2 * len(token) > self.max_nodes or len(token) > self.LONG:
+            return self._long(token)
+        if len(self.score) + len(token) >= self.max_nodes:
             self.start()
         word = self.mark + token.decode("utf-8", "replace")
+        node, path = 0, [0]
+        child, score, count, endings = self.child, self.score, self.count, self.endings.get
+        for end, ch in enumerate(word, 1):
+            key = node << 21 | ord(ch)
+            above, node = node, child.get(key)
+            if node is None:
+                best, pieces = -math.inf, 0
+                begin = end - 1
+                while begin >= 0:
+                    s = endings(word[begin:end], self)
+                    if s is self:
+                        break
+                    if s is not None:
+                        at = path[begin]
+                        total, k = score[at] + s, count[at] + 1
+                        if total > best or total == best and k < pieces:
+                            best, pieces = total, k
+                    begin -= 1
+                if endings(ch) is None:  # no piece of its own: its bytes
+                    n = len(ch.encode("utf-8", "replace"))
+                    total, k = score[above] + n * self.byte, count[above] + n
+                    if total > best or total == best and k < pieces:
+                        best, pieces = total, k
+                node = child[key] = len(score)
+                score.append(best)
+                count.append(pieces)
+            path.append(node)
+        self[token] = count[node]
+        return count[node]
+
+    def _long(self, token: bytes) -> int:
+        """The count of a long pre-token, with the last prefixes' scores alone beside the
+        trie, which it enters as far as there is room."""
+        word = self.mark + token.decode("utf-8", "replace")
         # best score and count of the last prefixes, those of length ``base`` and on
         best_of, count_of, base, node = [0.0], [0], 0, 0
         child, score, count, endings = self.child, self.score, self.count, self.endings.get

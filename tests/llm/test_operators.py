@@ -451,7 +451,7 @@ def test_token_counts_against_plain_viterbi(spark, odd, empty):
 def test_a_trie_never_outgrows_its_bound():
     scores = tokens.load_scores()
     free, tight = tokens.TrieCounts(scores), tokens.TrieCounts(scores, max_nodes=1000)
-    words = [("naïveté" * 30000).encode(), "日本語の文章".encode() * 5000, b"ab" * 40000, b"short", ("naïveté" * 30000 + "x").encode()]
+    words = [("naïveté" * 30000).encode(), "日本語の文章".encode() * 5000, b"ab" * 40000, b"short", b"just" * 130, *(b"w%d" % i for i in range(3000)), ("naïveté" * 30000 + "x").encode()]
     for w in words * 2:
         assert tight[w] == free[w]
         assert len(tight.score) <= 1001 and len(tight.child) <= 1001 and len(tight) <= 1001
