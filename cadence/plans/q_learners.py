@@ -305,20 +305,35 @@ PI_FEATURES = list(TREE_FEATURES)   # every column of the feature matrix
 PI_REPEATS = 10
 
 
+def permuted_ctes(repeats: int = PI_REPEATS, seed: int = 42) -> list[str]:
+    """``pr`` (rep, row_id, other): the holdout row whose values a row gets in each repeat,
+    by the same arithmetic on positions."""
+    keys = "[" + ", ".join("[" + ", ".join(f"[{k}, {m}, {r % 2}]" for r, (k, m) in enumerate(rounds)) + "]"
+                           for rounds in ex.round_keys(seed, repeats)) + "]::BIGINT[][][]"
+    t = lambda v: f"((({v}) + k[1]) % {ex.PRIME})"
+    mixed = lambda v: f"(({t(v)} * {t(v)} % {ex.PRIME} * k[2] + {t(v)}) % {ex.PRIME})"
+    step = (f"lambda s, k: [CASE WHEN k[3] = 0 THEN (s[1] + {mixed('s[2]')}) % a ELSE s[1] END, "
+            f"CASE WHEN k[3] = 1 THEN (s[2] + {mixed('s[1]')}) % b ELSE s[2] END, 0]")
+    move = lambda x: f"list_reduce(ks, {step}, [({x}) // b, ({x}) % b, 0::BIGINT])"
+    return ["pn AS (SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b FROM (SELECT n, arg_min(a, [CAST(a * ceil(n / a) - n AS BIGINT), a]) AS a FROM "
+            f"(SELECT n, unnest(range(low, low + {ex.SIDES})) AS a FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS low FROM ho)) GROUP BY n))",
+            "pp0 AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS pos FROM ho)",
+            f"w0 AS (SELECT rep, row_id, n, a, b, ({keys})[rep + 1] AS ks, pos AS x, true AS go FROM pp0, pn, range(0, {repeats}) t(rep))",
+            f"wk AS (SELECT rep, row_id, n, a, b, ks, m[1] * b + m[2] AS x FROM (SELECT *, {move('x')} AS m FROM w0) UNION ALL "
+            f"SELECT rep, row_id, n, a, b, ks, m[1] * b + m[2] FROM (SELECT *, {move('x')} AS m FROM wk WHERE x >= n))",
+            "pr AS (SELECT wk.rep, pp0.row_id, wk.row_id AS other FROM wk JOIN pp0 ON pp0.pos = wk.x WHERE wk.x < wk.n)"]
+
+
 def _pi_sql():
-    perm = (f"pr AS (SELECT rep, a.row_id, a.y, b.hour AS p_hour FROM "
-            f"(SELECT row_id, count AS y, row_number() OVER (ORDER BY row_id) - 1 AS pos FROM ho) a "
-            f"JOIN (SELECT rep, hour, row_number() OVER (PARTITION BY rep ORDER BY "
-            f"md5(CAST(row_id AS VARCHAR) || ':42:' || CAST(rep AS VARCHAR)), row_id) - 1 AS pos "
-            f"FROM ho, range(0, {PI_REPEATS}) t(rep)) b ON a.pos = b.pos)")
+    perm = ["prs AS (SELECT pr.rep, a.count AS y, b.hour AS p_hour FROM pr JOIN ho a ON a.row_id = pr.row_id JOIN ho b ON b.row_id = pr.other)"]
     ln = "(ln(1 + CASE WHEN {p} < 0 THEN 0.0 ELSE {p} END) - ln(1 + {y}))"
     d = ln.format(p="pred", y="y")
     base = f"bs AS (SELECT sqrt(avg({d} * {d})) AS b FROM p)"
-    pp = "pp AS (SELECT pr.rep, pr.y, coalesce(hm.m, gm.g) AS pred FROM pr LEFT JOIN hm ON hm.hour = pr.p_hour CROSS JOIN gm)"
+    pp = "pp AS (SELECT prs.rep, prs.y, coalesce(hm.m, gm.g) AS pred FROM prs LEFT JOIN hm ON hm.hour = prs.p_hour CROSS JOIN gm)"
     per = f"per AS (SELECT rep, sqrt(avg({d} * {d})) - (SELECT b FROM bs) AS imp FROM pp GROUP BY rep)"
     zero = " UNION ALL ".join(f"SELECT '{f}' AS feature, 0.0::DOUBLE AS importance_mean, 0.0::DOUBLE AS importance_std"
                               for f in PI_FEATURES if f != "hour")
-    return with_(*B, *HM, perm, base, pp, per) + (
+    return recursive(with_(*B, *HM, *permuted_ctes(), *perm, base, pp, per)) + (
         f"SELECT 'hour' AS feature, {r('avg(imp)')} AS importance_mean, {r('stddev_pop(imp)')} AS importance_std "
         f"FROM per UNION ALL {zero}")
 
@@ -339,10 +354,7 @@ def _w4_sql():
     """Permuting a column of a linear model only moves that column's term."""
     feats = [*LINEAR_NUMERIC, *LINEAR_PASSTHROUGH, *LINEAR_ONE_HOT]
     terms = ["term AS (SELECT re.rid, split_part(re.c, '=', 1) AS feature, re.x * coalesce(rw.w, 0) AS v FROM re LEFT JOIN rw ON rw.f = re.f AND rw.c = re.c)",
-             "pos AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS pos FROM ho)",
-             f"donor AS (SELECT rep, row_id, row_number() OVER (PARTITION BY rep ORDER BY md5(CAST(row_id AS VARCHAR) || ':42:' || CAST(rep AS VARCHAR)), row_id) - 1 AS pos "
-             f"FROM ho, range(0, {PI_REPEATS}) t(rep))",
-             "pr AS (SELECT rep, pos.row_id, donor.row_id AS other FROM pos JOIN donor USING (pos))",
+             *permuted_ctes(),
              f"sw AS (SELECT pr.rep, a.feature, p.y, p.log_pred - a.v + b.v AS z FROM pr JOIN term a ON a.rid = pr.row_id "
              "JOIN term b ON b.rid = pr.other AND b.feature = a.feature JOIN p ON p.row_id = pr.row_id)"]
     d = "(ln(1 + {p}) - ln(1 + y))"

@@ -98,3 +98,24 @@ def test_importance_of_unread_features_is_zero_and_they_are_not_carried(spark):
     assert "p__noise" not in out._jdf.queryExecution().analyzed().toString()
     none = ex.permutation_importance(MeanBaseline().fit(df, "y"), df, "y", ["noise", "hour"], "row_id", 3, 42)
     assert {tuple(r) for r in none.collect()} == {("noise", 0.0, 0.0), ("hour", 0.0, 0.0)}
+
+
+def test_shuffled_positions_are_permutations(spark):
+    for n in (1, 2, 3, 5, 16, 17, 97, 1000, 1343):
+        df = spark.range(n).withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(4))))
+        got = ex.shuffled_positions(df.withColumn("p", F.col("id")), "p", "rep", n, 42, 5).collect()
+        for rep in range(5):
+            assert sorted(r["p"] for r in got if r["rep"] == rep) == list(range(n))
+    moved = {rep: [r["p"] for r in sorted(got, key=lambda r: r["id"]) if r["rep"] == rep] for rep in range(5)}
+    assert len({tuple(v) for v in moved.values()}) == 5
+    for v in moved.values():   # no trace of the order left
+        assert abs(np.corrcoef(v, range(n))[0, 1]) < 0.1 and sum(a == i for i, a in enumerate(v)) < 10
+        assert abs(np.corrcoef(v[:-1], v[1:])[0, 1]) < 0.1
+
+
+def test_pairs_hold_every_row_once_a_repeat(spark):
+    df = spark.createDataFrame([(i * 3 + 1, float(i)) for i in range(50)], "row_id long, x double")
+    rows = ex.permutation_pairs(df, "row_id", ["x"], 7, 4).collect()
+    for rep in range(4):
+        own = [r for r in rows if r["_rep"] == rep]
+        assert sorted(r["x"] for r in own) == sorted(r["p__x"] for r in own) == [float(i) for i in range(50)]
