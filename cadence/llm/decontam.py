@@ -11,9 +11,14 @@ prefix filter and then whole strings directly. Test strings are grouped by lengt
 (powers of two), so that one short item doesn't shorten the shifts of all others.
 NumPy runs many search windows abreast, each over its own stretch of a batch's texts.
 
-Per document the result is exact. It is one map over the documents: no shuffle, and a
-task holds one batch. The test strings are a stated query set; beyond ``block_bytes``
-of them they are searched in blocks, one after the other in the same task.
+Per document the result is exact. The windows are made, counted and dealt to blocks of
+about ``block_bytes`` by Spark; only one block at a time passes through the driver, on
+its way to the tasks, and a Python worker builds a block's tables once and keeps them
+for its later tasks. A benchmark of one block is searched in one map over the documents,
+without a shuffle. Of more, each block is one map whose hits alone are written, under
+the SHA-256 of their text; they are merged by it and joined to the documents' ids, so
+that the cost of a benchmark is that of its blocks. A block is as large as its windows
+and the lists of items that hold them; one window held by very many items is one row.
 
 Null and empty texts have no words and are never hit. Repeated rows get equal results;
 ``hits`` ignores columns other than the id and the text, whatever their names, and
@@ -23,6 +28,7 @@ Null and empty texts have no words and are never hit. Repeated rows get equal re
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import Words, byte_table, filter_texts, map_texts, prepare
+from cadence.llm.common import Words, byte_table, filter_texts, map_texts, prepare, written
 
 #: All ASCII bytes but digits and letters part words; bytes of other code points don't.
 SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
@@ -45,15 +51,30 @@ def words_of(text: str | None) -> list[bytes]:
     return bytes(table[np.frombuffer((text or "").encode(), np.uint8)]).split()
 
 
-def item_windows(rows, size: int = WINDOW) -> dict[bytes, tuple[int, set[str]]]:
-    """Window string -> (its number of words, the item ids that hold it)."""
-    found: dict[bytes, tuple[int, set[str]]] = {}
-    for item, text in rows:
-        words = words_of(text)
-        for i in range(max(1, len(words) - size + 1) if words else 0):
-            part = words[i:i + size]
-            found.setdefault(b" " + b" ".join(part) + b" ", (len(part), set()))[1].add(str(item))
-    return found
+def item_windows(text: str | None, size: int = WINDOW) -> Iterator[tuple[bytes, int]]:
+    """(window string, its number of words) of every window of an item's text."""
+    words = words_of(text)
+    for i in range(max(1, len(words) - size + 1) if words else 0):
+        part = words[i:i + size]
+        yield b" " + b" ".join(part) + b" ", len(part)
+
+
+def windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
+    """One row per distinct window of the items: window (its bytes), words, and items
+    (the ids that hold it as strings, sorted; a null id is the empty string)."""
+    piece = 1 << 14  # windows sent to Spark at once, so that a long item is never held as windows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                made = item_windows(text, size)
+                while part := [w for _, w in zip(range(piece), made)]:
+                    yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int32()),
+                                                      pa.array([item] * len(part), pa.string())], names=["window", "words", "item"])
+
+    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), F.col(text_col))
+    held = rows.mapInArrow(run, "window binary, words int, item string")
+    return held.groupBy("window").agg(F.min("words").alias("words"), F.sort_array(F.collect_set("item")).alias("items"))
 
 
 class WuManber:
@@ -126,62 +147,62 @@ class WuManber:
             begin = stop_at
 
 
-def _tables(patterns: dict[bytes, tuple[int, set[str]]], block: int) -> list[WuManber]:
+def _tables(patterns, block: int) -> list[WuManber]:
     by_length: dict[int, list[bytes]] = {}
     for p in sorted(patterns):
         by_length.setdefault(min(len(p).bit_length(), 6), []).append(p)
     return [WuManber(ps, block) for ps in by_length.values()]
 
 
-def _pattern_blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block_bytes: int) -> list[dict]:
-    """Windows of all items in blocks of about ``block_bytes``, read item by item."""
-    blocks: list[dict] = []
-    current: dict[bytes, tuple[int, set[str]]] = {}
-    held = 0
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"),
-                             F.col(text_col).alias("t")).toLocalIterator()
-    for r in items:
-        for p, (n, ids) in item_windows([(r["i"], r["t"])], size).items():
-            if p not in current:
-                held += len(p) + 100
-            current.setdefault(p, (n, set()))[1].update(ids)
-        if held >= block_bytes:
-            blocks.append(current)
-            current, held = {}, 0
-    return [*blocks, current] if current or not blocks else blocks
-
-
-def searcher(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW,
-             block: int = 8, block_bytes: int = 32 << 20):
+#: A Python worker's tables: those of the block it searched last.
+_BUILT: dict[str, tuple] = {}
+
+
+class Blocks:
+    """The windows of a benchmark, written in blocks of about ``block_bytes``."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW,
+                 block: int = 8, block_bytes: int = 32 << 20):
+        found = written(windows(benchmark, item_col, item_text_col, size), "windows")
+        # a row's bytes in a task: its window twice, the list of items, and their objects
+        cost = F.octet_length("window") + 100 + F.aggregate("items", F.lit(0), lambda a, i: a + F.octet_length(i) + 60)
+        total = found.agg(F.sum(cost.cast("bigint")).alias("b"), F.count(F.lit(1)).alias("n")).first()
+        self.count = max(1, min(total["n"], -(-(total["b"] or 0) // block_bytes)))
+        self.block = block
+        # blocks by hash: alike in size; read one at a time from files sorted by block
+        self.rows = found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(self.count)))
+        if self.count > 1:
+            self.rows = written(self.rows.repartitionByRange("block").sortWithinPartitions("block"), "blocks")
+
+    def broadcast(self, i: int):
+        """Block i as a broadcast: window -> (number of words, items)."""
+        rows = self.rows.filter(F.col("block") == i).select("window", "words", "items").collect()
+        return self.rows.sparkSession.sparkContext.broadcast({bytes(r["window"]): (r["words"], r["items"]) for r in rows})
+
+
+def searcher(shared, block: int = 8):
     """A factory for ``map_texts``: per text its number of words, hit word spans
     (``[start, end)``, merged) and the ids of the items with occurring windows, sorted
-    as strings. The test strings pass through the driver in blocks of bounded size."""
-    sc = benchmark.sparkSession.sparkContext
-    shared = [sc.broadcast(b) for b in _pattern_blocks(benchmark, item_col, item_text_col, size, block_bytes)]
-    table = byte_table(SEPARATORS)
+    as strings, of one broadcast block."""
+    table, name = byte_table(SEPARATORS), uuid.uuid4().hex
 
     def factory():
-        kept = {}
-
-        def tables(i: int):
-            if i not in kept:
-                kept.clear()  # one block's tables at a time
-                kept[i] = (shared[i].value, _tables(shared[i].value, block))
-            return kept[i]
+        if name not in _BUILT:
+            _BUILT.clear()
+            _BUILT[name] = shared.value, _tables(shared.value, block)
+        known, searches = _BUILT[name]
 
         def scan(data: np.ndarray, off: np.ndarray):
             w = Words(data, off, table)
             marks = np.zeros(len(w.spaces) + 1, np.int32)
             found: dict[int, set[str]] = {}
-            for i in range(len(shared)):
-                known, searches = tables(i)
-                for t in searches:
-                    for at, p in t.search(w.flat):
-                        word = int(np.searchsorted(w.spaces, at))
-                        count, ids = known[p]
-                        marks[word] += 1
-                        marks[word + count] -= 1
-                        found.setdefault(int(np.searchsorted(w.first, word, "right")) - 1, set()).update(ids)
+            for t in searches:
+                for at, p in t.search(w.flat):
+                    word = int(np.searchsorted(w.spaces, at))
+                    count, ids = known[p]
+                    marks[word] += 1
+                    marks[word + count] -= 1
+                    found.setdefault(int(np.searchsorted(w.first, word, "right")) - 1, set()).update(ids)
             inside = np.cumsum(marks) > 0
             edge = np.diff(np.concatenate(([0], inside.astype(np.int8), [0])))
             starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -195,12 +216,50 @@ def searcher(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str
     return factory
 
 
+_FOUND = [("n_words", pa.int64(), "bigint"), ("spans", pa.list_(pa.list_(pa.int64())), "array<array<bigint>>"),
+          ("items", pa.list_(pa.string()), "array<string>")]
+
+
+def _merged(spans):
+    """Sorted spans ``[start, end)``, those that overlap or touch made one."""
+    def add(done, s):
+        last = F.element_at(done, -1)
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.array(last[0], F.greatest(last[1], s[1]))))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))[1] >= s[0]), joined).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.sort_array(spans), F.array().cast("array<array<bigint>>"), add)
+
+
+def _by_text(docs: DataFrame, text_col: str, blocks: Blocks) -> DataFrame:
+    """(key, spans, items) of the texts with a hit in any block; key: the text's SHA-256."""
+    parts = []
+    for i in range(blocks.count):
+        shared = blocks.broadcast(i)
+        rows = docs.select(F.sha2(F.col(text_col), 256).alias("key"), F.col(text_col).alias("text"))
+        hit = map_texts(rows, "text", searcher(shared, blocks.block), _FOUND, ["key"]).filter(F.size("spans") > 0)
+        # equal texts, maybe a third of all rows, become one row before the shuffle
+        parts.append(written(hit.groupBy("key").agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "hits"))
+        shared.destroy()
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    found = found.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return found.select("key", _merged(F.col("spans")).alias("spans"), F.array_sort(F.array_distinct("items")).alias("items"))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document: its id, n_words, spans and items as ``searcher`` has them."""
     prepare(docs.sparkSession)
-    return map_texts(docs, text_col, searcher(benchmark, **options), [
-        ("n_words", pa.int64(), "bigint"), ("spans", pa.list_(pa.list_(pa.int64())), "array<array<bigint>>"),
-        ("items", pa.list_(pa.string()), "array<string>")], [id_col])
+    blocks = Blocks(benchmark, **options)
+    if blocks.count == 1:
+        return map_texts(docs, text_col, searcher(blocks.broadcast(0), blocks.block), _FOUND, [id_col])
+    found = written(_by_text(docs, text_col, blocks), "hits")
+    table = byte_table(SEPARATORS)
+    keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.sha2(F.col(text_col), 256).alias("key"))
+    counted = map_texts(keyed, "text", lambda: lambda data, off: [Words(data, off, table).counts.tolist()], _FOUND[:1], ["id", "key"])
+    return counted.join(found, "key", "left").select(
+        F.col("id").alias(id_col), "n_words", F.coalesce("spans", F.array().cast("array<array<bigint>>")).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -214,7 +273,12 @@ def summary(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents without a hit, with all their columns."""
     prepare(docs.sparkSession)
-    factory = searcher(benchmark, **options)
+    blocks = Blocks(benchmark, **options)
+    if blocks.count > 1:
+        gone = written(_by_text(docs, text_col, blocks).select(F.col("key").alias("__gone")), "gone")
+        # grows with the documents: never broadcast
+        return docs.join(gone.hint("merge"), F.sha2(docs[text_col], 256) == F.col("__gone"), "left_anti")
+    factory = searcher(blocks.broadcast(0), blocks.block)
 
     def keeper():
         scan = factory()
