@@ -15,7 +15,7 @@ one vector per language and task is shuffled, and one per language is sent to th
 (dims * 8 bytes per language).
 
 A text that is null or has no letter gets ``und`` and score 0; so does every text if no
-language could be learnt. Long texts are taken whole. Repeated rows get equal results;
+language could be learnt. Long texts are taken whole, in stretches. Repeated rows get equal results;
 other columns are ignored by ``predict`` and handed through by ``keep``.
 """
 
@@ -29,11 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import bounded_sample, chunks, filter_texts, map_texts, prepare, text_buffer
-from cadence.llm.letters import letter_sequence
+from cadence.llm.letters import letter_sequence, symbol_stretches
 
 DIMS = 1024
 GRAM = 3
 PER_LANG = 4000
+#: Bytes of a long text whose n-grams are held at once.
+STRETCH = 1 << 20
 UND = "und"
 #: Cosine below which the pipeline takes a text to be in none of the languages.
 MIN_SCORE = 0.05
@@ -100,9 +102,22 @@ class Encoder:
         return self.table[[self.rows[n] for n in named]]
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(vectors, number of n-grams) of a few texts; a text without letters has none."""
+        """(vectors, number of n-grams) of a few texts; a text without letters has none.
+        The vector of a text above ``STRETCH`` bytes is added up over its stretches."""
+        if len(off) == 2 and len(data) > STRETCH:
+            total, grams = np.zeros((1, self.dims)), np.zeros(1, np.int64)
+            for sym in symbol_stretches(data, self.gram - 1, STRETCH):
+                if len(sym) >= self.gram or not grams[0]:
+                    vec, n = self.bundle(sym, np.array([0, len(sym)]))
+                    total, grams = total + vec, grams + n
+            return total, grams
         flat, first = letter_sequence(data, off)
         n = len(first) - 1
+        return self.bundle(flat, first)
+
+    def bundle(self, flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of symbols."""
+        n = len(first) - 1
         out = np.zeros((n, self.dims), np.float32)
         length = np.diff(first)
         grams = np.maximum(length - self.gram + 1, (length > 1).astype(np.int64))
@@ -122,7 +137,7 @@ class Encoder:
         names, at = (np.unique(code, return_inverse=True) if width * self.gram > 22 else _unique_small(code, 1 << (width * self.gram)))
         if n > 1 and n * len(names) > 1 << 22:  # many different n-grams: fewer texts at a time
             mid = n // 2
-            halves = [self.encode(data[off[a] - off[0]:off[b] - off[0]], off[a:b + 1]) for a, b in ((0, mid), (mid, n))]
+            halves = [self.bundle(flat[first[a]:first[b]], first[a:b + 1] - first[a]) for a, b in ((0, mid), (mid, n))]
             return np.concatenate([h[0] for h in halves]), grams
         step = 1 << 13  # n-grams whose vectors are held at once
         counts = np.bincount(doc * len(names) + at, minlength=n * len(names)).reshape(n, len(names)).astype(np.float32)

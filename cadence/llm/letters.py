@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -58,3 +59,30 @@ def letter_sequence(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.n
     drop[edge[:-1]] = False
     kept = np.concatenate(([0], np.cumsum(~drop, dtype=np.int64)))
     return flat[~drop], kept[edge]
+
+
+def symbol_stretches(data: np.ndarray, overlap: int, stretch: int) -> Iterator[np.ndarray]:
+    """The symbols of one text in pieces made of about ``stretch`` bytes each; a piece
+    begins with the ``overlap`` last symbols before it, so that windows of ``overlap`` + 1
+    symbols lie in exactly one piece (pieces with fewer are handed on to the next; the
+    last may be as short)."""
+    held, fresh, lo, last = np.zeros(0, np.uint32), False, 0, -1
+    while lo < len(data):
+        hi = min(lo + stretch, len(data))
+        while hi < len(data) and data[hi] & 0xC0 == 0x80:  # a code point is never cut
+            hi += 1
+        sym, _ = letter_sequence(data[lo:hi], np.array([0, hi - lo]))
+        if lo and len(sym) and data[lo:lo + 4].tobytes().decode("utf-8", "ignore")[:1].isalpha():
+            sym = sym[1:]  # the boundary in front isn't the text's
+        if hi < len(data) and len(sym) and data[max(lo, hi - 4):hi].tobytes().decode("utf-8", "ignore")[-1:].isalpha():
+            sym = sym[:-1]
+        if len(sym) and last == 0 and sym[0] == 0:
+            sym = sym[1:]
+        if len(sym):
+            fresh, last = True, int(sym[-1])
+        held, lo = np.concatenate((held, sym)), hi
+        if len(held) > overlap and fresh:
+            yield held
+            held, fresh = held[len(held) - overlap:], False
+    if fresh:
+        yield held

@@ -20,6 +20,8 @@ by anchor over 2^27 anchors; Spark splits a hot anchor as a skewed join. Compone
 the links are found by alternating large-star and small-star steps on the table of
 links, written to the shared checkpoint folder after each round.
 
+Long texts are hashed in stretches whose bit counts add up: a task's memory does not
+grow with a text but for the text itself and its longest word.
 Null and empty texts have no shingles: fingerprint zero, linked like any other. Rows
 with equal ids share a node; columns other than the id and the text are not read.
 """
@@ -32,16 +34,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import SPACE, Words, byte_table, map_texts, prepare, written
+from cadence.llm.common import CHUNK_BYTES, SPACE, Words, byte_table, map_texts, prepare, written
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 
 
-def simhash(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """Unsigned 64-bit fingerprints of a few texts."""
-    w = Words(data, off, byte_table(SPACE))
+def _bit_counts(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(how many shingle hashes set each of the 64 bits, number of shingles) per text."""
     raw = w.flat.tobytes()
     n = np.maximum(w.counts - size + 1, (w.counts > 0).astype(np.int64))
     row = np.repeat(np.arange(len(n)), n)
@@ -51,7 +52,6 @@ def simhash(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> np.ndarra
     end = w.spaces[np.minimum(at + size, w.first[1:][row] - 1)]
     digest = xxhash.xxh64_intdigest
     h = np.array([digest(raw[a:b], SEED) for a, b in zip(begin.tolist(), end.tolist())], np.uint64)
-    out = np.zeros(len(n), np.uint64)
     step = 1 << 17  # shingles whose bits are spread out at once
     ones = np.zeros((len(n), 64), np.int64)
     for i in np.flatnonzero(n).tolist():
@@ -59,8 +59,39 @@ def simhash(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> np.ndarra
             part = h[lo:min(lo + step, int(first[i] + n[i]))]
             bits = np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64)
             ones[i] += bits.sum(axis=0, dtype=np.int32)
-    out[:] = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
-    return out
+    return ones, n
+
+
+def _long_counts(data: np.ndarray, size: int, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+    """``_bit_counts`` of one text, added up over stretches of about ``stretch`` bytes
+    that end at a separator; each is led by the last ``size - 1`` words before it."""
+    table = byte_table(SPACE)
+    ones, n, lo, carry = np.zeros((1, 64), np.int64), 0, 0, b""
+    w = Words(data[:0], np.zeros(2, np.int64), table)
+    while lo < len(data):
+        hi = min(lo + stretch, len(data))
+        while hi < len(data) and data[hi] not in SPACE:  # a word is never cut
+            ahead = np.flatnonzero(table[data[hi:hi + stretch]] == 0x20)
+            hi = min(hi + (int(ahead[0]) if len(ahead) else stretch), len(data))
+        part = np.concatenate((np.frombuffer(carry + b" ", np.uint8), data[lo:hi]))
+        w = Words(part, np.array([0, len(part)]), table)
+        count, lo = int(w.counts[0]), hi
+        if count >= size:
+            more, k = _bit_counts(w, size)
+            ones, n = ones + more, n + int(k[0])
+        last = min(size - 1, count)
+        carry = w.flat[w.spaces[-1 - last]:w.spaces[-1]].tobytes()
+    return (ones, np.array([n])) if n else _bit_counts(w, size)
+
+
+def simhash(data: np.ndarray, off: np.ndarray, size: int = SHINGLE, stretch: int = CHUNK_BYTES) -> np.ndarray:
+    """Unsigned 64-bit fingerprints of a few texts; a text above ``stretch`` bytes that
+    comes alone is taken stretch by stretch, so its memory is that of a stretch."""
+    if len(off) == 2 and len(data) > stretch:
+        ones, n = _long_counts(data, size, stretch)
+    else:
+        ones, n = _bit_counts(Words(data, off, byte_table(SPACE)), size)
+    return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:

@@ -653,3 +653,30 @@ def test_pipeline_stages_against_plain_scores_and_sql(spark):
     copies = {int(i): int(t // s) for i, s, t in zip(got.doc_id, got["size"], got.taken) if s and t}
     sizes = {int(i) for i, s in zip(got.doc_id, got["size"]) if s}
     assert {r["doc_id"]: r["n"] for r in n if r["doc_id"] in sizes} == copies
+
+
+# ---------------------------------------------------------------- long texts
+LONG = ["the quick brown fox JUMPS\tover 12 dogs \U0001F600 über straße 中文字 " * 40, "中文字符" * 300, "x" * 900, "1 2 3 " * 200 + "a",
+        "word " * 300 + "y" * 700 + " tail", " " * 800, "a" + " " * 800 + "b", "é1ß" * 250]
+
+
+def test_stretches_of_a_long_text_give_the_whole_texts_result(monkeypatch):
+    import numpy as np
+    for text in LONG:
+        data = np.frombuffer(text.encode(), np.uint8)
+        off = np.array([0, len(data)])
+        whole = langid.Encoder().encode(data, off)
+        print_of = simhash.simhash(data, off)
+        assert int(print_of[0]) == int(expected_components([(1, text)])[0][1], 16)
+        for stretch in (1, 7, 64, 257):
+            assert simhash.simhash(data, off, stretch=stretch) == print_of, (text[:20], stretch)
+            monkeypatch.setattr(langid, "STRETCH", stretch)
+            cut = langid.Encoder().encode(data, off)
+            monkeypatch.undo()
+            assert cut[1] == whole[1] and (cut[0] == whole[0]).all(), (text[:20], stretch)
+        for gram in (1, 2, 5):
+            whole = langid.Encoder(gram=gram).encode(data, off)
+            monkeypatch.setattr(langid, "STRETCH", 50)
+            cut = langid.Encoder(gram=gram).encode(data, off)
+            monkeypatch.undo()
+            assert cut[1] == whole[1] and (cut[0] == whole[0]).all(), (text[:20], gram)
