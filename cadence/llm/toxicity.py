@@ -14,7 +14,8 @@ Learning uses a bounded sample (``per_class`` rows of each class, chosen by a ha
 the id over all labels): documents' n-grams are counted where they lie, 2^bits pairs of
 counts are summed, and the kept features of the sample rows (at most ``per_class * 2 *
 width`` numbers, a few hundred each in practice) come to the driver, which fits the
-weights. Scoring is one map over whole texts, without a shuffle.
+weights. Scoring is one map over whole texts, without a shuffle; a long text's n-grams
+are gathered stretch by stretch.
 
 Null and empty texts, or texts without a kept n-gram, get the score of the bias. If only
 one class has labels, the score is that class's; without labels it is 0. Repeated rows
@@ -32,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import chunks, map_texts, prepare, text_buffer
-from cadence.llm.letters import letter_sequence
+from cadence.llm.letters import letter_sequence, symbol_stretches
 from cadence.llm.linear import labelled, prior_shift, row_sums, scores_of, sigmoid
 
 GRAMS = (4, 5)
 BITS = 18
 WIDTH = 1 << 14
 PER_CLASS = 4000
+#: Bytes of a long text whose n-grams are held at once.
+STRETCH = 1 << 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -72,7 +75,15 @@ def hashed_grams(flat: np.ndarray, first: np.ndarray, grams: Sequence[int], bits
 
 
 def present(data: np.ndarray, off: np.ndarray, grams: Sequence[int], bits: int, kept: np.ndarray | None = None):
-    """(text, feature) pairs, each once, ascending; only features of the mask ``kept``."""
+    """(text, feature) pairs, each once, ascending; only features of the mask ``kept``.
+    Of a text above ``STRETCH`` bytes that comes alone, stretch by stretch."""
+    if len(off) == 2 and len(data) > STRETCH:
+        held = np.zeros(1 << bits, bool)
+        for sym in symbol_stretches(data, max(grams) - 1, STRETCH):
+            for _, h in hashed_grams(sym, np.array([0, len(sym)]), grams, bits):
+                held[h] = True
+        f = np.flatnonzero(held if kept is None else held & kept)
+        return np.zeros(len(f), np.int64), f
     flat, first = letter_sequence(data, off)
     keys = []
     for doc, h in hashed_grams(flat, first, grams, bits):

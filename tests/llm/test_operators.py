@@ -680,3 +680,9 @@ def test_stretches_of_a_long_text_give_the_whole_texts_result(monkeypatch):
             cut = langid.Encoder(gram=gram).encode(data, off)
             monkeypatch.undo()
             assert cut[1] == whole[1] and (cut[0] == whole[0]).all(), (text[:20], gram)
+        whole = toxicity.present(data, off, (4, 5), 18)
+        for stretch in (1, 9, 300):
+            monkeypatch.setattr(toxicity, "STRETCH", stretch)
+            cut = toxicity.present(data, off, (4, 5), 18)
+            monkeypatch.undo()
+            assert [a.tolist() for a in cut] == [a.tolist() for a in whole], (text[:20], stretch)
