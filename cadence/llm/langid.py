@@ -35,7 +35,7 @@ DIMS = 1024
 GRAM = 3
 PER_LANG = 4000
 #: Bytes of a long text whose n-grams are held at once.
-STRETCH = 1 << 20
+STRETCH = 1 << 22
 UND = "und"
 #: Cosine below which the pipeline takes a text to be in none of the languages.
 MIN_SCORE = 0.05
