@@ -136,3 +136,53 @@ def test_histograms_in_stretches_are_the_same(monkeypatch):
     whole = tr.fit(*args)[2]
     monkeypatch.setattr(tr, "CELLS", 500)
     assert (tr.fit(*args)[2] == whole).all()
+
+
+def test_levels_of_few_rows_are_sorted_not_counted(monkeypatch):
+    rng = np.random.default_rng(5)
+    layout = tr.Layout([40, 3, 128])
+    codes = np.stack([rng.integers(0, k, 200) for k in (40, 3, 128)], axis=1) + layout.starts
+    node, g, w = rng.integers(0, 50, 200), rng.normal(size=200), rng.integers(1, 4, 200).astype(float)
+    hist = tr.histogram(np.asfortranarray(codes), node, 50, g, w, layout)
+    used, sums = tr._cells(codes, node, g, w, layout.total)
+    assert used.tolist() == np.flatnonzero(hist[0]).tolist() and (sums == hist.reshape(3, -1)[:, used]).all()
+    assert len(tr._cells(codes[:0], node[:0], g[:0], None, layout.total)[0]) == 0
+    # a forest's deep levels are sorted
+    sorted_levels = []
+    cells = tr._cells
+    monkeypatch.setattr(tr, "_cells", lambda *given: sorted_levels.append(len(given[1])) or cells(*given))
+    tr.fit((codes - layout.starts).astype(np.uint8), g, np.arange(200), np.ones(200, bool), layout, Settings(2, bootstrap=True))
+    assert len(sorted_levels) > 2
+
+
+def test_forest_trees_stay_in_their_table(spark, monkeypatch, tmp_path):
+    from cadence.operators import explain
+    from cadence.operators.learners import ForestFitted, ForestLog
+    from cadence.sources import io
+    monkeypatch.setattr(bf, "TREES_A_TASK", 2)
+    x, y = data(120)
+    df = spark.createDataFrame([(*map(float, r), float(c), i // 2) for i, (r, c) in enumerate(zip(x, y))], "x0 double, x1 double, x2 double, count double, twice int")
+    est = ForestLog(["x0", "x1", "x2"], n_estimators=5, min_samples_leaf=2)
+    key = F.xxhash64("x0", "x1", "x2", "count")
+    table = bf.binned(df, est.features, "count", [bf.View(F.lit(1), F.lit(0))], key)
+    plain = bf.ensemble(table, bf.Fit(tuple(est.features), est.settings()))
+    # the trees never reach the driver as such
+    monkeypatch.setattr(bf, "ensemble", None)
+    fitted = est.fit(df, "count")
+    assert isinstance(fitted, ForestFitted) and fitted.model.trees.count() == 5
+    loaded = io.load_fitted(spark, io.save_fitted(fitted, str(tmp_path / "forest")))
+    assert isinstance(loaded, ForestFitted)
+    want = sorted(zip(x.tolist(), plain.log_score(x[:, :3].astype(float)).tolist()))
+    for shares in (bf.TASK_ROWS, 50):
+        monkeypatch.setattr(bf, "TASK_ROWS", shares)
+        both = loaded.predict(fitted.predict(df, out="a"), out="b")
+        assert both.columns == [*df.columns, "a", "log_pred", "b"] or set(both.columns) == {*df.columns, "a", "b", "log_pred"}
+        got = both.collect()
+        assert all(r["a"] == r["b"] for r in got) and sorted(r["twice"] for r in got) == sorted(i // 2 for i in range(120))
+        have = sorted(([r["x0"], r["x1"], r["x2"]], r["log_pred"]) for r in got)
+        assert all(a == [*map(float, c)] and abs(b - d) < 1e-12 for (a, b), (c, d) in zip(have, want))
+    imp = {r["feature"]: r["importance"] for r in explain.split_importance(fitted, est.features, spark, "random_forest").collect()}
+    shares = [np.bincount(t.column[t.column >= 0], t.gain[t.column >= 0], 3) for t in plain.trees]
+    assert np.allclose([imp[c] for c in est.features], sum(s / s.sum() for s in shares) / 5)
+    empty = fitted.predict(df.limit(0))
+    assert empty.count() == 0 and "pred" in empty.columns
