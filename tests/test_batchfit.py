@@ -186,3 +186,25 @@ def test_forest_trees_stay_in_their_table(spark, monkeypatch, tmp_path):
     assert np.allclose([imp[c] for c in est.features], sum(s / s.sum() for s in shares) / 5)
     empty = fitted.predict(df.limit(0))
     assert empty.count() == 0 and "pred" in empty.columns
+
+
+def test_bundles_count_what_columns_count(monkeypatch):
+    rng = np.random.default_rng(7)
+    hour, far = rng.integers(0, 24, 3000), rng.integers(0, 100, 3000)
+    codes = np.stack([hour, hour * 5 % 24, far, hour // 12, far // 30, np.zeros(3000, int)], axis=1).astype(np.uint8)
+    layout = tr.Layout([24, 24, 100, 2, 4, 1])
+    node, g = rng.integers(0, 3, 3000), rng.normal(size=3000)
+    numbered = np.asfortranarray(codes.astype(np.int64) + layout.starts)
+    for apart in (tr.APART, 30):                     # 30: the bundle of 100 codes is taken apart
+        monkeypatch.setattr(tr, "APART", apart)
+        bundles = tr.Bundles.of(codes, layout)
+        assert sorted(c for b in bundles.groups for c in b) == list(range(6)) and len(bundles.groups) < 6
+        packed = bundles.packed(codes)
+        for w in (None, rng.integers(1, 4, 3000).astype(float)):
+            assert np.allclose(bundles.histogram(packed, node, 3, g, w), tr.histogram(numbered, node, 3, g, w, layout), atol=1e-9)
+        tree, leaf = tr.grow(numbered, g, np.ones(3000), layout, Settings(1, max_depth=4), 0)
+        assert (tr.Steps(bundles, tree, range(6), layout.starts).leaves(packed) == leaf).all() and (tr.leaves(numbered, tree) == leaf).all()
+        monkeypatch.setattr(tr, "SMALL_TREE", 0)
+        assert (tr.leaves(numbered, tree) == leaf).all()
+    none = tr.Bundles.of(codes[:0], layout)
+    assert not none.histogram(none.packed(codes[:0]), node[:0], 1, g[:0], None).any()
