@@ -3,6 +3,8 @@ scale. The features never include ``count`` or either sub-target."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ def dual_predictor(est: Estimator, keep_parts: bool = False, sub_targets=SUB_TAR
         for c in (a, b):
             if c not in train.columns:
                 raise ValueError(f"dual-target fit requires the {c!r} column (build features on the raw frame)")
-        m_a = est.fit(train, a)
-        m_b = est.fit(train, b)
+        with ThreadPoolExecutor(max_workers=2) as pool:      # neither fit's jobs fill the cluster alone
+            m_a, m_b = pool.map(lambda c: est.fit(train, c), (a, b))
         out = m_a.predict(evaluate, out=f"pred_{a}")
         out = m_b.predict(out, out=f"pred_{b}")
         out = out.withColumn("pred", F.col(f"pred_{a}") + F.col(f"pred_{b}"))

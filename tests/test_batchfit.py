@@ -208,3 +208,23 @@ def test_bundles_count_what_columns_count(monkeypatch):
         assert (tr.leaves(numbered, tree) == leaf).all()
     none = tr.Bundles.of(codes[:0], layout)
     assert not none.histogram(none.packed(codes[:0]), node[:0], 1, g[:0], None).any()
+
+
+def test_boosting_over_the_cluster_takes_a_job_a_level(spark, monkeypatch):
+    from pyspark import RDD
+    monkeypatch.setattr(bf, "REFRESH", 2)
+    monkeypatch.setattr(bf, "CHECKPOINT", 4)
+    monkeypatch.setattr(bf, "HELD", 1)              # a fit at a time
+    x, y = data()
+    table = table_of(spark, x, y)
+    jobs = []
+    plain = RDD.treeReduce
+    monkeypatch.setattr(RDD, "treeReduce", lambda self, *a, **k: jobs.append(1) or plain(self, *a, **k))
+    made = bf.ensemble(table, FITS[0], 40)
+    assert len(jobs) == 5 * 3                       # rounds x depth, no job for the leaves
+    want = bf.ensemble(table, FITS[0])
+    assert abs(made.base - want.base) < 1e-12
+    for a, b in zip(made.trees, want.trees):
+        assert (a.column == b.column).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value, atol=1e-9)
+    whole, parts = collected(bf.scores(table, FITS)), collected(bf.scores(table, FITS, task_rows=40))
+    assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], atol=1e-9) for k in whole)
