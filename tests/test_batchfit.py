@@ -155,6 +155,35 @@ def test_levels_of_few_rows_are_sorted_not_counted(monkeypatch):
     assert len(sorted_levels) > 2
 
 
+def test_only_cuts_that_leave_enough_rows_are_scored(monkeypatch):
+    rng = np.random.default_rng(11)
+    layout = tr.Layout([40, 3, 128])
+    codes = np.stack([rng.integers(0, k, 300) for k in (40, 3, 128)], axis=1) + layout.starts
+    node, w = rng.integers(0, 60, 300), rng.integers(1, 4, 300).astype(float)
+    g = rng.integers(-9, 9, 300) * w                # sums without rounding
+    hist = tr.histogram(np.asfortranarray(codes), node, 60, g, w, layout)
+    left = sum(int(((n := np.cumsum(hist[0, k, a:b])) >= 2).astype(int) @ ((n[-1] - n >= 2) & (hist[0, k, a:b] > 0)))
+               for k in range(60) for a, b in zip(layout.starts, layout.ends))
+    s = Settings(1, bootstrap=True, min_rows=2)
+    mask = rng.random((60, 3)) < 0.7
+    want = [tr._pick_dense(hist.copy(), layout, s, m) for m in (None, mask)]
+    scored, gain = [], tr._gain
+    monkeypatch.setattr(tr, "_gain", lambda sums, *given: scored.append(sums[0].size) or gain(sums, *given))
+    made = [tr.pick(hist, layout, s, m) for m in (None, mask)]
+    assert scored[0] == left < np.count_nonzero(hist[0]) and scored[1] < left
+    # the same from two arrays in which the nodes stand in another order
+    order = rng.permutation(60)
+    slot = np.argsort(order)
+    sides = (hist[:, order[:20]], hist[:, order[20:]])
+    made += [tr._pick_sides(sides, slot, layout, s, m) for m in (None, mask)]
+    for got, right in zip(made, want * 2):
+        assert all((getattr(got, f) == getattr(right, f)).all() for f in ("column", "cut", "rows", "g", "h")) and np.allclose(got.gain, right.gain)
+    some = np.array([7, 3, 59])
+    assert (tr.Sides(sides, slot).of(some) == hist[:, some]).all()
+    nothing = tr.pick(np.zeros((3, 4, layout.total)), layout, s)
+    assert (nothing.column == -1).all() and not nothing.rows.any()
+
+
 def test_forest_trees_stay_in_their_table(spark, monkeypatch, tmp_path):
     from cadence.operators import explain
     from cadence.operators.learners import ForestFitted, ForestLog
