@@ -14,7 +14,8 @@ Two ways to grow the trees, with the same trees from either:
 - ``over the cluster``: beyond that, chunks stay where they are. Boosted trees of a limited
   depth (``_boosted``): the rows that train stand in Spark's cache as numbers of bundles
   with their running scores; a level is one job whose tasks sum the histograms of all
-  fits, and the driver adds these and picks the splits. Other trees (``_over_cluster``): a
+  fits, and the driver adds these and picks the splits; a root's job also serves the second
+  level if the root's split was guessed from the tree before. Other trees (``_over_cluster``): a
   level's job sums histograms per node by a shuffle and only splits reach the driver;
   nodes of at most ``task_rows`` rows of a tree without a depth limit go to tasks that
   finish their subtrees, and the running scores are written to the shared folder every
@@ -49,6 +50,9 @@ FOREST_STEP, REFRESH = 8, 10
 #: between checkpoints, tasks whose sums the driver adds itself, and the cells of the
 #: histograms (2 numbers each) that are held for all fits at once.
 BLOCK, SAMPLE, CHECKPOINT, DIRECT, HELD = 100_000, 20_000, 100, 64, 1 << 22
+#: Splits of a tree's root that are guessed, and the rows from which on that is tried: with
+#: fewer, sums differ too much between the draws of neighbouring trees.
+GUESSES, GUESS_ROWS = 3, 100_000
 
 
 @dataclass(frozen=True)
@@ -468,7 +472,11 @@ def _bundles(table: BinnedTable, fits: Sequence[Fit], full: Layout) -> tuple[Bun
 
 def _boosted(table: BinnedTable, fits: Sequence[Fit]) -> tuple[list[list[Tree]], list[float]]:
     """Trees and starts of boosted fits of a limited depth, without moving rows. A tree of
-    depth d takes d jobs: its leaves' sums are those of the last splits' sides. Trees are
+    depth d takes d jobs: its leaves' sums are those of the last splits' sides. On
+    ``GUESS_ROWS`` rows or more most take one job less: the last level's job also counts the
+    next tree's rows, from which some splits of its root are guessed (``foreseen``). The
+    root's job then counts by the sides of all guesses; if the split that is picked from the
+    exact sums is among them, the second level's sums are there already. Trees are
     added to the cached scores every ``REFRESH`` rounds, by the next level's job, and the
     cached rows are checkpointed every ``CHECKPOINT`` rounds."""
     full = Layout([len(e) + 1 for e in table.edges])
@@ -502,57 +510,117 @@ def _boosted(table: BinnedTable, fits: Sequence[Fit]) -> tuple[list[list[Tree]],
     made: list[list[Tree]] = [[] for _ in fits]
     fresh: list[list[Steps]] = [[] for _ in fits]
 
-    def level(opened: list[_Open]) -> list[np.ndarray]:
-        """Histograms of the open levels' nodes, by the fits' columns."""
+    guessed: list[list[tuple[int, np.ndarray]]] = [[] for _ in fits]      # sides of the next root's guessed splits
+    most = GUESSES if table.rows >= GUESS_ROWS else 0
+
+    def foreseen(o: _Open, counts: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """Guesses of the next tree's root, from its rows' sums before ``o`` by the nodes of
+        ``o``'s last level and the leaves above it. The sides of a last split are known in
+        the bundle of its column, elsewhere taken to be dealt evenly."""
+        tree, lay, s = o.growth.tree(), layouts[o.fit], fits[o.fit].settings
+        rows, g = counts[0], counts[1].sum(axis=0)
+        ends = np.cumsum(bundles.sizes)
+        for k in range(len(rows)):
+            c, left = tree.column[k], tree.left[k]
+            step = np.full(len(g), tree.value[k])
+            if c >= 0:
+                home, right = bundles.right(places[o.fit][c], tree.cut[k] - lay.starts[c])
+                own = slice(ends[home] - len(right), ends[home])
+                sides = np.where(right, *tree.value[[left + 1, left]])
+                step[:] = rows[k, own] @ sides / max(1.0, rows[k, own].sum())
+                step[own] = sides
+            g = g - rows[k] * step
+        hist = bundles.by_columns(np.stack([rows.sum(axis=0), g])[:, None])[:, :, cells[o.fit]]
+        out: dict[tuple, tuple[int, np.ndarray]] = {}
+        for c, cut in tr.likely(hist, lay, s, tr.allowed(s, o.tree + 1, 0, 1, len(lay.sizes)), 8 * most):
+            home, right = bundles.right(places[o.fit][c], cut - lay.starts[c])
+            out.setdefault((home, right.tobytes()), (home, right))
+        return list(out.values())[:most]
+
+    def level(opened: list[_Open]) -> list[tuple[np.ndarray, np.ndarray | None]]:
+        """Histograms of the open levels' nodes, by the fits' columns (a root's by the sides of
+        its guessed splits), and for trees at their last level the next tree's counts."""
         walks = []
         for o in opened:
             tree, size, live = o.partial()
-            walks.append((o.fit, o.tree, Steps(bundles, tree, places[o.fit], layouts[o.fit].starts), size, live))
+            s, sides = fits[o.fit].settings, [] if o.depth else guessed[o.fit]
+            ahead = most > 0 and 1 < s.max_depth == o.depth + 1 and o.tree + 1 < s.rounds
+            walks.append((o.fit, o.tree, Steps(bundles, tree, places[o.fit], layouts[o.fit].starts), size, live << len(sides), sides, ahead))
+
+        def drawn(keys: np.ndarray, i: int, t: int, node: np.ndarray, other: int) -> np.ndarray:
+            """The node of rows that are drawn for a tree, ``other`` for the rest."""
+            return node if fits[i].settings.row_share >= 1 else np.where(tr.weights(keys, fits[i].settings, t) > 0, node, other)
 
         def count(some: Iterator[_Block]) -> Iterator[list[np.ndarray]]:
-            total = [np.zeros((2, live, full.total)) for *_, live in walks]
+            total = [np.zeros((2, nodes, sum(bundles.sizes))) for *_, size, live, _, ahead in walks for nodes in (live, size + live if ahead else 0)]
             for block in some:
-                for u, (i, t, steps, size, live) in enumerate(walks):
-                    s = fits[i].settings
-                    m = block.train[i] if s.row_share >= 1 else block.train[i] & (tr.weights(block.keys, s, t) > 0)
+                for u, (i, t, steps, size, live, sides, ahead) in enumerate(walks):
+                    m = block.train[i]
                     every = m.all()
                     m = np.flatnonzero(m)
-                    packed = block.packed if every else tr.rows_of(block.packed, m)
-                    node = steps.leaves(packed) - size
+                    packed, keys = (block.packed, block.keys) if every else (tr.rows_of(block.packed, m), block.keys[m])
+                    node = steps.leaves(packed)
                     g = (block.y - block.score[i])[m]
                     for earlier in fresh[i]:
                         g -= earlier.value.take(earlier.leaves(packed))
-                    if live > 1 and len(node) and node.min() < 0:
-                        at = np.flatnonzero(node >= 0)
-                        packed, node, g = tr.rows_of(packed, at), node[at], g[at]
-                    total[u] += bundles.histogram(packed, node, live, g, None)
+                    # rows that don't count go to a node after the last
+                    if ahead:
+                        total[2 * u + 1] += bundles.counts(packed, drawn(keys, i, t + 1, node, size + live), size + live + 1, g, None)[:, :-1]
+                    node -= size
+                    at = np.where(node < 0, live, node) if size else node
+                    for k, (home, right) in enumerate(sides):
+                        at = at + (right.take(packed[:, home]).astype(np.int64) << k)
+                    total[2 * u] += bundles.counts(packed, drawn(keys, i, t, at, live), live + 1, g, None)[:, :-1]
             yield total
 
         add = lambda a, b: [x + y for x, y in zip(a, b)]
         summed = state.mapPartitions(count).treeReduce(add, depth=1 if tasks <= DIRECT else 2)
-        return [h[:, :, cells[o.fit]] for h, o in zip(summed, opened)]
+        return [(bundles.by_columns(summed[2 * u])[:, :, cells[o.fit]], summed[2 * u + 1] if walks[u][-1] else None) for u, o in enumerate(opened)]
+
+    def closed(o: _Open, hist: np.ndarray) -> bool:
+        """Takes the histogram of a tree's open level; whether another level opens."""
+        s, lay = fits[o.fit].settings, layouts[o.fit]
+        p = tr.pick(hist, lay, s, tr.allowed(s, o.tree, o.depth, o.growth.live, len(lay.sizes)))
+        o.growth.close_level(p, s)
+        o.depth += 1
+        if o.growth.live and o.depth < s.max_depth:
+            return True
+        if o.growth.live:
+            sides = []
+            for k in np.flatnonzero(p.column >= 0).tolist():
+                c = p.column[k]
+                left = hist[:, k, lay.starts[c]:p.cut[k] + 1].sum(axis=1)
+                sides += [left, hist[:, k, lay.starts[c]:lay.ends[c]].sum(axis=1) - left]
+            rows, g = np.array(sides).T
+            none = np.full(len(rows), -1)
+            o.growth.close_level(Picked(none, none, none, rows, g, rows), s)
+        return False
+
+    def second(o: _Open, hist: np.ndarray, sides: Sequence[tuple[int, np.ndarray]]) -> np.ndarray | None:
+        """The second level's histogram if the root was split as one of the guesses."""
+        c, cut = int(o.growth.column[0][0]), int(o.growth.cut[0][0])
+        home, right = bundles.right(places[o.fit][c], cut - layouts[o.fit].starts[c])
+        for k, (b, guess) in enumerate(sides):
+            if b == home and (guess == right).all():
+                bit = np.arange(hist.shape[1]) >> k & 1
+                return np.stack([hist[:, bit == x].sum(axis=1) for x in (0, 1)], axis=1)
+        return None
 
     for t in range(max(f.settings.rounds for f in fits)):
         opened = [_Open(i, t) for i, f in enumerate(fits) if t < f.settings.rounds]
         growing = opened
         while growing:
             still = []
-            for o, hist in zip(growing, level(growing)):
-                s, lay = fits[o.fit].settings, layouts[o.fit]
-                p = tr.pick(hist, lay, s, tr.allowed(s, o.tree, o.depth, o.growth.live, len(lay.sizes)))
-                o.growth.close_level(p, s)
-                o.depth += 1
-                if o.growth.live and o.depth < s.max_depth:
+            for o, (hist, ahead) in zip(growing, level(growing)):
+                sides = [] if o.depth else guessed[o.fit]
+                more = closed(o, hist.sum(axis=1, keepdims=True) if sides else hist)
+                below = second(o, hist, sides) if more and sides else None
+                if below is not None:
+                    more = closed(o, below)
+                if more:
                     still.append(o)
-                elif o.growth.live:
-                    sides = []
-                    for k in np.flatnonzero(p.column >= 0).tolist():
-                        c = p.column[k]
-                        left = hist[:, k, lay.starts[c]:p.cut[k] + 1].sum(axis=1)
-                        sides += [left, hist[:, k, lay.starts[c]:lay.ends[c]].sum(axis=1) - left]
-                    rows, g = np.array(sides).T
-                    none = np.full(len(rows), -1)
-                    o.growth.close_level(Picked(none, none, none, rows, g, rows), s)
+                else:
+                    guessed[o.fit] = [] if ahead is None else foreseen(o, ahead)
             growing = still
             if old is not None:                   # the new scores are cached by now
                 old.unpersist()

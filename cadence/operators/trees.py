@@ -148,23 +148,34 @@ class Bundles:
             out[:, b] = np.searchsorted(known, joint_codes(codes, group, self.layout))
         return out
 
-    def histogram(self, packed: np.ndarray, node: np.ndarray, nodes: int, g: np.ndarray, w: np.ndarray | None) -> np.ndarray:
-        """``histogram`` of the columns, from the bundles' numbers."""
-        out = np.zeros((2 if w is None else 3, nodes, self.layout.total))
-        if not len(self.cells):
-            return out
-        wide = max(self.sizes)
+    def right(self, column: int, cut: int) -> tuple[int, np.ndarray]:
+        """A column's bundle, and which of its numbers lie right of a cut (a code of the
+        column's own)."""
+        return self.home[column], self.codes[column] - self.layout.starts[column] > cut
+
+    def counts(self, packed: np.ndarray, node: np.ndarray, nodes: int, g: np.ndarray, w: np.ndarray | None) -> np.ndarray:
+        """Sums as those of ``histogram``, by the bundles' numbers, end to end."""
+        out = np.empty((2 if w is None else 3, nodes, sum(self.sizes)))
+        wide, a = max(self.sizes, default=0), 0
         before = node * wide if nodes > 1 else None
-        counted = np.empty((len(out), nodes, sum(self.sizes)))
-        a = 0
         for b, size in enumerate(self.sizes):
             key = packed[:, b] if before is None else packed[:, b] + before
             for k, weight in enumerate((None, g, w)[:len(out)]):
-                counted[k, :, a:a + size] = np.bincount(key, weight, nodes * wide).reshape(nodes, wide)[:, :size]
+                out[k, :, a:a + size] = np.bincount(key, weight, nodes * wide).reshape(nodes, wide)[:, :size]
             a += size
-        out[:, :, self.cells] = np.add.reduceat(counted[:, :, self.place], self.heads, axis=2)
         return out
 
+    def by_columns(self, counts: np.ndarray) -> np.ndarray:
+        """The columns' histogram of ``counts``."""
+        out = np.zeros((*counts.shape[:2], self.layout.total))
+        if len(self.cells):
+            out[:, :, self.cells] = np.add.reduceat(counts[:, :, self.place], self.heads, axis=2)
+        return out
+
+    def histogram(self, packed: np.ndarray, node: np.ndarray, nodes: int, g: np.ndarray, w: np.ndarray | None) -> np.ndarray:
+        """``histogram`` of the columns, from the bundles' numbers."""
+        return self.by_columns(self.counts(packed, node, nodes, g, w))
+
 
 def _used(numbers: np.ndarray) -> np.ndarray:
     """The distinct numbers, ascending."""
@@ -277,9 +288,8 @@ def _near(best: np.ndarray, parent: np.ndarray) -> np.ndarray:
     return best - 1e-9 * np.abs(best) - 1e-12 * parent
 
 
-def _pick_dense(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None) -> Picked:
-    """``pick`` on the whole histogram. A code without rows ties with the one before it,
-    so the first of the best is a code that occurs."""
+def _gains(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gains of all cuts of a histogram, the scores of the uncut nodes and their sums."""
     run = hist.cumsum(axis=2)
     before = run[:, :, layout.starts] - hist[:, :, layout.starts]
     left = run - np.repeat(before, layout.sizes, axis=2)
@@ -287,12 +297,33 @@ def _pick_dense(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray
     three = (0, 1, -1) if len(hist) == 3 else (0, 1, 0)
     gain, parent = _gain([left[k] for k in three], [sums[k][:, None] for k in three], s,
                          None if mask is None else np.repeat(mask, layout.sizes, axis=1))
+    return gain, parent, sums
+
+
+def _pick_dense(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None) -> Picked:
+    """``pick`` on the whole histogram. A code without rows ties with the one before it,
+    so the first of the best is a code that occurs."""
+    gain, parent, sums = _gains(hist, layout, s, mask)
+    three = (0, 1, -1) if len(hist) == 3 else (0, 1, 0)
     best = gain.max(axis=1)
     where = (gain >= _near(best, parent[:, 0])[:, None]).argmax(axis=1)
     good = best > LEAST_GAIN
     return Picked(np.where(good, layout.column[where], -1), np.where(good, where, 0), np.where(good, best, 0.0), sums[0], sums[1], sums[three[2]])
 
 
+def likely(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None, most: int) -> list[tuple[int, int]]:
+    """Columns and cut codes of the best splits of a single node, the picked one first,
+    then by gain."""
+    if not layout.total:
+        return []
+    gain, _, _ = _gains(hist, layout, s, mask)
+    first = _pick_dense(hist, layout, s, mask)
+    gain = np.where(hist[0, 0] > 0, gain[0], -np.inf)
+    gain[first.cut[0]] = np.inf
+    order = np.argsort(-gain, kind="stable")[:most]
+    return [(int(layout.column[k]), int(k)) for k in order.tolist() if gain[k] > LEAST_GAIN] if first.column[0] >= 0 else []
+
+
 def pick(hist: np.ndarray, layout: Layout, s: Settings, mask: np.ndarray | None = None) -> Picked:
     """The best split of every node of a histogram. Sparse histograms are searched on
     their used codes alone, so a cut is always a code that occurs in the node."""
@@ -605,10 +636,8 @@ class Steps:
         self.home = np.zeros(len(inner), np.int64)
         self.right = np.zeros((len(inner), self.wide), bool)
         for j in np.flatnonzero(inner).tolist():
-            c = columns[tree.column[j]]
-            code = bundles.codes[c] - bundles.layout.starts[c]
-            self.home[j] = bundles.home[c]
-            self.right[j, :len(code)] = code > tree.cut[j] - starts[tree.column[j]]
+            self.home[j], right = bundles.right(columns[tree.column[j]], tree.cut[j] - starts[tree.column[j]])
+            self.right[j, :len(right)] = right
 
     def leaves(self, packed: np.ndarray) -> np.ndarray:
         n = len(packed)

@@ -257,3 +257,49 @@ def test_boosting_over_the_cluster_takes_a_job_a_level(spark, monkeypatch):
         assert (a.column == b.column).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value, atol=1e-9)
     whole, parts = collected(bf.scores(table, FITS)), collected(bf.scores(table, FITS, task_rows=40))
     assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], atol=1e-9) for k in whole)
+
+
+def test_a_guessed_root_split_saves_a_job(spark, monkeypatch):
+    from pyspark import RDD
+    monkeypatch.setattr(bf, "REFRESH", 2)
+    monkeypatch.setattr(bf, "GUESS_ROWS", 0)
+    x, y = data(3000)
+    table = table_of(spark, x, y)
+    jobs = []
+    plain = RDD.treeReduce
+    monkeypatch.setattr(RDD, "treeReduce", lambda self, *a, **k: jobs.append(1) or plain(self, *a, **k))
+
+    def jobs_of(fit):
+        jobs.clear()
+        made, want = bf.ensemble(table, fit, 40), bf.ensemble(table, fit)
+        assert len(made.trees) == fit.settings.rounds
+        for a, b in zip(made.trees, want.trees):
+            assert (a.column == b.column).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value, atol=1e-9)
+        return len(jobs)
+    columns = ("x0", "x1", "x2")
+    assert 12 < jobs_of(bf.Fit(columns, Settings(6, 0.1, 3), fold=3)) < 18     # rounds x 2 and one for the first root
+    assert jobs_of(bf.Fit(columns, Settings(4, 0.1, 1), fold=3)) == 4
+    assert jobs_of(bf.Fit(columns, Settings(5, 0.1, 2, row_share=0.9), fold=3)) <= 10
+    # wrong guesses cost no more than none, and change nothing
+    monkeypatch.setattr(tr, "likely", lambda hist, layout, *rest: [(1, int(layout.starts[1]) + 7), (2, int(layout.starts[2]) + 1)])
+    assert jobs_of(bf.Fit(columns, Settings(4, 0.1, 3, row_share=0.9), fold=3)) == 12
+
+
+def test_guesses_change_no_scores(spark, monkeypatch):
+    monkeypatch.setattr(bf, "GUESS_ROWS", 0)
+    x, y = data()
+    table = table_of(spark, x, y)
+    whole, parts = collected(bf.scores(table, FITS)), collected(bf.scores(table, FITS, task_rows=40))
+    assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], atol=1e-9) for k in whole)
+
+
+def test_likely_splits_begin_with_the_picked_one():
+    rng = np.random.default_rng(3)
+    layout = tr.Layout([5, 1, 30])
+    codes = np.asfortranarray(np.stack([rng.integers(0, k, 400) for k in (5, 1, 30)], axis=1) + layout.starts)
+    hist = tr.histogram(codes, np.zeros(400, int), 1, rng.normal(size=400), None, layout)
+    s = Settings(1, max_depth=3)
+    p, got = tr.pick(hist, layout, s), tr.likely(hist, layout, s, None, 6)
+    assert got[0] == (p.column[0], p.cut[0]) and len(set(got)) == 6 and all(layout.column[k] == c for c, k in got)
+    assert tr.likely(hist, layout, s, np.array([[False, False, True]]), 6)[0][0] == 2
+    assert tr.likely(np.zeros_like(hist), layout, s, None, 6) == [] and tr.likely(np.zeros((2, 1, 0)), tr.Layout([]), s, None, 6) == []
