@@ -16,7 +16,9 @@ are compared.
 Only distinct fingerprints, as classes of equal ones, enter the join, so copies are
 never expanded into pairs: a class counts once, whatever its size. The join is between
 one row (covering side) and at most 17 rows (replica side) per class and half, hashed
-by anchor over 2^27 anchors; Spark splits a hot anchor as a skewed join. Components of
+by anchor over 2^27 anchors; Spark splits a hot anchor as a skewed join. No side of a join
+here is broadcast: all grow with the documents, and Spark sizes them by the 16 bytes of a
+class or a link, before they are replicated. Components of
 the links are found by alternating large-star and small-star steps on the table of
 links, written to the shared checkpoint folder after each round.
 
@@ -155,7 +157,7 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                                         lambda m: _covering(F.col("half").bitwiseXOR(m))))
     spread = parts.select(F.col("rep").alias("b"), F.col("fp").alias("fb"), "part", F.explode(near).alias("anchor"))
     close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= max_bits
-    met = covered.join(spread, ["part", "anchor"]).filter((F.col("fa") != F.col("fb")) & close)
+    met = covered.join(spread.hint("merge"), ["part", "anchor"]).filter((F.col("fa") != F.col("fb")) & close)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -172,9 +174,9 @@ def components(pairs: DataFrame) -> DataFrame:
         before = state
         both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(small_low, "u").select(F.explode(F.array(
+        small = large.join(small_low.hint("merge"), "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = written(small.filter("u != v").distinct(), "edges")
@@ -190,12 +192,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # equal ids with different fingerprints are one node: they link their classes
     same_id = marked.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count(F.lit(1)).alias("n")).filter("n > 1 and lo != hi")
-    twins = marked.join(same_id.select(id_col), id_col).select("fp", F.col(id_col).alias("a")).join(classes, "fp").select(
+    twins = marked.join(same_id.select(id_col).hint("merge"), id_col).select("fp", F.col(id_col).alias("a")).join(classes.hint("merge"), "fp").select(
         F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).filter("a != b")
     found = components(links(classes, max_bits).unionByName(twins))
-    labelled = classes.join(found, F.col("rep") == F.col("node"), "left").select(
+    labelled = classes.join(found.hint("merge"), F.col("rep") == F.col("node"), "left").select(
         F.col("fp").alias("__fp"), F.coalesce("component", "rep").alias("__component"))
-    out = marked.join(labelled, F.col("fp") == F.col("__fp"), "left")
+    out = marked.join(labelled.hint("merge"), F.col("fp") == F.col("__fp"), "left")
     return out.select(F.col(id_col), "fp", F.when(F.col(id_col).isNotNull(), F.col("__component")).alias("component_id"))
 
 
@@ -211,4 +213,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     if again.isEmpty():
         return kept
     same = kept[id_col] == F.col("__again")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
+    return kept.join(again.hint("merge"), same, "left_anti").unionByName(kept.join(again.hint("merge"), same, "left_semi").dropDuplicates([id_col]))

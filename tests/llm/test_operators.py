@@ -560,6 +560,22 @@ def test_links_lose_no_pair(spark):
         simhash.links(df, 6)
 
 
+def test_links_and_components_are_never_broadcast(spark):
+    """A class is 16 bytes but 36 rows of the join: Spark would size either side too low."""
+    base = 0x0123456789ABCDEF
+    classes = written(spark.createDataFrame([(i, base ^ (1 << i) ^ (i << 40)) for i in range(40)], "rep bigint, fp bigint"), "classes")
+    found = simhash.links(classes, 3)
+    want = {(a, b) for a in range(40) for b in range(a + 1, 40)
+            if bin((base ^ (1 << a) ^ (a << 40)) ^ (base ^ (1 << b) ^ (b << 40))).count("1") <= 3}
+    assert {tuple(r) for r in found.collect()} == want and want
+    docs = spark.createDataFrame([(i, f"one two three four {i % 3}") for i in range(9)], "doc_id bigint, text string")
+    near = simhash.near_duplicates(docs)
+    near.collect()
+    for df in (found, near):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_long_chains(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 90), (90, 80)], "a bigint, b bigint")
     got = dict(rows_of(simhash.components(pairs)))
