@@ -576,6 +576,15 @@ def test_links_and_components_are_never_broadcast(spark):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_pipeline_near_dedup_is_never_broadcast(spark):
+    docs = spark.createDataFrame([(i // 2, f"one two three four {i % 3}") for i in range(12)], "doc_id bigint, text string")
+    import corpus_pipeline as cp
+    kept = cp.near_dedup(spark, docs, SF001)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_long_chains(spark):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 90), (90, 80)], "a bigint, b bigint")
     got = dict(rows_of(simhash.components(pairs)))
