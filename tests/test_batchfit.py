@@ -217,6 +217,35 @@ def test_forest_trees_stay_in_their_table(spark, monkeypatch, tmp_path):
     assert empty.count() == 0 and "pred" in empty.columns
 
 
+@pytest.mark.parametrize("depth", [None, 3])
+def test_forests_of_many_rows_stay_in_their_table(spark, monkeypatch, tmp_path, depth):
+    """Beyond TASK_ROWS too, trees are put together in tasks and never reach the driver."""
+    from cadence.operators import explain
+    from cadence.operators.learners import ForestFitted, ForestLog
+    from cadence.sources import io
+    x, y = data(120)
+    df = spark.createDataFrame([(*map(float, r), float(c)) for r, c in zip(x, y)], "x0 double, x1 double, x2 double, count double")
+    est = ForestLog(["x0", "x1", "x2"], n_estimators=5, min_samples_leaf=2, max_depth=depth)
+    want = est.fit(df, "count")
+    monkeypatch.setattr(bf, "TASK_ROWS", 30)
+    monkeypatch.setattr(bf, "FOREST_STEP", 2)
+    monkeypatch.setattr(bf, "NODES_A_TASK", 40)
+    monkeypatch.setattr(bf, "SHARE", 2)
+    monkeypatch.setattr(bf, "ensemble", None)
+    fitted = est.fit(df, "count")
+    assert isinstance(fitted, ForestFitted)
+    got, plain = ([bf.tree_of(r) for r in sorted(m.model.trees.collect(), key=lambda r: r["tree"])] for m in (fitted, want))
+    assert len(got) == len(plain) == 5
+    for a, b in zip(got, plain):
+        assert sorted(a.value[a.column < 0].round(9)) == sorted(b.value[b.column < 0].round(9)) and np.isclose(a.gain.sum(), b.gain.sum())
+    loaded = io.load_fitted(spark, io.save_fitted(fitted, str(tmp_path / "forest")))
+    for model in (fitted, loaded):
+        rows = model.predict(want.predict(df, out="a"), out="b").collect()
+        assert len(rows) == 120 and all(abs(r["a"] - r["b"]) < 1e-9 for r in rows)
+    imp = [{r["feature"]: r["importance"] for r in explain.split_importance(m, est.features, spark, "random_forest").collect()} for m in (fitted, want)]
+    assert all(np.isclose(imp[0][c], imp[1][c]) for c in est.features)
+
+
 def test_bundles_count_what_columns_count(monkeypatch):
     rng = np.random.default_rng(7)
     hour, far = rng.integers(0, 24, 3000), rng.integers(0, 100, 3000)
