@@ -6,23 +6,27 @@ are split into blocks of ``BLOCK``; block b gets the share D * size(b) / dimensi
 budget, and if two vectors lie within D, at least one block lies within its share.
 
 1. Equal vectors of a label become one class, so copies are never compared.
-2. Each block is a range join on a grid over its coordinates: a class stands once in its
-   home cell and is replicated to every cell that its ball (the root of the block's
-   budget) reaches. Slabs are halves or uniform slabs about the label's mean, never
-   narrower than twice the radius, so that a ball reaches two slabs a coordinate at most;
-   a label of more classes gets more slabs, so that a cell holds about ``CELL`` classes.
-3. A cell with more replicas than ``TILE`` is cut: home rows and replicas are dealt to k
-   parts each by a hash of the class, and every pair of parts is a task's group of about
-   TILE x TILE rows. No group is unbounded, whatever one cell or label holds.
-4. A group finds the pairs within the block's budget, verifies their cosine on the given
+2. A label's classes of one length are dealt to tiles by a hash, of at most about ``TILE``
+   classes and ``TILE_BYTES``, and each tile is written as one row. Tiles of a label meet in
+   pairs, each pair once, in a cartesian product that reads the table of tiles: a vector is
+   shuffled and written a fixed number of times, whatever its label's size.
+3. In a pair of tiles each block is a range join on a grid over its coordinates: a class of
+   the one stands in its home cell, a class of the other in every cell that its ball (the
+   root of the block's budget) reaches. Slabs are halves or uniform slabs about the pair's
+   mean, never narrower than twice the radius, so that a ball reaches two slabs a coordinate
+   at most; the more classes, the more slabs, so that a cell holds about ``CELL`` of them.
+4. A cell finds the pairs within the block's budget, verifies their cosine on the given
    vectors in double precision, and keeps a pair if this block is the first within its
-   budget. A class has one home cell a block, so each ordered pair is seen exactly once.
-5. Pairs are not written: a group returns, per class, the number of vectors linked and
-   one edge to the root of its component inside the group, a spanning forest. Components
-   of the forests' union are the components of all links.
-
-Rotated coordinates are rounded to single precision, written once, and compared by the
-same elementwise sums everywhere; budgets are wider by ``SLACK``, which covers the
+   budget. A class has one home cell a block, so each pair is seen exactly once (from
+   either side within a tile).
+5. Pairs are not written: a pair of tiles returns, per class, the number of vectors linked
+   and one edge to the root of its component there, a spanning forest. Components of the
+   forests' union are the components of all links.
+
+Classes carry the SHA-256 of their vector, as which rows find their class again.
+The work stays near quadratic in a label's size.
+Rotated coordinates are rounded to single precision and made once for all blocks of a pair
+of tiles; budgets are wider by ``SLACK``, which covers the
 rounding. Links are decided by the exact cosine alone.
 
 Defined cases: a null label, a null, empty or zero vector, and one that holds a null or a
@@ -48,12 +52,12 @@ from cadence.llm.simhash import components
 THRESHOLD = 0.98
 #: Rotated coordinates a block.
 BLOCK = 8
-#: Classes that a cell should hold, and rows of either side that one group compares.
-CELL, TILE = 1024, 1024
+#: Classes that a cell should hold, and classes and bytes of doubles that a tile may hold.
+CELL, TILE, TILE_BYTES = 1024, 8192, 16 << 20
 SLACK = 1e-6
 ROTATION_SEED = 42
-#: Pairs whose cosines are computed at once.
-PAIRS = 1 << 15
+#: Pairs whose cosines are computed at once, and pairs of a cell that are compared at once.
+PAIRS, COMPARED = 1 << 15, 1 << 20
 
 
 @lru_cache(maxsize=8)
@@ -96,60 +100,17 @@ def valid(vector: str, label: str) -> Column:
             & F.exists(vector, lambda x: x != 0))
 
 
-def classes_of(rows: DataFrame) -> DataFrame:
-    """Distinct vectors (label, vector) of rows (id, label, vector): class number, size
-    of the class, smallest id, and the rotated unit vector in single precision."""
-    distinct = rows.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("mult"))
-    schema = distinct.schema
+def vector_key(vector: str) -> Column:
+    """SHA-256 of a valid vector's components as doubles (both zeros alike)."""
+    return F.unhex(F.sha2(F.transform(vector, lambda x: x.cast("double") + F.lit(0.0)).cast("string"), 256))
 
-    def rotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = schema.names.index("vector")
-            sizes = np.diff(batch.column(at).offsets.to_numpy())
-            out: list = [None] * len(sizes)
-            for size in np.unique(sizes).tolist():
-                ix = np.flatnonzero(sizes == size)
-                turned = unit(matrix(batch.column(at).take(pa.array(ix)))) @ rotation(size)
-                for i, row in zip(ix.tolist(), turned.astype(np.float32)):
-                    out[i] = row
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.float32()))], names=[*schema.names, "rot"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    turned = distinct.mapInArrow(rotate, f"{kinds}, rot array<float>")
-    # the class number is fixed by the table that is read, not made again on a retry
-    return written(written(turned, "turned").withColumn("cls", F.monotonically_increasing_id()), "classes")
-
-
-def _moments(classes: DataFrame) -> DataFrame:
-    """Per label and length: number of classes, mean and spread of every rotated
-    coordinate. A batch is summed in its task; only its sums are shuffled."""
-    kind = classes.schema["label"].dataType.simpleString()
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.diff(batch.column(1).offsets.to_numpy())
-            groups: dict = {}
-            for i, label in enumerate(batch.column(0).to_pylist()):
-                groups.setdefault((label, int(sizes[i])), []).append(i)
-            parts = []
-            for (label, size), ix in groups.items():
-                m = matrix(batch.column(1).take(pa.array(ix)))
-                parts.append((label, size, len(ix), m.sum(axis=0), (m * m).sum(axis=0)))
-            if parts:
-                cols = list(zip(*parts))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], batch.column(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                     pa.array(list(cols[3]), pa.list_(pa.float64())), pa.array(list(cols[4]), pa.list_(pa.float64()))],
-                    names=["label", "size", "n", "s", "s2"])
-
-    made = classes.select("label", "rot").mapInArrow(sums, f"label {kind}, size int, n bigint, s array<double>, s2 array<double>")
-    wide = made.select("label", "size", "n", F.posexplode(F.arrays_zip("s", "s2")).alias("at", "x"))
-    per = wide.groupBy("label", "size", "at").agg(F.sum("n").alias("n"), F.sum("x.s").alias("s"), F.sum("x.s2").alias("s2"))
-    mean = F.col("s") / F.col("n")
-    spread = F.sqrt(F.greatest(F.col("s2") / F.col("n") - mean * mean, F.lit(0.0)))
-    at = F.array_sort(F.collect_list(F.struct("at", mean.alias("mean"), spread.alias("spread"))))
-    return per.groupBy("label", "size").agg(F.max("n").alias("n"), at.alias("m")).select(
-        "label", "size", "n", F.col("m.mean").alias("mean"), F.col("m.spread").alias("spread"))
+def classes_of(rows: DataFrame) -> DataFrame:
+    """Distinct vectors (label, vector) of rows (id, label, vector, key): class number, size
+    of the class, smallest id, vector and key."""
+    distinct = rows.groupBy("label", "key").agg(F.first("vector").alias("vector"), F.min("id").alias("rep"), F.count(F.lit(1)).alias("mult"))
+    # the class number is fixed by the table that is read, not made again on a retry
+    return written(distinct.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
 
 def slabs(x: np.ndarray, radius: float, n: int, mean: np.ndarray, spread: np.ndarray,
@@ -193,37 +154,30 @@ def _packed(cells: np.ndarray) -> np.ndarray:
     return out
 
 
-def _placed(classes: DataFrame, threshold: float, per_cell: int) -> DataFrame:
-    """cls, label, size, block, cell and whether it is the home cell, for every cell that
-    a class's ball reaches in every block."""
+def _tiles(classes: DataFrame, tile: int) -> DataFrame:
+    """One row a tile: label, size (of its vectors), part, k (tiles of that label and size),
+    and the classes' numbers, sizes and vectors as binary columns."""
     kind = classes.schema["label"].dataType.simpleString()
+    sized = classes.select("label", F.size("vector").alias("size"), "cls", "mult", "vector")
+    most = F.greatest(F.lit(1), F.least(F.lit(tile), F.floor(F.lit(TILE_BYTES) / (8 * F.col("size")))))
     # a written table, so that Spark broadcasts it or splits a hot label's join
-    stats = written(_moments(classes), "moments")
-    with_stats = classes.select("cls", "label", F.size("rot").alias("size"), "rot").join(
-        stats, ["label", "size"]).select("cls", "label", "size", "rot", "n", "mean", "spread")
+    counts = written(sized.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).select(
+        "label", "size", F.ceil(F.col("n") / most).cast("int").alias("k")), "counts")
+    dealt = sized.join(counts, ["label", "size"]).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("k")).cast("int"))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cls, size = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            n = batch.column(4).to_numpy()
-            keys: dict = {}
-            for i, label in enumerate(batch.column(1).to_pylist()):
-                keys.setdefault((label, int(size[i]), int(n[i])), []).append(i)
-            for (label, dims, count), ix in keys.items():
-                x = matrix(batch.column(3).take(pa.array(ix)))
-                mean, spread = (np.array(batch.column(k)[ix[0]].as_py()) for k in (5, 6))
-                own = cls[ix]
-                for b, ((lo, hi), budget) in enumerate(zip(blocks_of(dims), budgets(dims, threshold))):
-                    home, low, high = slabs(x[:, lo:hi], float(np.sqrt(budget)), count, mean[lo:hi], spread[lo:hi], per_cell)
-                    rows, cells = _reached(low, high)
-                    cell, at = _packed(cells), _packed(home)
-                    m = len(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[rows]), pa.array([label] * m, batch.column(1).type), pa.array(np.full(m, dims, np.int32)),
-                         pa.array(np.full(m, b, np.int32)), pa.array(cell), pa.array(cell == at[rows])],
-                        names=["cls", "label", "size", "block", "cell", "home"])
-
-    return with_stats.mapInArrow(place, f"cls bigint, label {kind}, size int, block int, cell bigint, home boolean")
+    def pack(group: pa.Table) -> pa.Table:
+        group = group.sort_by("cls")
+        vector = _whole(group["vector"])
+        kept = np.float32 if pa.types.is_float32(vector.type.value_type) else np.float64
+        blobs = (group["cls"].to_numpy().astype(np.int64), group["mult"].to_numpy().astype(np.int64), matrix(vector).astype(kept))
+        return pa.table([*(group[c].slice(0, 1) for c in ("label", "size", "part", "k")), pa.array([kept is np.float32]),
+                         *(pa.array([b.tobytes()], pa.binary()) for b in blobs)],
+                        names=["label", "size", "part", "k", "single", "cls", "mult", "vector"])
+
+    # a fixed number of partitions, so that the tiles' files, and then the pairs' tasks, are not few
+    dealt = dealt.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "label", "size", "part")
+    return written(dealt.groupBy("label", "size", "part").applyInArrow(
+        pack, f"label {kind}, size int, part int, k int, single boolean, cls binary, mult binary, vector binary"), "tiles")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -284,45 +238,76 @@ def group_links(home: dict, other: dict, block: int, threshold: float) -> tuple[
     return np.concatenate([none, *found_a]), np.concatenate([none, *found_b])
 
 
-def _compare(threshold: float):
-    def run(table: pa.Table) -> pa.Table:
-        names = ["a", "b", "n"]
-        home = table["home"].to_numpy()
-        sides, mult = [], table["mult"].to_numpy()
-        if not home.any() or home.sum() == len(home) == 1:
-            return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        for mask in (home, ~home):
-            part = table.filter(pa.array(mask))
-            sides.append({"cls": part["cls"].to_numpy(), "unit": unit(matrix(_whole(part["vector"]))) if len(part) else np.zeros((0, 1)),
-                          "rot": matrix(_whole(part["rot"])).astype(np.float32) if len(part) else np.zeros((0, 1), np.float32)})
-        if not len(sides[1]["cls"]):
-            return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        i, j = group_links(sides[0], sides[1], int(table["block"][0].as_py()), threshold)
-        counts = np.bincount(i, mult[~home][j], len(sides[0]["cls"])).astype(np.int64)
-        nodes, place = np.unique(np.concatenate([sides[0]["cls"][i], sides[1]["cls"][j]]), return_inverse=True)
-        root = nodes[_forest(place[:len(i)], place[len(i):], len(nodes))] if len(i) else nodes
-        linked = np.flatnonzero(counts)
-        return pa.table([pa.array(np.concatenate([sides[0]["cls"][linked], nodes])),
-                         pa.array(np.concatenate([sides[0]["cls"][linked], root])),
-                         pa.array(np.concatenate([counts[linked], np.zeros(len(nodes), np.int64)]))], names=names)
-    return run
+def _side(size: int, single: bool, cls: bytes, mult: bytes, vector: bytes) -> dict:
+    """A tile's classes: numbers, sizes, unit vectors and rotated coordinates."""
+    rows = unit(np.frombuffer(vector, np.float32 if single else np.float64).reshape(-1, size).astype(np.float64))
+    return {"cls": np.frombuffer(cls, np.int64), "mult": np.frombuffer(mult, np.int64), "unit": rows, "rot": (rows @ rotation(size)).astype(np.float32)}
+
+
+def _ranges(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the rows by key, the distinct keys, and where each begins (and the end)."""
+    order = np.argsort(keys, kind="stable")
+    known, first = np.unique(keys[order], return_index=True)
+    return order, known, np.r_[first, len(keys)]
+
+
+def tile_links(home: dict, other: dict, threshold: float, per_cell: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes a and b and numbers n as ``links`` has them, of two tiles of a label, or of
+    one (given twice)."""
+    same, n = other is home, len(home["cls"])
+    cls = home["cls"] if same else np.concatenate([home["cls"], other["cls"]])
+    counts, root, shift = np.zeros(len(cls), np.int64), np.arange(len(cls)), 0 if same else n
+    size, parts = home["rot"].shape[1], ("cls", "unit", "rot")
+    for b, ((lo, hi), budget) in enumerate(zip(blocks_of(size), budgets(size, threshold))):
+        x, y = (side["rot"][:, lo:hi].astype(np.float64) for side in (home, other))
+        both = np.concatenate([x, y])
+        grid = (float(np.sqrt(budget)), len(y), both.mean(axis=0), both.std(axis=0), per_cell)
+        at_home = _packed(slabs(x, *grid)[0])
+        rows, cells = _reached(*slabs(y, *grid)[1:])
+        (order_x, cell_x, first_x), (order_y, cell_y, first_y) = _ranges(at_home), _ranges(_packed(cells))
+        for u, v in zip(*np.intersect1d(cell_x, cell_y, return_indices=True)[1:]):
+            h, o = order_x[first_x[u]:first_x[u + 1]], rows[order_y[first_y[v]:first_y[v + 1]]]
+            far = {k: other[k][o] for k in parts}
+            step = max(1, COMPARED // len(o))
+            for at in range(0, len(h), step):
+                own = h[at:at + step]
+                i, j = group_links({k: home[k][own] for k in parts}, far, b, threshold)
+                if not len(i):
+                    continue
+                i, j = own[i], o[j]
+                counts[:n] += np.bincount(i, other["mult"][j], n).astype(np.int64)
+                if not same:
+                    counts[n:] += np.bincount(j, home["mult"][i], len(cls) - n).astype(np.int64)
+                known = np.flatnonzero(root != np.arange(len(cls)))
+                root = _forest(np.concatenate([known, i]), np.concatenate([root[known], j + shift]), len(cls))
+    linked, below = np.flatnonzero(counts), np.flatnonzero(root != np.arange(len(cls)))
+    return (np.concatenate([cls[linked], cls[below]]), np.concatenate([cls[linked], cls[root[below]]]),
+            np.concatenate([counts[linked], np.zeros(len(below), np.int64)]))
 
 
 def links(classes: DataFrame, threshold: float = THRESHOLD, per_cell: int = CELL, tile: int = TILE) -> DataFrame:
     """Rows (a, b, n): class a counts n linked vectors of other classes (a = b), or
     belongs to one component with class b (n = 0)."""
-    spots = written(_placed(classes, threshold, per_cell), "cells")
-    spot = ["label", "size", "block", "cell"]
-    crowded = written(spots.groupBy(*spot).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > tile), "crowded")
-    cut = spots.join(crowded, spot, "left").withColumn("k", F.coalesce(F.ceil(F.col("rows") / tile), F.lit(1)).cast("int"))
-    part = F.pmod(F.xxhash64(F.col("cls"), F.lit(7)), F.col("k")).cast("int")
-    every = F.sequence(F.lit(0), F.col("k") - 1)
-    # The replica of the home cell stands beside the home row, which it never links with.
-    as_home = F.transform(every, lambda j: F.struct(part.alias("i"), j.alias("j"), F.lit(True).alias("home")))
-    as_other = F.transform(every, lambda i: F.struct(i.alias("i"), part.alias("j"), F.lit(False).alias("home")))
-    roles = cut.select(*spot, "cls", F.explode(F.when(F.col("home"), F.concat(as_home, as_other)).otherwise(as_other)).alias("r"))
-    dealt = roles.select(*spot, "cls", "r.*").join(classes.select("cls", "mult", "vector", "rot"), "cls")
-    return dealt.groupBy(*spot, "i", "j").applyInArrow(_compare(threshold), "a bigint, b bigint, n bigint")
+    tiles = _tiles(classes, tile)
+    blobs = ("cls", "mult", "vector")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                get = lambda c: batch[c][r].as_py()
+                home = _side(get("size"), get("single"), *map(get, blobs))
+                other = home if "o_cls" not in batch.schema.names else _side(get("size"), get("single"), *(get(f"o_{c}") for c in blobs))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in tile_links(home, other, threshold, per_cell)], names=["a", "b", "n"])
+
+    ddl = "a bigint, b bigint, n bigint"
+    own = tiles.select("size", "single", *blobs).mapInArrow(compare, ddl)
+    several = tiles.filter("k > 1")
+    if several.isEmpty():
+        return own
+    others = several.select(*(F.col(c).alias(f"o_{c}") for c in ("label", "size", "part", *blobs)))
+    # a cartesian product of the table's partitions: no tile is shuffled or copied
+    met = several.join(others.hint("shuffle_replicate_nl"), (F.col("label") == F.col("o_label")) & (F.col("size") == F.col("o_size")) & (F.col("part") < F.col("o_part")))
+    return own.unionByName(met.select("size", "single", *blobs, *(f"o_{c}" for c in blobs)).mapInArrow(compare, ddl))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -333,17 +318,18 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     prepare(df.sparkSession)
     rows = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
     able = valid("vector", "label")
-    classes = classes_of(rows.filter(able))
+    keyed = rows.filter(able).withColumn("key", vector_key("vector"))
+    classes = classes_of(keyed)
     found = written(links(classes, threshold, per_cell, tile), "links")
     counts = found.groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("others"))
     joined = components(written(found.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "forest"))
-    of = classes.select("cls", "label", "vector", "rep", "mult").join(
+    of = classes.select("cls", "label", "key", "rep", "mult").join(
         joined.select(F.col("node").alias("cls"), "component"), "cls", "left").join(counts, "cls", "left")
-    of = written(of.select("label", "vector", "rep", F.coalesce("component", "cls").alias("component"),
+    of = written(of.select("label", "key", "rep", F.coalesce("component", "cls").alias("component"),
                            (F.col("mult") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "linked")
     named = written(of.groupBy("component").agg(F.min("rep").alias("component_id")), "named")
-    of = of.join(named, "component").select(F.col("label").alias("c_label"), F.col("vector").alias("c_vector"), "n_links", "component_id")
-    linked = rows.filter(able).join(of, (F.col("label") == F.col("c_label")) & (F.col("vector") == F.col("c_vector")))
+    of = of.join(named, "component").select(F.col("label").alias("c_label"), F.col("key").alias("c_key"), "n_links", "component_id")
+    linked = keyed.drop("vector").join(of, (F.col("label") == F.col("c_label")) & (F.col("key") == F.col("c_key")))
     apart = rows.filter(~F.coalesce(able, F.lit(False))).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.select("id", F.col("n_links").cast("bigint").alias("n_links"), "component_id").unionByName(apart)
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -171,6 +171,25 @@ def test_vectors_that_cannot_link_and_copies(spark):
     assert sorted(map(tuple, vectors.near_duplicates(texts).collect())) == [("a", 1, "a", True), ("b", 1, "a", False)]
 
 
+def test_a_vector_is_dealt_once(spark, monkeypatch):
+    """Pairs of tiles read the table of tiles: no vector is shuffled a time for each cell or pair."""
+    monkeypatch.setattr(vectors, "COMPARED", 50)
+    rows = clustered(64, 5)
+    df = spark.createDataFrame(rows, VDDL).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label")
+    classes = vectors.classes_of(df.withColumn("key", vectors.vector_key("vector")))
+    tiles = vectors._tiles(classes, 10)
+    total = tiles.agg(F.sum(F.octet_length("vector")), F.sum(F.octet_length("cls")), F.max(F.octet_length("cls"))).first()
+    assert tuple(total)[:2] == (len(rows) * 64 * 4, len(rows) * 8) and total[2] < 30 * 8
+    found = vectors.links(classes, per_cell=1, tile=10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    sizes = {r["cls"]: r["rep"] for r in classes.select("cls", "rep").collect()}
+    counts = Counter()
+    for r in found.collect():
+        counts[sizes[r["a"]]] += r["n"]
+    assert {k: n for k, n in counts.items() if n} == {k[0]: k[1] for k in joined(rows) if k[1]}
+
+
 def test_a_group_keeps_a_pair_in_its_first_block_alone():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 32))
